@@ -1,4 +1,4 @@
-from vectide.plans import vector_queries  # noqa: F401
+from vectide.plans import text_queries, vector_queries  # noqa: F401
 from vectide.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
