@@ -1,4 +1,9 @@
-from vectide.plans import text_queries, vector_queries  # noqa: F401
+from vectide.plans import (  # noqa: F401
+    chunk_queries,
+    collection_queries,
+    text_queries,
+    vector_queries,
+)
 from vectide.plans.registry import REGISTRY
 
 __all__ = ["REGISTRY"]

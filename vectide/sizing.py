@@ -50,3 +50,19 @@ def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only where the measured size allows it."""
     return F.broadcast(df) if fits(df, max_bytes) else df
+
+
+SALTS = 64
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: list[str], spread: str, salts: int = SALTS) -> DataFrame:
+    """Inner join that survives a key held by a large share of ``left``.
+
+    A measured-small right side is broadcast. Otherwise the rows of each key are
+    cut into slices by ``spread``, and the right side is repeated per slice.
+    """
+    if fits(right):
+        return left.join(F.broadcast(right), on)
+    sliced = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
+    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    return sliced.join(repeated, [*on, "_salt"]).drop("_salt")
