@@ -14,14 +14,11 @@ from vectide.functions.predicates import predicate
 from vectide.functions.text import term_counts, tokens
 from vectide.functions.vectors import SCORE_DECIMALS
 from vectide.operators.nearest import attach_fields, cut_similarity, rank_hits
-from vectide.sizing import BROADCAST_BYTES, broadcast_if_small, fits
+from vectide.sizing import BROADCAST_BYTES, SALTS, fits, numbers
 
 # BM25 parameters and the number of hits.
 K1, B, LIMIT = 1.2, 0.75, 10
 
-# Slices of one term's postings when both sides of the term join are large.
-SALTS = 64
-
 
 def build_index(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     return term_counts(docs, id_col, text_col)
@@ -114,7 +111,7 @@ def bm25_scores(
     else:
         # A word held by a third of all texts is cut into slices.
         salt = F.pmod(F.xxhash64("id"), F.lit(SALTS))
-        spread = weights.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long").alias("_salt"))
+        spread = weights.select("*", numbers(SALTS).alias("_salt"))
         matched = held.withColumn("_salt", salt).join(spread, ["term", "_salt"])
     tf, dl = F.col("tf").cast("double"), F.col("dl").cast("double")
     part = F.col("w") * saturation(tf, dl, mean, float(k1), float(b))

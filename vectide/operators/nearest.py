@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from vectide.functions import kernels
 from vectide.functions.predicates import fields_list, predicate
 from vectide.functions.vectors import SCORE_DECIMALS, best_first, check_metric, similarity
-from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES
+from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES, numbers
 
 
 def _sides(corpus: DataFrame, queries: DataFrame, id_col, vector_col, qid_col, query_col):
@@ -65,12 +65,12 @@ def _grid(rows: DataFrame, asked: DataFrame, n: int, dim: int, schema, run, bloc
     query_blocks = max(1, math.ceil(n * width / block_bytes))
     left = rows.select(
         F.pmod(F.xxhash64("id"), F.lit(row_blocks)).alias("rb"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).cast("long").alias("qb"),
+        numbers(query_blocks).alias("qb"),
         "id",
         "vector",
     )
     right = asked.select(
-        F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).cast("long").alias("rb"),
+        numbers(row_blocks).alias("rb"),
         F.pmod(F.xxhash64("qid"), F.lit(query_blocks)).alias("qb"),
         "qid",
         "qv",

@@ -1,6 +1,8 @@
 from vectide.plans import (  # noqa: F401
     chunk_queries,
     collection_queries,
+    evaluation_queries,
+    recall_queries,
     text_queries,
     vector_queries,
 )

@@ -169,13 +169,13 @@ def page_after(spark, sf):
 
 
 @REGISTRY.add(
-    "describe_fields",
-    """select (row_number() over ()- 1)::integer as position, column_name as field,
-  case column_type when 'BIGINT' then 'bigint' when 'INTEGER' then 'int' when 'FLOAT[]' then 'array<float>' end as type
-from (describe embeddings)""",
+    "describe_collection",
+    """select (row_number() over () - 1)::integer as position, column_name as field,
+  case column_type when 'BIGINT' then 'bigint' when 'VARCHAR' then 'string' end as type,
+  (select count(*) from documents) as row_count, 0::bigint as null_count from (describe documents)""",
 )
-def describe_fields(spark, sf):
-    return coll.describe(table(spark, sf, "embeddings"))
+def describe_collection(spark, sf):
+    return coll.describe(table(spark, sf, "documents"))
 
 
 @REGISTRY.add(

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from vectide.operators import nearest
+from vectide.functions.vectors import norm, normalize
+from vectide.operators import nearest, selection
 from vectide.plans.registry import REGISTRY, table
 
 SCORES = {
@@ -56,3 +57,123 @@ def _knn(metric, k):
 REGISTRY.add("knn_cosine", f"with {ranked_sql('COSINE', 10)} {OUT}")(_knn("COSINE", 10))
 REGISTRY.add("knn_l2", f"with {ranked_sql('L2', 10)} {OUT}")(_knn("L2", 10))
 REGISTRY.add("knn_inner_product", f"with {ranked_sql('IP', 10)} {OUT}")(_knn("IP", 10))
+
+
+@REGISTRY.add(
+    "knn_filtered",
+    f"with {ranked_sql('COSINE', 10, where='c.label in (1, 2, 3) and c.vec_id <> 7')}, o as ({OUT})"
+    " select o.*, e.label from o join embeddings e on e.vec_id = o.id",
+)
+def knn_filtered(spark, sf):
+    corpus = vectors(spark, sf)
+    hits = nearest.search(
+        corpus, as_queries(corpus), filter="label in [1, 2, 3] and id != 7", output_fields="label"
+    )
+    return hits.select(
+        "qid",
+        "rank",
+        "id",
+        F.round("score", 6).alias("score"),
+        F.round("similarity", 6).alias("similarity"),
+        "label",
+    )
+
+
+@REGISTRY.add(
+    "knn_min_similarity",
+    f"with {ranked_sql('L2', 20)} {OUT} where similarity >= 0.45",
+)
+def knn_min_similarity(spark, sf):
+    corpus = vectors(spark, sf)
+    return out(nearest.search(corpus, as_queries(corpus), limit=20, metric="L2", min_similarity=0.45))
+
+
+def range_sql(metric: str, low: float, high: float) -> str:
+    alike = "1 / (1 + score)" if metric == "L2" else "score"
+    return f"""with {VECTORS},
+pairs as (select q.vec_id as qid, c.vec_id as id, {SCORES[metric]} as score from vecs q, vecs c)
+select qid, id, round(score, 6) as score, round({alike}, 6) as similarity from pairs
+where {alike} >= {low} and {alike} <= {high}"""
+
+
+@REGISTRY.add("range_cosine", range_sql("COSINE", 0.35, 0.9))
+def range_cosine(spark, sf):
+    corpus = vectors(spark, sf)
+    hits = nearest.range_search(corpus, as_queries(corpus), 0.35, 0.9)
+    return hits.select("qid", "id", F.round("score", 6).alias("score"), F.round("similarity", 6).alias("similarity"))
+
+
+@REGISTRY.add("range_l2", range_sql("L2", 0.47, 0.99))
+def range_l2(spark, sf):
+    corpus = vectors(spark, sf)
+    hits = nearest.range_search(corpus, as_queries(corpus), 0.47, 0.99, "L2")
+    return hits.select("qid", "id", F.round("score", 6).alias("score"), F.round("similarity", 6).alias("similarity"))
+
+
+@REGISTRY.add(
+    "range_top_k",
+    f"""with {VECTORS},
+pairs as (select q.vec_id as qid, c.vec_id as id, {SCORES['IP']} as score from vecs q, vecs c),
+ranked as (select *, score as similarity, row_number() over (partition by qid order by score desc, id) as rank
+  from pairs where score >= 0.1 and score <= 0.5)
+{OUT} where rank <= 5""",
+)
+def range_top_k(spark, sf):
+    corpus = vectors(spark, sf)
+    return out(nearest.search(corpus, as_queries(corpus), limit=5, metric="IP", radius=0.1, range_filter=0.5))
+
+
+@REGISTRY.add(
+    "knn_second_field",
+    f"""with {VECTORS}, halves as (select vec_id, v[33:64] as v from vecs),
+pairs as (select q.vec_id as qid, c.vec_id as id, round(list_cosine_similarity(q.v, c.v), 9) as score from halves q, halves c),
+ranked as (select *, score as similarity, row_number() over (partition by qid order by score desc, id) as rank from pairs)
+{OUT} where rank <= 10""",
+)
+def knn_second_field(spark, sf):
+    corpus = vectors(spark, sf).withColumn("half", F.slice("vector", 33, 32))
+    asked = corpus.select(F.col("id").alias("qid"), F.col("half").alias("qv"))
+    return out(nearest.search(corpus, asked, anns_field="half"))
+
+
+@REGISTRY.add(
+    "knn_blocked",
+    f"with {ranked_sql('L2', 7)} {OUT}",
+)
+def knn_blocked(spark, sf):
+    """The plan for query tables too large to broadcast: blocks of rows meet blocks of queries."""
+    corpus = vectors(spark, sf)
+    return out(nearest.top_k(corpus, as_queries(corpus), 7, "L2", broadcast_bytes=0, block_bytes=64 * 1024))
+
+
+@REGISTRY.add(
+    "normalize_vectors",
+    """select vec_id, (generate_subscripts(embedding, 1) - 1)::bigint as pos, round(unnest(embedding::double[])
+  / sqrt(list_sum(list_transform(embedding::double[], lambda x: x * x))), 6) as value from embeddings""",
+)
+def normalize_vectors(spark, sf):
+    rows = table(spark, sf, "embeddings").withColumn("length", norm(F.col("embedding")))
+    unit = rows.select("vec_id", normalize(F.col("embedding"), F.col("length")).alias("unit"))
+    flat = unit.select("vec_id", F.posexplode_outer("unit").alias("pos", "value")).where("value is not null")
+    return flat.select("vec_id", F.col("pos").cast("long").alias("pos"), F.round("value", 6).alias("value"))
+
+
+def _preset(name, k, least):
+    where = f"where similarity >= {least}" if least is not None else ""
+
+    @REGISTRY.add(f"preset_{name}", f"with {ranked_sql('COSINE', k)} {OUT} {where}")
+    def plan(spark, sf):
+        corpus = vectors(spark, sf)
+        return out(selection.preset_search(corpus, as_queries(corpus), name))
+
+
+_preset("basic", 10, 0.3)
+_preset("recommended", 5, 0.4)
+_preset("top_k", 5, None)
+
+
+@REGISTRY.add("preset_threshold", range_sql("COSINE", 0.4, 2))
+def preset_threshold(spark, sf):
+    corpus = vectors(spark, sf)
+    hits = selection.preset_search(corpus, as_queries(corpus), "threshold")
+    return hits.select("qid", "id", F.round("score", 6).alias("score"), F.round("similarity", 6).alias("similarity"))

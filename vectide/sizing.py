@@ -55,6 +55,11 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
 SALTS = 64
 
 
+def numbers(n: int) -> Column:
+    """One row per number from 0 to n-1."""
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+
 def spread_join(left: DataFrame, right: DataFrame, on: list[str], spread: str, salts: int = SALTS) -> DataFrame:
     """Inner join that survives a key held by a large share of ``left``.
 
@@ -64,5 +69,5 @@ def spread_join(left: DataFrame, right: DataFrame, on: list[str], spread: str, s
     if fits(right):
         return left.join(F.broadcast(right), on)
     sliced = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    repeated = right.withColumn("_salt", numbers(salts))
     return sliced.join(repeated, [*on, "_salt"]).drop("_salt")

@@ -241,9 +241,22 @@ def load(spark: SparkSession, root: str, version: int | None = None) -> DataFram
 
 
 def describe(df: DataFrame) -> DataFrame:
-    """Fields of a collection: ``(position, field, type)``."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(rows, "position int, field string, type string")
+    """Fields of a collection with their counts: ``(position, field, type, row_count, null_count)``, in one pass."""
+    fields = list(enumerate(df.schema.fields))
+    counts = df.agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"_n{i}") for i, f in fields]
+    )
+    lines = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.lit(f.name).alias("field"),
+            F.lit(f.dataType.simpleString()).alias("type"),
+            F.col("_rows").alias("row_count"),
+            F.col(f"_n{i}").alias("null_count"),
+        )
+        for i, f in fields
+    ]
+    return counts.select(F.inline(F.array(*lines)))
 
 
 def profile(df: DataFrame, vector_col: str | None = None, approximate: bool = True) -> DataFrame:
