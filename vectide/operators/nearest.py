@@ -21,16 +21,16 @@ from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from vectide.functions import kernels
 from vectide.functions.predicates import fields_list, predicate
 from vectide.functions.vectors import SCORE_DECIMALS, best_first, check_metric, similarity
-from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES, numbers
+from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES
 
 
-def _sides(corpus: DataFrame, queries: DataFrame, id_col, vector_col, qid_col, query_col):
+def sides(corpus: DataFrame, queries: DataFrame, id_col, vector_col, qid_col, query_col):
     rows = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
     asked = queries.select(F.col(qid_col).alias("qid"), F.col(query_col).alias("qv"))
     return rows.where("vector is not null"), asked.where("qv is not null")
 
 
-def _hit_schema(corpus: DataFrame, queries: DataFrame) -> T.StructType:
+def hit_schema(corpus: DataFrame, queries: DataFrame) -> T.StructType:
     return T.StructType(
         [
             T.StructField("qid", queries.schema["qid"].dataType),
@@ -46,36 +46,46 @@ def query_size(queries: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["d"] or 0)
 
 
-def _collect(queries: DataFrame) -> tuple[pa.Array, pa.Array]:
+def collect_queries(queries: DataFrame) -> tuple[pa.Array, pa.Array]:
     table = queries.select("qid", "qv").toArrow().combine_chunks()
     return table.column("qid").combine_chunks(), table.column("qv").combine_chunks()
 
 
 def _scan(rows: DataFrame, asked: DataFrame, dim: int, schema, run) -> DataFrame:
     """Send the queries to every task and let ``run`` consume the task's batches."""
-    ids, vectors = _collect(asked)
+    ids, vectors = collect_queries(asked)
     shared = asked.sparkSession.sparkContext.broadcast((ids, kernels.matrix(vectors, dim)))
     return rows.mapInArrow(lambda batches: run(shared.value, batches), schema)
 
 
-def _grid(rows: DataFrame, asked: DataFrame, n: int, dim: int, schema, run, block_bytes: int) -> DataFrame:
-    """Meet blocks of rows and blocks of queries, both of bounded size."""
-    width = dim * 8
-    row_blocks = max(1, math.ceil(rows.count() * width / block_bytes))
-    query_blocks = max(1, math.ceil(n * width / block_bytes))
-    left = rows.select(
-        F.pmod(F.xxhash64("id"), F.lit(row_blocks)).alias("rb"),
-        numbers(query_blocks).alias("qb"),
+def meet_blocks(rows: DataFrame, asked: DataFrame, dim: int, schema, run, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """Meet rows ``(cell, id, vector)`` and queries ``(cell, qid, qv)`` of the same cell.
+
+    Both sides of a cell are cut into blocks of bounded size, so a cell that holds
+    a third of all rows, or is asked by all queries, becomes many groups.
+    """
+    per_block = max(1, block_bytes // (dim * 8))
+
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(per_block)).cast("long").alias(name))
+
+    # One row per cell that has both rows and queries.
+    shape = F.broadcast(blocks(rows, "row_blocks").join(blocks(asked, "query_blocks"), "cell"))
+    first = F.lit(0).cast("long")
+    left = rows.join(shape, "cell").select(
+        "cell",
+        F.pmod(F.xxhash64("id"), F.col("row_blocks")).alias("rb"),
+        F.explode(F.sequence(first, F.col("query_blocks") - 1)).alias("qb"),
         "id",
         "vector",
     )
-    right = asked.select(
-        numbers(row_blocks).alias("rb"),
-        F.pmod(F.xxhash64("qid"), F.lit(query_blocks)).alias("qb"),
+    right = asked.join(shape, "cell").select(
+        "cell",
+        F.explode(F.sequence(first, F.col("row_blocks") - 1)).alias("rb"),
+        F.pmod(F.xxhash64("qid"), F.col("query_blocks")).alias("qb"),
         "qid",
         "qv",
     )
-
     empty = to_arrow_schema(schema).empty_table()
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
@@ -84,10 +94,15 @@ def _grid(rows: DataFrame, asked: DataFrame, n: int, dim: int, schema, run, bloc
         found = list(run((b["qid"].combine_chunks(), kernels.matrix(b["qv"], dim)), a.to_batches()))
         return pa.Table.from_batches(found) if found else empty
 
-    return left.groupBy("rb", "qb").cogroup(right.groupBy("rb", "qb")).applyInArrow(meet, schema)
+    keys = ("cell", "rb", "qb")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema)
+
+
+def _one_cell(df: DataFrame) -> DataFrame:
+    return df.withColumn("cell", F.lit(0))
 
 
-def _top_k_run(metric: str, k: int, dim: int, id_type: T.DataType):
+def top_k_run(metric: str, k: int, dim: int, id_type: T.DataType):
     arrow_id = to_arrow_type(id_type)
 
     def run(queries, batches) -> Iterator[pa.RecordBatch]:
@@ -128,14 +143,14 @@ def top_k(
     metric = check_metric(metric)
     if k < 1:
         raise ValueError("k must be at least 1")
-    rows, asked = _sides(corpus, queries, id_col, vector_col, qid_col, query_col)
+    rows, asked = sides(corpus, queries, id_col, vector_col, qid_col, query_col)
     n, dim = query_size(asked)
-    schema = _hit_schema(rows, asked)
-    run = _top_k_run(metric, k, dim, schema["id"].dataType)
+    schema = hit_schema(rows, asked)
+    run = top_k_run(metric, k, dim, schema["id"].dataType)
     if n * dim * 8 <= broadcast_bytes:
         hits = _scan(rows, asked, dim, schema, run)
     else:
-        hits = _grid(rows, asked, n, dim, schema, run, block_bytes)
+        hits = meet_blocks(_one_cell(rows), _one_cell(asked), dim, schema, run, block_bytes)
     return rank_hits(hits, metric, k).select(
         "qid", "rank", "id", "score", similarity(metric, F.col("score")).alias("similarity")
     )
@@ -160,9 +175,9 @@ def range_search(
     high = math.inf if range_filter is None else float(range_filter)
     if low > high:
         raise ValueError("radius must not exceed range_filter")
-    rows, asked = _sides(corpus, queries, id_col, vector_col, qid_col, query_col)
+    rows, asked = sides(corpus, queries, id_col, vector_col, qid_col, query_col)
     n, dim = query_size(asked)
-    schema = _hit_schema(rows, asked)
+    schema = hit_schema(rows, asked)
 
     arrow_id = to_arrow_type(schema["id"].dataType)
 
@@ -179,7 +194,7 @@ def range_search(
     if n * dim * 8 <= broadcast_bytes:
         hits = _scan(rows, asked, dim, schema, run)
     else:
-        hits = _grid(rows, asked, n, dim, schema, run, block_bytes)
+        hits = meet_blocks(_one_cell(rows), _one_cell(asked), dim, schema, run, block_bytes)
     return hits.select("qid", "id", "score", similarity(metric, F.col("score")).alias("similarity"))
 
 

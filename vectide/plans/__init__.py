@@ -1,8 +1,10 @@
 from vectide.plans import (  # noqa: F401
+    ann_queries,
     chunk_queries,
     collection_queries,
     evaluation_queries,
     recall_queries,
+    stream_queries,
     text_queries,
     vector_queries,
 )
