@@ -14,14 +14,14 @@ from vectide.functions.predicates import predicate
 from vectide.functions.text import term_counts, tokens
 from vectide.functions.vectors import SCORE_DECIMALS
 from vectide.operators.nearest import attach_fields, cut_similarity, rank_hits
-from vectide.sizing import BROADCAST_BYTES, SALTS, fits, numbers
+from vectide.sizing import BROADCAST_BYTES, SALTS, deal_out, fits, numbers
 
 # BM25 parameters and the number of hits.
 K1, B, LIMIT = 1.2, 0.75, 10
 
 
 def build_index(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    return term_counts(docs, id_col, text_col)
+    return term_counts(deal_out(docs.select(id_col, text_col)), id_col, text_col)
 
 
 def store_index(index: DataFrame, table: str, buckets: int, path: str | None = None) -> None:

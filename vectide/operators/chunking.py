@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vectide.functions.text import strip
+from vectide.sizing import deal_out
 
 # Default sizes in characters, sentence ends and the paragraph delimiter.
 MAX_CHUNK, OVERLAP, MIN_CHUNK = 600, 100, 100
@@ -29,7 +30,7 @@ HEADING = r"^#{1,6}\s"
 
 def _rows(df: DataFrame, chunks: Column) -> DataFrame:
     """One row per chunk, numbered from 0 in text order."""
-    rows = df.select("*", F.posexplode_outer(chunks).alias("chunk_index", "content"))
+    rows = deal_out(df).select("*", F.posexplode_outer(chunks).alias("chunk_index", "content"))
     return rows.where("content is not null")
 
 
@@ -119,7 +120,7 @@ def chunk_fixed(df: DataFrame, text_col: str = "text", size: int = 500, overlap:
     stride = size - overlap
     per_window = math.ceil(size / stride)
     text = F.col(text_col)
-    cut = df.withColumn("_steps", F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % stride), F.lit(0)))
+    cut = deal_out(df).withColumn("_steps", F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % stride), F.lit(0)))
     count = F.greatest(F.lit(1), F.ceil((F.char_length(text) - overlap) / F.lit(stride)).cast("int"))
     windows = F.transform(
         F.slice("_steps", F.lit(1), F.least(count, F.size("_steps"))),
@@ -202,7 +203,7 @@ def clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_cha
     Only hashes and ids are grouped, combined before the shuffle, so a text copied
     a billion times is one row per task.
     """
-    good = df.where(F.char_length(strip(F.col(text_col))) >= min_chars)
+    good = deal_out(df.select(id_col, text_col)).where(F.char_length(strip(F.col(text_col))) >= min_chars)
     keys = good.select(F.col(id_col), F.sha2(normalized(F.col(text_col)), 256).alias("_h"))
     first = keys.groupBy("_h").agg(F.min(id_col).alias(id_col)).select(id_col)
     return df.join(first, id_col, "left_semi")

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from vectide.functions.text import strip, tokens
 from vectide.operators.nearest import search
-from vectide.sizing import spread_join
+from vectide.sizing import deal_out, spread_join
 
 VECTOR = T.ArrayType(T.FloatType(), False)
 
@@ -103,7 +103,7 @@ def embed(
 ) -> DataFrame:
     """Add a vector column. A missing or blank text has no vector (NULL) and no search finds it."""
     blank = F.coalesce(strip(F.col(text_col)), F.lit("")) == ""
-    return df.withColumn(vector_col, F.when(~blank, encoder.encode(F.col(text_col), normalize)))
+    return deal_out(df).withColumn(vector_col, F.when(~blank, encoder.encode(F.col(text_col), normalize)))
 
 
 def text_search(

@@ -7,6 +7,7 @@ from vectide.operators import bm25
 from vectide.plans.registry import REGISTRY, table
 from vectide.plans.vector_queries import OUT, out
 from vectide.session import materialize
+from vectide.sizing import deal_out
 
 TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
 
@@ -54,7 +55,7 @@ def index(spark, sf):
 )
 def analyzer_terms(spark, sf):
     words_of = words.tokens(F.col("text"))
-    docs = table(spark, sf, "documents").select("doc_id", F.posexplode_outer(words_of).alias("pos", "term"))
+    docs = deal_out(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", F.posexplode_outer(words_of).alias("pos", "term"))
     return docs.where("term is not null").withColumn("pos", F.col("pos").cast("long"))
 
 

@@ -52,6 +52,22 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataF
     return F.broadcast(df) if fits(df, max_bytes) else df
 
 
+# A table of at least this many bytes per core is read in enough splits to use all cores.
+SPLIT_BYTES = 16 * 1024 * 1024
+
+
+def deal_out(df: DataFrame) -> DataFrame:
+    """Spread the rows of a small input over all cores before costly work on each row.
+
+    A small file is one split and would keep one core busy. The size is the
+    optimizer's estimate; an input large enough to be read in many splits is left
+    where it is, so nothing large is ever shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(2 * cores) if size < cores * SPLIT_BYTES else df
+
+
 SALTS = 64
 
 
