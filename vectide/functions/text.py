@@ -56,10 +56,10 @@ def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def substrings(text: Column, lengths: list[int]) -> Column:
     """All distinct substrings of the given lengths."""
+    size = F.char_length(text)
 
-    def of_length(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.char_length(text) - (n - 1))
-        cut = F.transform(starts, lambda at: F.substr(text, at, F.lit(n)))
-        return F.when(F.char_length(text) >= n, cut).otherwise(F.array().cast("array<string>"))
+    def of_length(n):
+        cut = F.transform(F.sequence(F.lit(1), size - n + 1), lambda at: F.substr(text, at, n))
+        return F.when(size >= n, cut).otherwise(F.array().cast("array<string>"))
 
-    return F.array_distinct(F.concat(*[of_length(n) for n in lengths]))
+    return F.array_distinct(F.flatten(F.transform(F.array(*[F.lit(n) for n in lengths]), of_length)))

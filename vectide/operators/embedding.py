@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from vectide.functions.text import strip, tokens
 from vectide.operators.nearest import search
+from vectide.session import materialize
 from vectide.sizing import deal_out, spread_join
 
 VECTOR = T.ArrayType(T.FloatType(), False)
@@ -126,7 +127,8 @@ def text_search(
     Hits carry their query text, the vector dimension and the number of results of their query.
     """
     asked = queries.select(F.col(qid_col).alias("qid"), F.col(text_col).alias("query_text"))
-    vectors = embed(asked, "query_text", encoder, vector_col="qv")
+    # Written once: the search first counts its queries, and a model should not run twice.
+    vectors = materialize(embed(asked, "query_text", encoder, vector_col="qv"))
     hits = search(
         corpus,
         vectors,

@@ -18,7 +18,8 @@ from vectide.operators.query_text import (
     rule_variants,
     synonym_variants,
 )
-from vectide.sizing import spread_join
+from vectide.session import materialize
+from vectide.sizing import BROADCAST_BYTES, deal_out, measure, spread_join
 
 # How many candidates each path gives, and at which score.
 DENSE_LIMIT = 50
@@ -41,15 +42,23 @@ def _first(df: DataFrame, key: str, limit: int) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= limit).drop("_n")
 
 
+def _few(keys: DataFrame, limit: int) -> bool:
+    """Whether ``limit`` hits of each distinct key stay within the broadcast bound."""
+    return measure(keys).bytes * limit <= BROADCAST_BYTES
+
+
 def title_equals(corpus: DataFrame, queries: DataFrame, limit: int = TITLE_LIMIT, title_col="title") -> DataFrame:
     """Rows whose title is the query text: ``(qid, id)``, the lowest ids first.
 
-    Titles are cut to ``limit`` rows each before the join, so a title shared by
-    many rows cannot swell it.
+    Titles are cut to ``limit`` rows each before the queries come in, so a title
+    shared by many rows, or asked by many queries, cannot swell the join.
     """
     titles = corpus.where(F.col(title_col).isNotNull()).select(F.col(title_col).alias("query_text"), "id")
-    asked = queries.select("qid", "query_text")
-    return spread_join(asked, _first(titles, "query_text", limit), ["query_text"], "qid").select("qid", "id")
+    asked = queries.where("query_text is not null").select("qid", "query_text")
+    few = _few(asked.select("query_text"), limit)
+    if few:
+        titles = titles.join(F.broadcast(asked.select("query_text").distinct()), "query_text", "left_semi")
+    return spread_join(asked, _first(titles, "query_text", limit), ["query_text"], "qid", small=few).select("qid", "id")
 
 
 def title_contains(corpus: DataFrame, words: DataFrame, limit: int = KEYWORD_LIMIT, title_col="title") -> DataFrame:
@@ -62,11 +71,11 @@ def title_contains(corpus: DataFrame, words: DataFrame, limit: int = KEYWORD_LIM
     distinct = words.select("word").distinct()
     # One small integer per distinct word length.
     lengths = sorted(r[0] for r in words.select(F.char_length("word")).distinct().collect() if r[0])
-    if not lengths:
-        return words.select("qid").join(corpus.select("id"), F.lit(False))
-    pieces = corpus.select("id", F.explode_outer(substrings(F.col(title_col), lengths)).alias("word"))
-    found = spread_join(pieces.where("word is not null"), distinct, ["word"], "id")
-    return spread_join(words, _first(found, "word", limit), ["word"], "qid").select("qid", "id")
+    few = _few(words.select("word"), limit)
+    titles = deal_out(corpus.select("id", F.col(title_col).alias("title")))
+    pieces = titles.select("id", F.explode_outer(substrings(F.col("title"), lengths or [1])).alias("word"))
+    found = spread_join(pieces.where("word is not null"), distinct, ["word"], "id", small=few)
+    return spread_join(words, _first(found, "word", limit), ["word"], "qid", small=few).select("qid", "id")
 
 
 def multi_path(
@@ -146,7 +155,8 @@ def expansion_recall(
     """
     variants = expansion_variants(queries, synonyms, rules)
     texts = variants.select(F.col("variant_text").alias("qid")).distinct()
-    asked = embed(texts, "qid", encoder, vector_col="qv")
+    # Written once: the search first counts its queries, and a model should not run twice.
+    asked = materialize(embed(texts, "qid", encoder, vector_col="qv"))
     most = max(size for _, size in (ORIGINAL, EXPANDED, REWRITTEN))
     hits = top_k(corpus, asked, most, metric, vector_col=vector_col).withColumnRenamed("qid", "variant_text")
     weighted = (

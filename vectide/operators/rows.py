@@ -24,7 +24,7 @@ def upsert(base: DataFrame, batch: DataFrame, key: str = "id", sequence: str | N
     """Replace by key. A batch that repeats keys needs ``sequence``: its highest value wins."""
     fresh = latest(batch, key, sequence) if sequence else batch
     fresh = fresh.select(*base.columns)
-    keys = broadcast_if_small(fresh.select(key))
+    keys = broadcast_if_small(fresh.select(key), measured=batch.select(key))
     return base.join(keys, key, "left_anti").select(*base.columns).unionByName(fresh)
 
 
@@ -44,24 +44,24 @@ def delete_count(df: DataFrame, filter: str | Column) -> DataFrame:
 
 
 def id_frame(df: DataFrame, ids: str | Sequence | DataFrame, key: str) -> DataFrame:
-    """Ids given as a JSON array, a list or a frame, as distinct keys."""
+    """Ids given as a JSON array, a list or a frame, as distinct keys; broadcast if they are few."""
     if isinstance(ids, DataFrame):
-        return ids.select(F.col(ids.columns[0]).cast(df.schema[key].dataType).alias(key)).distinct()
+        rows = ids.select(F.col(ids.columns[0]).cast(df.schema[key].dataType).alias(key))
+        return broadcast_if_small(rows.distinct(), measured=rows)
     values = json.loads(ids) if isinstance(ids, str) else list(ids)
     if not isinstance(values, list) or not values:
         raise ValueError("ids must be a non-empty JSON array")
     rows = df.sparkSession.createDataFrame([(str(v),) for v in values], "k string")
-    return rows.select(F.col("k").cast(df.schema[key].dataType).alias(key)).distinct()
+    # A parameter of this call, held by the driver already.
+    return F.broadcast(rows.select(F.col("k").cast(df.schema[key].dataType).alias(key)).distinct())
 
 
 def delete_ids(df: DataFrame, ids: str | Sequence | DataFrame, key: str = "id") -> DataFrame:
-    keys = broadcast_if_small(id_frame(df, ids, key))
-    return df.join(keys, key, "left_anti").select(*df.columns)
+    return df.join(id_frame(df, ids, key), key, "left_anti").select(*df.columns)
 
 
 def get(df: DataFrame, ids: str | Sequence | DataFrame, output_fields="*", key: str = "id") -> DataFrame:
-    keys = broadcast_if_small(id_frame(df, ids, key))
-    return df.join(keys, key, "left_semi").select(*_columns(df, output_fields, key))
+    return df.join(id_frame(df, ids, key), key, "left_semi").select(*_columns(df, output_fields, key))
 
 
 def _columns(df: DataFrame, output_fields, key: str) -> list[Column]:

@@ -47,9 +47,13 @@ def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return measure(df).bytes <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only where the measured size allows it."""
-    return F.broadcast(df) if fits(df, max_bytes) else df
+def broadcast_if_small(df: DataFrame, measured: DataFrame | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only where the measured size allows it.
+
+    ``measured`` is a frame that is at least as large and cheaper to count, such as
+    the input of a ``distinct``.
+    """
+    return F.broadcast(df) if fits(df if measured is None else measured, max_bytes) else df
 
 
 # A table of at least this many bytes per core is read in enough splits to use all cores.
@@ -76,14 +80,17 @@ def numbers(n: int) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: list[str], spread: str, salts: int = SALTS) -> DataFrame:
+def spread_join(
+    left: DataFrame, right: DataFrame, on: list[str], spread: str, small: bool | None = None, salts: int = SALTS
+) -> DataFrame:
     """Inner join that survives a key held by a large share of ``left``.
 
-    A measured-small right side is broadcast. Otherwise the rows of each key are
-    cut into slices by ``spread``, and the right side is repeated per slice.
+    A small right side is broadcast: ``small`` if the caller knows, otherwise it is
+    measured. Beyond the bound the rows of each key are cut into slices by
+    ``spread``, and the right side is repeated per slice.
     """
-    if fits(right):
+    if fits(right) if small is None else small:
         return left.join(F.broadcast(right), on)
     sliced = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    repeated = right.withColumn("_salt", numbers(salts))
+    repeated = right.select("*", numbers(salts).alias("_salt"))
     return sliced.join(repeated, [*on, "_salt"]).drop("_salt")
