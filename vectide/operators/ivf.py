@@ -173,7 +173,9 @@ def search(
     n, dim = nearest.query_size(asked)
     schema = nearest.hit_schema(rows, asked)
     probed = _with_cells(asked, "qv", centroids, metric, count)
-    if n * (dim * 8 + count * 8) <= broadcast_bytes:
+    if not n:
+        hits = rows.sparkSession.createDataFrame([], schema)
+    elif n * (dim * 8 + count * 8) <= broadcast_bytes:
         hits = _scan_cells(rows, probed, dim, schema, metric, limit)
     else:
         spread = probed.select("qid", "qv", F.explode_outer("cells").alias("cell"))
@@ -187,7 +189,7 @@ def search(
 def _scan_cells(rows: DataFrame, probed: DataFrame, dim: int, schema, metric: str, k: int) -> DataFrame:
     """Read the probed cells in place; each row meets only the queries that look into its cell."""
     table = probed.toArrow()
-    near = kernels.matrix(table["cells"], len(table["cells"][0]) if len(table) else 0).astype(np.int64)
+    near = kernels.matrix(table["cells"], len(table["cells"][0])).astype(np.int64)
     vectors = kernels.matrix(table["qv"], dim)
     shared = rows.sparkSession.sparkContext.broadcast((table["qid"].combine_chunks(), vectors, near))
     wanted = [int(c) for c in np.unique(near)]

@@ -102,6 +102,14 @@ def _one_cell(df: DataFrame) -> DataFrame:
     return df.withColumn("cell", F.lit(0))
 
 
+def _hits(rows, asked, n: int, dim: int, schema, run, broadcast_bytes: int, block_bytes: int) -> DataFrame:
+    if not n:
+        return rows.sparkSession.createDataFrame([], schema)
+    if n * dim * 8 <= broadcast_bytes:
+        return _scan(rows, asked, dim, schema, run)
+    return meet_blocks(_one_cell(rows), _one_cell(asked), dim, schema, run, block_bytes)
+
+
 def top_k_run(metric: str, k: int, dim: int, id_type: T.DataType):
     arrow_id = to_arrow_type(id_type)
 
@@ -147,10 +155,7 @@ def top_k(
     n, dim = query_size(asked)
     schema = hit_schema(rows, asked)
     run = top_k_run(metric, k, dim, schema["id"].dataType)
-    if n * dim * 8 <= broadcast_bytes:
-        hits = _scan(rows, asked, dim, schema, run)
-    else:
-        hits = meet_blocks(_one_cell(rows), _one_cell(asked), dim, schema, run, block_bytes)
+    hits = _hits(rows, asked, n, dim, schema, run, broadcast_bytes, block_bytes)
     return rank_hits(hits, metric, k).select(
         "qid", "rank", "id", "score", similarity(metric, F.col("score")).alias("similarity")
     )
@@ -191,10 +196,7 @@ def range_search(
                     prepared, ids, block, low, high, SCORE_DECIMALS, arrow_id
                 ).to_batches()
 
-    if n * dim * 8 <= broadcast_bytes:
-        hits = _scan(rows, asked, dim, schema, run)
-    else:
-        hits = meet_blocks(_one_cell(rows), _one_cell(asked), dim, schema, run, block_bytes)
+    hits = _hits(rows, asked, n, dim, schema, run, broadcast_bytes, block_bytes)
     return hits.select("qid", "id", "score", similarity(metric, F.col("score")).alias("similarity"))
 
 

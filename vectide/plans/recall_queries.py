@@ -55,7 +55,7 @@ def embed_documents(spark, sf):
     f"""with {encode_sql('e', "select doc_id as id, text from documents where lang = 'en'")}, {encode_sql('q', ASKED)},
 {dense_sql('hits', 'q', 'e', 5)},
 kept as (select *, count(*) over (partition by qid) as total_results from hits where similarity >= 0.5)
-select qid, rank, kept.id, round(similarity, 6) as score, round(similarity, 6) as similarity, total_results,
+select qid, rank, kept.id, similarity as score, similarity, total_results,
   b.text as query_text, 64::bigint as vector_dimension, d.source
 from kept join benchmark b on b.item_id = qid join documents d on d.doc_id = kept.id""",
 )
@@ -68,7 +68,7 @@ def text_search(spark, sf):
         min_similarity=0.5,
         output_fields="source",
     )
-    return hits.withColumns({c: F.round(c, 6) for c in ("score", "similarity")})
+    return hits
 
 
 @REGISTRY.add(
@@ -79,7 +79,7 @@ texts as (select qid, id, coalesce(score / nullif(max(score) over (partition by
 sides as (select coalesce(d.qid, t.qid) as qid, coalesce(d.id, t.id) as id, coalesce(similarity, 0) as vector_score,
     coalesce(text_score, 0) as text_score from dense d full join texts t on d.qid = t.qid and d.id = t.id),
 total as (select *, round(vector_score * 0.7::double + text_score * 0.3::double, 9) as score from sides)
-select qid, rank, id, round(vector_score, 6) as vector_score, round(text_score, 6) as text_score, round(score, 6) as score
+select qid, rank, id, vector_score, round(text_score, 6) as text_score, score
 from (select *, row_number() over (partition by qid order by score desc, id) as rank from total) where rank <= 10""",
 )
 def hybrid_search(spark, sf):
@@ -87,7 +87,7 @@ def hybrid_search(spark, sf):
     corpus = materialize(embedded_documents(spark, sf).select("id", "vector"))
     asked = embedding.embed(questions(spark, sf), "query_text", ENCODER, vector_col="qv")
     hits = recall.hybrid_search(corpus, index, asked)
-    return hits.withColumns({c: F.round(c, 6) for c in ("vector_score", "text_score", "score")})
+    return hits.withColumn("text_score", F.round("text_score", 6))
 
 
 STOPS = "[" + ", ".join(f"'{w}'" for w in query_text.STOP_WORDS) + "]"
@@ -214,10 +214,10 @@ def title_equals(spark, sf):
     return recall.title_equals(corpus, title_queries(corpus))
 
 
-@REGISTRY.add("multi_path_recall", f"with {PATHS} select qid, id, source, path, round(score, 6) as score from paths")
+@REGISTRY.add("multi_path_recall", f"with {PATHS} select qid, id, source, path, score from paths")
 def multi_path_recall(spark, sf):
     corpus = pages(spark, sf)
-    return recall.multi_path(corpus, title_queries(corpus)).withColumn("score", F.round("score", 6))
+    return recall.multi_path(corpus, title_queries(corpus))
 
 
 MERGED = f"""{PATHS},
@@ -226,11 +226,11 @@ fused as (select qid, rank, id, source, score as similarity from (
   select *, row_number() over (partition by qid order by score desc, id) as rank from merged) where rank <= 10)"""
 
 
-@REGISTRY.add("merge_paths", f"with {MERGED} select qid, rank, id, source, round(similarity, 6) as similarity from fused")
+@REGISTRY.add("merge_paths", f"with {MERGED} select qid, rank, id, source, similarity from fused")
 def merge_paths(spark, sf):
     corpus = pages(spark, sf)
     fused = recall.merge_paths(recall.multi_path(corpus, title_queries(corpus)))
-    return fused.withColumn("similarity", F.round("similarity", 6))
+    return fused
 
 
 @REGISTRY.add(
@@ -243,13 +243,13 @@ variants as (select *, md5(variant_text) as key from raw),
 {encode_sql('q', 'select distinct key as id, variant_text as text from variants')}, {dense_sql('hits', 'q', 'e', 30)},
 merged as (select v.qid, h.id, max(round(weight * similarity, 9)) as score
   from variants v join hits h on h.qid = v.key and h.rank <= v.size group by v.qid, h.id)
-select qid, rank, id, round(score, 6) as similarity from (
+select qid, rank, id, score as similarity from (
   select *, row_number() over (partition by qid order by score desc nulls last, id) as rank from merged) where rank <= 10""",
 )
 def expansion_recall(spark, sf):
     corpus = pages(spark, sf)
     found = recall.expansion_recall(corpus, title_queries(corpus), ENCODER, SYNONYMS, RULES)
-    return found.withColumn("similarity", F.round("similarity", 6))
+    return found
 
 
 KINDS = "case qid % 5 when 0 then 'simple' when 1 then 'general' when 2 then 'complex' when 3 then 'comprehensive' else 'other' end"
@@ -278,26 +278,26 @@ kept as (select * from places where case query_type
   when 'complex' then rank <= 7 and similarity >= 0.4
   when 'comprehensive' then lead = 1 and place <= 4 else rank <= 3 end)
 select qid, query_type, row_number() over (partition by qid order by similarity desc nulls last, rank) as rank, id, path,
-  round(similarity, 6) as similarity from kept""",
+  similarity from kept""",
 )
 def adaptive_selection(spark, sf):
     asked, hits = page_hits(spark, sf)
     chosen = selection.adaptive(hits, asked.select("qid", F.expr(KINDS).alias("query_type")))
-    return chosen.select("qid", "query_type", "rank", "id", "path", F.round("similarity", 6).alias("similarity"))
+    return chosen.select("qid", "query_type", "rank", "id", "path", "similarity")
 
 
 @REGISTRY.add(
     "best_per_document",
     f"""with {HITS},
 lead as (select * from (select *, row_number() over (partition by qid, path order by similarity desc, rank) as n from hits) where n = 1)
-select qid, new_rank as rank, id, path, round(similarity, 6) as similarity from (
+select qid, new_rank as rank, id, path, similarity from (
   select * exclude rank, row_number() over (partition by qid order by similarity desc nulls last, rank) as new_rank from lead)
 where new_rank <= 4""",
 )
 def best_per_document(spark, sf):
     _, hits = page_hits(spark, sf)
     best = selection.best_per_document(hits.select("qid", "rank", "id", "path", "similarity"))
-    return best.withColumn("similarity", F.round("similarity", 6))
+    return best
 
 
 @REGISTRY.add(
@@ -305,12 +305,12 @@ def best_per_document(spark, sf):
     f"""with {HITS}, words as (select id as qid, {keywords_sql('title')} as k from words_t),
 raised as (select h.*, round(similarity + case when len(list_filter(k, lambda w: contains(lower(title), w))) > 0 then 0.1::double
   else 0 end, 9) as boosted from hits h join words using (qid))
-select qid, new_rank as rank, id, title, round(similarity, 6) as similarity, round(boosted, 6) as boosted from (
+select qid, new_rank as rank, id, title, similarity, boosted from (
   select *, row_number() over (partition by qid order by boosted desc nulls last, id) as new_rank from raised) where new_rank <= 3""",
 )
 def title_boost(spark, sf):
     asked, hits = page_hits(spark, sf)
     top = selection.boost_titles(hits, asked)
     return top.select(
-        "qid", "rank", "id", "title", F.round("similarity", 6).alias("similarity"), F.round("boosted", 6).alias("boosted")
+        "qid", "rank", "id", "title", "similarity", "boosted"
     )

@@ -98,7 +98,7 @@ def bm25_filtered_tuned(spark, sf):
         output_fields="lang, source",
     )
     return hits.select(
-        "qid", "rank", "id", F.round("score", 6).alias("score"), F.round("similarity", 6).alias("similarity"), "lang", "source"
+        "qid", "rank", "id", "score", "similarity", "lang", "source"
     )
 
 

@@ -31,11 +31,11 @@ pairs_{name} as (
 
 def out(hits):
     return hits.select(
-        "qid", "rank", "id", F.round("score", 6).alias("score"), F.round("similarity", 6).alias("similarity")
+        "qid", "rank", "id", "score", "similarity"
     )
 
 
-OUT = "select qid, rank, id, round(score, 6) as score, round(similarity, 6) as similarity from ranked"
+OUT = "select qid, rank, id, score, similarity from ranked"
 
 
 def vectors(spark, sf):
@@ -73,8 +73,8 @@ def knn_filtered(spark, sf):
         "qid",
         "rank",
         "id",
-        F.round("score", 6).alias("score"),
-        F.round("similarity", 6).alias("similarity"),
+        "score",
+        "similarity",
         "label",
     )
 
@@ -92,7 +92,7 @@ def range_sql(metric: str, low: float, high: float) -> str:
     alike = "1 / (1 + score)" if metric == "L2" else "score"
     return f"""with {VECTORS},
 pairs as (select q.vec_id as qid, c.vec_id as id, {SCORES[metric]} as score from vecs q, vecs c)
-select qid, id, round(score, 6) as score, round({alike}, 6) as similarity from pairs
+select qid, id, score, {alike} as similarity from pairs
 where {alike} >= {low} and {alike} <= {high}"""
 
 
@@ -100,14 +100,14 @@ where {alike} >= {low} and {alike} <= {high}"""
 def range_cosine(spark, sf):
     corpus = vectors(spark, sf)
     hits = nearest.range_search(corpus, as_queries(corpus), 0.35, 0.9)
-    return hits.select("qid", "id", F.round("score", 6).alias("score"), F.round("similarity", 6).alias("similarity"))
+    return hits.select("qid", "id", "score", "similarity")
 
 
 @REGISTRY.add("range_l2", range_sql("L2", 0.47, 0.99))
 def range_l2(spark, sf):
     corpus = vectors(spark, sf)
     hits = nearest.range_search(corpus, as_queries(corpus), 0.47, 0.99, "L2")
-    return hits.select("qid", "id", F.round("score", 6).alias("score"), F.round("similarity", 6).alias("similarity"))
+    return hits.select("qid", "id", "score", "similarity")
 
 
 @REGISTRY.add(
@@ -176,4 +176,4 @@ _preset("top_k", 5, None)
 def preset_threshold(spark, sf):
     corpus = vectors(spark, sf)
     hits = selection.preset_search(corpus, as_queries(corpus), "threshold")
-    return hits.select("qid", "id", F.round("score", 6).alias("score"), F.round("similarity", 6).alias("similarity"))
+    return hits.select("qid", "id", "score", "similarity")
