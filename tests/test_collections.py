@@ -1,5 +1,5 @@
-import uuid
 import json
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +162,27 @@ def test_get_and_query(table):
 def test_inventory(spark, table, vectors):
     rows = coll.inventory({"b": table, "a": vectors([(1, [1.0, 2.0])])}).collect()
     assert sorted(tuple(r) for r in rows) == [("a", 1, 2, 2), ("b", 4, 3, None)]
+
+
+def test_insert_numbers_rows_behind_the_last_key(spark):
+    spec = coll.CollectionSpec("c", 2, fields=(("name", T.StringType()),))
+    path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
+    schema = "name string, vector array<float>"
+    batch = spark.createDataFrame([("b", [1.0, 2.0]), ("a", [1.0, 2.0])], schema)
+    count, keys = coll.insert(batch, spec, path, order_by=["name"])
+    assert count == 2 and ids(keys) == [1, 2]
+    count, keys = coll.insert(spark.createDataFrame([("c", [3.0, 4.0]), ("bad", [1.0])], schema), spec, path, order_by=["name"])
+    assert count == 1 and ids(keys) == [4]
+    assert sorted((r.id, r.name) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "b"), (4, "c")]
+    with pytest.raises(ValueError):
+        coll.insert(batch.where("false"), spec, path, order_by=["name"])
+    with pytest.raises(ValueError):
+        coll.insert(batch, spec, path)
+
+
+def test_insert_into_a_partition(spark):
+    spec = coll.CollectionSpec("c", 1, auto_id=False)
+    path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
+    for name, key in (("old", 1), ("new", 2)):
+        coll.insert(spark.createDataFrame([(key, [1.0])], "id long, vector array<float>"), spec, path, name)
+    assert ids(coll.in_partitions(spark.read.parquet(path), "new")) == [2]

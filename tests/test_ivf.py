@@ -1,4 +1,5 @@
 import uuid
+
 import numpy as np
 import pytest
 
@@ -42,7 +43,7 @@ def test_recall_grows_with_the_level_and_the_stored_index_answers_alike(spark, s
     corpus, queries = sides
     index = ivf.build(corpus, 8)
     path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
-    ivf.store(index, path, rows_per_file=50)
+    ivf.store(index, path)
     stored = ivf.load(spark, path)
     assert stored.rows.count() == 600 and stored.metric == "COSINE"
     truth = nearest.search(corpus, queries).selectExpr("qid", "id as relevant_id")

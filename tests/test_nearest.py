@@ -154,6 +154,28 @@ def test_normalize(vectors):
     assert unit[1] == pytest.approx([0.6, 0.8]) and unit[2] == [0.0, 0.0]
 
 
+def test_merge_in_slices_gives_the_same_hits(vectors, asked, data, monkeypatch):
+    corpus, queries = data
+    plain = nearest.top_k(vectors(corpus), asked(queries), 12)
+    monkeypatch.setattr(nearest, "_slices", lambda rows, k: 5)
+    sliced = nearest.top_k(vectors(corpus), asked(queries), 12)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, sliced.collect()))
+    monkeypatch.undo()
+    monkeypatch.setattr(nearest, "SCAN_BYTES", 1)
+    monkeypatch.setattr(nearest, "MERGE_ROWS", 1)
+    assert nearest._slices(vectors(corpus), 12) > 1
+
+
+def test_fields_of_very_many_hits(spark, vectors, asked, data, monkeypatch):
+    corpus, queries = data
+    rows = vectors(corpus).withColumn("name", F.concat(F.lit("n"), "id"))
+    few = nearest.search(rows, asked(queries), output_fields="name")
+    monkeypatch.setattr(nearest, "BROADCAST_BYTES", 0)
+    many = nearest.search(rows, asked(queries), output_fields="name")
+    assert few.columns == many.columns and sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+    assert all(r.name == f"n{r.id}" for r in many.collect())
+
+
 def test_refusals(vectors, asked):
     with pytest.raises(ValueError):
         nearest.top_k(vectors([]), asked([]), 0)

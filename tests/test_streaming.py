@@ -1,4 +1,5 @@
 import uuid
+
 import pytest
 from pyspark.sql import types as T
 

@@ -1,11 +1,12 @@
-import uuid
 import math
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from vectide.functions import text as W
 from vectide.operators import bm25
+from vectide.session import work_dir
 
 DOCS = [(1, "red fox red", "x"), (2, "Blue fox!", "y"), (3, "one two three four", "x"), (4, "", "x")]
 
@@ -45,10 +46,11 @@ def ask(spark, *texts):
 
 
 def test_term_counts(index):
-    rows = {r.id: r for r in index.collect()}
+    rows = {r.id: r for r in index.rows.collect()}
     assert [(t.term, t.tf) for t in rows[1].terms] == [("fox", 1), ("red", 2)]
     assert rows[1].dl == 3 and rows[4].dl == 0 and rows[4].terms == []
-    stats = bm25.statistics(index).first()
+    stats = index.totals.first()
+    assert {r.term: r.df for r in index.terms.collect()}["fox"] == 2
     assert (stats.n_docs, stats.avg_dl, stats.n_postings) == (4, 9 / 4, 8)
 
 
@@ -56,7 +58,7 @@ def test_term_counts(index):
 @pytest.mark.parametrize("query", ["fox", "red fox", "red red two", "absent"])
 @pytest.mark.parametrize("bytes", [64 * 1024 * 1024, 0])
 def test_scores(spark, index, query, k1, b, bytes):
-    got = bm25.bm25_scores(index, ask(spark, query), k1, b, broadcast_bytes=bytes).collect()
+    got = bm25.bm25_search(index, ask(spark, query), 10, k1, b, broadcast_bytes=bytes).collect()
     want = expected(query, k1, b)
     assert {r.id: r.score for r in got} == pytest.approx(want, abs=2e-9)
 
@@ -73,16 +75,17 @@ def test_limit_ties_and_cut(spark, index):
     assert bm25.bm25_search(index, ask(spark, "fox"), min_similarity=99).count() == 0
 
 
-def test_stored_index_is_scanned_without_a_shuffle_of_postings(spark, index):
-    from vectide.session import work_dir
-
-    bm25.store_index(index, "fox_index", 4, path=f"{work_dir(spark)}/{uuid.uuid4().hex}")
-    stored = bm25.load_index(spark, "fox_index")
-    hits = bm25.bm25_search(stored, ask(spark, "red fox"), clustered=True)
+def test_stored_index_is_scanned_without_a_shuffle_of_postings(spark, docs):
+    name = f"fox_{uuid.uuid4().hex}"
+    bm25.store_index(docs, name, 4, path=work_dir(spark))
+    stored = bm25.load_index(spark, name)
+    hits = bm25.bm25_search(stored, ask(spark, "red fox"))
     assert [r.id for r in hits.orderBy("rank").collect()] == [1, 2]
     plan = hits._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(id" not in plan and "REPARTITION" not in plan
-    spark.sql("drop table fox_index")
+    assert "hashpartitioning(id" not in plan and "hashpartitioning(qid#" in plan
+    assert not [line for line in plan.split("\n") if "Exchange hashpartitioning(qid" in line and ", id#" in line]
+    for part in ("rows", "terms", "totals"):
+        spark.sql(f"drop table {name}_{part}")
 
 
 def test_keyword_match(docs):

@@ -1,12 +1,15 @@
 """Keyword search: sparse term vectors and BM25 over a table of query texts.
 
-The index keeps one row per text, ``(id, dl, terms)``. Stored in buckets by id
-(`store_index`), a search scans it without moving it: the scores of a text are
-summed where the text lies, and only the best k per query and task are shuffled.
+The index keeps one row per text, ``(id, dl, terms)``, and the text count of each
+term. Stored in buckets by id (`store_index`), a search scans the rows once without
+moving them: the scores of a text are summed where the text lies, and only the best
+k per query and task are shuffled.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,47 +17,85 @@ from vectide.functions.predicates import predicate
 from vectide.functions.text import term_counts, tokens
 from vectide.functions.vectors import SCORE_DECIMALS
 from vectide.operators.nearest import attach_fields, cut_similarity, rank_hits
-from vectide.sizing import BROADCAST_BYTES, SALTS, deal_out, fits, numbers
+from vectide.session import materialize
+from vectide.sizing import BROADCAST_BYTES, SALTS, Size, deal_out, measure, numbers
 
 # BM25 parameters and the number of hits.
 K1, B, LIMIT = 1.2, 0.75, 10
 
 
-def build_index(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    return term_counts(deal_out(docs.select(id_col, text_col)), id_col, text_col)
-
-
-def store_index(index: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
-    """Write the index as a table bucketed by id."""
-    writer = index.write.mode("overwrite").bucketBy(buckets, "id").sortBy("id").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
+@dataclass(frozen=True)
+class TextIndex:
+    """``rows(id, dl, terms)``, ``terms(term, df)`` and one row of totals.
 
+    ``clustered`` says that the rows are bucketed by id.
+    """
 
-def load_index(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(table)
+    rows: DataFrame
+    terms: DataFrame
+    totals: DataFrame
+    clustered: bool = False
 
 
-def postings(index: DataFrame) -> DataFrame:
+def postings(rows: DataFrame) -> DataFrame:
     """One row per text and term: ``(id, dl, term, tf)``.
 
     The outer form keeps the optimizer from adding a filter on the array, which
     would count every text again below the explode.
     """
-    held = index.select("id", "dl", F.explode_outer("terms").alias("p")).where("p is not null")
+    held = rows.select("id", "dl", F.explode_outer("terms").alias("p")).where("p is not null")
     return held.select("id", "dl", "p.term", "p.tf")
 
 
-def statistics(index: DataFrame) -> DataFrame:
+def index_rows(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """The sparse vector of each text, counted inside the text's own row."""
+    return term_counts(deal_out(docs.select(id_col, text_col)), id_col, text_col)
+
+
+def statistics(rows: DataFrame) -> DataFrame:
     """Number of texts, mean length and the number of terms held."""
-    return index.agg(
+    return rows.agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.avg("dl").alias("avg_dl"),
         F.sum(F.size("terms")).cast("long").alias("n_postings"),
     )
 
 
+def _index(rows: DataFrame, clustered: bool = False) -> TextIndex:
+    terms = postings(rows).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    return TextIndex(rows, terms, statistics(rows), clustered)
+
+
+def build_index(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> TextIndex:
+    """Count all texts once; the counted rows are written to the shared folder."""
+    return _index(materialize(index_rows(docs, id_col, text_col)))
+
+
+def store_index(
+    docs: DataFrame, table: str, buckets: int, id_col: str = "id", text_col: str = "text", path: str | None = None
+) -> None:
+    """Write the index as tables: rows bucketed by id, document counts bucketed by term, totals."""
+
+    def write(df: DataFrame, name: str, key: str | None) -> None:
+        writer = df.write.mode("overwrite").format("parquet")
+        writer = writer.bucketBy(buckets, key).sortBy(key) if key else writer
+        writer = writer.option("path", f"{path}/{name}") if path else writer
+        writer.saveAsTable(name)
+
+    spark = docs.sparkSession
+    # All texts of a bucket in one task, so each bucket is one file.
+    write(index_rows(docs, id_col, text_col).repartition(buckets, "id"), f"{table}_rows", "id")
+    index = _index(spark.table(f"{table}_rows"))
+    write(index.terms.repartition(buckets, "term"), f"{table}_terms", "term")
+    write(index.totals, f"{table}_totals", None)
+
+
+def load_index(spark: SparkSession, table: str) -> TextIndex:
+    return TextIndex(
+        spark.table(f"{table}_rows"), spark.table(f"{table}_terms"), spark.table(f"{table}_totals"), clustered=True
+    )
+
+
 def query_terms(queries: DataFrame, qid_col: str = "qid", text_col: str = "query_text") -> DataFrame:
     """``(qid, term, qtf)``; a word asked twice counts twice."""
     words = queries.select(F.col(qid_col).alias("qid"), F.explode_outer(tokens(F.col(text_col))).alias("term"))
@@ -70,56 +111,51 @@ def saturation(tf: Column, dl: Column, avg_dl: Column, k1: float, b: float) -> C
 
 
 def bm25_scores(
-    index: DataFrame,
-    queries: DataFrame,
+    index: TextIndex,
+    asked: DataFrame,
+    size: Size,
     k1: float = K1,
     b: float = B,
     candidates: DataFrame | None = None,
-    qid_col: str = "qid",
-    text_col: str = "query_text",
-    clustered: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Score of every text that shares a word with a query: ``(qid, id, score)``.
 
-    ``candidates`` (ids) restricts the texts, never the statistics. ``clustered``
-    says that the index is bucketed by id.
+    ``asked`` and ``size`` are the query words and their measured size.
+    ``candidates(id)`` restricts the texts, never the statistics.
     """
-    asked = query_terms(queries, qid_col, text_col)
+    small = size.bytes <= broadcast_bytes
     vocabulary = asked.select("term").distinct()
-    small = fits(asked, broadcast_bytes)
-    hint = F.broadcast if small else (lambda d: d)
-
-    held = postings(index)
-    n_texts = statistics(index).select("n_docs").scalar()
-    mean = statistics(index).select("avg_dl").scalar()
-    counts = (
-        held.join(hint(vocabulary), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    )
-    weights = asked.join(counts, "term").select(
-        "qid", "term", (F.col("qtf") * idf(n_texts.cast("double"), F.col("df").cast("double"))).alias("w")
+    known = index.terms.join(F.broadcast(vocabulary) if small else vocabulary, "term", "left_semi")
+    n_docs = index.totals.select("n_docs").scalar().cast("double")
+    weights = asked.join(known, "term").select(
+        "qid", "term", (F.col("qtf") * idf(n_docs, F.col("df").cast("double"))).alias("w")
     )
+    held = postings(index.rows)
+    if small:
+        # Keep only the postings of asked words, gather those of a text in one
+        # place, and only then multiply them by the queries.
+        held = held.join(F.broadcast(vocabulary), "term", "left_semi")
+        held = held if index.clustered else held.repartition("id")
     if candidates is not None:
-        keys = candidates.select(F.col(candidates.columns[0]).alias("id")).distinct()
-        held = held.join(keys, "id", "left_semi")
+        # The postings are arranged by id already: only the ids move.
+        held = held.join(candidates.distinct(), "id", "left_semi")
     if small:
-        # The query words are few: keep only their postings, gather a text's
-        # postings in one place, and only then multiply by the queries.
-        wanted = held.join(F.broadcast(vocabulary), "term", "left_semi")
-        wanted = wanted if clustered else wanted.repartition("id")
-        matched = wanted.join(F.broadcast(weights), "term")
+        matched = held.join(F.broadcast(weights), "term")
     else:
         # A word held by a third of all texts is cut into slices.
         salt = F.pmod(F.xxhash64("id"), F.lit(SALTS))
-        spread = weights.select("*", numbers(SALTS).alias("_salt"))
-        matched = held.withColumn("_salt", salt).join(spread, ["term", "_salt"])
+        matched = held.withColumn("_salt", salt).join(
+            weights.select("*", numbers(SALTS).alias("_salt")), ["term", "_salt"]
+        )
     tf, dl = F.col("tf").cast("double"), F.col("dl").cast("double")
+    mean = index.totals.select("avg_dl").scalar()
     part = F.col("w") * saturation(tf, dl, mean, float(k1), float(b))
     return matched.groupBy("qid", "id").agg(F.round(F.sum(part), SCORE_DECIMALS).alias("score"))
 
 
 def bm25_search(
-    index: DataFrame,
+    index: TextIndex,
     queries: DataFrame,
     limit: int = LIMIT,
     k1: float = K1,
@@ -131,23 +167,30 @@ def bm25_search(
     id_col: str = "id",
     qid_col: str = "qid",
     text_col: str = "query_text",
-    clustered: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Best texts per query as ``(qid, rank, id, score, similarity)``.
 
     ``filter`` and ``output_fields`` refer to ``corpus``, the table the index was built from.
     """
+    if limit < 1:
+        raise ValueError("limit must be at least 1")
+    if corpus is None and (filter is not None or output_fields):
+        raise ValueError("a filter and output fields need the corpus they refer to")
     candidates = None
     if filter is not None:
-        if corpus is None:
-            raise ValueError("a filter needs the corpus it applies to")
-        candidates = corpus.where(predicate(filter)).select(id_col)
-    scores = bm25_scores(index, queries, k1, b, candidates, qid_col, text_col, clustered)
+        candidates = corpus.where(predicate(filter)).select(F.col(id_col).alias("id"))
+    asked = query_terms(queries, qid_col, text_col)
+    size = measure(asked)
+    scores = bm25_scores(index, asked, size, k1, b, candidates, broadcast_bytes)
     hits = rank_hits(scores, "IP", limit).select(
         "qid", "rank", "id", "score", F.col("score").alias("similarity")
     )
     hits = cut_similarity(hits, min_similarity)
-    return attach_fields(hits, corpus, output_fields, id_col) if corpus is not None else hits
+    if corpus is None:
+        return hits
+    # At least one row of query words per query.
+    return attach_fields(hits, corpus, output_fields, id_col, size.rows * limit)
 
 
 def keyword_match(
@@ -162,6 +205,6 @@ def keyword_match(
         raise ValueError("at least one word is required")
     text = F.lower(F.col(text_col))
     found = F.array_compact(F.array(*[F.when(F.contains(text, F.lit(w)), F.lit(w)) for w in dict.fromkeys(wanted)]))
-    hits = docs.select(F.col(id_col).alias("id"), F.explode(found).alias("qid"))
+    hits = docs.select(F.col(id_col).alias("id"), F.explode_outer(found).alias("qid")).where("qid is not null")
     hits = hits.withColumn("score", F.lit(0.0))
     return rank_hits(hits, "IP", limit).select(F.col("qid").alias("term"), "rank", "id")

@@ -131,15 +131,13 @@ def build(
     return CellIndex(placed.select("id", "vector", F.get("cells", F.lit(0)).alias("cell")), centroids, metric)
 
 
-def store(index: CellIndex, path: str, rows_per_file: int = 1_000_000) -> None:
-    """Write the rows partitioned by cell; a crowded cell is written by several tasks."""
-    counts = index.rows.groupBy("cell").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(rows_per_file)).cast("long").alias("_files")
-    )
-    # One row per cell, as many as there are centroids.
-    sized = index.rows.join(F.broadcast(counts), "cell")
-    spread = sized.withColumn("_file", F.pmod(F.xxhash64("id"), F.col("_files")))
-    spread.repartition("cell", "_file").drop("_file", "_files").write.partitionBy("cell").parquet(f"{path}/rows")
+def store(index: CellIndex, path: str) -> None:
+    """Write the rows partitioned by cell.
+
+    The rebalance lets the adaptive planner split a crowded cell over several tasks
+    and put small cells together, in one pass over the rows.
+    """
+    index.rows.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{path}/rows")
     centers = [(i, c.tolist()) for i, c in enumerate(index.centroids)]
     spark = index.rows.sparkSession
     table = spark.createDataFrame(centers, "cell int, center array<double>")

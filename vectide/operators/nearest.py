@@ -21,7 +21,11 @@ from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from vectide.functions import kernels
 from vectide.functions.predicates import fields_list, predicate
 from vectide.functions.vectors import SCORE_DECIMALS, best_first, check_metric, similarity
-from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES
+from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES, HIT_BYTES, estimated_bytes, spread_join
+
+# Bytes that one task scans, and the number of rows that one task may merge for a query.
+SCAN_BYTES = 128 * 1024 * 1024
+MERGE_ROWS = 1_000_000
 
 
 def sides(corpus: DataFrame, queries: DataFrame, id_col, vector_col, qid_col, query_col):
@@ -125,16 +129,42 @@ def top_k_run(metric: str, k: int, dim: int, id_type: T.DataType):
     return run
 
 
-def rank_hits(hits: DataFrame, metric: str, k: int) -> DataFrame:
-    """The best k of each query, ties to the lower id."""
-    order = Window.partitionBy("qid").orderBy(best_first(metric, F.col("score")), F.col("id").asc())
+def rank_hits(hits: DataFrame, metric: str, k: int, slices: int = 1) -> DataFrame:
+    """The best k of each query, ties to the lower id.
+
+    ``slices`` above 1 takes the best of each slice of a query's hits first, for
+    searches in which very many tasks hand in a list for the same query.
+    """
+    best = [best_first(metric, F.col("score")), F.col("id").asc()]
+    if slices > 1:
+        cut = hits.withColumn("_slice", F.pmod(F.xxhash64("id"), F.lit(slices)))
+        place = F.row_number().over(Window.partitionBy("qid", "_slice").orderBy(*best))
+        hits = cut.withColumn("_n", place).where(F.col("_n") <= k).drop("_n", "_slice")
     return (
-        hits.withColumn("rank", F.row_number().over(order))
+        hits.withColumn("rank", F.row_number().over(Window.partitionBy("qid").orderBy(*best)))
         .where(F.col("rank") <= k)
         .withColumn("rank", F.col("rank").cast("long"))
     )
 
 
+def _slices(rows: DataFrame, k: int) -> int:
+    """Slices for the merge, from the number of tasks that a scan of the rows takes."""
+    tasks = estimated_bytes(rows) // SCAN_BYTES
+    return 1 if tasks * k < MERGE_ROWS else math.ceil(math.sqrt(tasks))
+
+
+def _top_k(rows, asked, k: int, metric: str, broadcast_bytes: int, block_bytes: int) -> tuple[DataFrame, int]:
+    """Ranked hits and the number of queries."""
+    if k < 1:
+        raise ValueError("k must be at least 1")
+    n, dim = query_size(asked)
+    schema = hit_schema(rows, asked)
+    run = top_k_run(metric, k, dim, schema["id"].dataType)
+    hits = _hits(rows, asked, n, dim, schema, run, broadcast_bytes, block_bytes)
+    ranked = rank_hits(hits, metric, k, _slices(rows, k))
+    return ranked.select("qid", "rank", "id", "score", similarity(metric, F.col("score")).alias("similarity")), n
+
+
 def top_k(
     corpus: DataFrame,
     queries: DataFrame,
@@ -148,17 +178,8 @@ def top_k(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Exact best k rows per query as ``(qid, rank, id, score, similarity)``."""
-    metric = check_metric(metric)
-    if k < 1:
-        raise ValueError("k must be at least 1")
     rows, asked = sides(corpus, queries, id_col, vector_col, qid_col, query_col)
-    n, dim = query_size(asked)
-    schema = hit_schema(rows, asked)
-    run = top_k_run(metric, k, dim, schema["id"].dataType)
-    hits = _hits(rows, asked, n, dim, schema, run, broadcast_bytes, block_bytes)
-    return rank_hits(hits, metric, k).select(
-        "qid", "rank", "id", "score", similarity(metric, F.col("score")).alias("similarity")
-    )
+    return _top_k(rows, asked, k, check_metric(metric), broadcast_bytes, block_bytes)[0]
 
 
 def range_search(
@@ -206,14 +227,29 @@ def cut_similarity(hits: DataFrame, min_similarity: float | None) -> DataFrame:
 
 
 def attach_fields(
-    hits: DataFrame, corpus: DataFrame, fields: Sequence[str] | str | None, id_col: str = "id"
+    hits: DataFrame,
+    corpus: DataFrame,
+    fields: Sequence[str] | str | None,
+    id_col: str = "id",
+    max_hits: int | None = None,
 ) -> DataFrame:
-    """Join entity fields to hits; vectors and payload stay out of the search itself."""
+    """Join entity fields to hits; vectors and payload stay out of the search itself.
+
+    With a known, small number of hits they are broadcast and the collection is
+    scanned in place. Otherwise the fields of the rows that were hit are fetched
+    once each, and a row that most queries hit is spread over many tasks.
+    """
     names = fields_list(fields, [c for c in corpus.columns if c != id_col])
     if not names:
         return hits
-    entity = corpus.select(F.col(id_col).alias("id"), *[F.col(f"`{n}`") for n in names if n != id_col])
-    return hits.join(entity, "id", "left")
+    entity = corpus.select(F.col(id_col).alias("id"), *[F.col(n) for n in names])
+    payload = entity.columns[1:]
+    if max_hits is not None and max_hits * HIT_BYTES <= BROADCAST_BYTES:
+        joined = entity.join(F.broadcast(hits), "id")
+    else:
+        fetched = entity.join(hits.select("id").distinct(), "id", "left_semi")
+        joined = spread_join(hits, fetched, ["id"], "qid", small=False)
+    return joined.select(*hits.columns, *payload)
 
 
 def search(
@@ -231,7 +267,8 @@ def search(
     anns_field: str = "vector",
     qid_col: str = "qid",
     query_col: str = "qv",
-    **bounds: int,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """Vector search: filter, then best k (within a range if one is given), then the similarity cut."""
     from vectide.sources.collections import in_partitions
@@ -239,10 +276,14 @@ def search(
     rows = in_partitions(corpus, partition_names)
     if filter:
         rows = rows.where(predicate(filter))
-    names = dict(id_col=id_col, vector_col=anns_field, qid_col=qid_col, query_col=query_col, **bounds)
+    searched, asked = sides(rows, queries, id_col, anns_field, qid_col, query_col)
+    metric = check_metric(metric)
     if radius is None and range_filter is None:
-        hits = top_k(rows, queries, limit, metric, **names)
+        hits, n = _top_k(searched, asked, limit, metric, broadcast_bytes, block_bytes)
     else:
-        found = range_search(rows, queries, radius, range_filter, metric, **names)
-        hits = rank_hits(found, check_metric(metric), limit).select("qid", "rank", "id", "score", "similarity")
-    return attach_fields(cut_similarity(hits, min_similarity), rows, output_fields, id_col)
+        bounds = dict(broadcast_bytes=broadcast_bytes, block_bytes=block_bytes)
+        found = range_search(searched, asked, radius, range_filter, metric, **bounds)
+        hits = rank_hits(found, metric, limit, _slices(searched, limit))
+        hits, n = hits.select("qid", "rank", "id", "score", "similarity"), None
+    kept = cut_similarity(hits, min_similarity)
+    return attach_fields(kept, rows, output_fields, id_col, None if n is None else n * limit)

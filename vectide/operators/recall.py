@@ -159,8 +159,10 @@ def expansion_recall(
     asked = materialize(embed(texts, "qid", encoder, vector_col="qv"))
     most = max(size for _, size in (ORIGINAL, EXPANDED, REWRITTEN))
     hits = top_k(corpus, asked, most, metric, vector_col=vector_col).withColumnRenamed("qid", "variant_text")
+    # A text that a third of all queries share is searched once and handed out in slices.
+    few = measure(asked.select("qid")).bytes * most <= BROADCAST_BYTES
     weighted = (
-        spread_join(hits, variants, ["variant_text"], "id")
+        spread_join(variants, hits, ["variant_text"], "qid", small=few)
         .where(F.col("rank") <= F.col("size"))
         .groupBy("qid", "id")
         .agg(F.max(F.round(F.col("weight") * F.col("similarity"), 9)).alias("score"))

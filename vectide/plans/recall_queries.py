@@ -83,7 +83,7 @@ select qid, rank, id, vector_score, round(text_score, 6) as text_score, score
 from (select *, row_number() over (partition by qid order by score desc, id) as rank from total) where rank <= 10""",
 )
 def hybrid_search(spark, sf):
-    index = materialize(build_index(documents(spark, sf)))
+    index = build_index(documents(spark, sf))
     corpus = materialize(embedded_documents(spark, sf).select("id", "vector"))
     asked = embedding.embed(questions(spark, sf), "query_text", ENCODER, vector_col="qv")
     hits = recall.hybrid_search(corpus, index, asked)

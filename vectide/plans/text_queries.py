@@ -1,12 +1,14 @@
 """Keyword search: all benchmark passages, whole, as queries over all documents."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from vectide.functions import text as words
 from vectide.operators import bm25
 from vectide.plans.registry import REGISTRY, table
 from vectide.plans.vector_queries import OUT, out
-from vectide.session import materialize
+from vectide.session import work_dir
 from vectide.sizing import deal_out
 
 TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
@@ -45,7 +47,7 @@ def questions(spark, sf):
 
 
 def index(spark, sf):
-    return materialize(bm25.build_index(documents(spark, sf)))
+    return bm25.build_index(documents(spark, sf))
 
 
 @REGISTRY.add(
@@ -64,7 +66,7 @@ def analyzer_terms(spark, sf):
     f"with {POSTINGS} select id, dl, term, tf from postings join lens using (id)",
 )
 def bm25_postings(spark, sf):
-    return bm25.postings(bm25.build_index(documents(spark, sf)))
+    return bm25.postings(bm25.index_rows(documents(spark, sf)))
 
 
 @REGISTRY.add(
@@ -73,7 +75,7 @@ def bm25_postings(spark, sf):
     " (select count(*) from postings) as n_postings",
 )
 def bm25_statistics(spark, sf):
-    return bm25.statistics(bm25.build_index(documents(spark, sf))).withColumn("avg_dl", F.round("avg_dl", 6))
+    return bm25.statistics(bm25.index_rows(documents(spark, sf))).withColumn("avg_dl", F.round("avg_dl", 6))
 
 
 @REGISTRY.add("bm25_search", f"with {bm25_sql()}, {rank_sql('scores', 10)} {OUT}")
@@ -114,3 +116,11 @@ where rank <= 10""",
 )
 def keyword_fallback(spark, sf):
     return bm25.keyword_match(documents(spark, sf), MATCH_WORDS)
+
+
+@REGISTRY.add("bm25_stored_index", f"with {bm25_sql()}, {rank_sql('scores', 10)} {OUT}")
+def bm25_stored_index(spark, sf):
+    """Search an index written as tables bucketed by id and by term."""
+    name = f"texts_{uuid.uuid4().hex}"
+    bm25.store_index(documents(spark, sf), name, buckets=8, path=work_dir(spark))
+    return out(bm25.bm25_search(bm25.load_index(spark, name), questions(spark, sf)))

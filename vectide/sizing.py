@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 32
+HIT_BYTES = 96
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,11 @@ def measure(df: DataFrame) -> Size:
     return Size(int(row["n"]), int(row["b"] or 0))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return measure(df).bytes <= max_bytes
 
@@ -68,8 +74,7 @@ def deal_out(df: DataFrame) -> DataFrame:
     where it is, so nothing large is ever shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(2 * cores) if size < cores * SPLIT_BYTES else df
+    return df.repartition(2 * cores) if estimated_bytes(df) < cores * SPLIT_BYTES else df
 
 
 SALTS = 64
@@ -81,16 +86,22 @@ def numbers(n: int) -> Column:
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, on: list[str], spread: str, small: bool | None = None, salts: int = SALTS
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    spread: str,
+    small: bool | None = None,
+    salts: int = SALTS,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join that survives a key held by a large share of ``left``.
+    """Inner or left join that survives a key held by a large share of ``left``.
 
     A small right side is broadcast: ``small`` if the caller knows, otherwise it is
     measured. Beyond the bound the rows of each key are cut into slices by
     ``spread``, and the right side is repeated per slice.
     """
     if fits(right) if small is None else small:
-        return left.join(F.broadcast(right), on)
+        return left.join(F.broadcast(right), on, how)
     sliced = left.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
     repeated = right.select("*", numbers(salts).alias("_salt"))
-    return sliced.join(repeated, [*on, "_salt"]).drop("_salt")
+    return sliced.join(repeated, [*on, "_salt"], how).drop("_salt")

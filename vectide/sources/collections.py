@@ -187,6 +187,43 @@ def assign_ids(df: DataFrame, order_by: Sequence[str], start: int = 0, id_col: s
     )
 
 
+def insert(
+    rows: DataFrame,
+    spec: CollectionSpec,
+    path: str,
+    partition_name: str | None = None,
+    order_by: Sequence[str] | None = None,
+) -> tuple[int, DataFrame]:
+    """Conform a batch and append the accepted rows; returns their number and a frame of their keys.
+
+    With ``auto_id`` the rows need no key: they are numbered in the order of
+    ``order_by`` (a unique field), behind the highest key that the collection holds.
+    """
+    spark = rows.sparkSession
+    if spec.auto_id and spec.key not in rows.columns:
+        if not order_by:
+            raise ValueError("numbering rows needs order_by, a unique field of the batch")
+        last = 0
+        if _exists(spark, path):
+            last = spark.read.parquet(path).agg(F.max(spec.key)).first()[0] or 0
+        rows = assign_ids(rows, order_by, last, spec.key)
+    # Written once: the count, the keys and the appended rows are the same ones.
+    good = materialize(accepted(conform(rows, spec)))
+    count = good.count()
+    if not count:
+        raise ValueError("data is required: the batch holds no acceptable row")
+    if partition_name is None:
+        good.write.mode("append").parquet(path)
+    else:
+        write_partitioned(good.withColumn(PARTITION_COLUMN, F.lit(partition_name)), path)
+    return count, good.select(spec.key)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def write_partitioned(df: DataFrame, path: str, by: str | Sequence[str] = PARTITION_COLUMN, mode="append"):
     """Write a collection split into named partitions."""
     names = [by] if isinstance(by, str) else list(by)
@@ -207,11 +244,11 @@ def in_partitions(df: DataFrame, names: str | Sequence[str] | None, column: str
 
 
 def _versions(spark: SparkSession, root: str) -> list[int]:
+    if not _exists(spark, root):
+        return []
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
     found = []
     for status in fs.listStatus(path):
         name = status.getPath().getName()
