@@ -123,7 +123,9 @@ def test_expansion_weights(spark, queries):
 def test_fuse_counts_a_missing_side_as_zero(spark):
     dense = spark.createDataFrame([(1, 5, 0.8), (1, 6, 0.5)], "qid long, id long, similarity double")
     keyword = spark.createDataFrame([(1, 6, 4.0), (1, 7, 2.0)], "qid long, id long, score double")
-    got = {r.id: (r["rank"], r.vector_score, r.text_score, r.score) for r in recall.fuse(dense, keyword).collect()}
+    got = {
+        r.id: (r["rank"], r.vector_score, r.text_score, round(r.score, 9)) for r in recall.fuse(dense, keyword).collect()
+    }
     assert got == {6: (1, 0.5, 1.0, 0.65), 5: (2, 0.8, 0.0, 0.56), 7: (3, 0.0, 0.5, 0.15)}
 
 
@@ -131,7 +133,7 @@ def test_hybrid_search(spark, queries):
     docs = spark.createDataFrame([(1, "red fox"), (2, "blue fox"), (3, "green frog")], "id long, text string")
     asked = embedding.embed(queries("red fox"), "query_text", ENCODER, vector_col="qv")
     hits = recall.hybrid_search(embedding.embed(docs, "text", ENCODER), bm25.build_index(docs), asked, limit=1)
-    assert [(r.id, r.score) for r in hits.collect()] == [(1, 1.0)]
+    assert [(r.id, round(r.score, 9)) for r in hits.collect()] == [(1, 1.0)]
 
 
 def hits_of(spark, lists):

@@ -165,7 +165,7 @@ def expansion_recall(
         spread_join(variants, hits, ["variant_text"], "qid", small=few)
         .where(F.col("rank") <= F.col("size"))
         .groupBy("qid", "id")
-        .agg(F.max(F.round(F.col("weight") * F.col("similarity"), 9)).alias("score"))
+        .agg(F.max(F.col("weight") * F.col("similarity")).alias("score"))
     )
     return rank_hits(weighted, "IP", limit).select("qid", "rank", "id", F.col("score").alias("similarity"))
 
@@ -186,7 +186,7 @@ def fuse(
     vectors = dense.select("qid", "id", F.coalesce("similarity", F.lit(0.0)).alias("vector_score"))
     both = vectors.join(texts, ["qid", "id"], "full_outer").fillna(0.0, ["vector_score", "text_score"])
     total = F.col("vector_score") * float(vector_weight) + F.col("text_score") * float(text_weight)
-    scored = both.withColumn("score", F.round(total, 9))
+    scored = both.withColumn("score", total)
     return rank_hits(scored, "IP", limit).select("qid", "rank", "id", "vector_score", "text_score", "score")
 
 

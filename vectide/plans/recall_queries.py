@@ -78,8 +78,8 @@ def text_search(spark, sf):
 texts as (select qid, id, coalesce(score / nullif(max(score) over (partition by qid), 0), 0) as text_score from keyword),
 sides as (select coalesce(d.qid, t.qid) as qid, coalesce(d.id, t.id) as id, coalesce(similarity, 0) as vector_score,
     coalesce(text_score, 0) as text_score from dense d full join texts t on d.qid = t.qid and d.id = t.id),
-total as (select *, round(vector_score * 0.7::double + text_score * 0.3::double, 9) as score from sides)
-select qid, rank, id, vector_score, round(text_score, 6) as text_score, score
+total as (select *, vector_score * 0.7::double + text_score * 0.3::double as score from sides)
+select qid, rank, id, vector_score, text_score, score
 from (select *, row_number() over (partition by qid order by score desc, id) as rank from total) where rank <= 10""",
 )
 def hybrid_search(spark, sf):
@@ -87,7 +87,7 @@ def hybrid_search(spark, sf):
     corpus = materialize(embedded_documents(spark, sf).select("id", "vector"))
     asked = embedding.embed(questions(spark, sf), "query_text", ENCODER, vector_col="qv")
     hits = recall.hybrid_search(corpus, index, asked)
-    return hits.withColumn("text_score", F.round("text_score", 6))
+    return hits
 
 
 STOPS = "[" + ", ".join(f"'{w}'" for w in query_text.STOP_WORDS) + "]"
@@ -241,7 +241,7 @@ raw as (select id as qid, title as variant_text, 1.0::double as weight, 30 as si
   union all select id, unnest({rules_sql('title')}), 0.6::double, 15 from words_t),
 variants as (select *, md5(variant_text) as key from raw),
 {encode_sql('q', 'select distinct key as id, variant_text as text from variants')}, {dense_sql('hits', 'q', 'e', 30)},
-merged as (select v.qid, h.id, max(round(weight * similarity, 9)) as score
+merged as (select v.qid, h.id, max(weight * similarity) as score
   from variants v join hits h on h.qid = v.key and h.rank <= v.size group by v.qid, h.id)
 select qid, rank, id, score as similarity from (
   select *, row_number() over (partition by qid order by score desc nulls last, id) as rank from merged) where rank <= 10""",
