@@ -159,6 +159,19 @@ def test_get_and_query(table):
             R.query(table, limit=limit, offset=offset)
 
 
+def test_deep_pages(spark, monkeypatch):
+    df = spark.range(500).select((F.col("id") * 7).alias("id"), F.col("id").cast("string").alias("name")).repartition(6)
+    plain = R.query(df, "id > 100", "name", 20, 300).collect()
+    monkeypatch.setattr(R, "DEEP_PAGE", 10)
+    assert R.query(df, "id > 100", "name", 20, 300).collect() == plain and len(plain) == 20
+
+
+def test_string_keys_have_a_longest_length(spark):
+    spec = coll.CollectionSpec("c", 1, key_type=T.StringType())
+    rows = spark.createDataFrame([("k" * 256, [1.0]), ("k" * 257, [1.0])], "id string, vector array<float>")
+    assert [r.reject_reason for r in coll.conform(rows, spec).collect()] == [None, "id too long"]
+
+
 def test_inventory(spark, table, vectors):
     rows = coll.inventory({"b": table, "a": vectors([(1, [1.0, 2.0])])}).collect()
     assert sorted(tuple(r) for r in rows) == [("a", 1, 2, 2), ("b", 4, 3, None)]

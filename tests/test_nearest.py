@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -129,6 +130,22 @@ def test_range_equals_brute_force(vectors, asked, data, metric, low, high, bound
     assert {(r.qid, r.id) for r in hits.collect()} == expected
 
 
+@pytest.mark.parametrize("metric, low, high", [("COSINE", None, 0.5), ("L2", 0.25, 0.5), ("IP", -0.5, 0.5), ("L2", None, 0.4)])
+def test_best_within_a_range_equals_brute_force(vectors, asked, data, metric, low, high):
+    corpus, queries = data
+    hits = nearest.search(vectors(corpus), asked(queries), 7, metric, radius=low, range_filter=high)
+    expected = {}
+    for q, pairs in brute(corpus, queries, metric, len(corpus)).items():
+        inside = []
+        for i, s in pairs:
+            alike = None if s is None else 1 / (1 + s) if metric == "L2" else s
+            if alike is not None and (low is None or alike >= low) and alike <= high:
+                inside.append((i, s))
+        if inside:
+            expected[q] = inside[:7]
+    same(found(hits), expected)
+
+
 def test_range_bounds_are_included(vectors, asked):
     rows = vectors([(1, [1.0]), (2, [0.5]), (3, [0.25])])
     hits = nearest.range_search(rows, asked([(1, [1.0])]), 0.25, 0.5, "IP")
@@ -200,15 +217,17 @@ FLOATS = st.floats(-1e3, 1e3, width=32, allow_subnormal=False)
     k=st.integers(1, 8),
     metric=st.sampled_from(V.METRICS),
     batch=st.integers(1, 15),
+    merge_at=st.sampled_from([1, 20_000]),
+    bounds=st.sampled_from([(-np.inf, np.inf), (-np.inf, 0.2), (0.01, 0.9)]),
 )
-def test_kernel_is_exact_for_any_batching(rows, queries, k, metric, batch):
-    import pyarrow as pa
-
-    rows, queries = rows.astype(float), queries.astype(float)
-    best = kernels.TopK(kernels.Queries(metric, pa.array(range(len(queries))), queries), k, 9)
+def test_kernel_is_exact_for_any_batching(rows, queries, k, metric, batch, merge_at, bounds):
+    best = kernels.TopK(kernels.Queries(metric, pa.array(range(len(queries))), queries), k, 9, *bounds)
+    kernels.MERGE_AT = merge_at
     for i in range(0, len(rows), batch):
         best.add(np.arange(i, min(i + batch, len(rows))), rows[i : i + batch])
-    table = best.table(pa.int64()).to_pydict()
+    table = best.table(pa.int64())
+    table = table.to_pydict() if table is not None else {"qid": [], "id": [], "score": []}
+    kernels.MERGE_AT = 20_000
     got = {}
     for q, i, s in zip(table["qid"], table["id"], table["score"]):
         got.setdefault(q, []).append((i, s))
@@ -216,5 +235,8 @@ def test_kernel_is_exact_for_any_batching(rows, queries, k, metric, batch):
         pair = np.repeat(queries[q : q + 1], len(rows), axis=0)
         score = kernels.exact(metric, pair, rows, 9)
         gain = np.where(np.isnan(score), -np.inf, -score if metric == "L2" else score)
-        order = np.lexsort((np.arange(len(rows)), -gain))[:k]
-        assert [i for i, _ in got[q]] == order.tolist()
+        order = np.lexsort((np.arange(len(rows)), -gain))
+        alike = 1 / (1 + score) if metric == "L2" else score
+        if np.isfinite(bounds[1]):
+            order = [i for i in order if bounds[0] <= alike[i] <= bounds[1]]
+        assert [i for i, _ in got.get(q, [])] == list(order[:k])

@@ -7,15 +7,18 @@ result is exact and independent of how rows fall into batches.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
 PAIRS_PER_STEP = 4_000_000
-EPS32 = float(np.finfo(np.float32).eps)
+# New candidates that are gathered before they are merged into the best k.
+MERGE_AT = 20_000
 
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
-    """A list column as a (rows, dim) matrix of doubles."""
+    """A list column as a (rows, dim) matrix, in the precision it is stored in."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:
@@ -23,7 +26,11 @@ def matrix(column: pa.Array, dim: int) -> np.ndarray:
     flat = column.flatten()
     if len(flat) != len(column) * dim or (np.diff(column.offsets.to_numpy()) != dim).any():
         raise ValueError(f"vector column holds vectors that are not {dim} long")
-    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), dim)
+    return flat.to_numpy(zero_copy_only=False).reshape(len(column), dim)
+
+
+def squared_norms(rows: np.ndarray) -> np.ndarray:
+    return np.einsum("ij,ij->i", rows, rows, dtype=np.float64)
 
 
 def id_values(column: pa.Array) -> np.ndarray:
@@ -33,6 +40,7 @@ def id_values(column: pa.Array) -> np.ndarray:
 
 def exact(metric: str, a: np.ndarray, b: np.ndarray, decimals: int) -> np.ndarray:
     """Row-by-row scores of two equally long matrices; NaN where undefined."""
+    a, b = a.astype(np.float64), b.astype(np.float64)
     if metric == "L2":
         d = a - b
         s = np.sqrt(np.einsum("ij,ij->i", d, d))
@@ -45,13 +53,20 @@ def exact(metric: str, a: np.ndarray, b: np.ndarray, decimals: int) -> np.ndarra
 
 
 class Queries:
-    """Query vectors prepared for screening."""
+    """Query vectors prepared for screening; cosine screens with unit vectors."""
 
     def __init__(self, metric: str, ids: pa.Array, vectors: np.ndarray):
         self.metric = metric
         self.ids = ids
-        self.vectors = vectors
-        self.squares = np.einsum("ij,ij->i", vectors, vectors)
+        self.vectors = vectors.astype(np.float64)
+        self.squares = squared_norms(self.vectors)
+        if metric == "COSINE":
+            length = np.sqrt(self.squares)
+            self.left = self.vectors / np.where(length > 0, length, 1.0)[:, None]
+            self.weight = np.ones(len(vectors))
+        else:
+            self.left, self.weight = self.vectors, self.squares
+        self.single = _fits_single(self.squares)
 
     def __len__(self):
         return len(self.vectors)
@@ -61,126 +76,155 @@ class Queries:
         return self.vectors.shape[1]
 
 
-def _unit(vectors, squares):
-    n = np.sqrt(squares)
-    return vectors / np.where(n > 0, n, 1.0)[:, None]
+def _fits_single(squares: np.ndarray) -> bool:
+    """Whether products of vectors of these lengths neither overflow nor vanish in single precision."""
+    some = squares[squares > 0]
+    return not len(some) or (some.max() < 1e30 and some.min() > 1e-30)
+
+
+class Block:
+    """Rows prepared for screening against several groups of queries."""
+
+    def __init__(self, q: Queries, rows: np.ndarray):
+        self.rows = rows
+        self.squares = squared_norms(rows)
+        self.kind = np.float32 if q.single and _fits_single(self.squares) else np.float64
+        self.right = rows.astype(self.kind, copy=False).T
+        eps = np.finfo(self.kind).eps
+        self.error = 4.0 * (q.dim + 4) * float(eps)
+        self.most = 1.0 if q.metric == "COSINE" else float(self.squares.max(initial=0.0))
+
+    def screen(self, q: Queries, pick: np.ndarray):
+        """Approximate gains (bigger is better) of some queries against the rows, and their margin."""
+        with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+            gain = q.left[pick].astype(self.kind) @ self.right
+            if q.metric == "L2":
+                gain *= 2
+                gain -= self.squares.astype(self.kind)[None, :]
+                gain -= q.squares[pick].astype(self.kind)[:, None]
+            if q.metric == "COSINE":
+                gain *= np.where(self.squares > 0, 1 / np.sqrt(self.squares), 0).astype(self.kind)[None, :]
+                gain[:, self.squares == 0] = -np.inf
+                gain[q.squares[pick] == 0] = -np.inf
+        # Covers the rounding of scores as well, so that equal rounded scores are never cut apart.
+        return gain, (4e-9 + self.error) * (1.0 + q.weight[pick] + self.most)
+
+
+class Bounds:
+    """A similarity range, also as bounds on the screening gain."""
+
+    def __init__(self, metric: str, low: float = -np.inf, high: float = np.inf):
+        self.metric, self.low, self.high = metric, low, high
+        self.open = np.isneginf(low) and np.isposinf(high)
+        if metric == "L2":  # similarity 1/(1+d), gain -d*d
+            self.least = -np.inf if low <= 0 else -np.square(max(0.0, 1.0 / low - 1.0))
+            self.most = np.inf if high >= 1 else -np.inf if high <= 0 else -np.square(1.0 / high - 1.0)
+        else:
+            self.least, self.most = low, high
+
+    def keep(self, score: np.ndarray) -> np.ndarray:
+        """Rows without a score count only where no range was asked for."""
+        if self.open:
+            return np.ones(len(score), bool)
+        with np.errstate(invalid="ignore"):
+            alike = 1.0 / (1.0 + score) if self.metric == "L2" else score
+            return (alike >= self.low) & (alike <= self.high)
 
 
-def screen(q: Queries, pick: np.ndarray, rows: np.ndarray, squares: np.ndarray):
-    """Approximate gains (bigger is better) of some queries against rows, and their margin."""
-    with np.errstate(over="ignore", invalid="ignore"):
-        if q.metric == "COSINE":
-            a, b = _unit(q.vectors[pick], q.squares[pick]), _unit(rows, squares)
-            qs, rs = np.ones(len(a)), 1.0
-        else:
-            a, b = q.vectors[pick], rows
-            qs, rs = q.squares[pick], float(squares.max(initial=0.0))
-        single = rs < 1e30 and float(qs.max(initial=0.0)) < 1e30
-        kind = np.float32 if single else np.float64
-        gain = a.astype(kind) @ b.astype(kind).T
-        if q.metric == "L2":
-            gain *= 2
-            gain -= squares.astype(kind)[None, :]
-            gain -= qs.astype(kind)[:, None]
-        if q.metric == "COSINE":
-            gain[:, squares == 0] = -np.inf
-            gain[qs == 0] = -np.inf
-    step = 4.0 * (q.dim + 4) * EPS32 if single else 1e-12 * (q.dim + 4)
-    margin = (4e-9 + step) * (1.0 + qs + rs)
-    return gain, margin.astype(np.float64)
+def _id_array(ids: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.array(ids.tolist() if ids.dtype.kind == "U" else ids).cast(kind)
 
 
 class TopK:
-    """Running best-k of every query over the batches of one task."""
+    """Running best k of every query, within a similarity range, over the batches of one task."""
 
-    def __init__(self, queries: Queries, k: int, decimals: int):
+    def __init__(self, queries: Queries, k: int, decimals: int, low: float = -np.inf, high: float = np.inf):
         self.q, self.k, self.decimals = queries, k, decimals
-        self.qi = np.empty(0, np.int64)
-        self.gain = np.empty(0)
-        self.ids = None
+        self.bounds = Bounds(queries.metric, low, high)
+        self.held = (np.empty(0, np.int64), np.empty(0), None)
+        self.new, self.n_new = [], 0
         # Gain (in screening units) that a row must reach to matter to a query.
-        self.floor = np.full(len(queries), -np.inf)
+        self.floor = np.full(len(queries), self.bounds.least)
 
     def add(self, ids: np.ndarray, rows: np.ndarray, pick: np.ndarray | None = None):
         """Offer rows to all queries, or to the ones picked."""
         if not len(rows) or not len(self.q):
             return
         pick = np.arange(len(self.q)) if pick is None else pick
-        squares = np.einsum("ij,ij->i", rows, rows)
+        block = Block(self.q, rows)
         step = max(1, PAIRS_PER_STEP // len(rows))
-        qi, gains, hits = [], [], []
         for start in range(0, len(pick), step):
             part = pick[start : start + step]
-            gain, margin = screen(self.q, part, rows, squares)
+            gain, margin = block.screen(self.q, part)
             floor = self.floor[part]
             if len(rows) > self.k:
                 cut = len(rows) - self.k
-                floor = np.maximum(floor, np.partition(gain, cut, axis=1)[:, cut])
-            a, b = np.nonzero(gain >= (floor - margin)[:, None])
+                sure = gain
+                if np.isfinite(self.bounds.most):
+                    # Only rows that are surely inside the range may raise the bar.
+                    sure = np.where(gain <= (self.bounds.most - margin)[:, None], gain, -np.inf)
+                floor = np.maximum(floor, np.partition(sure, cut, axis=1)[:, cut])
+            near = gain >= (floor - margin)[:, None]
+            if np.isfinite(self.bounds.most):
+                near &= gain <= (self.bounds.most + margin)[:, None]
+            a, b = np.nonzero(near)
             value = exact(self.q.metric, self.q.vectors[part[a]], rows[b], self.decimals)
+            keep = self.bounds.keep(value)
             value = -value if self.q.metric == "L2" else value
-            qi.append(part[a])
-            gains.append(np.where(np.isnan(value), -np.inf, value))
-            hits.append(ids[b])
-        self._merge(np.concatenate(qi), np.concatenate(gains), np.concatenate(hits))
-
-    def _merge(self, qi, gain, ids):
-        if self.ids is not None:
-            qi = np.concatenate([self.qi, qi])
-            gain = np.concatenate([self.gain, gain])
-            ids = np.concatenate([self.ids, ids])
+            gains = np.where(np.isnan(value), -np.inf, value)
+            self.new.append((part[a][keep], gains[keep], ids[b][keep]))
+            self.n_new += int(keep.sum())
+        if self.n_new >= max(MERGE_AT, len(self.held[0]) // 2):
+            self._merge()
+
+    def _merge(self):
+        parts = [p for p in [self.held, *self.new] if len(p[0])]
+        self.new, self.n_new = [], 0
+        if not parts:
+            return
+        qi, gain, ids = (np.concatenate([p[i] for p in parts]) for i in range(3))
         order = np.lexsort((ids, -gain, qi))
         qi, gain, ids = qi[order], gain[order], ids[order]
-        first = np.searchsorted(qi, qi, side="left")
-        place = np.arange(len(qi)) - first
-        keep = place < self.k
+        place = np.arange(len(qi)) - np.searchsorted(qi, qi, side="left")
         last = place == self.k - 1
         bar = gain[last]
         # L2 is screened by its negative square.
-        self.floor[qi[last]] = -(bar * bar) if self.q.metric == "L2" else bar
-        self.qi, self.gain, self.ids = qi[keep], gain[keep], ids[keep]
+        bar = -(bar * bar) if self.q.metric == "L2" else bar
+        self.floor[qi[last]] = np.maximum(bar, self.bounds.least)
+        keep = place < self.k
+        self.held = (qi[keep], gain[keep], ids[keep])
 
     def table(self, id_type: pa.DataType) -> pa.Table | None:
-        if self.ids is None or not len(self.ids):
+        self._merge()
+        qi, gain, ids = self.held
+        if ids is None or not len(ids):
             return None
-        value = -self.gain if self.q.metric == "L2" else self.gain
+        value = -gain if self.q.metric == "L2" else gain
         value = value + 0.0  # no negative zero
         return pa.table(
             {
-                "qid": self.q.ids.take(pa.array(self.qi)),
-                "id": pa.array(self.ids.tolist() if self.ids.dtype.kind == "U" else self.ids).cast(id_type),
+                "qid": self.q.ids.take(pa.array(qi)),
+                "id": _id_array(ids, id_type),
                 "score": pa.array(value, mask=~np.isfinite(value)),
             }
         )
 
 
-def in_range(q: Queries, ids, rows, low: float, high: float, decimals: int, id_type) -> pa.Table:
+def in_range(q: Queries, ids, rows, low: float, high: float, decimals: int, id_type) -> Iterator[pa.Table]:
     """All pairs whose similarity lies within [low, high]."""
-    squares = np.einsum("ij,ij->i", rows, rows)
+    bounds, block = Bounds(q.metric, low, high), Block(q, rows)
     step = max(1, PAIRS_PER_STEP // max(1, len(rows)))
-    qi, hits, values = [], [], []
     for start in range(0, len(q), step):
         part = np.arange(start, min(start + step, len(q)))
-        gain, margin = screen(q, part, rows, squares)
-        if q.metric == "L2":  # similarity 1/(1+d) at least low means d at most 1/low - 1
-            far = np.inf if low <= 0 else max(0.0, 1.0 / low - 1.0)
-            least = -np.square(far)
-        else:
-            least = low
-        a, b = np.nonzero(gain >= (least - margin)[:, None])
+        gain, margin = block.screen(q, part)
+        a, b = np.nonzero((gain >= (bounds.least - margin)[:, None]) & (gain <= (bounds.most + margin)[:, None]))
         value = exact(q.metric, q.vectors[part[a]], rows[b], decimals)
-        alike = 1.0 / (1.0 + value) if q.metric == "L2" else value
-        with np.errstate(invalid="ignore"):
-            keep = (alike >= low) & (alike <= high)
-        qi.append(part[a][keep])
-        hits.append(ids[b][keep])
-        values.append(value[keep])
-    none = np.empty(0)
-    hits = np.concatenate(hits) if hits else none
-    return pa.table(
-        {
-            "qid": q.ids.take(pa.array(np.concatenate(qi) if qi else none.astype(np.int64))),
-            "id": pa.array(hits.tolist() if hits.dtype.kind == "U" else hits).cast(id_type),
-            "score": pa.array((np.concatenate(values) if values else none) + 0.0),
-        }
-    )
+        keep = bounds.keep(value) & np.isfinite(value)
+        if keep.any():
+            yield pa.table(
+                {
+                    "qid": q.ids.take(pa.array(part[a][keep])),
+                    "id": _id_array(ids[b][keep], id_type),
+                    "score": pa.array(value[keep] + 0.0),
+                }
+            )

@@ -103,8 +103,9 @@ def embed(
     df: DataFrame, text_col: str, encoder: Encoder, normalize: bool = True, vector_col: str = "vector"
 ) -> DataFrame:
     """Add a vector column. A missing or blank text has no vector (NULL) and no search finds it."""
-    blank = F.coalesce(strip(F.col(text_col)), F.lit("")) == ""
-    return deal_out(df).withColumn(vector_col, F.when(~blank, encoder.encode(F.col(text_col), normalize)))
+    trimmed = deal_out(df).withColumn("_text", strip(F.col(text_col)))
+    vector = F.when(F.col("_text") != "", encoder.encode(F.col("_text"), normalize))
+    return trimmed.withColumn(vector_col, vector).drop("_text")
 
 
 def text_search(

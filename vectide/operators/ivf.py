@@ -103,7 +103,8 @@ def _with_cells(df: DataFrame, vector_col: str, centroids: np.ndarray, metric: s
     def run(batches):
         matrix = shared.value
         for batch in batches:
-            near = _nearest_cells(kernels.matrix(batch[vector_col], matrix.shape[1]), matrix, metric, count)
+            vectors = kernels.matrix(batch[vector_col], matrix.shape[1]).astype(np.float64)
+            near = _nearest_cells(vectors, matrix, metric, count)
             offsets = pa.array(np.arange(0, near.size + 1, near.shape[1], dtype=np.int32))
             cells = pa.ListArray.from_arrays(offsets, pa.array(near.astype(np.int32).ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, cells], [*batch.schema.names, "cells"])

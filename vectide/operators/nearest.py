@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from vectide.functions import kernels
 from vectide.functions.predicates import fields_list, predicate
 from vectide.functions.vectors import SCORE_DECIMALS, best_first, check_metric, similarity
-from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES, HIT_BYTES, estimated_bytes, spread_join
+from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES, HIT_BYTES, KEY_BYTES, estimated_bytes, spread_join
 
 # Bytes that one task scans, and the number of rows that one task may merge for a query.
 SCAN_BYTES = 128 * 1024 * 1024
@@ -114,11 +114,11 @@ def _hits(rows, asked, n: int, dim: int, schema, run, broadcast_bytes: int, bloc
     return meet_blocks(_one_cell(rows), _one_cell(asked), dim, schema, run, block_bytes)
 
 
-def top_k_run(metric: str, k: int, dim: int, id_type: T.DataType):
+def top_k_run(metric: str, k: int, dim: int, id_type: T.DataType, low=-math.inf, high=math.inf):
     arrow_id = to_arrow_type(id_type)
 
     def run(queries, batches) -> Iterator[pa.RecordBatch]:
-        best = kernels.TopK(kernels.Queries(metric, *queries), k, SCORE_DECIMALS)
+        best = kernels.TopK(kernels.Queries(metric, *queries), k, SCORE_DECIMALS, low, high)
         for batch in batches:
             if batch.num_rows:
                 best.add(kernels.id_values(batch["id"]), kernels.matrix(batch["vector"], dim))
@@ -153,13 +153,21 @@ def _slices(rows: DataFrame, k: int) -> int:
     return 1 if tasks * k < MERGE_ROWS else math.ceil(math.sqrt(tasks))
 
 
-def _top_k(rows, asked, k: int, metric: str, broadcast_bytes: int, block_bytes: int) -> tuple[DataFrame, int]:
+def _limits(radius: float | None, range_filter: float | None) -> tuple[float, float]:
+    low = -math.inf if radius is None else float(radius)
+    high = math.inf if range_filter is None else float(range_filter)
+    if low > high:
+        raise ValueError("radius must not exceed range_filter")
+    return low, high
+
+
+def _top_k(rows, asked, k, metric, broadcast_bytes, block_bytes, low=-math.inf, high=math.inf) -> tuple[DataFrame, int]:
     """Ranked hits and the number of queries."""
     if k < 1:
         raise ValueError("k must be at least 1")
     n, dim = query_size(asked)
     schema = hit_schema(rows, asked)
-    run = top_k_run(metric, k, dim, schema["id"].dataType)
+    run = top_k_run(metric, k, dim, schema["id"].dataType, low, high)
     hits = _hits(rows, asked, n, dim, schema, run, broadcast_bytes, block_bytes)
     ranked = rank_hits(hits, metric, k, _slices(rows, k))
     return ranked.select("qid", "rank", "id", "score", similarity(metric, F.col("score")).alias("similarity")), n
@@ -197,10 +205,7 @@ def range_search(
 ) -> DataFrame:
     """All rows whose similarity lies between ``radius`` and ``range_filter``, both included."""
     metric = check_metric(metric)
-    low = -math.inf if radius is None else float(radius)
-    high = math.inf if range_filter is None else float(range_filter)
-    if low > high:
-        raise ValueError("radius must not exceed range_filter")
+    low, high = _limits(radius, range_filter)
     rows, asked = sides(corpus, queries, id_col, vector_col, qid_col, query_col)
     n, dim = query_size(asked)
     schema = hit_schema(rows, asked)
@@ -213,9 +218,8 @@ def range_search(
             if batch.num_rows:
                 ids = kernels.id_values(batch["id"])
                 block = kernels.matrix(batch["vector"], dim)
-                yield from kernels.in_range(
-                    prepared, ids, block, low, high, SCORE_DECIMALS, arrow_id
-                ).to_batches()
+                for found in kernels.in_range(prepared, ids, block, low, high, SCORE_DECIMALS, arrow_id):
+                    yield from found.to_batches()
 
     hits = _hits(rows, asked, n, dim, schema, run, broadcast_bytes, block_bytes)
     return hits.select("qid", "id", "score", similarity(metric, F.col("score")).alias("similarity"))
@@ -244,7 +248,8 @@ def attach_fields(
         return hits
     entity = corpus.select(F.col(id_col).alias("id"), *[F.col(n) for n in names])
     payload = entity.columns[1:]
-    if max_hits is not None and max_hits * HIT_BYTES <= BROADCAST_BYTES:
+    width = HIT_BYTES + KEY_BYTES * sum(isinstance(hits.schema[c].dataType, T.StringType) for c in ("qid", "id"))
+    if max_hits is not None and max_hits * width <= BROADCAST_BYTES:
         joined = entity.join(F.broadcast(hits), "id")
     else:
         fetched = entity.join(hits.select("id").distinct(), "id", "left_semi")
@@ -276,14 +281,8 @@ def search(
     rows = in_partitions(corpus, partition_names)
     if filter:
         rows = rows.where(predicate(filter))
+    low, high = _limits(radius, range_filter)
     searched, asked = sides(rows, queries, id_col, anns_field, qid_col, query_col)
-    metric = check_metric(metric)
-    if radius is None and range_filter is None:
-        hits, n = _top_k(searched, asked, limit, metric, broadcast_bytes, block_bytes)
-    else:
-        bounds = dict(broadcast_bytes=broadcast_bytes, block_bytes=block_bytes)
-        found = range_search(searched, asked, radius, range_filter, metric, **bounds)
-        hits = rank_hits(found, metric, limit, _slices(searched, limit))
-        hits, n = hits.select("qid", "rank", "id", "score", "similarity"), None
+    hits, n = _top_k(searched, asked, limit, check_metric(metric), broadcast_bytes, block_bytes, low, high)
     kept = cut_similarity(hits, min_similarity)
-    return attach_fields(kept, rows, output_fields, id_col, None if n is None else n * limit)
+    return attach_fields(kept, rows, output_fields, id_col, n * limit)

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from vectide.functions.predicates import fields_list, predicate
 from vectide.sizing import broadcast_if_small
-from vectide.sources.collections import in_partitions, names_list
+from vectide.sources.collections import assign_ids, in_partitions, names_list
+
+# Rows up to the end of a page that one task may sort.
+DEEP_PAGE = 100_000
 
 
 def latest(batch: DataFrame, key: str, sequence: str) -> DataFrame:
@@ -80,13 +83,24 @@ def query(
     partition_names=None,
     key: str = "id",
 ) -> DataFrame:
-    """Filter, projection and limit, in key order."""
+    """Filter, projection and limit, in key order.
+
+    A page far behind the first would make one task hold all rows before it. Beyond
+    ``DEEP_PAGE`` rows the keys are numbered slice by slice instead, and only the
+    rows of the page are fetched.
+    """
     if limit < 1 or offset < 0:
         raise ValueError("limit must be positive and offset must not be negative")
     rows = in_partitions(df, partition_names)
     rows = rows if filter is None or filter == "" else rows.where(predicate(filter))
-    ordered = rows.select(*_columns(df, output_fields, key)).orderBy(key)
-    return (ordered.offset(offset) if offset else ordered).limit(limit)
+    wanted = rows.select(*_columns(df, output_fields, key))
+    if offset + limit <= DEEP_PAGE:
+        ordered = wanted.orderBy(key)
+        return (ordered.offset(offset) if offset else ordered).limit(limit)
+    place = F.col("_place")
+    page = assign_ids(rows.select(key), [key], id_col="_place").where((place > offset) & (place <= offset + limit))
+    keys = broadcast_if_small(page.select(key))
+    return wanted.join(keys, key, "left_semi").orderBy(key)
 
 
 def page_after(

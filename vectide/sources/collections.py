@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from vectide.functions.vectors import check_metric, norm
 from vectide.session import materialize
+from vectide.sizing import KEY_LENGTH
 
 MAX_DIMENSION = 32768
 MAX_TEXT = 65535
@@ -83,6 +84,8 @@ class CollectionSpec:
         limits = dict(self.max_length)
         if self.enable_bm25:
             limits.setdefault(self.text, MAX_TEXT)
+        if isinstance(self.key_type, T.StringType):
+            limits.setdefault(self.key, KEY_LENGTH)
         return limits
 
 
@@ -126,7 +129,9 @@ def conform(df: DataFrame, spec: CollectionSpec) -> DataFrame:
     v, key = F.col(f"`{spec.vector}`"), F.col(f"`{spec.key}`")
     reason = F.when(key.isNull(), "missing key").when(v.isNull(), "missing vector")
     reason = reason.when(F.size(v) != spec.dimension, "wrong dimension")
-    reason = reason.when(F.exists(v, lambda x: x.isNull() | F.isnan(x)), "invalid vector element")
+    # Unknown (NULL) if no element is NaN but one is missing.
+    flawed = F.coalesce(F.array_contains(v, F.lit(float("nan")).cast("float")), F.lit(True))
+    reason = reason.when(flawed, "invalid vector element")
     for name, most in spec.limits().items():
         reason = reason.when(F.char_length(F.col(f"`{name}`")) > most, f"{name} too long")
     return rows.select(*[F.col(f"`{f.name}`") for f in spec.schema], reason.alias("reject_reason"))
