@@ -34,6 +34,8 @@ def key(row):
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     columns = sorted(df.columns)
     mine = sorted(map(key, df.select(*columns).collect()))
     if name not in entry.oracle_sql():

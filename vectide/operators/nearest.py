@@ -62,31 +62,41 @@ def _scan(rows: DataFrame, asked: DataFrame, dim: int, schema, run) -> DataFrame
     return rows.mapInArrow(lambda batches: run(shared.value, batches), schema)
 
 
-def meet_blocks(rows: DataFrame, asked: DataFrame, dim: int, schema, run, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Meet rows ``(cell, id, vector)`` and queries ``(cell, qid, qv)`` of the same cell.
+def meet_blocks(
+    rows: DataFrame, asked: DataFrame, dim: int, schema, run, block_bytes: int = BLOCK_BYTES, counts=None
+) -> DataFrame:
+    """Meet rows ``(id, vector)`` and queries ``(qid, qv)`` block by block.
 
-    Both sides of a cell are cut into blocks of bounded size, so a cell that holds
-    a third of all rows, or is asked by all queries, becomes many groups.
+    Both sides are cut into blocks of bounded size. With a ``cell`` on both sides,
+    only blocks of the same cell meet, and a cell that holds a third of all rows, or
+    is asked by all queries, becomes many groups. Without one, ``counts`` gives the
+    number of rows and of queries.
     """
     per_block = max(1, block_bytes // (dim * 8))
+    if counts is None:
 
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(per_block)).cast("long").alias(name))
+        def blocks(df: DataFrame, name: str) -> DataFrame:
+            return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(per_block)).cast("long").alias(name))
 
-    # One row per cell that has both rows and queries.
-    shape = F.broadcast(blocks(rows, "row_blocks").join(blocks(asked, "query_blocks"), "cell"))
+        # One row per cell that has both rows and queries.
+        shape = F.broadcast(blocks(rows, "row_blocks").join(blocks(asked, "query_blocks"), "cell"))
+        rows, asked = rows.join(shape, "cell"), asked.join(shape, "cell")
+        cell, row_blocks, query_blocks = F.col("cell"), F.col("row_blocks"), F.col("query_blocks")
+    else:
+        cell = F.lit(0)
+        row_blocks, query_blocks = (F.lit(max(1, math.ceil(c / per_block))).cast("long") for c in counts)
     first = F.lit(0).cast("long")
-    left = rows.join(shape, "cell").select(
-        "cell",
-        F.pmod(F.xxhash64("id"), F.col("row_blocks")).alias("rb"),
-        F.explode(F.sequence(first, F.col("query_blocks") - 1)).alias("qb"),
+    left = rows.select(
+        cell.alias("cell"),
+        F.pmod(F.xxhash64("id"), row_blocks).alias("rb"),
+        F.explode(F.sequence(first, query_blocks - 1)).alias("qb"),
         "id",
         "vector",
     )
-    right = asked.join(shape, "cell").select(
-        "cell",
-        F.explode(F.sequence(first, F.col("row_blocks") - 1)).alias("rb"),
-        F.pmod(F.xxhash64("qid"), F.col("query_blocks")).alias("qb"),
+    right = asked.select(
+        cell.alias("cell"),
+        F.explode(F.sequence(first, row_blocks - 1)).alias("rb"),
+        F.pmod(F.xxhash64("qid"), query_blocks).alias("qb"),
         "qid",
         "qv",
     )
@@ -102,16 +112,12 @@ def meet_blocks(rows: DataFrame, asked: DataFrame, dim: int, schema, run, block_
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema)
 
 
-def _one_cell(df: DataFrame) -> DataFrame:
-    return df.withColumn("cell", F.lit(0))
-
-
 def _hits(rows, asked, n: int, dim: int, schema, run, broadcast_bytes: int, block_bytes: int) -> DataFrame:
     if not n:
         return rows.sparkSession.createDataFrame([], schema)
     if n * dim * 8 <= broadcast_bytes:
         return _scan(rows, asked, dim, schema, run)
-    return meet_blocks(_one_cell(rows), _one_cell(asked), dim, schema, run, block_bytes)
+    return meet_blocks(rows, asked, dim, schema, run, block_bytes, (rows.count(), n))
 
 
 def top_k_run(metric: str, k: int, dim: int, id_type: T.DataType, low=-math.inf, high=math.inf):
