@@ -40,7 +40,7 @@ def test_bm25_sums_where_the_text_lies(spark):
 def test_texts_are_split_once(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     text = plan(chunking.chunk_paragraphs(docs, delimiter="\n"))
-    assert len(re.findall(r"aggregate\(", text)) == 1
+    assert len(re.findall(r"split\(text", text)) == 1
     rows = plan(bm25.postings(bm25.index_rows(docs, "doc_id")))
     assert len(re.findall(r"regexp_extract_all\(", rows)) == 1 and len(re.findall(r"sort_array\(", rows)) == 1
 

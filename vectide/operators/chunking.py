@@ -1,4 +1,4 @@
-"""Splitting texts into chunks, chunk tables and cleaning. Texts never leave the JVM.
+"""Splitting texts into chunks, chunk tables and cleaning.
 
 A text is split inside its own row. Array columns are exploded in the outer form:
 the inner form makes the optimizer add a filter on the array, which would run the
@@ -9,9 +9,13 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vectide.functions.text import strip
 from vectide.sizing import deal_out
@@ -28,52 +32,71 @@ MARKDOWN_UNIT = r"(?dms)^```.*?(?:^```[^\n]*$|\z)|^[^\n]*$"
 HEADING = r"^#{1,6}\s"
 
 
-def _rows(df: DataFrame, chunks: Column) -> DataFrame:
-    """One row per chunk, numbered from 0 in text order."""
-    rows = deal_out(df).select("*", F.posexplode_outer(chunks).alias("chunk_index", "content"))
+def _rows(df: DataFrame, chunks: Column, text_col: str) -> DataFrame:
+    """One row per chunk, numbered from 0 in text order, with all columns but the text.
+
+    The text itself is left out: it would be repeated in full for every chunk.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c != text_col]
+    rows = df.select(*others, F.posexplode_outer(chunks).alias("chunk_index", "content"))
     return rows.where("content is not null")
 
 
-def _unit(piece: Column, joint: str, fresh=False) -> Column:
+def _unit(piece: Column, joined: bool, fresh=False) -> Column:
     fresh = fresh if isinstance(fresh, Column) else F.lit(fresh)
-    return F.struct(
-        piece.alias("piece"), F.char_length(piece).alias("n"), F.lit(joint).alias("joint"), fresh.alias("fresh")
-    )
+    return F.struct(piece.alias("piece"), F.lit(joined).alias("joined"), fresh.alias("fresh"))
+
+
+def fill(pieces: list[str], joints: list[str], fresh: list[bool], most: int, overlap: int, least: int) -> list[str]:
+    """Chunks of one text. Running lengths tell where each chunk ends, so a step is a chunk, not a unit."""
+    sizes = [len(p) for p in pieces]
+    glued = [j + p for j, p in zip(joints, pieces)]
+    upto = list(accumulate(map(len, glued)))  # characters up to and with a unit, joints included
+    reach = [u - len(j) for u, j in zip(upto, joints)]  # the same without the unit's own joint
+    starts = [i for i, f in enumerate(fresh) if f]
+    chunks, tail, at = [], "", 0
+    while at < len(pieces):
+        n = len(tail) + sizes[at]
+        if not n:
+            at += 1
+            continue
+        end = bisect_right(reach, most - n + upto[at], at + 1)
+        mark = bisect_right(starts, at)
+        if mark < len(starts):
+            end = min(end, starts[mark])
+        chunk = tail + pieces[at] + "".join(glued[at + 1 : end])
+        kept = len(chunk) >= least
+        if kept:
+            chunks.append(chunk)
+        repeats = kept and overlap and end < len(pieces) and not fresh[end]
+        tail = chunk[-overlap:] if repeats else ""
+        at = end
+    return chunks
 
 
-def pack(units: Column, most: int, overlap: int, least: int) -> Column:
+def pack(units: Column, joint: str, most: int, overlap: int, least: int) -> Column:
     """Fill chunks with units, in order.
 
     A unit that would make the open chunk longer than ``most`` closes it. A closed
     chunk of at least ``least`` characters is kept and its end repeated at the start
     of the next; a shorter one is dropped. A ``fresh`` unit always closes the open
     chunk and repeats nothing. Joints are not counted in the test but do lengthen the chunk.
+
+    An SQL fold copies all chunks found so far at every step, which is quadratic in
+    the text, so the cutting is done on Arrow batches.
     """
-    start = F.struct(
-        F.array().cast("array<string>").alias("done"), F.lit("").alias("open"), F.lit(0).alias("n")
-    )
 
-    def step(s, u):
-        closes = (s["n"] + u["n"] > most) | (u["fresh"] & (s["n"] > 0))
-        kept = closes & (s["n"] >= least)
-        repeats = kept & ~u["fresh"]
-        tail = F.right(s["open"], F.lit(overlap))
-        return F.struct(
-            F.when(kept, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"]).alias("done"),
-            F.when(repeats, F.concat(tail, u["piece"]))
-            .when(closes | (s["n"] == 0), u["piece"])
-            .otherwise(F.concat(s["open"], u["joint"], u["piece"]))
-            .alias("open"),
-            F.when(repeats, F.least(F.lit(overlap), s["n"]) + u["n"])
-            .when(closes | (s["n"] == 0), u["n"])
-            .otherwise(s["n"] + F.char_length(u["joint"]) + u["n"])
-            .alias("n"),
-        )
-
-    def finish(s):
-        return F.when(s["n"] >= least, F.concat(s["done"], F.array(s["open"]))).otherwise(s["done"])
-
-    return F.aggregate(units, start, step, finish)
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def run(lists: pa.Array) -> pa.Array:
+        flat = lists.flatten()
+        pieces, fresh = flat.field("piece").to_pylist(), flat.field("fresh").to_pylist()
+        joints = [joint if j else "" for j in flat.field("joined").to_pylist()]
+        ends = lists.offsets.to_pylist()
+        spans = [slice(a - ends[0], b - ends[0]) for a, b in zip(ends, ends[1:])]
+        found = [fill(pieces[x], joints[x], fresh[x], most, overlap, least) for x in spans]
+        return pa.array(found, pa.list_(pa.string()))
+
+    return run(units)
 
 
 def _check(most: int, overlap: int, least: int = 0) -> None:
@@ -97,12 +120,12 @@ def chunk_paragraphs(
     _check(max_chunk, overlap, min_chunk)
 
     def units(paragraph):
-        sentences = F.transform(F.split(paragraph, SENTENCE_END, -1), lambda s: _unit(s, ""))
-        return F.when(F.char_length(paragraph) > max_chunk, sentences).otherwise(F.array(_unit(paragraph, delimiter)))
+        sentences = F.transform(F.split(paragraph, SENTENCE_END, -1), lambda s: _unit(s, False))
+        return F.when(F.char_length(paragraph) > max_chunk, sentences).otherwise(F.array(_unit(paragraph, True)))
 
     paragraphs = F.split(F.col(text_col), _literal(delimiter), -1)
     split = F.flatten(F.transform(paragraphs, units))
-    chunks = _rows(df, pack(split, max_chunk, overlap, min_chunk))
+    chunks = _rows(deal_out(df), pack(split, delimiter, max_chunk, overlap, min_chunk), text_col)
     return chunks.withColumn("content", strip(F.col("content")))
 
 
@@ -118,32 +141,34 @@ def chunk_fixed(df: DataFrame, text_col: str = "text", size: int = 500, overlap:
     """
     _check(size, overlap)
     stride = size - overlap
-    per_window = math.ceil(size / stride)
     text = F.col(text_col)
     cut = deal_out(df).withColumn("_steps", F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % stride), F.lit(0)))
     count = F.greatest(F.lit(1), F.ceil((F.char_length(text) - overlap) / F.lit(stride)).cast("int"))
-    windows = F.transform(
-        F.slice("_steps", F.lit(1), F.least(count, F.size("_steps"))),
-        lambda _, i: F.substring(F.array_join(F.slice("_steps", i + 1, F.lit(per_window)), ""), 1, size),
-    )
-    return _rows(cut, windows).drop("_steps")
+
+    def window(step, i):
+        # Single elements are cheap to reach; a slice would copy the whole array each time.
+        later = [F.coalesce(F.get("_steps", i + n), F.lit("")) for n in range(1, math.ceil(size / stride))]
+        return F.substring(F.concat(step, *later), 1, size)
+
+    windows = F.transform(F.slice("_steps", F.lit(1), F.least(count, F.size("_steps"))), window)
+    return _rows(cut, windows, text_col).drop("_steps")
 
 
 def chunk_sentences(df: DataFrame, text_col: str = "text", min_chunk: int = 1) -> DataFrame:
     """One chunk per sentence, without its end mark; shorter ones than ``min_chunk`` are dropped."""
-    return _pieces(df, F.split(F.col(text_col), SENTENCE_END, -1), min_chunk)
+    return _pieces(df, text_col, F.split(F.col(text_col), SENTENCE_END, -1), min_chunk)
 
 
 def chunk_by_paragraph(
     df: DataFrame, text_col: str = "text", min_chunk: int = MIN_CHUNK, delimiter: str = PARAGRAPH
 ) -> DataFrame:
     """One chunk per paragraph of at least ``min_chunk`` characters."""
-    return _pieces(df, F.split(F.col(text_col), _literal(delimiter), -1), min_chunk)
+    return _pieces(df, text_col, F.split(F.col(text_col), _literal(delimiter), -1), min_chunk)
 
 
-def _pieces(df: DataFrame, pieces: Column, least: int) -> DataFrame:
+def _pieces(df: DataFrame, text_col: str, pieces: Column, least: int) -> DataFrame:
     kept = F.filter(F.transform(pieces, strip), lambda p: F.char_length(p) >= max(1, least))
-    return _rows(df, kept)
+    return _rows(deal_out(df), kept, text_col)
 
 
 def chunk_headings(
@@ -155,9 +180,10 @@ def chunk_headings(
     """
     _check(max_chunk, overlap)
     lines = F.regexp_extract_all(F.col(text_col), F.lit(MARKDOWN_UNIT), F.lit(0))
-    units = F.transform(lines, lambda u: _unit(u, "\n", u.rlike(HEADING)))
-    chunks = _rows(df, F.filter(F.transform(pack(units, max_chunk, overlap, 1), strip), lambda c: c != ""))
-    return chunks
+    units = F.transform(lines, lambda u: _unit(u, True, u.rlike(HEADING)))
+    packed = deal_out(df).withColumn("_chunks", pack(units, "\n", max_chunk, overlap, 1))
+    chunks = F.filter(F.transform("_chunks", strip), lambda c: c != "")
+    return _rows(packed, chunks, text_col).drop("_chunks")
 
 
 def chunk_dialogues(df: DataFrame, conv_col="conv_id", turn_col="turn", role_col="role", text_col="text") -> DataFrame:
