@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectide.llm import line_dedup, quality, url_filter
+from vectide.llm import line_dedup, quality, simhash, url_filter
 from vectide.plans.registry import Registry, table
 
 REGISTRY = Registry()
 
 
+@REGISTRY.add("op1_simhash")
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        simhash.hex_digits(F.col("fp")).alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 @REGISTRY.add("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
