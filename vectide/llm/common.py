@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vectide.session import materialize
+
 #: A run of characters other than ASCII white space, as a Java regular expression.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
@@ -85,3 +87,21 @@ def whole_row(df: DataFrame, *more: Column) -> DataFrame:
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once for the row, however often the body uses it."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    The shuffle files behind it are of no more use and are removed at once, not when
+    the driver happens to collect its garbage.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return materialize(df)
+    finally:
+        conf.set(_CLEANUP, before)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectide.session import materialize
+from vectide.llm.common import written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,10 +35,10 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has comparable, non-null ``u`` and ``v``, in any direction and with
     repeats; nodes without an edge to another are left out.
     """
-    now = materialize(edges.where("u <> v").select("u", "v").distinct())
+    now = written(edges.where("u <> v").select("u", "v").distinct())
     before = None
     while True:
-        now = materialize(_small_star(_large_star(now)))
+        now = written(_small_star(_large_star(now)))
         # A star of all edges is final: it is left unchanged by another round.
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(state) == before:

@@ -17,8 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vectide.llm.common import WORD, col, let, whole_row
-from vectide.session import materialize
+from vectide.llm.common import WORD, col, let, whole_row, written
 
 WINDOW = 2
 SPACING = 3
@@ -78,7 +77,7 @@ def repeated(docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW,
         .select("key", F.col("c.place").alias("place"), F.xxhash64("c.text").alias("h"), F.col("c.text").alias("text"))
     )
     often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    found = materialize(found.join(often, "h", "left_semi"))
+    found = written(found.join(often, "h", "left_semi"))
     at = F.struct("key", "place")
     first = found.groupBy("h", "text").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     return (

@@ -25,8 +25,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vectide.llm.common import WORD, col, words
-from vectide.session import materialize
+from vectide.llm.common import WORD, col, words, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -277,12 +276,12 @@ def fit(vectors: DataFrame, share: float = SHARE, n_steps: int = STEPS) -> DataF
     """
     inside = chi2_cut(1 - share, DIM)
     scale = share / chi2_cdf(inside, DIM + 2)
-    now = materialize(_starts(vectors))
+    now = written(_starts(vectors))
     for _ in range(n_steps):
         scored = _distance(vectors.join(now, ["level", "g"])).withColumn("bin", _bin("d"))
         scored = scored.select("start", "level", "g", "bin", *[f"x{i}" for i in range(DIM)])
         near = scored.join(_nearest(scored, share), ["start", "level", "g"]).where(F.col("bin") <= F.col("cut"))
-        now = materialize(_estimate(near.groupBy("start", "level", "g").agg(*_moments()), scale))
+        now = written(_estimate(near.groupBy("start", "level", "g").agg(*_moments()), scale))
     cells = [f"m{i}" for i in range(DIM)] + [f"l{i}{j}" for i, j in CELLS]
     best = F.min_by(F.struct(*cells, "logdet"), F.struct("logdet", "start"))
     return now.groupBy("level", "g").agg(best.alias("b")).select("level", "g", "b.*")
@@ -313,7 +312,7 @@ def judge(
     named = F.struct(col(lang).cast("string").alias("lang"), col(source).cast("string").alias("source"))
     read = statistics(docs, id_col, text_col, named.alias("group"))
     # The texts are read once: what follows uses this narrow table many times.
-    table = materialize(read.withColumn("base_failed", base_failed()).select("*", *vector()))
+    table = written(read.withColumn("base_failed", base_failed()).select("*", *vector()))
 
     def key(level: int) -> Column:
         parts = [F.col("group.lang"), F.col("group.source")][: 2 - level]
@@ -332,7 +331,7 @@ def judge(
         .groupBy("group")
         .agg(F.min_by(F.struct("level", "g"), "level").alias("c"))
     )
-    choice = materialize(choice.select("group", "c.level", "c.g"))
+    choice = written(choice.select("group", "c.level", "c.g"))
     used = choice.select("level", "g").distinct()
     xs = [f"x{i}" for i in range(DIM)]
     each = passed.select(

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectide.llm import line_dedup, quality, simhash, url_filter
+from vectide.llm import line_dedup, packing, quality, simhash, token_count, token_files, url_filter
 from vectide.plans.registry import Registry, table
 
 REGISTRY = Registry()
@@ -21,12 +22,41 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@REGISTRY.add("op3_token_counts")
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return token_count.counts(table(spark, sf_dir, "documents"), model).withColumnRenamed("id", "doc_id")
+
+
+@REGISTRY.add("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.new_path(spark, "tokens")
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    digests = token_files.read(spark, path).select(
+        "part",
+        "seq",
+        F.col("id").alias("doc_id"),
+        F.floor(F.octet_length("tokens") / 4).alias("n_tokens"),
+        F.crc32("tokens").alias("ids_crc32"),
+    )
+    return token_files.with_starts(digests).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @REGISTRY.add("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.withColumnRenamed("id", "doc_id")
 
 
+@REGISTRY.add("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    packed = packing.pack(table(spark, sf_dir, "documents"), tokenizer, window=2048, end_id=1, digest=True)
+    return packed.select(
+        F.col("id").alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
 URL_RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),

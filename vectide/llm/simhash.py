@@ -25,9 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vectide.llm.common import col, steps
+from vectide.llm.common import col, steps, written
 from vectide.llm.components import components
-from vectide.session import materialize
 
 SHINGLE = 3
 RADIUS = 3
@@ -282,8 +281,8 @@ def groups(
     what is near zero. Null ids take part like others but name a component only where
     it holds nothing else. Rows that repeat are in one component. Empty in, empty out.
     """
-    table = materialize(fingerprints(docs, id_col, text_col, shingle))
-    distinct = materialize(table.groupBy("fp").agg(F.min("id").alias("low")))
+    table = written(fingerprints(docs, id_col, text_col, shingle))
+    distinct = written(table.groupBy("fp").agg(F.min("id").alias("low")))
     found = links(distinct.select("fp"), distinct.count(), radius, slice_rows)
     roots = components(found)
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(

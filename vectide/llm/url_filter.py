@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from vectide.llm.common import ascii_lower, col
 
 #: Urls of one host key that one sorted sweep takes at most, on average.
-SWEEP_ROWS = 16_384
+SWEEP_ROWS = 1024
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _END = F.unhex(F.lit("FF"))
