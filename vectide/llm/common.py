@@ -51,6 +51,15 @@ def per_worker(key: str, make: Callable[[], Any]) -> Any:
     return getattr(store, key)
 
 
+def latest(slot: str, name: str, make: Callable[[], Any]) -> Any:
+    """Like ``per_worker``, but only the value of the last name is kept."""
+    held = per_worker(f"latest:{slot}", dict)
+    if name not in held:
+        held.clear()
+        held[name] = make()
+    return held[name]
+
+
 def tokenizer(path: str):
     """The tokenizer of a file, loaded once per worker."""
 

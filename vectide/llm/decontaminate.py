@@ -18,15 +18,16 @@ compared token by token, and the length goes down from the longest match.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+import uuid
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectide.llm.common import col, steps, written
+from vectide.llm.common import col, latest, steps, written
 
 SEED = 5
 THRESHOLD = 0.8
@@ -35,7 +36,6 @@ BLOCK_CHARS = 8 << 20
 
 _TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_MIX = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -57,7 +57,7 @@ def rolling(numbers: np.ndarray, length: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     # hash(i) = sum of numbers[i + k] * base**(length - 1 - k), by doubling the run.
-    out, done, power = np.zeros(len(numbers), np.uint64), 0, np.uint64(1)
+    out, done = np.zeros(len(numbers), np.uint64), 0
     run, size, base = numbers.copy(), 1, _BASE
     rest = length
     with np.errstate(over="ignore"):
@@ -71,8 +71,7 @@ def rolling(numbers: np.ndarray, length: int) -> np.ndarray:
                 run = run[: len(run) - size] * base + run[size:]
                 size *= 2
                 base = base * base
-    del power
-    return (out * _MIX)[:n]
+    return out
 
 
 class Index:
@@ -134,52 +133,63 @@ def tiles(a: list[bytes], b: list[bytes], a_numbers: np.ndarray, b_numbers: np.n
         upto = np.r_[0, np.cumsum(free)]
         return np.flatnonzero(upto[length:] - upto[:-length] == length)
 
-    def matches(length: int) -> list[tuple[int, int]]:
-        """Places of equal uncovered runs, ascending; hashes first, then the tokens themselves."""
-        if length > min(len(a), len(b)):
-            return []
+    def match(length: int, mark: bool) -> bool:
+        """Whether uncovered runs of this length are equal; with ``mark`` all that can be are covered."""
         x, y = starts(a_free, length), starts(b_free, length)
         if not len(x) or not len(y):
-            return []
+            return False
         hx, hy = rolling(a_numbers, length)[x], rolling(b_numbers, length)[y]
-        y = y[np.isin(hy, hx)]
-        by_hash = defaultdict(list)
-        for place, h in zip(y.tolist(), rolling(b_numbers, length)[y].tolist()):
+        shared = np.isin(hy, hx)
+        by_hash = defaultdict(deque)
+        for place, h in zip(y[shared].tolist(), hy[shared].tolist()):
             by_hash[h].append(place)
-        return [(i, j) for i, h in zip(x.tolist(), hx.tolist()) for j in by_hash.get(h, ()) if a[i : i + length] == b[j : j + length]]
-
-    def longest() -> int:
-        """The largest length with a match: if a length has one, so have all below."""
-        low, high = 0, min(len(a), len(b))
-        if not matches(seed):
+        any_ = False
+        for i, h in zip(x.tolist(), hx.tolist()):
+            places = by_hash.get(h)
+            if not places or not a_free[i : i + length].all():
+                continue
+            # What has been covered meanwhile stays covered: such places are dropped for good.
+            while places and not b_free[places[0] : places[0] + length].all():
+                places.popleft()
+            for j in places:
+                if b_free[j : j + length].all() and a[i : i + length] == b[j : j + length]:
+                    any_ = True
+                    if not mark:
+                        return True
+                    a_free[i : i + length] = False
+                    b_free[j : j + length] = False
+                    found.append((i, j, length))
+                    break
+        return any_
+
+    def longest(high: int) -> int:
+        """The largest length up to ``high`` with a match: if a length has one, so have all below."""
+        if high < seed or not match(seed, False):
             return 0
         low = seed
         while low < high:
             mid = (low + high + 1) // 2
-            low, high = (mid, high) if matches(mid) else (low, mid - 1)
+            low, high = (mid, high) if match(mid, False) else (low, mid - 1)
         return low
 
-    length = longest()
-    while length >= seed:
-        for i, j in matches(length):
-            if a_free[i : i + length].all() and b_free[j : j + length].all():
-                a_free[i : i + length] = False
-                b_free[j : j + length] = False
-                found.append((i, j, length))
-        length = min(length - 1, longest())
+    length = longest(min(len(a), len(b)))
+    while length:
+        match(length, True)
+        length = longest(length - 1)
     return found
 
 
-def _blocks(items: DataFrame, block_chars: int) -> list[list[tuple[object, str]]]:
-    """Items in blocks whose text is bounded, one after the other."""
-    size = F.sum(F.length("text") + 1).over(Window.orderBy("id", "text").rowsBetween(Window.unboundedPreceding, 0))
+def _blocks(items: DataFrame, block_chars: int) -> Iterator[list[tuple[object, str]]]:
+    """Items in blocks of about the given size, one after the other."""
     total = items.agg(F.sum(F.length("text") + 1)).first()[0] or 0
     if total <= block_chars:
         yield [(r["id"], r["text"]) for r in items.collect()]
         return
-    numbered = written(items.withColumn("block", F.floor(size / block_chars)))
-    for n in range(total // block_chars + 1):
-        yield [(r["id"], r["text"]) for r in numbered.where(F.col("block") == n).collect()]
+    n_blocks = total // block_chars + 1
+    row = F.xxhash64(F.monotonically_increasing_id())
+    numbered = written(items.withColumn("block", F.pmod(row, F.lit(n_blocks))))
+    for n in range(n_blocks):
+        yield [(r["id"], r["text"]) for r in numbered.where(F.col("block") == n).select("id", "text").collect()]
 
 
 def contaminated(
@@ -214,9 +224,10 @@ def contaminated(
 
     def scan(part: list[tuple[object, str]]) -> DataFrame:
         shared = spark.sparkContext.broadcast(part)
+        name = uuid.uuid4().hex
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, seed)
+            index = latest("seeds", name, lambda: Index(shared.value, seed))
             for batch in steps(batches, "text"):
                 rows, out = [], []
                 for row, text in enumerate(batch.column("text").to_pylist()):

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectide.llm import line_dedup, packing, quality, simhash, token_count, token_files, url_filter
+from vectide.llm import decontaminate, line_dedup, packing, quality, simhash, token_count, token_files, url_filter
 from vectide.plans.registry import Registry, table
 
 REGISTRY = Registry()
@@ -57,6 +57,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@REGISTRY.add("op7_decontaminate")
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 URL_RULES = [
     ("org", "/", "allow"),
     ("example.org", "/es/", "block"),
