@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectide.llm import decontaminate, line_dedup, packing, quality, simhash, token_count, token_files, url_filter
+from vectide.llm import decontaminate, language, line_dedup, packing, quality, simhash, token_count, token_files, toxicity, url_filter
 from vectide.plans.registry import Registry, table
 
 REGISTRY = Registry()
@@ -22,6 +22,23 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def remainder(n: int) -> Column:
+    """The remainder by which rows are held out."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def identifier(docs: DataFrame) -> language.Identifier | None:
+    """A language model of the rows that are not held out."""
+    return language.fit(docs.where(remainder(3) != 1), "doc_id", "text", "lang")
+
+
+@REGISTRY.add("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, identifier(docs)).withColumnRenamed("id", "doc_id")
+    return found.withColumn("held_out", F.coalesce(remainder(3) == 1, F.lit(False)))
+
+
 @REGISTRY.add("op3_token_counts")
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -100,3 +117,13 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedupe(table(spark, sf_dir, "documents"))
     return done.select(F.col("_row.doc_id").alias("doc_id"), F.col("new_text").alias("text"), "n_removed")
+
+
+@REGISTRY.add("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learn = labels.where(remainder(5) != 0).select("doc_id", "toxic")
+    labelled = docs.select("doc_id", "text").join(learn, "doc_id")
+    judge = toxicity.fit(labelled, "doc_id", "text", "toxic")
+    found = toxicity.score(docs, judge).withColumnRenamed("id", "doc_id")
+    return found.withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(False)))
