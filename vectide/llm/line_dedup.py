@@ -3,9 +3,10 @@ r"""Removal of repeated passages by content-defined chunks of lines.
 A text is cut into lines at ``\n``. Each line is hashed, and a rolling hash over the
 last ``window`` line hashes (a cyclic polynomial: every hash is rotated by its
 distance and all are combined by exclusive or) decides after which lines a chunk
-ends: where it is divisible by ``spacing``. The cut depends on the lines next to it
-alone, so a passage is cut alike wherever it stands and whatever precedes it, but
-for its first lines.
+ends: where it is divisible by ``spacing``, but was not one line before, so that only
+the first and the last chunk of a text can be single lines. The cut depends on the
+lines next to it alone, so a passage is cut alike wherever it stands and whatever
+precedes it, but for its first lines.
 
 Chunks of two lines or more that occur more than once among all documents are
 removed, but for the first occurrence (lowest id, then place). Hashes only select
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from vectide.llm.common import WORD, col, let, whole_row, written
 
 WINDOW = 2
-SPACING = 3
+SPACING = 2
 
 
 def rolling(hashes: Column, i: Column, window: int) -> Column:
@@ -36,10 +37,13 @@ def rolling(hashes: Column, i: Column, window: int) -> Column:
 def chunks(text: Column, window: int = WINDOW, spacing: int = SPACING) -> Column:
     """The chunks of a text in order: struct(place, n_lines, text). Joined by ``\\n`` they give it back."""
 
-    def ends(lines: Column, hashes: Column) -> Column:
+    def ends(lines: Column, marks: Column) -> Column:
         places = F.sequence(F.lit(0), F.size(lines) - 1)
-        cut = lambda i: F.pmod(rolling(hashes, i, window), F.lit(spacing).cast("long")) == 0
-        return F.filter(places, lambda i: cut(i) | (i == F.size(lines) - 1))
+        first = lambda i: F.get(marks, i) & ~F.coalesce(F.get(marks, i - 1), F.lit(False))
+        return F.filter(places, lambda i: first(i) | (i == F.size(lines) - 1))
+
+    def marks(hashes: Column) -> Column:
+        return F.transform(hashes, lambda _, i: F.pmod(rolling(hashes, i, window), F.lit(spacing).cast("long")) == 0)
 
     def cut(lines: Column, ends: Column) -> Column:
         def chunk(end: Column, i: Column) -> Column:
@@ -54,7 +58,7 @@ def chunks(text: Column, window: int = WINDOW, spacing: int = SPACING) -> Column
 
     def of(lines: Column) -> Column:
         hashes = F.transform(lines, lambda line: F.xxhash64(line))
-        return let(let(hashes, lambda h: ends(lines, h)), lambda e: cut(lines, e))
+        return let(let(let(hashes, marks), lambda m: ends(lines, m)), lambda e: cut(lines, e))
 
     return let(F.split(F.coalesce(text, F.lit("")), "\n", -1), of)
 
@@ -76,12 +80,14 @@ def repeated(docs: DataFrame, id_col: str, text_col: str, window: int = WINDOW,
         .where((F.col("c.n_lines") > 1) & F.col("c.text").rlike(WORD))
         .select("key", F.col("c.place").alias("place"), F.xxhash64("c.text").alias("h"), F.col("c.text").alias("text"))
     )
-    often = found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # What a hash is joined with is a table of its own: a hot hash is then only a side of
+    # a join, which is split where it is skewed.
+    often = written(found.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
     found = written(found.join(often, "h", "left_semi"))
     at = F.struct("key", "place")
     first = found.groupBy("h", "text").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     return (
-        found.join(first.drop("n"), ["h", "text"])
+        found.join(written(first.drop("n")), ["h", "text"])
         .where(~at.eqNullSafe(F.col("first")))
         .groupBy("key")
         .agg(F.collect_set("place").alias("places"))
