@@ -23,7 +23,6 @@ from vectide.llm.common import ascii_lower, col
 SWEEP_ROWS = 1024
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-_END = F.unhex(F.lit("FF"))
 
 
 def host_of(url: Column) -> Column:
@@ -75,7 +74,7 @@ def change_points(rules: DataFrame) -> DataFrame:
         .join(around, ["key", "inner"], "left")
         .select(
             "key",
-            F.concat(F.col("inner").cast("binary"), _END).alias("pos"),
+            F.concat(F.col("inner").cast("binary"), F.unhex(F.lit("FF"))).alias("pos"),
             F.struct(*[F.col(f"top.{c}").alias(c) for c in ("host", "path", "verdict")]).alias("top"),
         )
     )
