@@ -93,10 +93,11 @@ def test_dialogues(spark):
     rows = [
         (1, 0, "user", "q1"), (1, 1, "assistant", "a1"), (1, 2, "user", "q2"), (1, 3, "user", "q3"),
         (2, 0, "system", "s"), (2, 1, "user", "q"), (2, 2, "assistant", "a"),
+        (3, 1, "user", "gap"), (3, 7, "assistant", "far"), (4, 0, "user", "q"), (4, 1, "system", "s"), (4, 2, "assistant", "a"), (5, 9, "user", "end"), (6, 1, "assistant", "start"),
     ]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     got = sorted((r.conv_id, r.turn, r.content) for r in C.chunk_dialogues(df).collect())
-    assert got == [(1, 0, "q1\na1"), (2, 1, "q\na")]
+    assert got == [(1, 0, "q1\na1"), (2, 1, "q\na"), (3, 1, "gap\nfar")]
 
 
 def test_chunk_table_is_stable(texts):

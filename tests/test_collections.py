@@ -84,6 +84,9 @@ def test_insert_json(spark):
             coll.insert_json(spark, bad, SPEC)
     lines = spark.createDataFrame([(json.dumps(data),), ("broken",), ("[]",)], "data string")
     assert ids(coll.rows_from_json(lines, "data", SPEC)) == [1, 2]
+    lines = spark.createDataFrame([(json.dumps(data),), ("broken",), ("[]",), ('{"id": 1}',), (None,)], "data string")
+    reasons = [(r.id, r.reject_reason) for r in coll.conform_json(lines, "data", SPEC).collect()]
+    assert sorted(reasons, key=str) == sorted([(1, None), (2, None), *[(None, "not a JSON array")] * 3], key=str)
 
 
 def test_assign_ids_is_dense_ordered_and_repeatable(spark):
@@ -159,19 +162,47 @@ def test_get_and_query(table):
             R.query(table, limit=limit, offset=offset)
 
 
-def test_deep_pages(spark, monkeypatch):
-    df = spark.range(500).select((F.col("id") * 7).alias("id"), F.col("id").cast("string").alias("name")).repartition(6)
-    plain = R.query(df, "id > 100", "name", 20, 300).collect()
-    monkeypatch.setattr(R, "DEEP_PAGE", 10)
-    assert R.query(df, "id > 100", "name", 20, 300).collect() == plain and len(plain) == 20
-
-
-def test_string_keys_have_a_longest_length(spark):
-    spec = coll.CollectionSpec("c", 1, key_type=T.StringType())
+def test_pages_of_repeated_and_missing_keys(spark):
+    rows = sorted(((None if i % 9 == 0 else i % 7, str(i)) for i in range(500)), key=lambda r: (r[0] is not None, r))
+    df = spark.createDataFrame(rows, "id long, name string").repartition(6)
+    for offset in (0, 1, 50, 55, 300, 490, 600):
+        found = [tuple(r) for r in R.query(df, output_fields="name", limit=20, offset=offset).collect()]
+        assert found == rows[offset : offset + 20]
+
+
+def test_latest_with_missing_and_equal_sequences(spark):
+    base = spark.createDataFrame([(1, "old", 1), (2, "old", 1)], "id long, v string, s long")
+    batch = [(1, "x", None), (3, "a", 5), (3, "b", 5), (3, "c", 4), (4, None, None), (4, "only", None)]
+    found = set()
+    for order in (batch, batch[::-1]):
+        fresh = spark.createDataFrame(order, "id long, v string, s long").repartition(3)
+        found.add(tuple(sorted(map(str, R.upsert(base, fresh, sequence="s").collect()))))
+        no_sequence = R.upsert(base, fresh).collect()
+        assert sorted(r.id for r in no_sequence) == [1, 2, 3, 4]
+    assert len(found) == 1
+    state = {r.id: r for r in R.upsert(base, fresh, sequence="s").collect()}
+    assert state[1].v == "x" and state[2].v == "old" and state[3].s == 5
+    with_old = spark.createDataFrame([(1, "x", None), (1, "kept", 1)], "id long, v string, s long")
+    assert R.latest(with_old, "id", "s").first().v == "kept"
+    maps = spark.createDataFrame([(1, {"a": "b", "c": "d"}), (1, {"c": "d", "a": "b"})], "id long, m map<string,string>")
+    assert R.latest(maps, "id").count() == 1
+
+
+def test_string_keys_are_limited_only_on_request(spark):
     rows = spark.createDataFrame([("k" * 256, [1.0]), ("k" * 257, [1.0])], "id string, vector array<float>")
+    spec = coll.CollectionSpec("c", 1, key_type=T.StringType())
+    assert [r.reject_reason for r in coll.conform(rows, spec).collect()] == [None, None]
+    spec = coll.CollectionSpec("c", 1, key_type=T.StringType(), max_length={"id": 256})
     assert [r.reject_reason for r in coll.conform(rows, spec).collect()] == [None, "id too long"]
 
 
+def test_infinite_elements_are_refused(spark):
+    inf = float("inf")
+    rows = spark.createDataFrame([(1, [inf, 1.0], "a"), (2, [1.0, -inf], "b"), (3, [1.0, None], "c"), (4, [1.0, 2.0], "d")], "id long, vector array<float>, text string")
+    found = {r.id: r.reject_reason for r in coll.conform(rows, SPEC).collect()}
+    assert found == {1: "invalid vector element", 2: "invalid vector element", 3: "invalid vector element", 4: None}
+
+
 def test_inventory(spark, table, vectors):
     rows = coll.inventory({"b": table, "a": vectors([(1, [1.0, 2.0])])}).collect()
     assert sorted(tuple(r) for r in rows) == [("a", 1, 2, 2), ("b", 4, 3, None)]

@@ -240,3 +240,31 @@ def test_kernel_is_exact_for_any_batching(rows, queries, k, metric, batch, merge
         if np.isfinite(bounds[1]):
             order = [i for i in order if bounds[0] <= alike[i] <= bounds[1]]
         assert [i for i, _ in got.get(q, [])] == list(order[:k])
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "L2", "IP"])
+def test_rows_without_a_score_displace_nothing(vectors, asked, metric):
+    bad = float("nan"), float("inf"), -float("inf")
+    good = [(i, [float(i % 7 + 1), float(i % 5 + 1)]) for i in range(50)]
+    wanted = nearest.search(vectors(good), asked([(1, [1.0, 2.0])]), limit=10, metric=metric).collect()
+    rows = good + [(100 + i, [bad[i % 3], 1.0]) for i in range(30)]
+    found = nearest.search(vectors(rows), asked([(1, [1.0, 2.0])]), limit=10, metric=metric).collect()
+    assert found == wanted and len(found) == 10
+    in_range = nearest.range_search(vectors(rows), asked([(1, [1.0, 2.0])]), radius=-1e9, metric=metric)
+    assert in_range.where("id >= 100").count() == 0
+
+
+def test_equal_vectors_and_queries_without_length(vectors, asked, monkeypatch):
+    monkeypatch.setattr(kernels, "EXACT_BYTES", 100)
+    rows = [(i, [3.0, 4.0]) for i in range(300, 0, -1)] + [(900, [0.0, 0.0])]
+    found = nearest.search(vectors(rows), asked([(1, [1.0, 1.0]), (2, [0.0, 0.0])]), limit=3).collect()
+    assert [(r.qid, r.id, r.score is None) for r in found] == [(1, 1, False), (1, 2, False), (1, 3, False), (2, 1, True), (2, 2, True), (2, 3, True)]
+
+
+def test_queries_above_the_bound_leave_the_collection_in_place(vectors, asked):
+    rows, questions = [(i, [float(i), 1.0]) for i in range(200)], [(q, [float(q), 2.0]) for q in range(40)]
+    plain = nearest.search(vectors(rows), asked(questions), limit=3)
+    cut = nearest.search(vectors(rows), asked(questions), limit=3, broadcast_bytes=100, block_bytes=200)
+    assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "cogroup" not in plan.lower()

@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 
 PAIRS_PER_STEP = 4_000_000
+# Bytes of vectors that are scored exactly in one step.
+EXACT_BYTES = 64 * 1024 * 1024
 # New candidates that are gathered before they are merged into the best k.
 MERGE_AT = 20_000
 
@@ -52,6 +54,14 @@ def exact(metric: str, a: np.ndarray, b: np.ndarray, decimals: int) -> np.ndarra
     return np.round(s, decimals)
 
 
+def exact_pairs(metric: str, a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, decimals: int) -> np.ndarray:
+    """Scores of rows ``a[i]`` and ``b[j]``, gathered in steps of bounded size."""
+    step = max(1, EXACT_BYTES // (16 * max(1, a.shape[1])))
+    with np.errstate(over="ignore", invalid="ignore"):
+        parts = [exact(metric, a[i[s : s + step]], b[j[s : s + step]], decimals) for s in range(0, len(i), step)]
+    return np.concatenate(parts) if parts else np.empty(0)
+
+
 class Queries:
     """Query vectors prepared for screening; cosine screens with unit vectors."""
 
@@ -65,7 +75,7 @@ class Queries:
             self.left = self.vectors / np.where(length > 0, length, 1.0)[:, None]
             self.weight = np.ones(len(vectors))
         else:
-            self.left, self.weight = self.vectors, self.squares
+            self.left, self.weight = self.vectors, np.where(np.isfinite(self.squares), self.squares, 0.0)
         self.single = _fits_single(self.squares)
 
     def __len__(self):
@@ -78,7 +88,7 @@ class Queries:
 
 def _fits_single(squares: np.ndarray) -> bool:
     """Whether products of vectors of these lengths neither overflow nor vanish in single precision."""
-    some = squares[squares > 0]
+    some = squares[(squares > 0) & np.isfinite(squares)]
     return not len(some) or (some.max() < 1e30 and some.min() > 1e-30)
 
 
@@ -92,7 +102,8 @@ class Block:
         self.right = rows.astype(self.kind, copy=False).T
         eps = np.finfo(self.kind).eps
         self.error = 4.0 * (q.dim + 4) * float(eps)
-        self.most = 1.0 if q.metric == "COSINE" else float(self.squares.max(initial=0.0))
+        sound = self.squares[np.isfinite(self.squares)]
+        self.most = 1.0 if q.metric == "COSINE" else float(sound.max(initial=0.0))
 
     def screen(self, q: Queries, pick: np.ndarray):
         """Approximate gains (bigger is better) of some queries against the rows, and their margin."""
@@ -106,6 +117,9 @@ class Block:
                 gain *= np.where(self.squares > 0, 1 / np.sqrt(self.squares), 0).astype(self.kind)[None, :]
                 gain[:, self.squares == 0] = -np.inf
                 gain[q.squares[pick] == 0] = -np.inf
+        # A row or query with NaN or infinite elements has no score and displaces nothing.
+        gain[:, ~np.isfinite(self.squares)] = -np.inf
+        gain[~np.isfinite(q.squares[pick])] = -np.inf
         # Covers the rounding of scores as well, so that equal rounded scores are never cut apart.
         return gain, (4e-9 + self.error) * (1.0 + q.weight[pick] + self.most)
 
@@ -153,6 +167,12 @@ class TopK:
         pick = np.arange(len(self.q)) if pick is None else pick
         block = Block(self.q, rows)
         step = max(1, PAIRS_PER_STEP // len(rows))
+        # Of rows without a score, which rank last by their id, only the lowest k matter.
+        undefined = ~np.isfinite(block.squares) | ((self.q.metric == "COSINE") & (block.squares == 0))
+        by_id = np.argsort(ids, kind="stable")
+        low_undefined, low_any = np.zeros(len(rows), bool), np.zeros(len(rows), bool)
+        low_undefined[by_id[undefined[by_id]][: self.k]] = True
+        low_any[by_id[: self.k]] = True
         for start in range(0, len(pick), step):
             part = pick[start : start + step]
             gain, margin = block.screen(self.q, part)
@@ -167,8 +187,11 @@ class TopK:
             near = gain >= (floor - margin)[:, None]
             if np.isfinite(self.bounds.most):
                 near &= gain <= (self.bounds.most + margin)[:, None]
+            mute = ~np.isfinite(self.q.squares[part]) | ((self.q.metric == "COSINE") & (self.q.squares[part] == 0))
+            near &= ~np.isneginf(gain) | np.where(mute[:, None], low_any[None, :], low_undefined[None, :])
             a, b = np.nonzero(near)
-            value = exact(self.q.metric, self.q.vectors[part[a]], rows[b], self.decimals)
+            value = exact_pairs(self.q.metric, self.q.vectors, part[a], rows, b, self.decimals)
+            value = np.where(np.isfinite(value), value, np.nan)
             keep = self.bounds.keep(value)
             value = -value if self.q.metric == "L2" else value
             gains = np.where(np.isnan(value), -np.inf, value)
@@ -218,7 +241,7 @@ def in_range(q: Queries, ids, rows, low: float, high: float, decimals: int, id_t
         part = np.arange(start, min(start + step, len(q)))
         gain, margin = block.screen(q, part)
         a, b = np.nonzero((gain >= (bounds.least - margin)[:, None]) & (gain <= (bounds.most + margin)[:, None]))
-        value = exact(q.metric, q.vectors[part[a]], rows[b], decimals)
+        value = exact_pairs(q.metric, q.vectors, part[a], rows, b, decimals)
         keep = bounds.keep(value) & np.isfinite(value)
         if keep.any():
             yield pa.table(

@@ -1,24 +1,32 @@
 """Keyword search: sparse term vectors and BM25 over a table of query texts.
 
 The index keeps one row per text, ``(id, dl, terms)``, and the text count of each
-term. Stored in buckets by id (`store_index`), a search scans the rows once without
-moving them: the scores of a text are summed where the text lies, and only the best
-k per query and task are shuffled.
+term. A search scans the rows once without moving them: the texts of a batch are scored
+against all queries at once where they lie, and only the best k per query and task are
+shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
+from vectide.functions.kernels import MERGE_AT, PAIRS_PER_STEP, id_values
 from vectide.functions.predicates import predicate
 from vectide.functions.text import term_counts, tokens
 from vectide.functions.vectors import SCORE_DECIMALS
 from vectide.operators.nearest import attach_fields, cut_similarity, rank_hits
 from vectide.session import materialize
-from vectide.sizing import BROADCAST_BYTES, SALTS, Size, deal_out, measure, numbers
+from vectide.sizing import BROADCAST_BYTES, Size, deal_out, measure
 
 # BM25 parameters and the number of hits.
 K1, B, LIMIT = 1.2, 0.75, 10
@@ -106,52 +114,134 @@ def idf(n_docs: Column, df: Column) -> Column:
     return F.log(1.0 + (n_docs - df + 0.5) / (df + 0.5))
 
 
-def saturation(tf: Column, dl: Column, avg_dl: Column, k1: float, b: float) -> Column:
-    return tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * dl / avg_dl))
-
-
-def bm25_scores(
+class Weights:
+    """Query words prepared for scoring: for each word the queries that ask it and its weight there."""
+
+    def __init__(self, table: pa.Table):
+        table = table.combine_chunks()
+        self.ids = pc.unique(table["qid"])
+        self.words = pc.unique(table["term"])
+        query = pc.index_in(table["qid"], value_set=self.ids).to_numpy()
+        word = pc.index_in(table["term"], value_set=self.words).to_numpy()
+        order = np.argsort(word, kind="stable")
+        self.query, self.weight = query[order].astype(np.int64), table["w"].to_numpy()[order]
+        self.count = np.bincount(word, minlength=len(self.words))
+        self.first = np.cumsum(self.count) - self.count
+
+    def scores(self, batch: pa.RecordBatch, k1: float, b: float, mean: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places of some rows and their scores by all queries, 0 where they share no word."""
+        lists, n = batch["terms"], batch.num_rows
+        flat = lists.flatten()
+        word = pc.fill_null(pc.index_in(pc.struct_field(flat, "term"), value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        tf = pc.struct_field(flat, "tf").to_numpy(zero_copy_only=False).astype(np.float64)
+        row = np.repeat(np.arange(n), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        asked = word >= 0
+        word, tf, row = word[asked], tf[asked], row[asked]
+        dl = batch["dl"].to_numpy(zero_copy_only=False).astype(np.float64)[row]
+        part = tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * dl / mean))
+        step = max(1, PAIRS_PER_STEP // len(self.ids))
+        for start in range(0, n, step):
+            low, high = np.searchsorted(row, [start, start + step])
+            if low == high:
+                continue
+            times = self.count[word[low:high]]
+            at = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            at += np.repeat(self.first[word[low:high]], times)
+            rows = min(step, n - start)
+            cell = (np.repeat(row[low:high], times) - start) * len(self.ids) + self.query[at]
+            total = np.bincount(cell, np.repeat(part[low:high], times) * self.weight[at], rows * len(self.ids))
+            yield np.arange(start, start + rows), np.round(total, SCORE_DECIMALS).reshape(rows, -1)
+
+
+class Best:
+    """The best k texts of every query over the batches of a task, ties to the lower id."""
+
+    def __init__(self, k: int):
+        self.k, self.held, self.new = k, None, []
+
+    def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
+        bar = np.zeros(scores.shape[1])
+        if len(ids) > self.k:
+            bar = np.partition(scores, len(ids) - self.k, axis=0)[len(ids) - self.k]
+        row, query = np.nonzero((scores >= bar) & (scores > 0))
+        self.new.append((query, scores[row, query], ids[row]))
+        if sum(len(x[0]) for x in self.new) > MERGE_AT:
+            self.merge()
+
+    def merge(self) -> None:
+        parts = [p for p in [self.held, *self.new] if p is not None]
+        self.new = []
+        if not parts:
+            return
+        query, score, ids = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        order = np.lexsort((ids, -score, query))
+        query, score, ids = query[order], score[order], ids[order]
+        keep = np.arange(len(query)) - np.searchsorted(query, query) < self.k
+        self.held = (query[keep], score[keep], ids[keep])
+
+
+def _scan(rows: DataFrame, weights: DataFrame, schema: T.StructType, k: int, k1: float, b: float, mean: float) -> DataFrame:
+    """Score the texts of every task in place against a bounded table of query words."""
+    table = weights.toArrow()
+    if not len(table):
+        return rows.sparkSession.createDataFrame([], schema)
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+    id_type = to_arrow_type(schema["id"].dataType)
+
+    def run(batches):
+        prepared, best = Weights(shared.value), Best(k)
+        for batch in batches:
+            if batch.num_rows:
+                ids = id_values(batch["id"])
+                for places, scores in prepared.scores(batch, k1, b, mean):
+                    best.add(ids[places], scores)
+        best.merge()
+        if best.held is not None:
+            query, score, ids = best.held
+            found = pa.array(ids.tolist() if ids.dtype.kind == "U" else ids).cast(id_type)
+            yield pa.RecordBatch.from_arrays([prepared.ids.take(pa.array(query)), found, pa.array(score)], ["qid", "id", "score"])
+
+    return rows.select("id", "dl", "terms").mapInArrow(run, schema)
+
+
+def bm25_hits(
     index: TextIndex,
     asked: DataFrame,
     size: Size,
+    k: int,
     k1: float = K1,
     b: float = B,
     candidates: DataFrame | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Score of every text that shares a word with a query: ``(qid, id, score)``.
+    """``(qid, id, score)``: of every task the best ``k`` texts of each query.
 
-    ``asked`` and ``size`` are the query words and their measured size.
-    ``candidates(id)`` restricts the texts, never the statistics.
+    ``asked`` and ``size`` are the query words and their measured size. A table above
+    the bound is cut into blocks of queries, each of which is a scan of its own: texts
+    never move. ``candidates(id)`` restricts the texts, never the statistics.
     """
     small = size.bytes <= broadcast_bytes
     vocabulary = asked.select("term").distinct()
     known = index.terms.join(F.broadcast(vocabulary) if small else vocabulary, "term", "left_semi")
-    n_docs = index.totals.select("n_docs").scalar().cast("double")
+    totals = index.totals.first()
+    schema = T.StructType(
+        [T.StructField("qid", asked.schema["qid"].dataType), T.StructField("id", index.rows.schema["id"].dataType), T.StructField("score", T.DoubleType())]
+    )
+    if not totals["n_docs"]:
+        return asked.sparkSession.createDataFrame([], schema)
+    n_docs, mean = F.lit(float(totals["n_docs"])), float(totals["avg_dl"]) or 1.0
     weights = asked.join(known, "term").select(
         "qid", "term", (F.col("qtf") * idf(n_docs, F.col("df").cast("double"))).alias("w")
     )
-    held = postings(index.rows)
-    if small:
-        # Keep only the postings of asked words, gather those of a text in one
-        # place, and only then multiply them by the queries.
-        held = held.join(F.broadcast(vocabulary), "term", "left_semi")
-        held = held if index.clustered else held.repartition("id")
+    rows = index.rows
     if candidates is not None:
-        # The postings are arranged by id already: only the ids move.
-        held = held.join(candidates.distinct(), "id", "left_semi")
+        rows = rows.join(candidates.distinct(), "id", "left_semi")
     if small:
-        matched = held.join(F.broadcast(weights), "term")
-    else:
-        # A word held by a third of all texts is cut into slices.
-        salt = F.pmod(F.xxhash64("id"), F.lit(SALTS))
-        matched = held.withColumn("_salt", salt).join(
-            weights.select("*", numbers(SALTS).alias("_salt")), ["term", "_salt"]
-        )
-    tf, dl = F.col("tf").cast("double"), F.col("dl").cast("double")
-    mean = index.totals.select("avg_dl").scalar()
-    part = F.col("w") * saturation(tf, dl, mean, float(k1), float(b))
-    return matched.groupBy("qid", "id").agg(F.round(F.sum(part), SCORE_DECIMALS).alias("score"))
+        return _scan(rows, weights, schema, k, float(k1), float(b), mean)
+    n_blocks = min(size.rows, -(-size.bytes // max(1, broadcast_bytes)))
+    kept = materialize(weights.withColumn("_block", F.pmod(F.xxhash64("qid"), F.lit(n_blocks))))
+    blocks = [kept.where(F.col("_block") == n).drop("_block") for n in range(n_blocks)]
+    return reduce(DataFrame.unionByName, [_scan(rows, w, schema, k, float(k1), float(b), mean) for w in blocks])
 
 
 def bm25_search(
@@ -182,8 +272,8 @@ def bm25_search(
         candidates = corpus.where(predicate(filter)).select(F.col(id_col).alias("id"))
     asked = query_terms(queries, qid_col, text_col)
     size = measure(asked)
-    scores = bm25_scores(index, asked, size, k1, b, candidates, broadcast_bytes)
-    hits = rank_hits(scores, "IP", limit).select(
+    found = bm25_hits(index, asked, size, limit, k1, b, candidates, broadcast_bytes)
+    hits = rank_hits(found, "IP", limit).select(
         "qid", "rank", "id", "score", F.col("score").alias("similarity")
     )
     hits = cut_similarity(hits, min_similarity)

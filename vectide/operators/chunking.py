@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vectide.functions.text import strip
+from vectide.sources.collections import assign_ids
 from vectide.sizing import deal_out
 
 # Default sizes in characters, sentence ends and the paragraph delimiter.
@@ -189,13 +190,17 @@ def chunk_headings(
 def chunk_dialogues(df: DataFrame, conv_col="conv_id", turn_col="turn", role_col="role", text_col="text") -> DataFrame:
     """One chunk per question and answer: a user turn and the assistant turn that follows it.
 
-    Turns are numbered without gaps, so the pair is an equality join on
-    (conversation, turn): a very long conversation spreads like any other data.
+    Turn numbers may have gaps. All turns are numbered anew in the order of conversation
+    and turn, slice by slice, and the next turn is an equality join on that number: a
+    very long conversation spreads like any other data.
     """
-    conv, turn, role, text = (F.col(c) for c in (conv_col, turn_col, role_col, text_col))
-    asked = df.where(role == "user").select(conv_col, turn_col, text.alias("question"))
-    answered = df.where(role == "assistant").select(conv_col, (turn - 1).alias(turn_col), text.alias("answer"))
-    pairs = asked.join(answered, [conv_col, turn_col])
+    conv, role, text = (F.col(c) for c in (conv_col, role_col, text_col))
+    order = [conv_col, turn_col, role_col, text_col]
+    turns = assign_ids(df.select(*order), order, id_col="_number")
+    asked = turns.where(role == "user").select("_number", conv_col, turn_col, text.alias("question"))
+    answered = turns.where(role == "assistant")
+    answered = answered.select((F.col("_number") - 1).alias("_number"), conv.alias("_conv"), text.alias("answer"))
+    pairs = asked.join(answered, "_number").where(conv.eqNullSafe(F.col("_conv"))).drop("_number", "_conv")
     return pairs.withColumn("content", F.concat_ws("\n", "question", "answer"))
 
 

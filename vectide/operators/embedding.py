@@ -16,6 +16,7 @@ from vectide.functions.text import strip, tokens
 from vectide.operators.nearest import search
 from vectide.session import materialize
 from vectide.sizing import deal_out, spread_join
+from vectide.workers import per_worker
 
 VECTOR = T.ArrayType(T.FloatType(), False)
 
@@ -67,9 +68,6 @@ class HashingEncoder:
         return dense(F.transform(F.coalesce(tokens(text), F.array().cast("array<string>")), slot))
 
 
-_MODELS: dict[str, Callable] = {}
-
-
 @dataclass(frozen=True)
 class ModelEncoder:
     """A user's model. ``load`` returns a function from a list of texts to a matrix.
@@ -87,10 +85,9 @@ class ModelEncoder:
 
         @F.arrow_udf(VECTOR)
         def run(texts: pa.Array) -> pa.Array:
-            if name not in _MODELS:
-                _MODELS[name] = load()
+            model = per_worker(f"model:{name}", load)
             values = [t or "" for t in texts.to_pylist()]
-            parts = [np.asarray(_MODELS[name](values[i : i + size]), np.float64) for i in range(0, len(values), size)]
+            parts = [np.asarray(model(values[i : i + size]), np.float64) for i in range(0, len(values), size)]
             rows = np.concatenate(parts) if parts else np.empty((0, dim))
             if rows.shape != (len(values), dim):
                 raise ValueError(f"model {name} returned shape {rows.shape}, expected {(len(values), dim)}")

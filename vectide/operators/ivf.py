@@ -27,9 +27,8 @@ from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES
 # Share of the cells that each precision level looks into.
 LEVEL_SHARE = {1: 1 / 8, 2: 1 / 4, 3: 1 / 2, 4: 3 / 4, 5: 1.0}
 
-# Vectors per cell that the centroids are fitted to. Every row gets its cell;
-# the number bounds only the rows that the centroids are averaged from.
-TRAINING_PER_CELL = 1024
+# Rows whose distances to all centroids one step holds.
+STEP_CELLS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -65,7 +64,7 @@ def probes(n_cells: int, level: int = 1, search_params: str | None = None) -> in
 
 
 def default_cells(n: int) -> int:
-    return int(min(4096, max(1, round(math.sqrt(n)))))
+    return max(1, round(math.sqrt(n)))
 
 
 def _directions(df: DataFrame, metric: str, column: str) -> DataFrame:
@@ -77,13 +76,11 @@ def _directions(df: DataFrame, metric: str, column: str) -> DataFrame:
 
 
 def fit_centroids(
-    corpus: DataFrame, n_cells: int, metric: str, vector_col: str = "vector", seed: int = 7, rows: int | None = None
+    corpus: DataFrame, n_cells: int, metric: str, vector_col: str = "vector", seed: int = 7, max_iter: int = 10
 ) -> np.ndarray:
-    n = corpus.count() if rows is None else rows
-    share = min(1.0, TRAINING_PER_CELL * n_cells / max(1, n))
-    train = corpus if share >= 1.0 else corpus.sample(share, seed)
-    features = _directions(train, metric, vector_col).select(array_to_vector("v").alias("features"))
-    model = KMeans(k=n_cells, seed=seed, initMode="random", maxIter=10).fit(features)
+    """Centroids of all rows, by distributed k-means."""
+    features = _directions(corpus, metric, vector_col).select(array_to_vector("v").alias("features"))
+    model = KMeans(k=n_cells, seed=seed, initMode="random", maxIter=max_iter).fit(features)
     return np.array(model.clusterCenters())
 
 
@@ -91,8 +88,23 @@ def _nearest_cells(vectors: np.ndarray, centroids: np.ndarray, metric: str, coun
     if metric == "COSINE":
         length = np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
         vectors = vectors / np.where(length > 0, length, 1.0)[:, None]
-    far = np.einsum("ij,ij->i", centroids, centroids)[None, :] - 2.0 * (vectors @ centroids.T)
-    return np.argsort(far, axis=1, kind="stable")[:, :count]
+    squares = np.einsum("ij,ij->i", centroids, centroids)[None, :]
+    step = max(1, STEP_CELLS // len(centroids))
+    found = [np.empty((0, count), np.int64)]
+    for start in range(0, len(vectors), step):
+        far = squares - 2.0 * (vectors[start : start + step] @ centroids.T)
+        if count == 1:
+            found.append(far.argmin(axis=1)[:, None])
+        elif count == len(centroids):
+            found.append(np.tile(np.arange(count), (len(far), 1)))
+        else:
+            # Of equally far cells at the edge the lower ones, as in a full sort.
+            edge = np.partition(far, count - 1, axis=1)[:, count - 1 : count]
+            nearer, at_edge = far < edge, far == edge
+            room = count - nearer.sum(axis=1, keepdims=True)
+            chosen = nearer | (at_edge & (np.cumsum(at_edge, axis=1) <= room))
+            found.append(np.nonzero(chosen)[1].reshape(len(far), count))
+    return np.concatenate(found)
 
 
 def _with_cells(df: DataFrame, vector_col: str, centroids: np.ndarray, metric: str, count: int) -> DataFrame:
@@ -119,13 +131,15 @@ def build(
     id_col: str = "id",
     vector_col: str = "vector",
     seed: int = 7,
+    max_iter: int = 10,
+    centroids: np.ndarray | None = None,
 ) -> CellIndex:
-    """Fit centroids and assign every row to its nearest one."""
+    """Assign every row to its nearest centroid; centroids are fitted unless they are given."""
     metric = check_metric(metric)
     rows = corpus.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector")).where("vector is not null")
-    n = rows.count()
-    cells = n_cells or default_cells(n)
-    centroids = fit_centroids(rows, cells, metric, seed=seed, rows=n)
+    if centroids is None:
+        cells = n_cells or default_cells(rows.count())
+        centroids = fit_centroids(rows, cells, metric, seed=seed, max_iter=max_iter)
     if centroids.nbytes > BROADCAST_BYTES:
         raise ValueError("the centroids exceed the broadcast bound; use fewer cells")
     placed = _with_cells(rows, "vector", centroids, metric, 1)

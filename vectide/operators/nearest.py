@@ -2,15 +2,15 @@
 
 The query table is measured first. A small one is sent to every task and the
 collection is scanned once, without moving a row: each task keeps its own best k
-per query and only those are shuffled. A large one is cut into blocks, and so is
-the collection; the blocks meet in a grid whose cells have a bounded size.
-Either way no pair of rows is ever emitted, only the best of each block.
+per query and only those are shuffled. A large one is cut into blocks, each of which
+is sent to a scan of its own. No pair of rows is ever emitted, only the best of each task.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -21,7 +21,8 @@ from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from vectide.functions import kernels
 from vectide.functions.predicates import fields_list, predicate
 from vectide.functions.vectors import SCORE_DECIMALS, best_first, check_metric, similarity
-from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES, HIT_BYTES, KEY_BYTES, estimated_bytes, spread_join
+from vectide.session import materialize
+from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES, HIT_BYTES, estimated_bytes, spread_join
 
 # Bytes that one task scans, and the number of rows that one task may merge for a query.
 SCAN_BYTES = 128 * 1024 * 1024
@@ -50,6 +51,13 @@ def query_size(queries: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["d"] or 0)
 
 
+def id_bytes(queries: DataFrame) -> int:
+    """Bytes of the query ids: strings as they are, others as numbers."""
+    kind = queries.schema["qid"].dataType
+    width = F.octet_length("qid") if isinstance(kind, (T.StringType, T.BinaryType)) else F.lit(8)
+    return int(queries.agg(F.sum(width)).first()[0] or 0)
+
+
 def collect_queries(queries: DataFrame) -> tuple[pa.Array, pa.Array]:
     table = queries.select("qid", "qv").toArrow().combine_chunks()
     return table.column("qid").combine_chunks(), table.column("qv").combine_chunks()
@@ -115,9 +123,14 @@ def meet_blocks(
 def _hits(rows, asked, n: int, dim: int, schema, run, broadcast_bytes: int, block_bytes: int) -> DataFrame:
     if not n:
         return rows.sparkSession.createDataFrame([], schema)
-    if n * dim * 8 <= broadcast_bytes:
+    size = n * dim * 8 + id_bytes(asked)
+    if size <= broadcast_bytes:
         return _scan(rows, asked, dim, schema, run)
-    return meet_blocks(rows, asked, dim, schema, run, block_bytes, (rows.count(), n))
+    # Too many queries for one broadcast: one scan for each block of them, so the collection never moves.
+    n_blocks = min(n, -(-size // block_bytes))
+    kept = materialize(asked.withColumn("_block", F.pmod(F.xxhash64("qid", "qv"), F.lit(n_blocks))))
+    blocks = [kept.where(F.col("_block") == b).select("qid", "qv") for b in range(n_blocks)]
+    return reduce(DataFrame.unionByName, [_scan(rows, block, dim, schema, run) for block in blocks])
 
 
 def top_k_run(metric: str, k: int, dim: int, id_type: T.DataType, low=-math.inf, high=math.inf):
@@ -254,8 +267,9 @@ def attach_fields(
         return hits
     entity = corpus.select(F.col(id_col).alias("id"), *[F.col(n) for n in names])
     payload = entity.columns[1:]
-    width = HIT_BYTES + KEY_BYTES * sum(isinstance(hits.schema[c].dataType, T.StringType) for c in ("qid", "id"))
-    if max_hits is not None and max_hits * width <= BROADCAST_BYTES:
+    # Only keys of fixed width tell the size of the hits before they are found.
+    fixed = not any(isinstance(hits.schema[c].dataType, (T.StringType, T.BinaryType)) for c in ("qid", "id"))
+    if max_hits is not None and fixed and max_hits * HIT_BYTES <= BROADCAST_BYTES:
         joined = entity.join(F.broadcast(hits), "id")
     else:
         fetched = entity.join(hits.select("id").distinct(), "id", "left_semi")

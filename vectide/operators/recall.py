@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectide.functions.text import substrings
-from vectide.operators.bm25 import bm25_search
+from vectide.operators.bm25 import TextIndex, bm25_search
 from vectide.operators.embedding import Encoder, embed
-from vectide.operators.nearest import rank_hits, search, top_k
+from vectide.operators.nearest import attach_fields, rank_hits, search, top_k
 from vectide.operators.query_text import (
     MAX_EXPANSIONS,
     MAX_REWRITES,
@@ -154,15 +154,18 @@ def expansion_recall(
     Equal texts are embedded and searched once.
     """
     variants = expansion_variants(queries, synonyms, rules)
-    texts = variants.select(F.col("variant_text").alias("qid")).distinct()
+    # The search carries a hash of the text, so the size of texts does not matter to it.
+    variants = variants.withColumn("text_key", F.sha2("variant_text", 256))
+    texts = variants.select(F.col("text_key").alias("qid"), "variant_text").dropDuplicates(["qid"])
+    variants = variants.drop("variant_text")
     # Written once: the search first counts its queries, and a model should not run twice.
-    asked = materialize(embed(texts, "qid", encoder, vector_col="qv"))
+    asked = materialize(embed(texts, "variant_text", encoder, vector_col="qv").select("qid", "qv"))
     most = max(size for _, size in (ORIGINAL, EXPANDED, REWRITTEN))
-    hits = top_k(corpus, asked, most, metric, vector_col=vector_col).withColumnRenamed("qid", "variant_text")
+    hits = top_k(corpus, asked, most, metric, vector_col=vector_col).withColumnRenamed("qid", "text_key")
     # A text that a third of all queries share is searched once and handed out in slices.
     few = measure(asked.select("qid")).bytes * most <= BROADCAST_BYTES
     weighted = (
-        spread_join(variants, hits, ["variant_text"], "qid", small=few)
+        spread_join(variants, hits, ["text_key"], "qid", small=few)
         .where(F.col("rank") <= F.col("size"))
         .groupBy("qid", "id")
         .agg(F.max(F.col("weight") * F.col("similarity")).alias("score"))
@@ -192,7 +195,7 @@ def fuse(
 
 def hybrid_search(
     corpus: DataFrame,
-    index: DataFrame,
+    index: TextIndex,
     queries: DataFrame,
     limit: int = 10,
     vector_weight: float = VECTOR_WEIGHT,
@@ -200,9 +203,14 @@ def hybrid_search(
     candidates: int = DENSE_LIMIT,
     metric: str = "COSINE",
     vector_col: str = "vector",
+    filter: str | None = None,
+    output_fields=None,
 ) -> DataFrame:
-    """Dense and keyword search of ``queries(qid, query_text, qv)``, fused."""
-    dense = search(corpus, queries, candidates, metric, anns_field=vector_col)
-    keyword = bm25_search(index, queries, candidates)
-    return fuse(dense, keyword, limit, vector_weight, text_weight)
+    """Dense and keyword search of ``queries(qid, query_text, qv)``, fused.
+
+    ``filter`` restricts the rows of both sides; hits carry ``output_fields`` of the corpus.
+    """
+    dense = search(corpus, queries, candidates, metric, filter, anns_field=vector_col)
+    keyword = bm25_search(index, queries, candidates, corpus=corpus if filter else None, filter=filter)
+    return attach_fields(fuse(dense, keyword, limit, vector_weight, text_weight), corpus, output_fields)
 

@@ -7,26 +7,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vectide.functions.predicates import fields_list, predicate
 from vectide.sizing import broadcast_if_small
 from vectide.sources.collections import assign_ids, in_partitions, names_list
 
-# Rows up to the end of a page that one task may sort.
-DEEP_PAGE = 100_000
 
+def _comparable(df: DataFrame, name: str) -> Column:
+    """The column in a form that can be hashed: entries of a map in the order of their keys."""
+    value = F.col(f"`{name}`")
+    return F.array_sort(F.map_entries(value)) if isinstance(df.schema[name].dataType, T.MapType) else value
 
-def latest(batch: DataFrame, key: str, sequence: str) -> DataFrame:
-    """The last row of each key; rows of a busy key are combined before the shuffle."""
+
+def latest(batch: DataFrame, key: str, sequence: str | None = None) -> DataFrame:
+    """The last row of each key; rows of a busy key are combined before the shuffle.
+
+    A row without a sequence comes before all that have one. Rows of one sequence are
+    ordered by a hash of their values, so a run on the same rows always keeps the same.
+    """
     rest = [c for c in batch.columns if c != key]
-    newest = F.max_by(F.struct(*rest), F.col(sequence)).alias("_row")
+    tie = F.xxhash64(*[_comparable(batch, c) for c in rest]).alias("tie")
+    order = [F.col(sequence).isNotNull().alias("known"), F.col(sequence).alias("sequence")] if sequence else []
+    newest = F.max_by(F.struct(*rest), F.struct(*order, tie)).alias("_row")
     return batch.groupBy(key).agg(newest).select(key, "_row.*").select(*batch.columns)
 
 
 def upsert(base: DataFrame, batch: DataFrame, key: str = "id", sequence: str | None = None) -> DataFrame:
-    """Replace by key. A batch that repeats keys needs ``sequence``: its highest value wins."""
-    fresh = latest(batch, key, sequence) if sequence else batch
-    fresh = fresh.select(*base.columns)
+    """Replace by key. Of a batch's rows with one key the one with the highest ``sequence`` counts.
+
+    Without a sequence such rows are ordered by a hash of their values.
+    """
+    fresh = latest(batch, key, sequence).select(*base.columns)
     keys = broadcast_if_small(fresh.select(key), measured=batch.select(key))
     return base.join(keys, key, "left_anti").select(*base.columns).unionByName(fresh)
 
@@ -83,24 +95,22 @@ def query(
     partition_names=None,
     key: str = "id",
 ) -> DataFrame:
-    """Filter, projection and limit, in key order.
+    """Filter, projection and limit, in the order of the key and then of the other fields asked for.
 
-    A page far behind the first would make one task hold all rows before it. Beyond
-    ``DEEP_PAGE`` rows the keys are numbered slice by slice instead, and only the
-    rows of the page are fetched.
+    The first page is a top-k of every task. A later one would make one task hold all
+    rows before it, so rows are numbered slice by slice and the page is cut by number.
     """
     if limit < 1 or offset < 0:
         raise ValueError("limit must be positive and offset must not be negative")
     rows = in_partitions(df, partition_names)
     rows = rows if filter is None or filter == "" else rows.where(predicate(filter))
     wanted = rows.select(*_columns(df, output_fields, key))
-    if offset + limit <= DEEP_PAGE:
-        ordered = wanted.orderBy(key)
-        return (ordered.offset(offset) if offset else ordered).limit(limit)
+    order = [key, *[f.name for f in wanted.schema if f.name != key and not isinstance(f.dataType, T.MapType)]]
+    if not offset:
+        return wanted.orderBy(*order).limit(limit)
     place = F.col("_place")
-    page = assign_ids(rows.select(key), [key], id_col="_place").where((place > offset) & (place <= offset + limit))
-    keys = broadcast_if_small(page.select(key))
-    return wanted.join(keys, key, "left_semi").orderBy(key)
+    page = assign_ids(wanted, order, id_col="_place").where((place > offset) & (place <= offset + limit))
+    return page.select(*wanted.columns).orderBy(*order)
 
 
 def page_after(

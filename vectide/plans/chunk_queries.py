@@ -124,6 +124,19 @@ def chunk_dialogues(spark, sf):
     return chunking.chunk_dialogues(table(spark, sf, "conversations"))
 
 
+@REGISTRY.add(
+    "chunk_dialogues_gaps",
+    """select conv_id, turn, text as question, answer, text || chr(10) || answer as content from (
+  select conv_id, turn * 3 + conv_id % 2 as turn, role, text, lead(role) over w as next_role, lead(text) over w as answer
+  from conversations window w as (partition by conv_id order by turn))
+where role = 'user' and next_role = 'assistant'""",
+)
+def chunk_dialogues_gaps(spark, sf):
+    """The same where turn numbers have gaps."""
+    apart = table(spark, sf, "conversations").withColumn("turn", F.col("turn") * 3 + F.col("conv_id") % 2)
+    return chunking.chunk_dialogues(apart)
+
+
 @REGISTRY.add(
     "chunk_table",
     f"""{CHUNKS}

@@ -16,14 +16,15 @@ EMBEDDINGS = coll.CollectionSpec("embeddings", 64, fields=(("label", T.IntegerTy
 # Faults put into the vectors of three labels, so that every check has something to refuse.
 FAULTY = """case label when 0 then slice(embedding, 1, 63)
     when 1 then concat(array(float('NaN')), slice(embedding, 2, 63))
-    when 2 then cast(null as array<float>) else embedding end"""
+    when 2 then cast(null as array<float>)
+    when 4 then concat(slice(embedding, 1, 63), array(float('-Infinity'))) else embedding end"""
 
 
 @REGISTRY.add(
     "conform_embeddings",
     """select case when label = 3 then null else vec_id end as id, label, case when label = 3 then 'missing key'
-  when label = 2 then 'missing vector' when label = 0 then 'wrong dimension' when label = 1 then 'invalid vector element' end
-  as reject_reason from embeddings""",
+  when label = 2 then 'missing vector' when label = 0 then 'wrong dimension' when label in (1, 4) then 'invalid vector element' end
+  as reject_reason, case when label > 4 then round(list_sum(embedding::double[]), 6) end as total from embeddings""",
 )
 def conform_embeddings(spark, sf):
     raw = table(spark, sf, "embeddings").select(
@@ -31,7 +32,22 @@ def conform_embeddings(spark, sf):
         F.expr(FAULTY).alias("vector"),
         "label",
     )
-    return coll.conform(raw, EMBEDDINGS).select("id", "label", "reject_reason")
+    total = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    kept = F.when(F.col("reject_reason").isNull(), F.round(total, 6))
+    return coll.conform(raw, EMBEDDINGS).select("id", "label", "reject_reason", kept.alias("total"))
+
+
+@REGISTRY.add(
+    "conform_json",
+    """select case when label <> 5 then vec_id end as id, case when label <> 5 then label end as label,
+  case when label = 5 then 'not a JSON array' end as reject_reason from embeddings""",
+)
+def conform_json(spark, sf):
+    """Every vector as a JSON array of one object; those of one label are cut so that they are none."""
+    row = F.struct(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"), F.col("label"))
+    data = F.to_json(F.array(row))
+    text = table(spark, sf, "embeddings").select(F.when(F.col("label") == 5, F.substr(data, F.lit(2))).otherwise(data).alias("data"))
+    return coll.conform_json(text, "data", EMBEDDINGS).select("id", "label", "reject_reason")
 
 
 @REGISTRY.add(
@@ -93,6 +109,21 @@ def upsert(spark, sf):
     return rows.upsert(base, batch, key="c_custkey", sequence="o_orderkey")
 
 
+@REGISTRY.add(
+    "upsert_ties",
+    """with batch as (select o_custkey as c_custkey, max(case when o_orderpriority <> '1-URGENT' then o_orderkey % 3 end) as s
+  from orders group by o_custkey)
+select c_custkey, c_mktsegment, null::bigint as s from customer where c_custkey not in (select c_custkey from batch)
+union all select c_custkey, coalesce(s::varchar, 'none'), s from batch""",
+)
+def upsert_ties(spark, sf):
+    """Sequences that are missing or equal: a row without one never replaces a row that has one."""
+    base = table(spark, sf, "customer").selectExpr("c_custkey", "c_mktsegment", "cast(null as bigint) as s")
+    s = "case when o_orderpriority <> '1-URGENT' then o_orderkey % 3 end"
+    batch = table(spark, sf, "orders").selectExpr("o_custkey as c_custkey", f"coalesce(cast({s} as string), 'none') as c_mktsegment", f"{s} as s")
+    return rows.upsert(base, batch, key="c_custkey", sequence="s")
+
+
 BALANCES = "select *, case when c_mktsegment = 'BUILDING' then null else c_acctbal end as balance from customer"
 
 
@@ -163,6 +194,14 @@ def page_offset(spark, sf):
     )
 
 
+@REGISTRY.add(
+    "page_repeated_keys",
+    "select o_custkey, o_orderkey, o_totalprice from orders order by o_custkey, o_orderkey limit 300 offset 1000",
+)
+def page_repeated_keys(spark, sf):
+    return rows.query(table(spark, sf, "orders"), None, "o_orderkey, o_totalprice", limit=300, offset=1000, key="o_custkey")
+
+
 @REGISTRY.add("page_after", "select o_orderkey, o_totalprice from orders where o_orderkey > 4711 order by o_orderkey limit 50")
 def page_after(spark, sf):
     return rows.page_after(table(spark, sf, "orders"), 4711, 50, output_fields="o_totalprice", key="o_orderkey")

@@ -60,15 +60,10 @@ select qid, rank, kept.id, similarity as score, similarity, total_results,
 from kept join benchmark b on b.item_id = qid join documents d on d.doc_id = kept.id""",
 )
 def text_search(spark, sf):
-    hits = embedding.text_search(
-        materialize(embedded_documents(spark, sf)),
-        questions(spark, sf),
-        ENCODER,
-        filter='lang == "en"',
-        min_similarity=0.5,
-        output_fields="source",
-    )
-    return hits
+    # Filtered before the encoder runs; the text is not kept.
+    searched = documents(spark, sf).where("lang = 'en'").select("id", "text", "source")
+    corpus = materialize(embedding.embed(searched, "text", ENCODER).select("id", "vector", "source"))
+    return embedding.text_search(corpus, questions(spark, sf), ENCODER, min_similarity=0.5, output_fields="source")
 
 
 @REGISTRY.add(
@@ -85,9 +80,30 @@ from (select *, row_number() over (partition by qid order by score desc, id) as
 def hybrid_search(spark, sf):
     index = build_index(documents(spark, sf))
     corpus = materialize(embedded_documents(spark, sf).select("id", "vector"))
-    asked = embedding.embed(questions(spark, sf), "query_text", ENCODER, vector_col="qv")
-    hits = recall.hybrid_search(corpus, index, asked)
-    return hits
+    asked = materialize(embedding.embed(questions(spark, sf), "query_text", ENCODER, vector_col="qv"))
+    return recall.hybrid_search(corpus, index, asked)
+
+
+EN = "select doc_id as id, text from documents where lang = 'en'"
+
+
+@REGISTRY.add(
+    "hybrid_filtered",
+    f"""with {encode_sql('e', EN)}, {encode_sql('q', ASKED)}, {dense_sql('dense', 'q', 'e', 50)},
+{bm25_sql(where="lang = 'en'")}, {rank_sql('scores', 50, 'keyword')},
+texts as (select qid, id, coalesce(score / nullif(max(score) over (partition by qid), 0), 0) as text_score from keyword),
+sides as (select coalesce(d.qid, t.qid) as qid, coalesce(d.id, t.id) as id, coalesce(similarity, 0) as vector_score,
+    coalesce(text_score, 0) as text_score from dense d full join texts t on d.qid = t.qid and d.id = t.id),
+total as (select *, vector_score * 0.7::double + text_score * 0.3::double as score from sides)
+select qid, rank, id, vector_score, text_score, score, source, n_chars
+from (select *, row_number() over (partition by qid order by score desc, id) as rank from total)
+join documents on doc_id = id where rank <= 10""",
+)
+def hybrid_filtered(spark, sf):
+    docs = documents(spark, sf)
+    corpus = materialize(embedding.embed(docs, "text", ENCODER).select("id", "vector", "lang", "source", "n_chars"))
+    asked = materialize(embedding.embed(questions(spark, sf), "query_text", ENCODER, vector_col="qv"))
+    return recall.hybrid_search(corpus, build_index(docs), asked, filter='lang == "en"', output_fields="source, n_chars")
 
 
 STOPS = "[" + ", ".join(f"'{w}'" for w in query_text.STOP_WORDS) + "]"
@@ -102,11 +118,11 @@ def keywords_sql(text: str, limit: int = 3) -> str:
 
 @REGISTRY.add(
     "extract_keywords",
-    f"""with k as (select conv_id, turn, {keywords_sql('text')} as k from conversations where role = 'user')
+    f"""with k as (select conv_id, turn, {keywords_sql('text')} as k from conversations)
 select conv_id, turn, (generate_subscripts(k, 1) - 1)::bigint as pos, unnest(k) as keyword from k""",
 )
 def extract_keywords(spark, sf):
-    asked = table(spark, sf, "conversations").where("role = 'user'")
+    asked = table(spark, sf, "conversations")
     words = query_text.extract_keywords(asked, "text")
     flat = words.select("conv_id", "turn", F.posexplode_outer("keywords").alias("pos", "keyword")).where("keyword is not null")
     return flat.withColumn("pos", F.col("pos").cast("long"))
@@ -147,12 +163,12 @@ def rules_sql(text: str) -> str:
 
 
 def _variants_sql(variants: str) -> str:
-    return f"""with v as (select conv_id, turn, {variants} as l from conversations where role = 'user')
+    return f"""with v as (select conv_id, turn, {variants} as l from conversations)
 select conv_id, turn, (generate_subscripts(l, 1) - 1)::bigint as variant, unnest(l) as variant_text from v"""
 
 
 def _asked(spark, sf):
-    return table(spark, sf, "conversations").where("role = 'user'")
+    return table(spark, sf, "conversations")
 
 
 @REGISTRY.add("expand_synonyms", _variants_sql(synonyms_sql("text")))

@@ -12,9 +12,6 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD = 32
 HIT_BYTES = 96
-# Longest string key, in characters (as collections enforce it) and in bytes.
-KEY_LENGTH = 256
-KEY_BYTES = 4 * KEY_LENGTH
 
 
 @dataclass(frozen=True)

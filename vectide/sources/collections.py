@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from vectide.functions.vectors import check_metric, norm
 from vectide.session import materialize
-from vectide.sizing import KEY_LENGTH
 
 MAX_DIMENSION = 32768
 MAX_TEXT = 65535
@@ -84,8 +83,6 @@ class CollectionSpec:
         limits = dict(self.max_length)
         if self.enable_bm25:
             limits.setdefault(self.text, MAX_TEXT)
-        if isinstance(self.key_type, T.StringType):
-            limits.setdefault(self.key, KEY_LENGTH)
         return limits
 
 
@@ -103,7 +100,7 @@ def _cast(name: str, kind: T.DataType) -> Column:
 def conform(df: DataFrame, spec: CollectionSpec) -> DataFrame:
     """Rows cast to the collection's schema, each with a ``reject_reason`` (NULL when accepted).
 
-    A NaN would outrank every score, so vectors holding one are refused here.
+    NaN and infinite elements have no place in a ranking, so vectors holding one are refused here.
     """
     given = set(df.columns)
     missing = [f.name for f in spec.schema if f.name not in given and f.name != DYNAMIC_COLUMN]
@@ -129,8 +126,7 @@ def conform(df: DataFrame, spec: CollectionSpec) -> DataFrame:
     v, key = F.col(f"`{spec.vector}`"), F.col(f"`{spec.key}`")
     reason = F.when(key.isNull(), "missing key").when(v.isNull(), "missing vector")
     reason = reason.when(F.size(v) != spec.dimension, "wrong dimension")
-    # Unknown (NULL) if no element is NaN but one is missing.
-    flawed = F.coalesce(F.array_contains(v, F.lit(float("nan")).cast("float")), F.lit(True))
+    flawed = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     reason = reason.when(flawed, "invalid vector element")
     for name, most in spec.limits().items():
         reason = reason.when(F.char_length(F.col(f"`{name}`")) > most, f"{name} too long")
@@ -148,10 +144,22 @@ def rejected(conformed: DataFrame) -> DataFrame:
 def rows_from_json(df: DataFrame, json_col: str, spec: CollectionSpec) -> DataFrame:
     """Rows of JSON arrays of objects, one array per input row. Text that is no array gives no rows."""
     item = T.StructType([T.StructField(f.name, f.dataType) for f in spec.schema])
-    parsed = F.from_json(F.col(json_col), T.ArrayType(item))
+    parsed = F.when(_is_array(json_col), F.from_json(F.col(json_col), T.ArrayType(item)))
     return df.select(F.explode_outer(parsed).alias("r")).where("r is not null").select("r.*")
 
 
+def _is_array(json_col: str) -> Column:
+    return F.json_array_length(F.col(json_col)).isNotNull()
+
+
+def conform_json(df: DataFrame, json_col: str, spec: CollectionSpec) -> DataFrame:
+    """Like ``conform``, for JSON arrays of objects; text that is no array is one row with its reason."""
+    good = conform(rows_from_json(df, json_col, spec), spec)
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in good.schema if f.name != "reject_reason"]
+    bad = df.where(~_is_array(json_col)).select(*nothing, F.lit("not a JSON array").alias("reject_reason"))
+    return good.unionByName(bad)
+
+
 def insert_json(spark: SparkSession, data: str, spec: CollectionSpec) -> DataFrame:
     """One JSON array given as a parameter; an empty or invalid one is an error."""
     import json
