@@ -44,7 +44,7 @@ def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str, per_lan
     rows = labelled.select(
         col(id_col).alias("id"), col(label_col).cast("string").alias("label"), col(text_col).cast("string").alias("text")
     ).where(subwords.has_letter(F.col("text")))
-    found = subwords.collect_bags(rows, per_language, shape)
+    found = subwords.collect_bags(subwords.sample(rows, per_language), shape)
     if not found:
         return None
     learn, aside = subwords.split(found)

@@ -122,8 +122,6 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @REGISTRY.add("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    learn = labels.where(remainder(5) != 0).select("doc_id", "toxic")
-    labelled = docs.select("doc_id", "text").join(learn, "doc_id")
-    judge = toxicity.fit(labelled, "doc_id", "text", "toxic")
+    judge = toxicity.fit(docs, labels.where(remainder(5) != 0))
     found = toxicity.score(docs, judge).withColumnRenamed("id", "doc_id")
     return found.withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(False)))

@@ -123,14 +123,14 @@ def sample(rows: DataFrame, per_label: int) -> DataFrame:
     """About ``per_label`` rows of each label, all of a rarer one, chosen by the hash of ``id``.
 
     The share that is taken of a label follows from its count; no group of rows meets in
-    one task. Columns: ``id``, ``label``, ``text``. Rows without a label are left out.
+    one task. Rows without a label are left out.
     """
-    known = rows.where("label is not null and text is not null")
-    # One row for each label.
-    sizes = known.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    known = rows.where("label is not null")
+    # One row for each label: sent to the rows, so that these stay where they are.
+    sizes = F.broadcast(known.groupBy("label").agg(F.count(F.lit(1)).alias("n")))
     share = F.least(F.lit(1.0), F.lit(float(per_label)) / F.col("n"))
     draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    return known.join(sizes, "label").where(draw < share).select("id", "label", "text")
+    return known.join(sizes, "label").where(draw < share).select(*rows.columns)
 
 
 @dataclass
@@ -291,13 +291,13 @@ def _temperature(model: Model, aside: list, number: dict[str, int], heavy: np.nd
     return result
 
 
-def collect_bags(rows: DataFrame, per_label: int, shape: Shape) -> list[tuple[str, np.ndarray, np.ndarray]]:
-    """The sample's bags on the driver: at most a row for each bucket and sampled text, in order of ``id``.
+def collect_bags(sampled: DataFrame, shape: Shape) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """The bags of sampled rows ``label, text`` on the driver.
 
-    Their number is bounded by ``per_label`` and the number of labels, their size by the
-    number of buckets; texts stay with the tasks.
+    Their number is bounded by the sample, their size by the number of buckets; texts
+    stay with the tasks.
     """
-    table = bags(sample(rows, per_label), shape).toArrow()
+    table = bags(sampled.where("text is not null"), shape).toArrow()
     labels = table["label"].to_pylist()
     buckets, weights = table["buckets"], table["weights"]
     found = [

@@ -30,15 +30,28 @@ class Judge:
     name: str
 
 
-def fit(labelled: DataFrame, id_col: str, text_col: str, label_col: str, per_label: int = PER_LABEL, shape: Shape = SHAPE) -> Judge | None:
-    """A model from rows with a label 0 or 1 and a text; None if a label has no row."""
-    rows = labelled.select(
-        col(id_col).alias("id"), col(label_col).cast("int").cast("string").alias("label"), col(text_col).cast("string").alias("text")
-    ).where(F.col("label").isin("0", "1"))
-    found = subwords.collect_bags(rows, per_label, shape)
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "toxic",
+    per_label: int = PER_LABEL,
+    shape: Shape = SHAPE,
+) -> Judge | None:
+    """A model from documents with a label 0 or 1; None if a label has none.
+
+    Labels are sampled before their texts are fetched, so no other text is moved.
+    """
+    known = labels.select(col(id_col).alias("id"), col(label_col).cast("int").cast("string").alias("label"))
+    known = known.where(F.col("label").isin("0", "1"))
+    texts = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
+    # The sample is bounded by ``per_label``.
+    found = subwords.collect_bags(texts.join(F.broadcast(subwords.sample(known, per_label)), "id"), shape)
     if {f[0] for f in found} != {"0", "1"}:
         return None
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # One row for each label.
+    sizes = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     shares = {k: v / sum(sizes.values()) for k, v in sizes.items()}
     model = subwords.train(*subwords.split(found), shape, dim=4, epochs=10, shares=shares)
     return Judge(model, uuid.uuid4().hex)
