@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,9 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vectide.functions import kernels
+from vectide.functions.predicates import predicate
 from vectide.functions.vectors import SCORE_DECIMALS, check_metric, norm, normalize, similarity
 from vectide.operators import nearest
 from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES
+from vectide.sources.collections import in_partitions
 
 # Share of the cells that each precision level looks into.
 LEVEL_SHARE = {1: 1 / 8, 2: 1 / 4, 3: 1 / 2, 4: 3 / 4, 5: 1.0}
@@ -175,31 +178,54 @@ def search(
     search_params: str | None = None,
     qid_col: str = "qid",
     query_col: str = "qv",
+    corpus: DataFrame | None = None,
+    filter: str | None = None,
+    partition_names: str | Sequence[str] | None = None,
+    output_fields: Sequence[str] | str | None = None,
+    min_similarity: float | None = None,
+    radius: float | None = None,
+    range_filter: float | None = None,
+    id_col: str = "id",
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Best rows among the cells nearest to each query, scored exactly."""
+    """Best rows among the cells nearest to each query, scored exactly.
+
+    ``filter``, ``partition_names`` and ``output_fields`` refer to ``corpus``, the table the
+    index was built from. The range and the similarity cut are those of exact search.
+    """
+    if corpus is None and (filter or partition_names or output_fields):
+        raise ValueError("a filter, partitions and output fields need the corpus they refer to")
     metric, centroids = index.metric, index.centroids
+    low, high = nearest.limits(radius, range_filter)
     count = probes(index.n_cells, level, search_params)
     rows, asked = nearest.sides(index.rows, queries, "id", "vector", qid_col, query_col)
     rows = index.rows.where("vector is not null").select("cell", "id", "vector")
+    if filter or partition_names:
+        chosen = in_partitions(corpus, partition_names)
+        chosen = chosen.where(predicate(filter)) if filter else chosen
+        rows = rows.join(chosen.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi").select(*rows.columns)
     n, dim = nearest.query_size(asked)
     schema = nearest.hit_schema(rows, asked)
     probed = _with_cells(asked, "qv", centroids, metric, count)
     if not n:
         hits = rows.sparkSession.createDataFrame([], schema)
     elif n * (dim * 8 + count * 8) <= broadcast_bytes:
-        hits = _scan_cells(rows, probed, dim, schema, metric, limit)
+        hits = _scan_cells(rows, probed, dim, schema, metric, limit, low, high)
     else:
         spread = probed.select("qid", "qv", F.explode_outer("cells").alias("cell"))
-        run = nearest.top_k_run(metric, limit, dim, schema["id"].dataType)
+        run = nearest.top_k_run(metric, limit, dim, schema["id"].dataType, low, high)
         hits = nearest.meet_blocks(rows, spread, dim, schema, run, block_bytes)
-    return nearest.rank_hits(hits, metric, limit).select(
+    ranked = nearest.rank_hits(hits, metric, limit).select(
         "qid", "rank", "id", "score", similarity(metric, F.col("score")).alias("similarity")
     )
+    kept = nearest.cut_similarity(ranked, min_similarity)
+    return kept if corpus is None else nearest.attach_fields(kept, corpus, output_fields, id_col, n * limit)
 
 
-def _scan_cells(rows: DataFrame, probed: DataFrame, dim: int, schema, metric: str, k: int) -> DataFrame:
+def _scan_cells(
+    rows: DataFrame, probed: DataFrame, dim: int, schema, metric: str, k: int, low: float, high: float
+) -> DataFrame:
     """Read the probed cells in place; each row meets only the queries that look into its cell."""
     table = probed.toArrow()
     near = kernels.matrix(table["cells"], len(table["cells"][0])).astype(np.int64)
@@ -210,7 +236,7 @@ def _scan_cells(rows: DataFrame, probed: DataFrame, dim: int, schema, metric: st
 
     def run(batches):
         ids, vectors, near = shared.value
-        best = kernels.TopK(kernels.Queries(metric, ids, vectors), k, SCORE_DECIMALS)
+        best = kernels.TopK(kernels.Queries(metric, ids, vectors), k, SCORE_DECIMALS, low, high)
         askers = {int(c): np.nonzero((near == c).any(axis=1))[0] for c in np.unique(near)}
         for batch in batches:
             if not batch.num_rows:

@@ -172,7 +172,7 @@ def _slices(rows: DataFrame, k: int) -> int:
     return 1 if tasks * k < MERGE_ROWS else math.ceil(math.sqrt(tasks))
 
 
-def _limits(radius: float | None, range_filter: float | None) -> tuple[float, float]:
+def limits(radius: float | None, range_filter: float | None) -> tuple[float, float]:
     low = -math.inf if radius is None else float(radius)
     high = math.inf if range_filter is None else float(range_filter)
     if low > high:
@@ -224,7 +224,7 @@ def range_search(
 ) -> DataFrame:
     """All rows whose similarity lies between ``radius`` and ``range_filter``, both included."""
     metric = check_metric(metric)
-    low, high = _limits(radius, range_filter)
+    low, high = limits(radius, range_filter)
     rows, asked = sides(corpus, queries, id_col, vector_col, qid_col, query_col)
     n, dim = query_size(asked)
     schema = hit_schema(rows, asked)
@@ -301,7 +301,7 @@ def search(
     rows = in_partitions(corpus, partition_names)
     if filter:
         rows = rows.where(predicate(filter))
-    low, high = _limits(radius, range_filter)
+    low, high = limits(radius, range_filter)
     searched, asked = sides(rows, queries, id_col, anns_field, qid_col, query_col)
     hits, n = _top_k(searched, asked, limit, check_metric(metric), broadcast_bytes, block_bytes, low, high)
     kept = cut_similarity(hits, min_similarity)
