@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vectide import sizing
+from vectide.functions.containing import containing
 from vectide.operators import bm25, embedding, query_text, recall, selection
 from vectide.operators.query_text import Rule
 
@@ -188,3 +189,22 @@ def test_spread_join_beyond_the_bound(spark):
     small = sizing.spread_join(left, right, ["k"], "id")
     salted = sizing.spread_join(left, right, ["k"], "id", small=False, salts=8)
     assert sorted(small.collect()) == sorted(salted.select(*small.columns).collect())
+
+
+@pytest.mark.parametrize("bound", [1 << 26, 20])
+def test_containing(spark, bound):
+    texts = [(1, "abcab é😀"), (2, "bca"), (3, None), (4, ""), (5, "a_b%")]
+    words = ["ab", "bca", "abc", "é😀", "", None, "zz", "_b%", "ab", "%"]
+    df = spark.createDataFrame(texts, "id long, text string")
+    asked = spark.createDataFrame([(w,) for w in words], "word string")
+    found = sorted(tuple(r) for r in containing(df, asked, bound).collect())
+    assert found == sorted({(w, i) for i, t in texts for w in words if t and w and w in t})
+    assert containing(df, asked.limit(0), bound).count() == 0
+
+
+def test_keyword_search_falls_back_without_an_index(spark, queries):
+    docs = spark.createDataFrame([(1, "The FOX"), (2, "foxes run"), (3, "nothing"), (4, None)], "id long, text string")
+    found = recall.keyword_search(docs, queries("fox run fox")).collect()
+    assert [(r["rank"], r.id, r.score) for r in found] == [(1, 1, 0.0), (2, 2, 0.0)]
+    index = bm25.build_index(docs.where("text is not null"))
+    assert [r.id for r in recall.keyword_search(docs, queries("fox"), index).collect()] == [1]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vectide.functions.text import substrings
-from vectide.operators.bm25 import TextIndex, bm25_search
+from vectide.functions.containing import containing
+from vectide.functions.text import tokens
+from vectide.operators.bm25 import LIMIT, TextIndex, bm25_search
 from vectide.operators.embedding import Encoder, embed
 from vectide.operators.nearest import attach_fields, rank_hits, search, top_k
 from vectide.operators.query_text import (
@@ -64,20 +65,39 @@ def title_equals(corpus: DataFrame, queries: DataFrame, limit: int = TITLE_LIMIT
 def title_contains(corpus: DataFrame, words: DataFrame, limit: int = KEYWORD_LIMIT, title_col="title") -> DataFrame:
     """Rows whose title contains a word, for a table ``(qid, word)``: ``(qid, id)``.
 
-    Containment becomes an equality join: a title contains a word exactly if one
-    of its substrings of that length is the word. Each distinct word is looked up
-    once and keeps its lowest ids; only then do the queries come in.
+    All words are looked for at once where the titles lie, so only real matches become
+    rows. Each word keeps its lowest ids; only then do the queries come in.
     """
-    distinct = words.select("word").distinct()
-    # One small integer per distinct word length.
-    lengths = sorted(r[0] for r in words.select(F.char_length("word")).distinct().collect() if r[0])
     few = _few(words.select("word"), limit)
-    titles = deal_out(corpus.select("id", F.col(title_col).alias("title")))
-    pieces = titles.select("id", F.explode_outer(substrings(F.col("title"), lengths or [1])).alias("word"))
-    found = spread_join(pieces.where("word is not null"), distinct, ["word"], "id", small=few)
+    titles = deal_out(corpus.select("id", F.col(title_col).alias("text")))
+    found = containing(titles, words)
     return spread_join(words, _first(found, "word", limit), ["word"], "qid", small=few).select("qid", "id")
 
 
+def keyword_search(
+    corpus: DataFrame,
+    queries: DataFrame,
+    index: TextIndex | None = None,
+    limit: int = LIMIT,
+    text_col: str = "text",
+) -> DataFrame:
+    """Keyword search of ``queries(qid, query_text)``: BM25 with an index, otherwise by containment.
+
+    Without an index a row counts if its text contains one of the query's words anywhere,
+    case aside; such rows have no score (0) and are ordered by id.
+    """
+    if index is not None:
+        return bm25_search(index, queries, limit)
+    asked = queries.select("qid", F.explode_outer(F.array_distinct(tokens(F.col("query_text")))).alias("word"))
+    asked = asked.where("word is not null")
+    texts = deal_out(corpus.select("id", F.lower(F.col(text_col)).alias("text")))
+    found = _first(containing(texts, asked), "word", limit)
+    few = _few(asked.select("word"), limit)
+    hits = spread_join(asked, found, ["word"], "qid", small=few).select("qid", "id").distinct()
+    ranked = rank_hits(hits.withColumn("score", F.lit(0.0)), "IP", limit)
+    return ranked.select("qid", "rank", "id", "score", F.col("score").alias("similarity"))
+
+
 def multi_path(
     corpus: DataFrame,
     queries: DataFrame,

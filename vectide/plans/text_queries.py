@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from vectide.functions import text as words
-from vectide.operators import bm25
+from vectide.operators import bm25, recall
 from vectide.plans.registry import REGISTRY, table
 from vectide.plans.vector_queries import OUT, out
 from vectide.session import work_dir
@@ -118,6 +118,18 @@ def keyword_fallback(spark, sf):
     return bm25.keyword_match(documents(spark, sf), MATCH_WORDS)
 
 
+@REGISTRY.add(
+    "keyword_search",
+    f"""with asked as (select distinct item_id as qid, unnest({TOKENS}) as word from benchmark),
+hits as (select distinct qid, d.doc_id as id from asked, documents d where contains(lower(d.text), word))
+select qid, rank, id, 0.0::double as score, 0.0::double as similarity
+from (select *, row_number() over (partition by qid order by id) as rank from hits) where rank <= 10""",
+)
+def keyword_search(spark, sf):
+    """All questions over a collection that has no text index."""
+    return recall.keyword_search(documents(spark, sf), questions(spark, sf))
+
+
 @REGISTRY.add("bm25_stored_index", f"with {bm25_sql()}, {rank_sql('scores', 10)} {OUT}")
 def bm25_stored_index(spark, sf):
     """Search an index written as tables bucketed by id and by term."""
