@@ -19,7 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 #: Text that one step inside a task handles at once, in characters.
-STEP_CHARS = 4 << 20
+STEP_CHARS = 2 << 20
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 

@@ -8,21 +8,43 @@ are those of its chunks in a row.
 from __future__ import annotations
 
 import re
-
-import numpy as np
+import sys
+from array import array
 
 from vectide.llm.common import per_worker, tokenizer
 
-#: Chunks whose ids a worker remembers.
-CACHE_ENTRIES = 200_000
+#: Chunks of each of the two generations whose ids a worker remembers.
+CACHE_ENTRIES = 300_000
 
 #: Unicode white space, as the library's patterns understand it.
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+#: Letters between which and a full stop or comma both tokenizers always cut.
+_L = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: A run of other characters with one space or line feed before it, or a run of white
 #: space but for its last character where others follow.
 _ATTACHED = re.compile(f"[ \\n]?[^{_S}]+|[{_S}]+(?=[{_S}][^{_S}])|[{_S}]+")
 #: Runs of other characters only.
 _SEPARATE = re.compile(f"[^{_S}]+")
+#: A chunk whose full stop or comma is cut off, and a word that is one pre-token as it stands.
+_STOPPED = re.compile(f"[ \\n]?[^{_S}]*[{_L}][.,]")
+_PLAIN = re.compile(f"[{_L}]+")
+#: Chunks that the library encodes in one call.
+CALL = 10_000
+
+
+def _little(values: array) -> array:
+    if sys.byteorder == "big":
+        values.byteswap()
+    return values
+
+
+def _byte_alphabet() -> dict[str, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, others follow from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable and b != 10]
+    # A line feed separates the words here and is left alone; it is the eleventh of the others.
+    rank = {b: k for k, b in enumerate(sorted([*others, 10]))}
+    return {chr(b): chr(256 + rank[b]) for b in others}
 
 
 class Encoder:
@@ -36,9 +58,15 @@ class Encoder:
 
     def __init__(self, path: str):
         self.library = tokenizer(path)
-        self.known: dict[str, bytes] = {}
+        # Chunks of this and the last generation; what is met again moves to this one.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.special: list[str] = []
         self.pattern = self._pattern()
+        # Words of letters need no normalizer or splitting of their own, only lower case and
+        # the byte-level alphabet: the tokenizer's model then gives the same ids alone.
+        self.model = type(self.library)(self.library.model) if self.pattern is _SEPARATE else None
+        self.alphabet = str.maketrans(_byte_alphabet())
 
     def _pattern(self):
         import json
@@ -63,8 +91,38 @@ class Encoder:
         return _SEPARATE if words_only and set(named) <= harmless else None
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        out = []
+        for i in range(0, len(texts), CALL):
+            found = self.library.encode_batch_fast(texts[i : i + CALL], add_special_tokens=False)
+            out += [_little(array("I", e.ids)).tobytes() for e in found]
+        return out
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words of Latin letters."""
+        out = []
+        for i in range(0, len(words), CALL):
+            mapped = "\n".join(words[i : i + CALL]).lower().encode().decode("latin-1").translate(self.alphabet).split("\n")
+            found = self.model.encode_batch_fast(mapped, add_special_tokens=False)
+            out += [_little(array("I", e.ids)).tobytes() for e in found]
+        return out
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Add chunks that are not known to this generation."""
+        young, old = self.young, self.old
+        young.update((c, old[c]) for c in chunks if c in old)
+        new = [c for c in chunks if c not in young]
+        stopped = [c for c in new if c[-1] in ".," and _STOPPED.fullmatch(c)]
+        if stopped:
+            # A letter and a full stop or comma never share a pre-token.
+            wanted = {part for c in stopped for part in (c[:-1], c[-1])}
+            self._learn([c for c in wanted if c not in young])
+            young.update((c, young[c[:-1]] + young[c[-1]]) for c in stopped)
+            new = [c for c in new if c not in young]
+        if self.model is not None:
+            plain = [c for c in new if _PLAIN.fullmatch(c)]
+            young.update(zip(plain, self._word_ids(plain)))
+            new = [c for c in new if c not in young]
+        young.update(zip(new, self._ids(new)))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
@@ -76,13 +134,10 @@ class Encoder:
             cut[k] = []
         chunks: set[str] = set()
         chunks.update(*cut)
-        new = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(new) > CACHE_ENTRIES:
-            self.known, new = {}, list(chunks)
-        for i in range(0, len(new), 50_000):
-            part = new[i : i + 50_000]
-            self.known.update(zip(part, self._ids(part)))
-        get = self.known.__getitem__
+        if len(self.young) + len(chunks) > CACHE_ENTRIES:
+            self.young, self.old = {}, self.young
+        self._learn([c for c in chunks if c not in self.young])
+        get = self.young.__getitem__
         out = [b"".join(map(get, c)) for c in cut]
         for k, ids in zip(whole, self._ids([texts[k] for k in whole])):
             out[k] = ids

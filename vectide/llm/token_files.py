@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vectide.llm.common import col, steps, written
+from vectide.llm.common import col, steps, tokenizer, written
 from vectide.llm.encoding import encoder
 from vectide.session import work_dir
 
@@ -125,8 +125,11 @@ class Code:
         return [flat[a:b] for a, b in zip(edges, edges[1:])]
 
 
-def _encoded(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, end_id: int | None) -> DataFrame:
-    """Tokens of every document in ascending order of ``id``: ``at`` numbers part and place."""
+def _encoded(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, end_id: int | None, narrow: bool) -> DataFrame:
+    """Tokens of every document in ascending order of ``id``: ``at`` numbers part and place.
+
+    Tokens are little-endian, of 16 bits where all ids fit (``narrow``), else of 32.
+    """
     kind = docs.select(col(id_col)).schema[0].dataType.simpleString()
     read = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
     # Equal ids in the order of their texts: a task that runs again numbers them alike.
@@ -138,20 +141,20 @@ def _encoded(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, e
         encode = encoder(tokenizer_path).encode
         for batch in steps(batches, "text"):
             found = [b + end for b in encode(batch.column("text").to_pylist())]
-            sizes = np.fromiter((len(b) // 4 for b in found), np.int64, len(found))
-            values = pa.array(np.frombuffer(b"".join(found), "<u4").astype(np.int32))
-            edges = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            lists = pa.ListArray.from_arrays(edges, values)
-            yield pa.RecordBatch.from_arrays([batch.column("at"), batch.column("id"), lists], names=["at", "id", "tokens"])
+            if narrow:
+                found = [np.frombuffer(b, "<u4").astype("<u2").tobytes() for b in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("at"), batch.column("id"), pa.array(found, pa.binary())], names=["at", "id", "tokens"]
+            )
 
-    return numbered.mapInArrow(run, f"at long, id {kind}, tokens array<int>")
+    return numbered.mapInArrow(run, f"at long, id {kind}, tokens binary")
 
 
-def _token_counts(encoded: DataFrame) -> DataFrame:
+def _token_counts(encoded: DataFrame, width: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            found = np.bincount(batch.column("tokens").flatten().to_numpy(zero_copy_only=False))
+            found = np.bincount(np.frombuffer(b"".join(batch.column("tokens").to_pylist()), width))
             if len(found) > len(total):
                 total, found = found, total
             total[: len(found)] += found
@@ -175,9 +178,11 @@ def write(
     null text is empty. An empty table gives a file without blocks.
     """
     spark = docs.sparkSession
-    encoded = written(_encoded(docs, tokenizer_path, id_col, text_col, end_id))
+    narrow = max(*tokenizer(tokenizer_path).get_vocab().values(), end_id or 0) < 1 << 16
+    width = "<u2" if narrow else "<u4"
+    encoded = written(_encoded(docs, tokenizer_path, id_col, text_col, end_id, narrow))
     # One row for each id of the vocabulary at most.
-    counted = _token_counts(encoded).orderBy("token").toPandas()
+    counted = _token_counts(encoded, width).orderBy("token").toPandas()
     tokens, n = counted["token"].to_numpy(np.int64), counted["n"].to_numpy(np.int64)
     lengths = code_lengths(n)
     table = spark.createDataFrame(list(zip(tokens.tolist(), lengths.tolist())), "token long, length long")
@@ -200,7 +205,7 @@ def write(
             places = batch.column("at").to_numpy()
             tokens_of = batch.column("tokens")
             for i in range(batch.num_rows):
-                found = tokens_of[i].values.to_numpy(zero_copy_only=False)
+                found = np.frombuffer(tokens_of[i].as_py(), width).astype(np.int64)
                 # A block ends where it is full, and where the next document is of another part.
                 if at and (size + len(found) > BLOCK or places[i] != at[-1] + 1):
                     yield block(at, ids, parts)
