@@ -63,6 +63,26 @@ def insert_json_rows(spark, sf):
     return good.select("id", "label", F.size("vector").alias("dim"), F.round(total, 6).alias("total"))
 
 
+NUMBERED = coll.CollectionSpec("numbered", 64, fields=(("vec_id", T.LongType()), ("label", T.IntegerType())), auto_id=True)
+
+
+@REGISTRY.add(
+    "insert_batches",
+    """with b as (select *, case when label < 5 then 0 else 1 end as batch from embeddings),
+n as (select batch, count(*) as inserted from b group by batch)
+select row_number() over (order by batch, vec_id) as id, vec_id, label, len(embedding)::integer as dim, inserted
+from b join n using (batch)""",
+)
+def insert_batches(spark, sf):
+    """Two batches appended with automatic keys and read back, each with the count its insert returned."""
+    path = f"{work_dir(spark)}/inserted-{uuid.uuid4().hex}"
+    given = table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").alias("vector"))
+    counts = [coll.insert(given.where(part), NUMBERED, path, order_by=["vec_id"])[0] for part in ("label < 5", "label >= 5")]
+    back = spark.read.parquet(path)
+    inserted = F.when(F.col("label") < 5, F.lit(counts[0])).otherwise(F.lit(counts[1])).cast("long")
+    return back.select("id", "vec_id", "label", F.size("vector").alias("dim"), inserted.alias("inserted"))
+
+
 @REGISTRY.add(
     "auto_id",
     "select row_number() over (order by c_mktsegment, c_custkey) as id, c_custkey from customer",
