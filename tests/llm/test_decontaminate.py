@@ -88,7 +88,7 @@ def test_pairs(spark, block_chars):
             text[10:10] = part[:22]
         docs.append((i, " ".join(text), "clash"))
     docs += [(None, "Z1, z2; z3 Z4 z5 (z6)", "n"), (7, None, ""), (7, "", ""), (8, items[0][1] + " " + "w0 " * 3000, ""), (8, items[0][1] + " " + "w0 " * 3000, "")]
-    df = spark.createDataFrame(docs, "doc_id long, text string, item_id string")
+    df = spark.createDataFrame(docs, "doc_id long, text string, _hit string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     found = d.contaminated(df, bench, block_chars=block_chars).collect()
     want = []

@@ -103,7 +103,7 @@ def test_groups_equal_brute_force(spark, slice_rows):
     texts += [None, "", "  \n", texts[0], texts[0], "short", "short"]
     ids = [*range(100, 100 + len(texts))]
     ids[-1], ids[-3], ids[3] = None, 100, None
-    rows = spark.createDataFrame(list(zip(ids, texts, texts)), "doc_id long, text string, fp string")
+    rows = spark.createDataFrame(list(zip(ids, texts, texts)), "doc_id long, text string, _kept string")
     found = simhash.groups(rows, slice_rows=slice_rows).collect()
     fps = [plain_fingerprint(t) for t in texts]
     want = plain_components(fps, ids)

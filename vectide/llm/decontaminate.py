@@ -268,4 +268,5 @@ def filter_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     A null id is an id of its own.
     """
     hits = contaminated(docs, benchmark, id_col, text_col, **options).select(F.col("id").alias("_hit")).distinct()
-    return docs.join(written(hits), col(id_col).eqNullSafe(F.col("_hit")), "left_anti")
+    hits = written(hits)
+    return docs.join(hits, docs[f"`{id_col}`"].eqNullSafe(hits["_hit"]), "left_anti")

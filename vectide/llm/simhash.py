@@ -16,7 +16,6 @@ their own. Each task returns, for its links, a spanning forest instead of all pa
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -305,4 +304,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """
     kept = groups(docs, id_col, text_col, shingle, radius).where(F.col("id").eqNullSafe(F.col("component")))
     ids = kept.select(F.col("id").alias("_kept")).distinct()
-    return docs.join(ids, col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
+    return docs.join(ids, docs[f"`{id_col}`"].eqNullSafe(ids["_kept"]), "left_semi")
