@@ -32,7 +32,7 @@ def kept_lines(rows, lost):
 def check(spark, rows, min_lines):
     """No copy of a passage is left, and nothing but passages and chunks is lost."""
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r._row.doc_id: r.new_text for r in line_dedup.dedupe(df).collect()}
+    found = {r._row.doc_id: r.new_text for r in line_dedup.dedupe(df, min_lines=min_lines).collect()}
     # With passages out of reach only chunks go.
     cut = {r._row.doc_id: r.new_text for r in line_dedup.dedupe(df, min_words=10**6).collect()}
     lost = removable(rows, min_lines)
@@ -72,9 +72,22 @@ def test_planted_passages_go_whole(spark, n_lines):
         assert whole if i < 12 else none, (i, n_lines)
 
 
-def test_random_lines(spark):
+@pytest.mark.parametrize("min_lines", [1, 2])
+def test_random_lines(spark, min_lines):
     rng = random.Random(5)
-    lines = [line(rng, n, f"s{n}") for n in (1, 2, 3, 9, 12, 20, 26, 30, 40, 50)] + ["", " "]
+    lines = [line(rng, n, f"s{n}") for n in (1, 2, 3, 9, 12, 20, 26, 30, 40, 50, 51, 60)] + ["", " "]
     rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randrange(1, 8)))) for i in range(60)]
     rows += [(100, None), (101, ""), (102, "one\ntwo\n" * 60), (103, "\n".join([lines[7]] * 6)), (104, rows[0][1])]
-    check(spark, rows, 2)
+    check(spark, rows, min_lines)
+
+
+def test_single_lines_go(spark):
+    rng = random.Random(6)
+    long, short = line(rng, 51, "long"), line(rng, 50, "short")
+    rows = [(i, "\n".join([f"head {i}", *([long, short] if i % 2 else [short, f"own {i}", long]), f"tail {i}"])) for i in range(8)]
+    rows += [(8, long), (9, short)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r._row.doc_id: r.new_text for r in line_dedup.dedupe(df).collect()}
+    assert [i for i in found if long in found[i]] == [0] and found[8] == ""
+    # A line of fewer words is a passage only together with its neighbours.
+    assert found[9] == short and all(f"head {i}" in found[i] and f"tail {i}" in found[i] for i in range(8))

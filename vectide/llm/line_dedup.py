@@ -29,7 +29,7 @@ WINDOW = 2
 SPACING = 2
 # A passage has more than 50 words.
 MIN_WORDS = 51
-MIN_LINES = 2
+MIN_LINES = 1
 
 
 def rolling(hashes: Column, i: Column, window: int) -> Column:
