@@ -268,3 +268,41 @@ def test_queries_above_the_bound_leave_the_collection_in_place(vectors, asked):
     assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, plain.collect()))
     plan = cut._jdf.queryExecution().executedPlan().toString()
     assert "CoGroup" not in plan and "cogroup" not in plan.lower()
+
+
+@pytest.mark.parametrize("bounds", [{}, {"broadcast_bytes": 0, "block_bytes": 512}])
+@pytest.mark.parametrize("metric", ["IP", "L2"])
+@pytest.mark.parametrize("scale", [1e-6, 1e-12])
+def test_short_vectors_keep_their_order(vectors, asked, metric, scale, bounds):
+    """Ranked by the unrounded score; scaling by powers of two changes no order."""
+    scale = 2.0 ** round(math.log2(scale))
+    rng = np.random.default_rng(8)
+    rows, queries = rng.normal(size=(200, 4)).astype(np.float32), rng.normal(size=(5, 4)).astype(np.float32)
+    corpus = vectors([(i, (v * np.float32(scale)).tolist()) for i, v in enumerate(rows)])
+    short = asked([(i, (v * np.float32(scale)).tolist()) for i, v in enumerate(queries)])
+    hits = nearest.search(corpus, short, limit=7, metric=metric, decimals=None, **bounds)
+    got = found(hits)
+    for q, v in enumerate(queries.astype(float)):
+        score = np.sqrt(((rows - v) ** 2).sum(axis=1)) if metric == "L2" else -(rows.astype(float) @ v)
+        best = np.argsort(score, kind="stable")[:7]
+        assert [i for i, _ in got[q]] == best.tolist()
+        size = scale if metric == "L2" else -scale * scale
+        assert np.allclose([s / size for _, s in got[q]], score[best], rtol=1e-9, atol=0)
+    rounded = nearest.search(corpus, short, limit=7, metric=metric, **bounds)
+    assert [(q, i) for q in range(5) for i, _ in found(rounded)[q]] == [(q, i) for q in range(5) for i, _ in got[q]]
+
+
+def test_short_vectors_are_cut_by_unrounded_scores(vectors, asked):
+    corpus = vectors([(i, [i * 1e-6, 0.0]) for i in range(20)])
+    one = asked([(1, [1e-6, 0.0])])
+    wanted = {5, 6, 7, 8}
+    inside = nearest.range_search(corpus, one, 4.5e-12, 8.5e-12, "IP")
+    assert {r.id for r in inside.collect()} == wanted
+    top = nearest.search(corpus, one, limit=4, metric="IP", radius=4.5e-12, range_filter=8.5e-12)
+    assert {r.id for r in top.collect()} == wanted
+    least = nearest.search(corpus, one, limit=20, metric="IP", min_similarity=4.5e-12)
+    assert {r.id for r in least.collect()} == set(range(5, 20))
+    near = nearest.range_search(corpus, one, 1 / (1 + 2.5e-6), 1 / (1 + 0.5e-6), "L2")
+    assert {r.id for r in near.collect()} == {0, 2, 3}
+    itself = nearest.range_search(vectors([(i, [0.1 * i, 0.3, 0.7]) for i in range(30)]), asked([(9, [0.9, 0.3, 0.7])]), 1.0)
+    assert {r.id for r in itself.collect()} == {9}

@@ -15,6 +15,8 @@ import pyarrow as pa
 PAIRS_PER_STEP = 4_000_000
 # Bytes of vectors that are scored exactly in one step.
 EXACT_BYTES = 64 * 1024 * 1024
+# Bounds of a range hold up to the rounding error of a score, relative to the bound.
+SLACK = 1e-14
 # New candidates that are gathered before they are merged into the best k.
 MERGE_AT = 20_000
 
@@ -40,8 +42,8 @@ def id_values(column: pa.Array) -> np.ndarray:
     return values.astype(str) if values.dtype == object else values
 
 
-def exact(metric: str, a: np.ndarray, b: np.ndarray, decimals: int) -> np.ndarray:
-    """Row-by-row scores of two equally long matrices; NaN where undefined."""
+def exact(metric: str, a: np.ndarray, b: np.ndarray, decimals: int | None = None) -> np.ndarray:
+    """Row-by-row scores of two equally long matrices, unrounded unless asked; NaN where undefined."""
     a, b = a.astype(np.float64), b.astype(np.float64)
     if metric == "L2":
         d = a - b
@@ -51,10 +53,10 @@ def exact(metric: str, a: np.ndarray, b: np.ndarray, decimals: int) -> np.ndarra
         if metric == "COSINE":
             n = np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b))
             s = np.divide(s, n, out=np.full(len(s), np.nan), where=n > 0)
-    return np.round(s, decimals)
+    return s if decimals is None else np.round(s, decimals)
 
 
-def exact_pairs(metric: str, a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, decimals: int) -> np.ndarray:
+def exact_pairs(metric: str, a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, decimals: int | None) -> np.ndarray:
     """Scores of rows ``a[i]`` and ``b[j]``, gathered in steps of bounded size."""
     step = max(1, EXACT_BYTES // (16 * max(1, a.shape[1])))
     with np.errstate(over="ignore", invalid="ignore"):
@@ -105,7 +107,7 @@ class Block:
         sound = self.squares[np.isfinite(self.squares)]
         self.most = 1.0 if q.metric == "COSINE" else float(sound.max(initial=0.0))
 
-    def screen(self, q: Queries, pick: np.ndarray):
+    def screen(self, q: Queries, pick: np.ndarray, decimals: int | None):
         """Approximate gains (bigger is better) of some queries against the rows, and their margin."""
         with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
             gain = q.left[pick].astype(self.kind) @ self.right
@@ -120,21 +122,29 @@ class Block:
         # A row or query with NaN or infinite elements has no score and displaces nothing.
         gain[:, ~np.isfinite(self.squares)] = -np.inf
         gain[~np.isfinite(q.squares[pick])] = -np.inf
+        # In proportion to the lengths, so that short vectors are told apart as well.
+        size = q.weight[pick] + self.most
+        margin = self.error * size + np.finfo(np.float64).tiny
         # Covers the rounding of scores as well, so that equal rounded scores are never cut apart.
-        return gain, (4e-9 + self.error) * (1.0 + q.weight[pick] + self.most)
+        return gain, margin if decimals is None else margin + 8 * 10.0**-decimals * (1.0 + size)
 
 
 class Bounds:
     """A similarity range, also as bounds on the screening gain."""
 
-    def __init__(self, metric: str, low: float = -np.inf, high: float = np.inf):
-        self.metric, self.low, self.high = metric, low, high
+    def __init__(self, metric: str, low: float = -np.inf, high: float = np.inf, slack: float = SLACK):
+        self.metric = metric
+        self.low = low - slack * abs(low) if np.isfinite(low) else low
+        self.high = high + slack * abs(high) if np.isfinite(high) else high
         self.open = np.isneginf(low) and np.isposinf(high)
         if metric == "L2":  # similarity 1/(1+d), gain -d*d
-            self.least = -np.inf if low <= 0 else -np.square(max(0.0, 1.0 / low - 1.0))
-            self.most = np.inf if high >= 1 else -np.inf if high <= 0 else -np.square(1.0 / high - 1.0)
+            # A distance as a bound is known to a few digits less, the closer the similarity is to 1.
+            far = lambda s, more: np.square(max(0.0, 1.0 / s - 1.0 + more * 4 * SLACK / s))
+            self.least = -np.inf if low <= 0 else -far(low, 1)
+            self.most = np.inf if high >= 1 else -np.inf if high <= 0 else -far(high, -1)
+            self.sure = self.most if high >= 1 or high <= 0 else -far(high, 1)
         else:
-            self.least, self.most = low, high
+            self.least, self.most, self.sure = self.low, self.high, high
 
     def keep(self, score: np.ndarray) -> np.ndarray:
         """Rows without a score count only where no range was asked for."""
@@ -152,9 +162,9 @@ def _id_array(ids: np.ndarray, kind: pa.DataType) -> pa.Array:
 class TopK:
     """Running best k of every query, within a similarity range, over the batches of one task."""
 
-    def __init__(self, queries: Queries, k: int, decimals: int, low: float = -np.inf, high: float = np.inf):
+    def __init__(self, queries: Queries, k: int, decimals: int | None = None, low: float = -np.inf, high: float = np.inf):
         self.q, self.k, self.decimals = queries, k, decimals
-        self.bounds = Bounds(queries.metric, low, high)
+        self.bounds = Bounds(queries.metric, low, high, SLACK if decimals is None else 0.0)
         self.held = (np.empty(0, np.int64), np.empty(0), None)
         self.new, self.n_new = [], 0
         # Gain (in screening units) that a row must reach to matter to a query.
@@ -175,14 +185,14 @@ class TopK:
         low_any[by_id[: self.k]] = True
         for start in range(0, len(pick), step):
             part = pick[start : start + step]
-            gain, margin = block.screen(self.q, part)
+            gain, margin = block.screen(self.q, part, self.decimals)
             floor = self.floor[part]
             if len(rows) > self.k:
                 cut = len(rows) - self.k
                 sure = gain
                 if np.isfinite(self.bounds.most):
                     # Only rows that are surely inside the range may raise the bar.
-                    sure = np.where(gain <= (self.bounds.most - margin)[:, None], gain, -np.inf)
+                    sure = np.where(gain <= (self.bounds.sure - margin)[:, None], gain, -np.inf)
                 floor = np.maximum(floor, np.partition(sure, cut, axis=1)[:, cut])
             near = gain >= (floor - margin)[:, None]
             if np.isfinite(self.bounds.most):
@@ -233,13 +243,13 @@ class TopK:
         )
 
 
-def in_range(q: Queries, ids, rows, low: float, high: float, decimals: int, id_type) -> Iterator[pa.Table]:
+def in_range(q: Queries, ids, rows, low: float, high: float, decimals: int | None, id_type) -> Iterator[pa.Table]:
     """All pairs whose similarity lies within [low, high]."""
-    bounds, block = Bounds(q.metric, low, high), Block(q, rows)
+    bounds, block = Bounds(q.metric, low, high, SLACK if decimals is None else 0.0), Block(q, rows)
     step = max(1, PAIRS_PER_STEP // max(1, len(rows)))
     for start in range(0, len(q), step):
         part = np.arange(start, min(start + step, len(q)))
-        gain, margin = block.screen(q, part)
+        gain, margin = block.screen(q, part, decimals)
         a, b = np.nonzero((gain >= (bounds.least - margin)[:, None]) & (gain <= (bounds.most + margin)[:, None]))
         value = exact_pairs(q.metric, q.vectors, part[a], rows, b, decimals)
         keep = bounds.keep(value) & np.isfinite(value)

@@ -10,8 +10,7 @@ L2 = "L2"
 IP = "IP"
 METRICS = (COSINE, L2, IP)
 
-# Scores are rounded to this many decimals before they are ranked, so that the
-# order never depends on the order in which a sum was taken.
+# Scores are given out with this many decimals; vectors are ranked and cut by unrounded scores.
 SCORE_DECIMALS = 9
 
 

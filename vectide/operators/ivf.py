@@ -188,6 +188,7 @@ def search(
     id_col: str = "id",
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
+    decimals: int | None = SCORE_DECIMALS,
 ) -> DataFrame:
     """Best rows among the cells nearest to each query, scored exactly.
 
@@ -219,7 +220,7 @@ def search(
     ranked = nearest.rank_hits(hits, metric, limit).select(
         "qid", "rank", "id", "score", similarity(metric, F.col("score")).alias("similarity")
     )
-    kept = nearest.cut_similarity(ranked, min_similarity)
+    kept = nearest.given_out(nearest.cut_similarity(ranked, min_similarity), metric, decimals)
     return kept if corpus is None else nearest.attach_fields(kept, corpus, output_fields, id_col, n * limit)
 
 
@@ -236,7 +237,7 @@ def _scan_cells(
 
     def run(batches):
         ids, vectors, near = shared.value
-        best = kernels.TopK(kernels.Queries(metric, ids, vectors), k, SCORE_DECIMALS, low, high)
+        best = kernels.TopK(kernels.Queries(metric, ids, vectors), k, None, low, high)
         askers = {int(c): np.nonzero((near == c).any(axis=1))[0] for c in np.unique(near)}
         for batch in batches:
             if not batch.num_rows:

@@ -137,7 +137,7 @@ def top_k_run(metric: str, k: int, dim: int, id_type: T.DataType, low=-math.inf,
     arrow_id = to_arrow_type(id_type)
 
     def run(queries, batches) -> Iterator[pa.RecordBatch]:
-        best = kernels.TopK(kernels.Queries(metric, *queries), k, SCORE_DECIMALS, low, high)
+        best = kernels.TopK(kernels.Queries(metric, *queries), k, None, low, high)
         for batch in batches:
             if batch.num_rows:
                 best.add(kernels.id_values(batch["id"]), kernels.matrix(batch["vector"], dim))
@@ -203,10 +203,12 @@ def top_k(
     query_col: str = "qv",
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
+    decimals: int | None = SCORE_DECIMALS,
 ) -> DataFrame:
     """Exact best k rows per query as ``(qid, rank, id, score, similarity)``."""
     rows, asked = sides(corpus, queries, id_col, vector_col, qid_col, query_col)
-    return _top_k(rows, asked, k, check_metric(metric), broadcast_bytes, block_bytes)[0]
+    hits = _top_k(rows, asked, k, check_metric(metric), broadcast_bytes, block_bytes)[0]
+    return given_out(hits, metric, decimals)
 
 
 def range_search(
@@ -221,6 +223,7 @@ def range_search(
     query_col: str = "qv",
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
+    decimals: int | None = SCORE_DECIMALS,
 ) -> DataFrame:
     """All rows whose similarity lies between ``radius`` and ``range_filter``, both included."""
     metric = check_metric(metric)
@@ -237,16 +240,28 @@ def range_search(
             if batch.num_rows:
                 ids = kernels.id_values(batch["id"])
                 block = kernels.matrix(batch["vector"], dim)
-                for found in kernels.in_range(prepared, ids, block, low, high, SCORE_DECIMALS, arrow_id):
+                for found in kernels.in_range(prepared, ids, block, low, high, None, arrow_id):
                     yield from found.to_batches()
 
     hits = _hits(rows, asked, n, dim, schema, run, broadcast_bytes, block_bytes)
-    return hits.select("qid", "id", "score", similarity(metric, F.col("score")).alias("similarity"))
+    hits = hits.select("qid", "id", "score", similarity(metric, F.col("score")).alias("similarity"))
+    return given_out(hits, metric, decimals)
 
 
 def cut_similarity(hits: DataFrame, min_similarity: float | None) -> DataFrame:
     """Drop hits below a similarity; applied after the top k, so fewer than k may remain."""
-    return hits if min_similarity is None else hits.where(F.col("similarity") >= float(min_similarity))
+    if min_similarity is None:
+        return hits
+    least = float(min_similarity)
+    return hits.where(F.col("similarity") >= least - kernels.SLACK * abs(least))
+
+
+def given_out(hits: DataFrame, metric: str, decimals: int | None) -> DataFrame:
+    """Ranked and cut hits with their scores rounded, and similarities of the rounded scores."""
+    if decimals is None:
+        return hits
+    hits = hits.withColumn("score", F.round("score", decimals))
+    return hits.withColumn("similarity", similarity(metric, F.col("score")))
 
 
 def attach_fields(
@@ -294,8 +309,12 @@ def search(
     query_col: str = "qv",
     broadcast_bytes: int = BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
+    decimals: int | None = SCORE_DECIMALS,
 ) -> DataFrame:
-    """Vector search: filter, then best k (within a range if one is given), then the similarity cut."""
+    """Vector search: filter, then best k (within a range if one is given), then the similarity cut.
+
+    Scores are rounded to ``decimals`` only when they are given out; None leaves them unrounded.
+    """
     from vectide.sources.collections import in_partitions
 
     rows = in_partitions(corpus, partition_names)
@@ -304,5 +323,5 @@ def search(
     low, high = limits(radius, range_filter)
     searched, asked = sides(rows, queries, id_col, anns_field, qid_col, query_col)
     hits, n = _top_k(searched, asked, limit, check_metric(metric), broadcast_bytes, block_bytes, low, high)
-    kept = cut_similarity(hits, min_similarity)
+    kept = given_out(cut_similarity(hits, min_similarity), metric, decimals)
     return attach_fields(kept, rows, output_fields, id_col, n * limit)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectide.functions.text import keywords
-from vectide.operators.nearest import cut_similarity, range_search, top_k
+from vectide.functions.vectors import SCORE_DECIMALS
+from vectide.operators.nearest import cut_similarity, given_out, range_search, top_k
 from vectide.sizing import spread_join
 
 # Sizes and thresholds of each query type. A slice of the ranked
@@ -108,4 +109,6 @@ def preset_search(corpus: DataFrame, queries: DataFrame, preset: str, metric: st
     least = chosen.get("min_similarity")
     if "limit" not in chosen:
         return range_search(corpus, queries, least, None, metric, **names)
-    return cut_similarity(top_k(corpus, queries, chosen["limit"], metric, **names), least)
+    decimals = names.pop("decimals", SCORE_DECIMALS)
+    hits = top_k(corpus, queries, chosen["limit"], metric, decimals=None, **names)
+    return given_out(cut_similarity(hits, least), metric, decimals)

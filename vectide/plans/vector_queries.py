@@ -59,6 +59,33 @@ REGISTRY.add("knn_l2", f"with {ranked_sql('L2', 10)} {OUT}")(_knn("L2", 10))
 REGISTRY.add("knn_inner_product", f"with {ranked_sql('IP', 10)} {OUT}")(_knn("IP", 10))
 
 
+def short_sql(metric: str, k: int) -> str:
+    kernel, order = {"L2": ("list_distance", "asc"), "IP": ("list_inner_product", "desc")}[metric]
+    scale = "1e6" if metric == "L2" else "1e12"
+    return f"""with vecs as (
+  select vec_id, [x * 1e-6::double for x in embedding::double[]] as v from embeddings),
+pairs as (select q.vec_id as qid, c.vec_id as id, {kernel}(q.v, c.v) as score from vecs q, vecs c),
+ranked as (select *, row_number() over (partition by qid order by score {order}, id) as rank from pairs)
+select qid, rank, id, round(score * {scale}::double, 6) as scaled from ranked where rank <= {k}"""
+
+
+def _short(metric, k):
+    """Vectors of a millionth of the length: ranked by unrounded scores."""
+
+    def plan(spark, sf):
+        short = F.transform("vector", lambda x: x.cast("double") * F.lit(1e-6))
+        corpus = vectors(spark, sf).withColumn("vector", short)
+        hits = nearest.search(corpus, as_queries(corpus), limit=k, metric=metric, decimals=None)
+        scale = 1e6 if metric == "L2" else 1e12
+        return hits.select("qid", "rank", "id", F.round(F.col("score") * F.lit(scale), 6).alias("scaled"))
+
+    return plan
+
+
+REGISTRY.add("knn_l2_short", short_sql("L2", 10))(_short("L2", 10))
+REGISTRY.add("knn_inner_product_short", short_sql("IP", 10))(_short("IP", 10))
+
+
 @REGISTRY.add(
     "knn_filtered",
     f"with {ranked_sql('COSINE', 10, where='c.label in (1, 2, 3) and c.vec_id <> 7')}, o as ({OUT})"
