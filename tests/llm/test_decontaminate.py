@@ -69,6 +69,22 @@ def test_one_word_many_times():
 def test_tokens():
     assert d.tokens("Ab-c, É é!\n9") == [b"ab", b"c", "é".encode(), "é".encode(), b"9"]
     assert d.tokens(None) == []
+    split = [t.decode() for t in d.tokens("Das 日本語テスト, é第x kö สวัส 한국어")]
+    assert split == ["das", *"日本語テスト", "é", "第", "x", "kö", *"สวัส", "한국어"]
+    # Whatever a text mixes, ideographs stand alone and everything else is cut as before.
+    rng = random.Random(9)
+    for _ in range(300):
+        text = "".join(rng.choice("aZ9 -é\u4e00\u30c6\u0e01\uac00\U00020001\U0001f600\n\u3000\u2014ß") for _ in range(rng.randrange(30)))
+        want = [x for run in d._TOKEN.findall(text.lower().encode()) for x in d._MIXED.findall(run)]
+        assert d.tokens(text) == want and all(d._SPACELESS.search(t.decode()) is None or len(t.decode()) == 1 for t in d.tokens(text))
+
+
+def test_short_items(spark):
+    items = [(1, "what is two"), (2, "世界で一番高い山は富士山ですか違います"), (3, "yes"), (4, "two two"), (5, "")]
+    docs = [(1, "I ask: What is TWO, then?"), (2, "前に世界で一番高い山は富士山ですか違います後"), (3, "yes"), (4, "yes indeed"), (5, "what is one and two"), (6, "two, two"), (7, ""), (8, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = d.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.id, r.item_id, r.coverage) for r in found) == [(1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0), (6, 4, 1.0)]
 
 
 @pytest.mark.parametrize("block_chars", [1 << 23, 300])
@@ -95,8 +111,8 @@ def test_pairs(spark, block_chars):
     for i, t, _ in docs:
         for k, s in items:
             a, b = d.tokens(s), d.tokens(t)
-            if len(a) >= 5 and len(b) < 1000 or (a and i == 8 and k == 0):
-                covered = sum(x[2] for x in plain_tiles(a, b if len(b) < 1000 else b[:40], 5))
+            if a and len(b) < 1000 or (a and i == 8 and k == 0):
+                covered = sum(x[2] for x in plain_tiles(a, b if len(b) < 1000 else b[:40], min(5, len(a))))
                 if covered >= 0.8 * len(a) and covered:
                     want.append((i, k, len(a), covered))
     assert sorted(map(repr, ((r.id, r.item_id, r.item_tokens, r.covered) for r in found))) == sorted(map(repr, want))

@@ -34,13 +34,20 @@ THRESHOLD = 0.8
 #: Characters of benchmark text in one block of the index.
 BLOCK_CHARS = 8 << 20
 
+#: A character of a script that is written without spaces, in UTF-8: Thai and Lao, Myanmar, Khmer, kana and ideographs.
+_ALONE = rb"(?:\xe0[\xb8-\xbb]|\xe1[\x80-\x82\x9e\x9f]|\xe3[\x81-\x83\x90-\xbf]|[\xe4-\xe9][\x80-\xbf]|\xef[\xa4-\xab]|\xf0[\xa0-\xaf][\x80-\xbf])[\x80-\xbf]"
 _TOKEN = re.compile(rb"[0-9a-z\x80-\xff]+")
+_MIXED = re.compile(rb"(?:[0-9a-z]+|(?!" + _ALONE + rb")[\xc0-\xff][\x80-\xbf]*)+|" + _ALONE)
+#: What no other letter holds: where it is missing the simple pattern gives the same tokens.
+_SPACELESS = re.compile("[\u0e00-\u0eff\u1000-\u10bf\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens(text: str | None) -> list[bytes]:
-    """Runs of digits, letters and other characters beyond ASCII, lower-cased."""
-    return _TOKEN.findall((text or "").lower().encode("utf-8", "surrogatepass"))
+    """Runs of digits, letters and other characters beyond ASCII, lower-cased; single characters of scripts without spaces."""
+    text = (text or "").lower()
+    spaceless = not text.isascii() and _SPACELESS.search(text)
+    return (_MIXED if spaceless else _TOKEN).findall(text.encode("utf-8", "surrogatepass"))
 
 
 def token_numbers(words: list[bytes]) -> np.ndarray:
@@ -80,13 +87,17 @@ class Index:
     def __init__(self, items: list[tuple[object, str]], seed: int):
         self.seed = seed
         self.ids, self.words, self.numbers = [], [], []
+        # Items shorter than a seed, by their length and the hash of all their tokens.
+        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         hashes, item, place = [], [], []
         for id_, text in items:
             words = tokens(text)
-            if len(words) < seed:
+            if not words:
                 continue
             numbers = token_numbers(words)
             found = rolling(numbers, seed)
+            if len(words) < seed:
+                self.short[len(words)][int(rolling(numbers, len(words))[0])].append(len(self.ids))
             hashes.append(found)
             item.append(np.full(len(found), len(self.ids), np.int64))
             place.append(np.arange(len(found)))
@@ -101,6 +112,15 @@ class Index:
 
     def candidates(self, numbers: np.ndarray, threshold: float) -> list[int]:
         """Items of which shared seeds cover the threshold; tiles cannot cover more."""
+        out = []
+        for length, by_hash in self.short.items():
+            # An item of one token is found only where it is all there is.
+            if length > 1 or len(numbers) == 1:
+                for h in set(rolling(numbers, length).tolist()) & by_hash.keys():
+                    out += by_hash[h]
+        return sorted(out + self._long(numbers, threshold))
+
+    def _long(self, numbers: np.ndarray, threshold: float) -> list[int]:
         found = np.unique(rolling(numbers, self.seed))
         low = np.searchsorted(self.hashes, found, side="left")
         count = np.searchsorted(self.hashes, found, side="right") - low
@@ -118,7 +138,7 @@ class Index:
             np.add.at(covered, np.array(places) + self.seed, -1)
             if np.count_nonzero(np.cumsum(covered)) >= threshold * len(self.words[i]):
                 out.append(i)
-        return sorted(out)
+        return out
 
 
 def tiles(a: list[bytes], b: list[bytes], a_numbers: np.ndarray, b_numbers: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
@@ -207,8 +227,10 @@ def contaminated(
 
     With ``item_tokens``, ``covered``, ``coverage`` and the ``tiles``: struct(item_place,
     doc_place, length) in tokens. Documents without such an item have no row. A null or
-    empty text has no tokens; an item of fewer than ``seed`` tokens is never found. Null
-    ids are reported as null. Each of several equal rows, of documents or of items,
+    empty text has no tokens and neither finds nor is found. An item of fewer than ``seed``
+    tokens is found where all of them stand in a row; one of a single token only in a
+    document that consists of it, for words alone prove nothing. Null ids are reported as
+    null. Each of several equal rows, of documents or of items,
     gives its own rows. Empty tables give an empty result.
     """
     spark = docs.sparkSession
@@ -232,12 +254,13 @@ def contaminated(
                 rows, out = [], []
                 for row, text in enumerate(batch.column("text").to_pylist()):
                     words = tokens(text)
-                    if len(words) < seed or not len(index.hashes):
+                    if not words or not index.ids:
                         continue
                     numbers = token_numbers(words)
                     for i in index.candidates(numbers, threshold):
-                        found = tiles(index.words[i], words, index.numbers[i], numbers, seed)
-                        n, covered = len(index.words[i]), sum(t[2] for t in found)
+                        n = len(index.words[i])
+                        found = tiles(index.words[i], words, index.numbers[i], numbers, min(seed, n))
+                        covered = sum(t[2] for t in found)
                         if covered >= threshold * n:
                             rows.append(row)
                             out.append((index.ids[i], n, covered, covered / n, [dict(zip(("item_place", "doc_place", "length"), t)) for t in found]))
