@@ -113,6 +113,8 @@ def test_quality_query_statistics(spark):
 
 
 def plain_chunks(lines, hashes, window=2, spacing=2):
+    """Chunks in order as (start, number of lines)."""
+
     def turn(h, k):
         h %= 1 << 64
         return ((h << k) | (h >> (64 - k))) % (1 << 64) if k else h
@@ -125,39 +127,72 @@ def plain_chunks(lines, hashes, window=2, spacing=2):
                 h ^= turn(hashes[i - back], back)
         before, marked = marked, h % spacing == 0
         if marked and not before or i == len(lines) - 1:
-            out.append(lines[start : i + 1])
+            out.append((start, i + 1 - start))
             start = i + 1
     return out
 
 
-def plain_dedupe(spark, rows):
+def plain_passages(lines, min_words=51, min_lines=1):
+    """The shortest runs with enough words from each line with words, onwards and back; lines without words lie between."""
+    counts = [len(re.findall(WORD, x)) for x in lines]
+    full = [i for i, n in enumerate(counts) if n]
+    out = set()
+    for direction in (1, -1):
+        for k in range(len(full)):
+            run = full[k:] if direction == 1 else full[: k + 1][::-1]
+            words = 0
+            for n, i in enumerate(run, 1):
+                words += counts[i]
+                if words >= min_words and n >= min_lines:
+                    low, high = min(run[0], i), max(run[0], i)
+                    out.add((low, high - low + 1))
+                    break
+    return out
+
+
+def hashes_of(spark, texts):
     from pyspark.sql import functions as F
 
-    every = sorted({x for _, t in rows for x in (t or "").split("\n")})
-    hashed = spark.createDataFrame([(x,) for x in every], "x string").select("x", F.xxhash64("x").alias("h")).collect()
-    h = {r.x: r.h for r in hashed}
-    texts = sorted({t or "" for _, t in rows})
-    th = {r.x: r.h for r in spark.createDataFrame([(t,) for t in texts], "x string").select("x", F.xxhash64("x").alias("h")).collect()}
-    cut = [(i, t, plain_chunks((t or "").split("\n"), [h[x] for x in (t or "").split("\n")])) for i, t in rows]
+    df = spark.createDataFrame([(x,) for x in sorted(texts)], "x string")
+    return {r.x: r.h for r in df.select("x", F.xxhash64("x").alias("h")).collect()}
+
+
+def plain_dedupe(spark, rows, min_words=51, min_lines=1):
+    """Each row with its text and the chunks that lost lines, from every piece of every text."""
+    h = hashes_of(spark, {x for _, t in rows for x in (t or "").split("\n")})
+    th = hashes_of(spark, {t or "" for _, t in rows})
+    pieces = {}
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        chunks = plain_chunks(lines, [h[x] for x in lines])
+        found = {c for c in chunks if c[1] > 1} | plain_passages(lines, min_words, min_lines)
+        # Rows that agree in id and text are one document; a null id is the lowest.
+        pieces[(i is not None, i or 0, th[t or ""])] = (lines, chunks, found)
     first = {}
-    for i, t, chunks in cut:
-        for place, c in enumerate(chunks):
-            at = ((i is not None, i or 0), th[t or ""], place)
-            key = "\n".join(c)
-            first[key] = min(first.get(key, at), at)
+    for key, (lines, _, found) in pieces.items():
+        for start, n in found:
+            text = "\n".join(lines[start : start + n])
+            first[text] = min(first.get(text, (key, start)), (key, start))
     out = []
-    for i, t, chunks in cut:
-        gone = [
-            len(c) > 1 and bool(re.search(WORD, "\n".join(c))) and first["\n".join(c)] != ((i is not None, i or 0), th[t or ""], place)
-            for place, c in enumerate(chunks)
-        ]
-        out.append((i, "\n".join("\n".join(c) for c, g in zip(chunks, gone) if not g) if any(gone) else t, sum(gone)))
+    for i, t in rows:
+        key = (i is not None, i or 0, th[t or ""])
+        lines, chunks, found = pieces[key]
+        gone = set()
+        for start, n in found:
+            text = "\n".join(lines[start : start + n])
+            owner, at = first[text]
+            if re.search(WORD, text) and (owner != key or start >= at + n):
+                gone |= set(range(start, start + n))
+        left = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+        touched = sum(any(k in gone for k in range(start, start + n)) for start, n in chunks)
+        out.append((i, left if gone else t, touched))
     return out
 
 
-def test_line_chunks(spark):
+@pytest.mark.parametrize("min_words, min_lines", [(51, 1), (8, 2), (10**6, 1)])
+def test_line_chunks(spark, min_words, min_lines):
     rng = random.Random(3)
-    lines = [f"line {k} of the corpus" for k in range(60)] + ["", " "]
+    lines = [f"line {k} of the corpus" for k in range(60)] + ["", " ", "a line of its own " * 13]
     passage = [f"shared {k}" for k in range(12)]
     rows = []
     for i in range(40):
@@ -166,10 +201,11 @@ def test_line_chunks(spark):
             at = rng.randrange(len(own) + 1)
             own[at:at] = passage
         rows.append((i, "\n".join(own)))
-    rows += [(None, "\n".join(passage)), (50, None), (51, ""), (52, "\n\n\n\n\n\n"), (53, rows[0][1]), (53, rows[0][1]), (54, "one\ntwo\n" * 200), (55, "x" * 100_000)]
+    rows += [(None, "\n".join(passage)), (50, None), (51, ""), (52, "\n\n\n\n\n\n"), (53, rows[0][1]), (53, rows[0][1]), (54, "one\ntwo\n" * 200), (55, "x" * 100_000), (53, "other text")]
     df = spark.createDataFrame([(*r, "c", len(r[1] or "")) for r in rows], "doc_id long, text string, places string, n_chars long")
-    found = [(r._row.doc_id, r.new_text, r.n_removed) for r in line_dedup.dedupe(df).collect()]
-    assert sorted(map(repr, found)) == sorted(map(repr, plain_dedupe(spark, rows)))
+    done = line_dedup.dedupe(df, min_words=min_words, min_lines=min_lines)
+    found = [(r._row.doc_id, r.new_text, r.n_removed) for r in done.collect()]
+    assert sorted(map(repr, found)) == sorted(map(repr, plain_dedupe(spark, rows, min_words, min_lines)))
     # The inside of the passage is cut alike everywhere: only its first occurrence keeps it.
     removed = {i: n for i, _, n in found if i is not None and i < 40 and i % 3 == 0}
     assert sum(n > 0 for n in removed.values()) >= len(removed) // 2
