@@ -44,8 +44,8 @@ BANDS = 2 * PERMUTATIONS // ROWS
 SEED = 42
 
 #: Classes and shingles of one slice of a crowded bucket.
-SLICE_CLASSES = 2048
-SLICE_SHINGLES = 1 << 22
+SLICE_CLASSES = 512
+SLICE_SHINGLES = 1 << 20
 #: Rounds before the last one, at most.
 ROUNDS = 6
 #: Bytes of text whose words are hashed at once, and members permuted at once.
