@@ -93,9 +93,42 @@ def test_string_keys_and_null_vectors(vectors, asked):
     assert [r.id for r in hits.orderBy("rank").collect()] == ["a", "b"]
 
 
-def test_wrong_length_is_an_error(vectors, asked):
-    with pytest.raises(Exception, match="not 2 long"):
-        nearest.top_k(vectors([(1, [1.0, 0.0, 0.0])]), asked([(1, [1.0, 0.0])]), 5).collect()
+@pytest.mark.parametrize("bounds", [{}, {"broadcast_bytes": 0, "block_bytes": 16}])
+def test_vectors_of_another_length_are_left_out_and_counted(vectors, asked, bounds):
+    rows = vectors([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 0.0, 0.0]), (4, [1.0]), (5, []), (6, None)])
+    questions = asked([(1, [1.0, 0.0]), (2, [0.0, 2.0]), (3, [1.0, 1.0, 1.0]), (4, None)])
+    hits = nearest.top_k(rows, questions, 5, **bounds).collect()
+    assert sorted((r.qid, r["rank"], r.id) for r in hits) == [(1, 1, 1), (1, 2, 2), (2, 1, 2), (2, 2, 1)]
+    near = nearest.range_search(rows, questions, 0.5, **bounds).collect()
+    assert sorted((r.qid, r.id) for r in near) == [(1, 1), (2, 2)]
+    counted = {(r.side, r.length): (r.n, r.searched) for r in nearest.lengths(rows, questions).collect()}
+    assert counted == {
+        ("corpus", 2): (2, True), ("corpus", 3): (1, False), ("corpus", 1): (1, False), ("corpus", 0): (1, False), ("corpus", None): (1, False),
+        ("queries", 2): (2, True), ("queries", 3): (1, False), ("queries", None): (1, False),
+    }
+    # Of equally frequent lengths the higher one is searched.
+    even = asked([(1, [1.0]), (2, [1.0, 0.0])])
+    assert {r.qid for r in nearest.top_k(rows, even, 5, **bounds).collect()} == {2}
+
+
+def test_one_block_of_queries_at_a_time(spark, vectors, asked, monkeypatch):
+    from pyspark.core.context import SparkContext
+
+    live, most = set(), []
+    send = SparkContext.broadcast
+
+    def counted(self, value):
+        shared = send(self, value)
+        live.add(id(shared))
+        most.append(len(live))
+        end = shared.destroy
+        monkeypatch.setattr(shared, "destroy", lambda *a: (live.discard(id(shared)), end(*a)), raising=False)
+        return shared
+
+    monkeypatch.setattr(SparkContext, "broadcast", counted)
+    rows, questions = [(i, [float(i), 1.0]) for i in range(50)], [(q, [float(q), 2.0]) for q in range(40)]
+    hits = nearest.search(vectors(rows), asked(questions), limit=3, broadcast_bytes=100, block_bytes=200)
+    assert hits.count() == 120 and len(most) >= 4 and max(most) == 1
 
 
 def test_limit_comes_before_the_similarity_cut(vectors, asked):

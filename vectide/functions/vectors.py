@@ -48,9 +48,13 @@ def cosine(a: Column, b: Column) -> Column:
     return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
+def kernel(metric: str, a: Column, b: Column) -> Column:
+    """The unrounded score of two vectors."""
+    return {COSINE: cosine, L2: l2_distance, IP: dot}[check_metric(metric)](a, b)
+
+
 def score(metric: str, a: Column, b: Column) -> Column:
-    kernel = {COSINE: cosine, L2: l2_distance, IP: dot}[check_metric(metric)]
-    return F.round(kernel(a, b), SCORE_DECIMALS)
+    return F.round(kernel(metric, a, b), SCORE_DECIMALS)
 
 
 def normalize(v: Column, length: Column | None = None) -> Column:
@@ -64,6 +68,21 @@ def normalize(v: Column, length: Column | None = None) -> Column:
     )
 
 
+# Digits by which scores of several lists are told apart.
+SETTLED_DIGITS = 12
+
+
+def settled(value: Column) -> Column:
+    """A score to twelve significant digits, whatever its size.
+
+    Scores that come about in different ways (a sum, a weight, another order of addition)
+    agree to that many digits where they are equal; decimals would make small ones equal.
+    """
+    size = F.abs(value)
+    scale = F.pow(F.lit(10.0), SETTLED_DIGITS - 1 - F.floor(F.log10(size)))
+    return F.when(size > 0, F.round(value * scale) / scale).otherwise(value)
+
+
 def similarity(metric: str, value: Column) -> Column:
     """A score as a similarity: distances become 1/(1+d), others stay."""
     return 1.0 / (1.0 + value) if check_metric(metric) == L2 else value

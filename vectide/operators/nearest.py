@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +23,7 @@ from vectide.functions import kernels
 from vectide.functions.predicates import fields_list, predicate
 from vectide.functions.vectors import SCORE_DECIMALS, best_first, check_metric, similarity
 from vectide.session import materialize
-from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES, HIT_BYTES, estimated_bytes, spread_join
+from vectide.sizing import BLOCK_BYTES, BROADCAST_BYTES, HIT_BYTES, broadcast_if_small, estimated_bytes, spread_join
 
 # Bytes that one task scans, and the number of rows that one task may merge for a query.
 SCAN_BYTES = 128 * 1024 * 1024
@@ -45,17 +46,41 @@ def hit_schema(corpus: DataFrame, queries: DataFrame) -> T.StructType:
     )
 
 
-def query_size(queries: DataFrame) -> tuple[int, int]:
-    """Number of query vectors and their dimension."""
-    row = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("qv")).alias("d")).first()
-    return int(row["n"]), int(row["d"] or 0)
+def usual_length(rows: DataFrame, vector_col: str) -> int:
+    """The most frequent length of the vectors, the higher of equally frequent ones; 0 without vectors."""
+    most = lengths_of(rows, vector_col).orderBy(F.desc("n"), F.desc("length")).first()
+    return most["length"] if most else 0
 
 
-def id_bytes(queries: DataFrame) -> int:
-    """Bytes of the query ids: strings as they are, others as numbers."""
+def lengths_of(rows: DataFrame, vector_col: str) -> DataFrame:
+    """``length, n``: how many vectors have each length."""
+    held = rows.where(F.col(vector_col).isNotNull()).select(F.size(vector_col).alias("length"))
+    return held.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
+
+
+def lengths(corpus: DataFrame, queries: DataFrame, vector_col: str = "vector", query_col: str = "qv") -> DataFrame:
+    """``side, length, n, searched``: which rows and queries take part in a search, by the length of their vectors.
+
+    Searches compare vectors of the queries' usual length; other rows and queries are left
+    out and counted here. Missing vectors have no length (null).
+    """
+    dim = usual_length(queries, query_col)
+
+    def counted(side: str, rows: DataFrame, column: str) -> DataFrame:
+        length = F.when(F.col(column).isNotNull(), F.size(column)).alias("length")
+        return rows.select(F.lit(side).alias("side"), length).groupBy("side", "length").agg(F.count(F.lit(1)).alias("n"))
+
+    both = counted("corpus", corpus, vector_col).unionByName(counted("queries", queries, query_col))
+    return both.withColumn("searched", F.coalesce(F.col("length") == dim, F.lit(False)))
+
+
+def query_size(queries: DataFrame) -> tuple[int, int, int]:
+    """Number of query vectors of the usual length, that length, and the bytes of their ids."""
     kind = queries.schema["qid"].dataType
     width = F.octet_length("qid") if isinstance(kind, (T.StringType, T.BinaryType)) else F.lit(8)
-    return int(queries.agg(F.sum(width)).first()[0] or 0)
+    by_length = queries.groupBy(F.size("qv").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
+    most = by_length.orderBy(F.desc("n"), F.desc("d")).first()
+    return (int(most["n"]), int(most["d"]), int(most["b"] or 0)) if most else (0, 0, 0)
 
 
 def collect_queries(queries: DataFrame) -> tuple[pa.Array, pa.Array]:
@@ -63,11 +88,11 @@ def collect_queries(queries: DataFrame) -> tuple[pa.Array, pa.Array]:
     return table.column("qid").combine_chunks(), table.column("qv").combine_chunks()
 
 
-def _scan(rows: DataFrame, asked: DataFrame, dim: int, schema, run) -> DataFrame:
-    """Send the queries to every task and let ``run`` consume the task's batches."""
+def _scan(rows: DataFrame, asked: DataFrame, dim: int, schema, run) -> tuple[DataFrame, Broadcast]:
+    """Send the queries to every task and let ``run`` consume the task's batches; also what was sent."""
     ids, vectors = collect_queries(asked)
     shared = asked.sparkSession.sparkContext.broadcast((ids, kernels.matrix(vectors, dim)))
-    return rows.mapInArrow(lambda batches: run(shared.value, batches), schema)
+    return rows.mapInArrow(lambda batches: run(shared.value, batches), schema), shared
 
 
 def meet_blocks(
@@ -87,7 +112,7 @@ def meet_blocks(
             return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(per_block)).cast("long").alias(name))
 
         # One row per cell that has both rows and queries.
-        shape = F.broadcast(blocks(rows, "row_blocks").join(blocks(asked, "query_blocks"), "cell"))
+        shape = broadcast_if_small(blocks(rows, "row_blocks").join(blocks(asked, "query_blocks"), "cell"))
         rows, asked = rows.join(shape, "cell"), asked.join(shape, "cell")
         cell, row_blocks, query_blocks = F.col("cell"), F.col("row_blocks"), F.col("query_blocks")
     else:
@@ -120,17 +145,22 @@ def meet_blocks(
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, schema)
 
 
-def _hits(rows, asked, n: int, dim: int, schema, run, broadcast_bytes: int, block_bytes: int) -> DataFrame:
+def _hits(rows, asked, n: int, dim: int, id_bytes: int, schema, run, broadcast_bytes: int, block_bytes: int) -> DataFrame:
     if not n:
         return rows.sparkSession.createDataFrame([], schema)
-    size = n * dim * 8 + id_bytes(asked)
+    size = n * dim * 8 + id_bytes
     if size <= broadcast_bytes:
-        return _scan(rows, asked, dim, schema, run)
-    # Too many queries for one broadcast: one scan for each block of them, so the collection never moves.
+        return _scan(rows, asked, dim, schema, run)[0]
+    # Too many queries for one broadcast: one scan for each block of them, one after another,
+    # so the collection never moves and the driver never holds more than a block.
     n_blocks = min(n, -(-size // block_bytes))
     kept = materialize(asked.withColumn("_block", F.pmod(F.xxhash64("qid", "qv"), F.lit(n_blocks))))
-    blocks = [kept.where(F.col("_block") == b).select("qid", "qv") for b in range(n_blocks)]
-    return reduce(DataFrame.unionByName, [_scan(rows, block, dim, schema, run) for block in blocks])
+    parts = []
+    for b in range(n_blocks):
+        hits, shared = _scan(rows, kept.where(F.col("_block") == b).select("qid", "qv"), dim, schema, run)
+        parts.append(materialize(hits))
+        shared.destroy()
+    return reduce(DataFrame.unionByName, parts)
 
 
 def top_k_run(metric: str, k: int, dim: int, id_type: T.DataType, low=-math.inf, high=math.inf):
@@ -184,10 +214,11 @@ def _top_k(rows, asked, k, metric, broadcast_bytes, block_bytes, low=-math.inf,
     """Ranked hits and the number of queries."""
     if k < 1:
         raise ValueError("k must be at least 1")
-    n, dim = query_size(asked)
+    n, dim, id_bytes = query_size(asked)
+    rows, asked = rows.where(F.size("vector") == dim), asked.where(F.size("qv") == dim)
     schema = hit_schema(rows, asked)
     run = top_k_run(metric, k, dim, schema["id"].dataType, low, high)
-    hits = _hits(rows, asked, n, dim, schema, run, broadcast_bytes, block_bytes)
+    hits = _hits(rows, asked, n, dim, id_bytes, schema, run, broadcast_bytes, block_bytes)
     ranked = rank_hits(hits, metric, k, _slices(rows, k))
     return ranked.select("qid", "rank", "id", "score", similarity(metric, F.col("score")).alias("similarity")), n
 
@@ -229,7 +260,8 @@ def range_search(
     metric = check_metric(metric)
     low, high = limits(radius, range_filter)
     rows, asked = sides(corpus, queries, id_col, vector_col, qid_col, query_col)
-    n, dim = query_size(asked)
+    n, dim, id_bytes = query_size(asked)
+    rows, asked = rows.where(F.size("vector") == dim), asked.where(F.size("qv") == dim)
     schema = hit_schema(rows, asked)
 
     arrow_id = to_arrow_type(schema["id"].dataType)
@@ -243,7 +275,7 @@ def range_search(
                 for found in kernels.in_range(prepared, ids, block, low, high, None, arrow_id):
                     yield from found.to_batches()
 
-    hits = _hits(rows, asked, n, dim, schema, run, broadcast_bytes, block_bytes)
+    hits = _hits(rows, asked, n, dim, id_bytes, schema, run, broadcast_bytes, block_bytes)
     hits = hits.select("qid", "id", "score", similarity(metric, F.col("score")).alias("similarity"))
     return given_out(hits, metric, decimals)
 

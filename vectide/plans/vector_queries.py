@@ -204,3 +204,37 @@ def preset_threshold(spark, sf):
     corpus = vectors(spark, sf)
     hits = selection.preset_search(corpus, as_queries(corpus), "threshold")
     return hits.select("qid", "id", "score", "similarity")
+
+
+MIXED = "case when vec_id % 5 = 0 then (embedding::double[])[1:40] else embedding::double[] end"
+
+
+def mixed(spark, sf):
+    """Every fifth vector has lost its end."""
+    cut = F.when(F.col("id") % 5 == 0, F.slice("vector", 1, 40)).otherwise(F.col("vector"))
+    return vectors(spark, sf).withColumn("vector", cut)
+
+
+@REGISTRY.add(
+    "knn_mixed_lengths",
+    f"""with vecs as (select vec_id, embedding::double[] as v from embeddings where vec_id % 5 <> 0),
+pairs as (select q.vec_id as qid, c.vec_id as id, {SCORES['COSINE']} as score from vecs q, vecs c),
+ranked as (select *, score as similarity, row_number() over (partition by qid order by score desc, id) as rank from pairs)
+{OUT} where rank <= 10""",
+)
+def knn_mixed_lengths(spark, sf):
+    """Vectors of another length than usual neither ask nor answer, and stop nobody else."""
+    corpus = mixed(spark, sf)
+    return out(nearest.search(corpus, as_queries(corpus), limit=10))
+
+
+@REGISTRY.add(
+    "vector_lengths",
+    f"""with vecs as (select {MIXED} as v from embeddings)
+select side, len(v)::integer as length, count(*) as n, len(v) = 64 as searched
+from vecs, (values ('corpus'), ('queries')) as sides(side) group by all""",
+)
+def vector_lengths(spark, sf):
+    """What a search leaves out for its length."""
+    corpus = mixed(spark, sf)
+    return nearest.lengths(corpus, as_queries(corpus))
