@@ -75,16 +75,14 @@ def test_limit_ties_and_cut(spark, index):
     assert bm25.bm25_search(index, ask(spark, "fox"), min_similarity=99).count() == 0
 
 
-def test_stored_index_is_scanned_without_a_shuffle_of_postings(spark, docs):
+def test_stored_index_answers_from_its_postings(spark, docs):
     name = f"fox_{uuid.uuid4().hex}"
     bm25.store_index(docs, name, 4, path=work_dir(spark))
     stored = bm25.load_index(spark, name)
     hits = bm25.bm25_search(stored, ask(spark, "red fox"))
     assert [r.id for r in hits.orderBy("rank").collect()] == [1, 2]
-    plan = hits._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(id" not in plan and "hashpartitioning(qid#" in plan
-    assert not [line for line in plan.split("\n") if "Exchange hashpartitioning(qid" in line and ", id#" in line]
-    for part in ("rows", "terms", "totals"):
+    assert stored.blocks.postings.where("term = 'fox'").count() >= 1
+    for part in ("rows", "terms", "totals", "slices", "postings"):
         spark.sql(f"drop table {name}_{part}")
 
 
@@ -95,8 +93,6 @@ def test_keyword_match(docs):
         bm25.keyword_match(docs, ["  "])
 
 
-def test_strip_and_substrings(spark):
-    row = spark.createDataFrame([(" \t a b\n ", "abcab")], "s string, t string").select(
-        W.strip(F.col("s")).alias("s"), W.substrings(F.col("t"), [2, 9, 3]).alias("p")
-    ).first()
-    assert row.s == "a b" and sorted(row.p) == ["ab", "abc", "bc", "bca", "ca", "cab"]
+def test_strip(spark):
+    row = spark.createDataFrame([(" \t a b\n ",)], "s string").select(W.strip(F.col("s")).alias("s")).first()
+    assert row.s == "a b"

@@ -1,4 +1,4 @@
-"""Text expressions: analyzer, term counts, keywords, substrings."""
+"""Text expressions: analyzer, term counts, keywords."""
 
 from __future__ import annotations
 
@@ -52,14 +52,3 @@ def term_counts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         ),
     )
     return runs.select("id", "dl", counted.alias("terms"))
-
-
-def substrings(text: Column, lengths: list[int]) -> Column:
-    """All distinct substrings of the given lengths."""
-    size = F.char_length(text)
-
-    def of_length(n):
-        cut = F.transform(F.sequence(F.lit(1), size - n + 1), lambda at: F.substr(text, at, n))
-        return F.when(size >= n, cut).otherwise(F.array().cast("array<string>"))
-
-    return F.array_distinct(F.flatten(F.transform(F.array(*[F.lit(n) for n in lengths]), of_length)))

@@ -4,6 +4,9 @@ The index keeps one row per text, ``(id, dl, terms)``, and the text count of eac
 term. A search scans the rows once without moving them: the texts of a batch are scored
 against all queries at once where they lie, and only the best k per query and task are
 shuffled.
+
+A stored index also holds postings by term (``postings.py``); a search then reads only
+the blocks of the asked words that can hold one of the best k texts.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,24 +29,22 @@ from vectide.functions.predicates import predicate
 from vectide.functions.text import term_counts, tokens
 from vectide.functions.vectors import SCORE_DECIMALS
 from vectide.operators.nearest import attach_fields, cut_similarity, rank_hits
+from vectide.operators.postings import K1, SLICE_TEXTS, B, Blocks, blocks_of, place_texts, slices_of, term_hits
 from vectide.session import materialize
-from vectide.sizing import BROADCAST_BYTES, Size, deal_out, measure
+from vectide.sizing import BROADCAST_BYTES, Size, broadcast_if_small, deal_out, measure
 
-# BM25 parameters and the number of hits.
-K1, B, LIMIT = 1.2, 0.75, 10
+# Fixed value: the number of hits.
+LIMIT = 10
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """``rows(id, dl, terms)``, ``terms(term, df)`` and one row of totals.
-
-    ``clustered`` says that the rows are bucketed by id.
-    """
+    """``rows(id, dl, terms)``, ``terms(term, df)`` and one row of totals; of a stored index also its postings."""
 
     rows: DataFrame
     terms: DataFrame
     totals: DataFrame
-    clustered: bool = False
+    blocks: Blocks | None = None
 
 
 def postings(rows: DataFrame) -> DataFrame:
@@ -69,9 +71,9 @@ def statistics(rows: DataFrame) -> DataFrame:
     )
 
 
-def _index(rows: DataFrame, clustered: bool = False) -> TextIndex:
+def _index(rows: DataFrame) -> TextIndex:
     terms = postings(rows).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return TextIndex(rows, terms, statistics(rows), clustered)
+    return TextIndex(rows, terms, statistics(rows))
 
 
 def build_index(docs: DataFrame, id_col: str = "id", text_col: str = "text") -> TextIndex:
@@ -80,13 +82,20 @@ def build_index(docs: DataFrame, id_col: str = "id", text_col: str = "text") ->
 
 
 def store_index(
-    docs: DataFrame, table: str, buckets: int, id_col: str = "id", text_col: str = "text", path: str | None = None
+    docs: DataFrame,
+    table: str,
+    buckets: int,
+    id_col: str = "id",
+    text_col: str = "text",
+    path: str | None = None,
+    slice_texts: int = SLICE_TEXTS,
 ) -> None:
-    """Write the index as tables: rows bucketed by id, document counts bucketed by term, totals."""
+    """Write the index as tables: rows bucketed by id, document counts bucketed by term, totals and postings by term."""
 
-    def write(df: DataFrame, name: str, key: str | None) -> None:
+    def write(df: DataFrame, name: str, key: str | None = None, part: str | None = None) -> None:
         writer = df.write.mode("overwrite").format("parquet")
         writer = writer.bucketBy(buckets, key).sortBy(key) if key else writer
+        writer = writer.partitionBy(part) if part else writer
         writer = writer.option("path", f"{path}/{name}") if path else writer
         writer.saveAsTable(name)
 
@@ -95,13 +104,17 @@ def store_index(
     write(index_rows(docs, id_col, text_col).repartition(buckets, "id"), f"{table}_rows", "id")
     index = _index(spark.table(f"{table}_rows"))
     write(index.terms.repartition(buckets, "term"), f"{table}_terms", "term")
-    write(index.totals, f"{table}_totals", None)
+    write(index.totals, f"{table}_totals")
+    placed = place_texts(index.rows, slice_texts)
+    write(slices_of(placed), f"{table}_slices")
+    mean = index.totals.first()["avg_dl"] or 1.0
+    write(blocks_of(placed, buckets, mean), f"{table}_postings", part="part")
 
 
 def load_index(spark: SparkSession, table: str) -> TextIndex:
-    return TextIndex(
-        spark.table(f"{table}_rows"), spark.table(f"{table}_terms"), spark.table(f"{table}_totals"), clustered=True
-    )
+    held = spark.table(f"{table}_postings")
+    blocks = Blocks(held, spark.table(f"{table}_slices"))
+    return TextIndex(spark.table(f"{table}_rows"), spark.table(f"{table}_terms"), spark.table(f"{table}_totals"), blocks)
 
 
 def query_terms(queries: DataFrame, qid_col: str = "qid", text_col: str = "query_text") -> DataFrame:
@@ -180,15 +193,17 @@ class Best:
         self.held = (query[keep], score[keep], ids[keep])
 
 
-def _scan(rows: DataFrame, weights: DataFrame, schema: T.StructType, k: int, k1: float, b: float, mean: float) -> DataFrame:
-    """Score the texts of every task in place against a bounded table of query words."""
+def _scan(
+    rows: DataFrame, weights: DataFrame, schema: T.StructType, k: int, k1: float, b: float, mean: float
+) -> tuple[DataFrame, Broadcast]:
+    """Score the texts of every task in place against a bounded table of query words; also what was sent."""
     table = weights.toArrow()
-    if not len(table):
-        return rows.sparkSession.createDataFrame([], schema)
     shared = rows.sparkSession.sparkContext.broadcast(table)
     id_type = to_arrow_type(schema["id"].dataType)
 
     def run(batches):
+        if not len(shared.value):
+            return
         prepared, best = Weights(shared.value), Best(k)
         for batch in batches:
             if batch.num_rows:
@@ -201,7 +216,21 @@ def _scan(rows: DataFrame, weights: DataFrame, schema: T.StructType, k: int, k1:
             found = pa.array(ids.tolist() if ids.dtype.kind == "U" else ids).cast(id_type)
             yield pa.RecordBatch.from_arrays([prepared.ids.take(pa.array(query)), found, pa.array(score)], ["qid", "id", "score"])
 
-    return rows.select("id", "dl", "terms").mapInArrow(run, schema)
+    return rows.select("id", "dl", "terms").mapInArrow(run, schema), shared
+
+
+def _weights(index: TextIndex, asked: DataFrame, small: bool, n_docs: int) -> DataFrame:
+    """``qid, term, w``: what a word that some text holds is worth to a query."""
+    vocabulary = asked.select("term").distinct()
+    known = index.terms.join(F.broadcast(vocabulary) if small else vocabulary, "term", "left_semi")
+    worth = F.col("qtf") * idf(F.lit(float(n_docs)), F.col("df").cast("double"))
+    return asked.join(known, "term").select("qid", "term", worth.alias("w"))
+
+
+def query_weights(index: TextIndex, queries: DataFrame) -> DataFrame:
+    """``qid, term, w`` of a table of query texts."""
+    asked = query_terms(queries)
+    return _weights(index, asked, measure(asked).bytes <= BROADCAST_BYTES, index.totals.first()["n_docs"] or 0)
 
 
 def bm25_hits(
@@ -216,32 +245,36 @@ def bm25_hits(
 ) -> DataFrame:
     """``(qid, id, score)``: of every task the best ``k`` texts of each query.
 
-    ``asked`` and ``size`` are the query words and their measured size. A table above
-    the bound is cut into blocks of queries, each of which is a scan of its own: texts
-    never move. ``candidates(id)`` restricts the texts, never the statistics.
+    ``asked`` and ``size`` are the query words and their measured size. With postings by
+    term only blocks of the asked words are read. Otherwise a table above the bound is
+    cut into blocks of queries, each of which is a scan of its own: texts never move. ``candidates(id)`` restricts the texts, never the statistics.
     """
     small = size.bytes <= broadcast_bytes
-    vocabulary = asked.select("term").distinct()
-    known = index.terms.join(F.broadcast(vocabulary) if small else vocabulary, "term", "left_semi")
     totals = index.totals.first()
     schema = T.StructType(
         [T.StructField("qid", asked.schema["qid"].dataType), T.StructField("id", index.rows.schema["id"].dataType), T.StructField("score", T.DoubleType())]
     )
     if not totals["n_docs"]:
         return asked.sparkSession.createDataFrame([], schema)
-    n_docs, mean = F.lit(float(totals["n_docs"])), float(totals["avg_dl"]) or 1.0
-    weights = asked.join(known, "term").select(
-        "qid", "term", (F.col("qtf") * idf(n_docs, F.col("df").cast("double"))).alias("w")
-    )
+    mean = float(totals["avg_dl"]) or 1.0
+    weights = _weights(index, asked, small, totals["n_docs"])
+    if index.blocks is not None:
+        return term_hits(index.blocks, weights, schema, k, float(k1), float(b), mean, candidates)[0]
     rows = index.rows
     if candidates is not None:
-        rows = rows.join(candidates.distinct(), "id", "left_semi")
+        # The ids alone decide; sent to the rows where they are few.
+        rows = rows.join(broadcast_if_small(candidates.distinct(), measured=candidates), "id", "left_semi")
     if small:
-        return _scan(rows, weights, schema, k, float(k1), float(b), mean)
+        return _scan(rows, weights, schema, k, float(k1), float(b), mean)[0]
+    # One scan for each block of queries, one after another: the driver holds one block at a time.
     n_blocks = min(size.rows, -(-size.bytes // max(1, broadcast_bytes)))
     kept = materialize(weights.withColumn("_block", F.pmod(F.xxhash64("qid"), F.lit(n_blocks))))
-    blocks = [kept.where(F.col("_block") == n).drop("_block") for n in range(n_blocks)]
-    return reduce(DataFrame.unionByName, [_scan(rows, w, schema, k, float(k1), float(b), mean) for w in blocks])
+    parts = []
+    for n in range(n_blocks):
+        hits, shared = _scan(rows, kept.where(F.col("_block") == n).drop("_block"), schema, k, float(k1), float(b), mean)
+        parts.append(materialize(hits))
+        shared.destroy()
+    return reduce(DataFrame.unionByName, parts)
 
 
 def bm25_search(
