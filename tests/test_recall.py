@@ -208,3 +208,101 @@ def test_keyword_search_falls_back_without_an_index(spark, queries):
     assert [(r["rank"], r.id, r.score) for r in found] == [(1, 1, 0.0), (2, 2, 0.0)]
     index = bm25.build_index(docs.where("text is not null"))
     assert [r.id for r in recall.keyword_search(docs, queries("fox"), index).collect()] == [1]
+
+
+def every_row(docs, vectors, asked, index, weights=(0.7, 0.3), metric="COSINE"):
+    """The weighted sum of every pair, in plain Python."""
+    text = {(r.qid, r.id): r.score for r in bm25.bm25_search(index, asked, 10_000).collect()}
+    out = []
+    for q in asked.collect():
+        best = max((s for (qid, _), s in text.items() if qid == q.qid), default=0)
+        scored = []
+        for i in docs:
+            v = vectors.get(i)
+            dense = 0.0
+            if v is not None and q.qv is not None:
+                a, b = np.array(q.qv, float), np.array(v, float)
+                dense = 1 / (1 + np.linalg.norm(a - b)) if metric == "L2" else float(a @ b)
+                if metric == "COSINE":
+                    dense = dense / (np.linalg.norm(a) * np.linalg.norm(b)) if a.any() and b.any() else 0.0
+            scored.append((weights[0] * dense + weights[1] * (text.get((q.qid, i), 0) / best if best else 0), i))
+        seen = {i for i in docs if vectors.get(i) is not None} | {i for qid, i in text if qid == q.qid}
+        scored = sorted(((s, i) for s, i in scored if i in seen), key=lambda x: (-round(x[0], 12), x[1]))
+        out += [(q.qid, n + 1, i, round(s, 6)) for n, (s, i) in enumerate(scored[:5])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "L2", "IP"])
+def test_exact_fusion_equals_the_sum_over_all_rows(spark, queries, metric):
+    import random
+
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(12)]
+    texts = {i: " ".join(rng.choices(words, k=rng.randrange(1, 9))) for i in range(150)}
+    texts |= {200: "w0 w0", 201: None}
+    docs = spark.createDataFrame(list(texts.items()), "id long, text string")
+    corpus = embedding.embed(docs, "text", ENCODER).select("id", F.when(F.col("id") % 11 != 0, F.col("vector")).alias("vector"))
+    asked = embedding.embed(queries("w0 w1", "w5", "nothing here", "w11 w3 w3", ""), "query_text", ENCODER, vector_col="qv")
+    index = bm25.build_index(docs)
+    vectors = {r.id: r.vector for r in corpus.collect()}
+    cases = {"COSINE": ((4, (0.7, 0.3)), (40, (0.1, 0.9))), "L2": ((8, (1.0, 0.0)),), "IP": ((8, (0.7, 0.3)),)}
+    for start, weights in cases[metric]:
+        found = recall.hybrid_exact(corpus, index, asked, 5, *weights, start=start, metric=metric)
+        got = sorted((r.qid, r["rank"], r.id, round(r.score, 6)) for r in found.collect())
+        want = every_row(list(texts), vectors, asked, index, weights, metric)
+        assert [g for g in got if g[3] > 0] == [w for w in want if w[3] > 0], (start, weights)
+    with pytest.raises(ValueError):
+        recall.hybrid_exact(corpus, index, asked, vector_weight=-1)
+
+
+def test_the_row_behind_both_lists_wins(spark):
+    # Rows 0-49 lead by vector, 50-99 by words; row 100 comes after them on both sides and has the best sum.
+    rows = [(i, [1.0, 0.001 * i], "other") for i in range(50)]
+    rows += [(50 + i, [-1.0, 0.0], "fox " * 12 + "a " * (i % 3)) for i in range(50)]
+    rows += [(100, [1.0, 0.06], "fox " * 9)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>, text string")
+    asked = spark.createDataFrame([(0, "fox", [1.0, 0.0])], "qid long, query_text string, qv array<double>")
+    index = bm25.build_index(df)
+    assert recall.hybrid_search(df, index, asked, 1).first().id != 100
+    best = recall.hybrid_exact(df, index, asked, 1, output_fields="text").first()
+    assert best.id == 100 and best.text.startswith("fox") and best.vector_score > 0.99 and best.text_score > 0.8
+
+
+def test_lists_are_merged_by_unrounded_scores(spark, queries):
+    rng = np.random.default_rng(3)
+    rows = [(i, (v * 1e-6).tolist(), "fox") for i, v in enumerate(rng.normal(size=(60, 4)))]
+    df = spark.createDataFrame(rows, "id long, vector array<double>, text string")
+    q = rows[0][1]
+    asked = spark.createDataFrame([(0, "fox", q)], "qid long, query_text string, qv array<double>")
+    hits = recall.hybrid_search(df, bm25.build_index(df), asked, 5, 1.0, 0.0, metric="IP")
+    order = sorted(range(60), key=lambda i: -np.dot(rows[i][1], q))[:5]
+    assert [r.id for r in sorted(hits.collect(), key=lambda r: r["rank"])] == order
+
+
+@pytest.mark.parametrize("bound", [10**9, 400])
+def test_dictionaries_and_rules_as_tables(spark, queries, bound):
+    from vectide.operators import rewriting
+
+    texts = ["狗洗澡", "nothing", "猫生病 护理", "", None, "如何洗澡", "什么是猫", "为什么", "怎么 如何 什么 为什么"]
+    asked = queries(*texts)
+    key = lambda df: sorted(((r.qid, r.variant, r.variant_text) for r in df.collect()))
+    for limit in (1, 2, 3, 9):
+        plain = query_text.expand_synonyms(asked, limit=limit)
+        table = rewriting.expand_from_table(asked, rewriting.synonym_table(spark, query_text.SYNONYMS), limit=limit, broadcast_bytes=bound)
+        assert key(table) == key(plain) and table.columns == plain.columns
+    for limit in (1, 2, 6):
+        plain = query_text.rewrite_intent(asked, limit=limit)
+        table = rewriting.rewrite_from_table(asked, rewriting.rule_table(spark, query_text.RULES), limit=limit, broadcast_bytes=bound)
+        assert key(table) == key(plain)
+
+
+def test_a_hundred_thousand_synonyms(spark, queries):
+    from vectide.operators import rewriting
+
+    rows = spark.range(100_000).selectExpr("id as priority", "0 as place", "concat('word', id, 'x') as word", "concat('syn', id) as synonym")
+    asked = queries("a word77777x and word5x", "word1", "word99999xword0x word5x")
+    found = rewriting.expand_from_table(asked, rows, broadcast_bytes=2_000_000).collect()
+    assert sorted((r.qid, r.variant, r.variant_text) for r in found) == [
+        (0, 0, "a word77777x and word5x"), (0, 1, "a word77777x and syn5"), (0, 2, "a syn77777 and word5x"), (1, 0, "word1"),
+        (2, 0, "word99999xword0x word5x"), (2, 1, "word99999xsyn0 word5x"), (2, 2, "word99999xword0x syn5"),
+    ]

@@ -2,7 +2,7 @@
 
 The words are sent to all tasks as an automaton that finds all of them at once, so
 only real matches become rows. Words above the broadcast bound are cut into blocks,
-each with a pass of its own.
+each with a pass of its own, one after another.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +19,8 @@ from vectide.session import materialize
 from vectide.sizing import BROADCAST_BYTES, measure
 
 
-def _scan(texts: DataFrame, words: DataFrame) -> DataFrame:
+def _scan(texts: DataFrame, words: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """Matches, and the words that were sent."""
     shared = texts.sparkSession.sparkContext.broadcast(words.toArrow().column("word").to_pylist())
     schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("id", texts.schema["id"].dataType)])
 
@@ -41,7 +43,7 @@ def _scan(texts: DataFrame, words: DataFrame) -> DataFrame:
                 [pa.array(found, pa.string()), batch.column("id").take(pa.array(rows, pa.int64()))], ["word", "id"]
             )
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(run, schema), shared
 
 
 def containing(texts: DataFrame, words: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -53,7 +55,12 @@ def containing(texts: DataFrame, words: DataFrame, broadcast_bytes: int = BROADC
     words = words.select("word").where("word <> ''").distinct()
     size = measure(words)
     if size.bytes <= broadcast_bytes:
-        return _scan(texts, words)
+        return _scan(texts, words)[0]
     n_blocks = min(size.rows, -(-size.bytes // max(1, broadcast_bytes)))
     kept = materialize(words.withColumn("_block", F.pmod(F.xxhash64("word"), F.lit(n_blocks))))
-    return reduce(DataFrame.unionByName, [_scan(texts, kept.where(F.col("_block") == n)) for n in range(n_blocks)])
+    parts = []
+    for n in range(n_blocks):
+        found, shared = _scan(texts, kept.where(F.col("_block") == n))
+        parts.append(materialize(found))
+        shared.destroy()
+    return reduce(DataFrame.unionByName, parts)

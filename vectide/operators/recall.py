@@ -1,15 +1,24 @@
-"""Several ways to find candidates, and their fusion."""
+"""Several ways to find candidates, and their fusion.
+
+Lists are merged by unrounded scores, which are equal if twelve significant digits are;
+scores are rounded when they are given out.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vectide.functions.containing import containing
 from vectide.functions.text import tokens
-from vectide.operators.bm25 import LIMIT, TextIndex, bm25_search
+from vectide.functions.vectors import SCORE_DECIMALS, check_metric, kernel, settled, similarity
+from vectide.operators.bm25 import LIMIT, TextIndex, bm25_search, query_weights
 from vectide.operators.embedding import Encoder, embed
 from vectide.operators.nearest import attach_fields, rank_hits, search, top_k
+from vectide.operators.postings import K1, B, impact
 from vectide.operators.query_text import (
     MAX_EXPANSIONS,
     MAX_REWRITES,
@@ -19,8 +28,9 @@ from vectide.operators.query_text import (
     rule_variants,
     synonym_variants,
 )
+from vectide.operators.trigrams import GramIndex, contains
 from vectide.session import materialize
-from vectide.sizing import BROADCAST_BYTES, deal_out, measure, spread_join
+from vectide.sizing import BROADCAST_BYTES, HIT_BYTES, deal_out, fits, measure, spread_join
 
 # How many candidates each path gives, and at which score.
 DENSE_LIMIT = 50
@@ -43,6 +53,10 @@ def _first(df: DataFrame, key: str, limit: int) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= limit).drop("_n")
 
 
+def _rounded(score: Column, decimals: int | None) -> Column:
+    return score if decimals is None else F.round(score, decimals)
+
+
 def _few(keys: DataFrame, limit: int) -> bool:
     """Whether ``limit`` hits of each distinct key stay within the broadcast bound."""
     return measure(keys).bytes * limit <= BROADCAST_BYTES
@@ -62,15 +76,20 @@ def title_equals(corpus: DataFrame, queries: DataFrame, limit: int = TITLE_LIMIT
     return spread_join(asked, _first(titles, "query_text", limit), ["query_text"], "qid", small=few).select("qid", "id")
 
 
-def title_contains(corpus: DataFrame, words: DataFrame, limit: int = KEYWORD_LIMIT, title_col="title") -> DataFrame:
+def title_contains(
+    corpus: DataFrame, words: DataFrame, limit: int = KEYWORD_LIMIT, title_col="title", grams: GramIndex | None = None
+) -> DataFrame:
     """Rows whose title contains a word, for a table ``(qid, word)``: ``(qid, id)``.
 
-    All words are looked for at once where the titles lie, so only real matches become
-    rows. Each word keeps its lowest ids; only then do the queries come in.
+    All words are looked for at once where the titles lie, or with ``grams``, a trigram
+    index of the titles, in candidates only. Each word keeps its lowest ids; only then do the
+    queries come in.
     """
     few = _few(words.select("word"), limit)
-    titles = deal_out(corpus.select("id", F.col(title_col).alias("text")))
-    found = containing(titles, words)
+    if grams is None:
+        found = containing(deal_out(corpus.select("id", F.col(title_col).alias("text"))), words)
+    else:
+        found = contains(grams, words)
     return spread_join(words, _first(found, "word", limit), ["word"], "qid", small=few).select("qid", "id")
 
 
@@ -80,18 +99,23 @@ def keyword_search(
     index: TextIndex | None = None,
     limit: int = LIMIT,
     text_col: str = "text",
+    grams: GramIndex | None = None,
 ) -> DataFrame:
     """Keyword search of ``queries(qid, query_text)``: BM25 with an index, otherwise by containment.
 
     Without an index a row counts if its text contains one of the query's words anywhere,
-    case aside; such rows have no score (0) and are ordered by id.
+    case aside; such rows have no score (0) and are ordered by id. ``grams``, a trigram index
+    of the lower-cased texts, saves reading all of them.
     """
     if index is not None:
         return bm25_search(index, queries, limit)
     asked = queries.select("qid", F.explode_outer(F.array_distinct(tokens(F.col("query_text")))).alias("word"))
     asked = asked.where("word is not null")
-    texts = deal_out(corpus.select("id", F.lower(F.col(text_col)).alias("text")))
-    found = _first(containing(texts, asked), "word", limit)
+    if grams is None:
+        texts = deal_out(corpus.select("id", F.lower(F.col(text_col)).alias("text")))
+        found = _first(containing(texts, asked), "word", limit)
+    else:
+        found = _first(contains(grams, asked), "word", limit)
     few = _few(asked.select("word"), limit)
     hits = spread_join(asked, found, ["word"], "qid", small=few).select("qid", "id").distinct()
     ranked = rank_hits(hits.withColumn("score", F.lit(0.0)), "IP", limit)
@@ -106,12 +130,14 @@ def multi_path(
     title_limit: int = TITLE_LIMIT,
     title_col: str = "title",
     vector_col: str = "vector",
+    decimals: int | None = SCORE_DECIMALS,
 ) -> DataFrame:
     """Candidates ``(qid, id, source, path, score)`` by vector, first keyword in the title and exact title.
 
-    ``queries`` holds ``qid, query_text, qv``.
+    ``queries`` holds ``qid, query_text, qv``. With ``decimals=None`` scores stay unrounded, for
+    ``merge_paths`` to rank them.
     """
-    dense = top_k(corpus, queries, dense_limit, "COSINE", vector_col=vector_col)
+    dense = top_k(corpus, queries, dense_limit, "COSINE", vector_col=vector_col, decimals=decimals)
     first = extract_keywords(queries, limit=1).select("qid", F.get("keywords", F.lit(0)).alias("word"))
     by_word = title_contains(corpus, first.where("word is not null"), keyword_limit, title_col)
     by_title = title_equals(corpus, queries, title_limit, title_col)
@@ -126,9 +152,14 @@ def multi_path(
     )
 
 
-def merge_paths(candidates: DataFrame, limit: int | None = MERGED_LIMIT) -> DataFrame:
-    """One row per ``(qid, id)`` with its best score; equal scores go to the earlier path."""
-    best = F.max(F.struct(F.col("score"), (-F.col("path")).alias("_late"), F.col("source"))).alias("_best")
+def merge_paths(
+    candidates: DataFrame, limit: int | None = MERGED_LIMIT, decimals: int | None = SCORE_DECIMALS
+) -> DataFrame:
+    """One row per ``(qid, id)`` with its best score; equal scores go to the earlier path.
+
+    Scores are compared as they come and rounded afterwards.
+    """
+    best = F.max(F.struct(settled(F.col("score")).alias("score"), (-F.col("path")).alias("_late"), F.col("source"))).alias("_best")
     merged = (
         candidates.where("id is not null")
         .groupBy("qid", "id")
@@ -136,8 +167,9 @@ def merge_paths(candidates: DataFrame, limit: int | None = MERGED_LIMIT) -> Data
         .select("qid", "id", "_best.source", "_best.score")
     )
     if limit is None:
-        return merged
-    return rank_hits(merged, "IP", limit).select("qid", "rank", "id", "source", F.col("score").alias("similarity"))
+        return merged.withColumn("score", _rounded(F.col("score"), decimals))
+    similarity = _rounded(F.col("score"), decimals).alias("similarity")
+    return rank_hits(merged, "IP", limit).select("qid", "rank", "id", "source", similarity)
 
 
 def expansion_variants(queries, synonyms=SYNONYMS, rules=RULES) -> DataFrame:
@@ -168,6 +200,7 @@ def expansion_recall(
     limit: int = MERGED_LIMIT,
     metric: str = "COSINE",
     vector_col: str = "vector",
+    decimals: int | None = SCORE_DECIMALS,
 ) -> DataFrame:
     """Search with the query, its synonyms and its rewrites; best weighted similarity per row.
 
@@ -181,16 +214,17 @@ def expansion_recall(
     # Written once: the search first counts its queries, and a model should not run twice.
     asked = materialize(embed(texts, "variant_text", encoder, vector_col="qv").select("qid", "qv"))
     most = max(size for _, size in (ORIGINAL, EXPANDED, REWRITTEN))
-    hits = top_k(corpus, asked, most, metric, vector_col=vector_col).withColumnRenamed("qid", "text_key")
+    hits = top_k(corpus, asked, most, metric, vector_col=vector_col, decimals=None).withColumnRenamed("qid", "text_key")
     # A text that a third of all queries share is searched once and handed out in slices.
     few = measure(asked.select("qid")).bytes * most <= BROADCAST_BYTES
     weighted = (
         spread_join(variants, hits, ["text_key"], "qid", small=few)
         .where(F.col("rank") <= F.col("size"))
         .groupBy("qid", "id")
-        .agg(F.max(F.col("weight") * F.col("similarity")).alias("score"))
+        .agg(F.max(settled(F.col("weight") * F.col("similarity"))).alias("score"))
     )
-    return rank_hits(weighted, "IP", limit).select("qid", "rank", "id", F.col("score").alias("similarity"))
+    similarity = _rounded(F.col("score"), decimals).alias("similarity")
+    return rank_hits(weighted, "IP", limit).select("qid", "rank", "id", similarity)
 
 
 def fuse(
@@ -199,6 +233,7 @@ def fuse(
     limit: int = 10,
     vector_weight: float = VECTOR_WEIGHT,
     text_weight: float = TEXT_WEIGHT,
+    decimals: int | None = None,
 ) -> DataFrame:
     """Weighted sum of dense similarities and keyword scores scaled by each query's best.
 
@@ -209,8 +244,13 @@ def fuse(
     vectors = dense.select("qid", "id", F.coalesce("similarity", F.lit(0.0)).alias("vector_score"))
     both = vectors.join(texts, ["qid", "id"], "full_outer").fillna(0.0, ["vector_score", "text_score"])
     total = F.col("vector_score") * float(vector_weight) + F.col("text_score") * float(text_weight)
-    scored = both.withColumn("score", total)
-    return rank_hits(scored, "IP", limit).select("qid", "rank", "id", "vector_score", "text_score", "score")
+    scored = both.withColumn("score", settled(total))
+    return _fused(rank_hits(scored, "IP", limit), decimals)
+
+
+def _fused(ranked: DataFrame, decimals: int | None) -> DataFrame:
+    scores = [_rounded(F.col(c), decimals).alias(c) for c in ("vector_score", "text_score", "score")]
+    return ranked.select("qid", "rank", "id", *scores)
 
 
 def hybrid_search(
@@ -225,12 +265,115 @@ def hybrid_search(
     vector_col: str = "vector",
     filter: str | None = None,
     output_fields=None,
+    decimals: int | None = SCORE_DECIMALS,
 ) -> DataFrame:
     """Dense and keyword search of ``queries(qid, query_text, qv)``, fused.
 
-    ``filter`` restricts the rows of both sides; hits carry ``output_fields`` of the corpus.
+    ``candidates`` rows of each side decide; ``hybrid_exact`` needs no such number. ``filter``
+    restricts the rows of both sides; hits carry ``output_fields`` of the corpus.
     """
-    dense = search(corpus, queries, candidates, metric, filter, anns_field=vector_col)
+    dense = search(corpus, queries, candidates, metric, filter, anns_field=vector_col, decimals=None)
     keyword = bm25_search(index, queries, candidates, corpus=corpus if filter else None, filter=filter)
-    return attach_fields(fuse(dense, keyword, limit, vector_weight, text_weight), corpus, output_fields)
+    return attach_fields(fuse(dense, keyword, limit, vector_weight, text_weight, decimals), corpus, output_fields)
+
+
+def _pair_scores(
+    corpus: DataFrame, index: TextIndex, queries: DataFrame, pairs: DataFrame, words: DataFrame, n_pairs: int, metric: str, vector_col: str, k1: float, b: float
+) -> DataFrame:
+    """``qid, id, vector_score, text_score`` of given pairs, the keyword score not yet scaled; 0 where a side is missing.
+
+    Pairs come in bounded number for each query. Both scores are looked up by id, so a row
+    that one list lacks is scored like all others.
+    """
+    small = n_pairs * HIT_BYTES <= BROADCAST_BYTES
+    pairs = F.broadcast(pairs) if small else pairs
+    asked = queries.select("qid", "qv")
+    asked = F.broadcast(asked) if fits(asked) else asked
+    rows = corpus.select("id", F.col(vector_col).alias("vector"))
+    alike = similarity(metric, kernel(metric, F.col("qv"), F.col("vector")))
+    # Vectors of another length, and scores that do not exist, count 0.
+    alike = F.when(F.size("qv") == F.size("vector"), F.nanvl(alike, F.lit(0.0)))
+    dense = rows.join(pairs, "id").join(asked, "qid").select("qid", "id", F.coalesce(alike, F.lit(0.0)).alias("vector_score"))
+    totals = index.totals.first()
+    mean = float(totals["avg_dl"] or 1.0)
+    by_query = words.groupBy("qid").agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("words"))
+    by_query = F.broadcast(by_query) if fits(words) else by_query
+    weight = lambda t: F.coalesce(F.element_at("words", t["term"]), F.lit(0.0))
+    value = F.aggregate("terms", F.lit(0.0), lambda total, t: total + weight(t) * impact(t["tf"], F.col("dl"), k1, b, mean))
+    held = index.rows.select("id", "dl", "terms").join(pairs, "id").join(by_query, "qid")
+    texts = held.select("qid", "id", F.round(value, SCORE_DECIMALS).alias("text_score"))
+    return dense.join(texts, ["qid", "id"], "full_outer").fillna(0.0, ["vector_score", "text_score"])
+
+
+def hybrid_exact(
+    corpus: DataFrame,
+    index: TextIndex,
+    queries: DataFrame,
+    limit: int = 10,
+    vector_weight: float = VECTOR_WEIGHT,
+    text_weight: float = TEXT_WEIGHT,
+    start: int = DENSE_LIMIT,
+    metric: str = "COSINE",
+    vector_col: str = "vector",
+    output_fields=None,
+    decimals: int | None = SCORE_DECIMALS,
+) -> DataFrame:
+    """The best rows by the weighted sum over *all* rows, by the threshold algorithm.
+
+    Both lists are read to a depth, what they hold is scored on both sides, and the last
+    scores of the lists bound what any row beyond them can reach. Queries whose
+    ``limit``-th row reaches that bound are done; for the others the depth doubles. A row
+    without a vector, or without one of the words, counts 0 on that side; keyword scores
+    are scaled by the query's best. Weights must not be negative.
+    """
+    if vector_weight < 0 or text_weight < 0:
+        raise ValueError("weights must not be negative")
+    metric = check_metric(metric)
+    k1, b = K1, B
+    queries = materialize(queries.select("qid", "query_text", "qv"))
+    words = materialize(query_weights(index, queries))
+    n_rows = max(corpus.count(), index.totals.first()["n_docs"])
+    open_, depth, done = queries, max(start, limit), []
+    while True:
+        n_open = open_.count()
+        if not n_open:
+            break
+        dense = materialize(search(corpus, open_, depth, metric, anns_field=vector_col, decimals=None))
+        keyword = materialize(bm25_search(index, open_, depth))
+        pairs = materialize(dense.select("qid", "id").unionByName(keyword.select("qid", "id")).distinct())
+        asked = words.join(open_.select("qid"), "qid", "left_semi")
+        both = _pair_scores(corpus, index, open_, pairs, asked, 2 * n_open * depth, metric, vector_col, k1, b)
+        best = keyword.groupBy("qid").agg(
+            F.max("score").alias("best"), F.min("score").alias("text_last"), F.count(F.lit(1)).alias("n_text")
+        )
+        scaled = F.coalesce(F.try_divide(F.col("text_score"), F.col("best")), F.lit(0.0))
+        both = both.join(best.select("qid", "best"), "qid", "left").withColumn("text_score", scaled)
+        total = F.col("vector_score") * float(vector_weight) + F.col("text_score") * float(text_weight)
+        ranked = materialize(rank_hits(both.withColumn("score", settled(total)), "IP", limit))
+        if depth >= n_rows:
+            done.append(ranked.select("qid", "rank", "id", "vector_score", "text_score", "score"))
+            break
+        # The most a row can have that neither list shows. Without a vector it counts 0.
+        ends = dense.groupBy("qid").agg(F.min(F.coalesce("similarity", F.lit(0.0))).alias("last"), F.count(F.lit(1)).alias("n_dense"))
+        vector_most = F.when(F.col("n_dense") >= depth, F.greatest("last", F.lit(0.0))).otherwise(F.lit(0.0))
+        text_most = F.when(F.col("n_text") >= depth, F.col("text_last") / F.col("best")).otherwise(F.lit(0.0))
+        most = F.coalesce(vector_most, F.lit(0.0)) * float(vector_weight) + F.coalesce(text_most, F.lit(0.0)) * float(text_weight)
+        reached = ranked.groupBy("qid").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
+        state = open_.select("qid").distinct().join(ends, "qid", "left").join(best, "qid", "left").join(reached, "qid", "left")
+        # Ties at the bound may be won by a lower id beyond it.
+        closed = (F.col("n") >= limit) & (F.col("least") > most + 10.0**-SCORE_DECIMALS)
+        state = materialize(state.select("qid", F.coalesce(closed, F.lit(False)).alias("closed")))
+        over = state.where("closed").select("qid")
+        done.append(ranked.join(over, "qid", "left_semi").select("qid", "rank", "id", "vector_score", "text_score", "score"))
+        open_ = materialize(open_.join(state.where("not closed").select("qid"), "qid", "left_semi"))
+        depth *= 2
+    empty = queries.sparkSession.createDataFrame([], _fused_schema(corpus, queries))
+    found = reduce(DataFrame.unionByName, done) if done else empty
+    return attach_fields(_fused(found, decimals), corpus, output_fields)
+
+
+def _fused_schema(corpus: DataFrame, queries: DataFrame) -> T.StructType:
+    scores = [T.StructField(c, T.DoubleType()) for c in ("vector_score", "text_score", "score")]
+    ends = [T.StructField("qid", queries.schema["qid"].dataType), T.StructField("rank", T.LongType()), T.StructField("id", corpus.schema["id"].dataType)]
+    return T.StructType(ends + scores)
 

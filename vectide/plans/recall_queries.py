@@ -2,12 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from vectide.operators import embedding, query_text, recall, selection
+from vectide.operators import embedding, query_text, recall, rewriting, selection
 from vectide.operators.bm25 import build_index
 from vectide.operators.query_text import Rule
 from vectide.plans.registry import REGISTRY, table
 from vectide.plans.text_queries import TOKENS, bm25_sql, documents, questions, rank_sql
 from vectide.session import materialize
+from vectide.sources.collections import assign_ids
 
 ENCODER = embedding.HashingEncoder(64)
 
@@ -24,13 +25,20 @@ def encode_sql(name: str, texts: str) -> str:
 
 
 def dense_sql(name: str, queries: str, rows: str, k: int) -> str:
-    """CTE ``name(qid, id, rank, similarity)`` of the k nearest rows by cosine."""
-    return f"""{name}_p as (select q.id as qid, r.id, round(list_cosine_similarity(q.v, r.v), 9) as similarity from {queries} q, {rows} r),
-{name}_s as (select qid, id, case when isnan(similarity) then null else similarity end as similarity from {name}_p),
+    """CTE ``name(qid, id, rank, similarity, raw)`` of the k nearest rows by cosine."""
+    return f"""{name}_p as (select q.id as qid, r.id, list_cosine_similarity(q.v, r.v) as exact from {queries} q, {rows} r),
+{name}_s as (select qid, id, case when isnan(exact) then null else exact end as raw,
+  case when isnan(exact) then null else round(exact, 9) end as similarity from {name}_p),
 {name} as (select * from (select *, row_number() over (partition by qid order by similarity desc nulls last, id) as rank from {name}_s)
   where rank <= {k})"""
 
 
+def settled_sql(x: str) -> str:
+    """A score to twelve significant digits."""
+    scale = f"power(10::double, 11 - floor(log10(nullif(abs({x}), 0))))"
+    return f"coalesce(round({x} * {scale}) / {scale}, {x})"
+
+
 DOCS = "select doc_id as id, text from documents"
 ASKED = "select item_id as id, text from benchmark"
 
@@ -71,10 +79,10 @@ def text_search(spark, sf):
     f"""with {encode_sql('e', DOCS)}, {encode_sql('q', ASKED)}, {dense_sql('dense', 'q', 'e', 50)},
 {bm25_sql()}, {rank_sql('scores', 50, 'keyword')},
 texts as (select qid, id, coalesce(score / nullif(max(score) over (partition by qid), 0), 0) as text_score from keyword),
-sides as (select coalesce(d.qid, t.qid) as qid, coalesce(d.id, t.id) as id, coalesce(similarity, 0) as vector_score,
+sides as (select coalesce(d.qid, t.qid) as qid, coalesce(d.id, t.id) as id, coalesce(raw, 0) as vector_score,
     coalesce(text_score, 0) as text_score from dense d full join texts t on d.qid = t.qid and d.id = t.id),
-total as (select *, vector_score * 0.7::double + text_score * 0.3::double as score from sides)
-select qid, rank, id, vector_score, text_score, score
+total as (select *, {settled_sql('(vector_score * 0.7::double + text_score * 0.3::double)')} as score from sides)
+select qid, rank, id, round(vector_score, 9) as vector_score, round(text_score, 9) as text_score, round(score, 9) as score
 from (select *, row_number() over (partition by qid order by score desc, id) as rank from total) where rank <= 10""",
 )
 def hybrid_search(spark, sf):
@@ -84,6 +92,24 @@ def hybrid_search(spark, sf):
     return recall.hybrid_search(corpus, index, asked)
 
 
+@REGISTRY.add(
+    "hybrid_exact",
+    f"""with {encode_sql('e', DOCS)}, {encode_sql('q', ASKED)}, {bm25_sql()},
+texts as (select qid, id, score / max(score) over (partition by qid) as text_score from scores),
+sides as (select q.id as qid, e.id, coalesce(case when isnan(list_cosine_similarity(q.v, e.v)) then 0 else list_cosine_similarity(q.v, e.v) end, 0) as vector_score,
+    coalesce(text_score, 0) as text_score from q cross join e left join texts t on t.qid = q.id and t.id = e.id),
+total as (select *, {settled_sql('(vector_score * 0.7::double + text_score * 0.3::double)')} as score from sides)
+select qid, rank, id, round(vector_score, 9) as vector_score, round(text_score, 9) as text_score, round(score, 9) as score
+from (select *, row_number() over (partition by qid order by score desc, id) as rank from total) where rank <= 10""",
+)
+def hybrid_exact(spark, sf):
+    """The weighted sum over all rows, whatever the depth of the lists: five rows of each to begin with."""
+    index = build_index(documents(spark, sf))
+    corpus = materialize(embedded_documents(spark, sf).select("id", "vector"))
+    asked = embedding.embed(questions(spark, sf), "query_text", ENCODER, vector_col="qv")
+    return recall.hybrid_exact(corpus, index, asked, start=5)
+
+
 EN = "select doc_id as id, text from documents where lang = 'en'"
 
 
@@ -92,10 +118,10 @@ EN = "select doc_id as id, text from documents where lang = 'en'"
     f"""with {encode_sql('e', EN)}, {encode_sql('q', ASKED)}, {dense_sql('dense', 'q', 'e', 50)},
 {bm25_sql(where="lang = 'en'")}, {rank_sql('scores', 50, 'keyword')},
 texts as (select qid, id, coalesce(score / nullif(max(score) over (partition by qid), 0), 0) as text_score from keyword),
-sides as (select coalesce(d.qid, t.qid) as qid, coalesce(d.id, t.id) as id, coalesce(similarity, 0) as vector_score,
+sides as (select coalesce(d.qid, t.qid) as qid, coalesce(d.id, t.id) as id, coalesce(raw, 0) as vector_score,
     coalesce(text_score, 0) as text_score from dense d full join texts t on d.qid = t.qid and d.id = t.id),
-total as (select *, vector_score * 0.7::double + text_score * 0.3::double as score from sides)
-select qid, rank, id, vector_score, text_score, score, source, n_chars
+total as (select *, {settled_sql('(vector_score * 0.7::double + text_score * 0.3::double)')} as score from sides)
+select qid, rank, id, round(vector_score, 9) as vector_score, round(text_score, 9) as text_score, round(score, 9) as score, source, n_chars
 from (select *, row_number() over (partition by qid order by score desc, id) as rank from total)
 join documents on doc_id = id where rank <= 10""",
 )
@@ -183,21 +209,51 @@ def rewrite_intent(spark, sf):
     return made.select("conv_id", "turn", "variant", "variant_text")
 
 
-PAGES = """pages_t as (select page_id as id, regexp_extract(html, '<title>(.*?)</title>', 1) as title,
+@REGISTRY.add("expand_synonyms_table", _variants_sql(synonyms_sql("text")))
+def expand_synonyms_table(spark, sf):
+    """The same synonyms as a table."""
+    made = rewriting.expand_from_table(_asked(spark, sf), rewriting.synonym_table(spark, SYNONYMS), "text")
+    return made.select("conv_id", "turn", "variant", "variant_text")
+
+
+@REGISTRY.add("rewrite_intent_table", _variants_sql(rules_sql("text")))
+def rewrite_intent_table(spark, sf):
+    made = rewriting.rewrite_from_table(_asked(spark, sf), rewriting.rule_table(spark, RULES), "text")
+    return made.select("conv_id", "turn", "variant", "variant_text")
+
+
+@REGISTRY.add(
+    "expand_by_names",
+    """with words as (select row_number() over (order by word) as priority, word from (select distinct text[1:5] as word from conversations
+    where length(text) >= 5)),
+hits as (select conv_id, turn, text, word, row_number() over (partition by conv_id, turn, text order by priority) as variant
+  from conversations join words on contains(text, word))
+select conv_id, turn, variant, replace(text, word, '<' || word || '>') as variant_text from hits where variant <= 2
+union all select conv_id, turn, 0::bigint, text from conversations""",
+)
+def expand_by_names(spark, sf):
+    """A dictionary that grows with the data: the beginnings of all turns, each with one synonym."""
+    asked = _asked(spark, sf)
+    words = asked.where("char_length(text) >= 5").select(F.substr("text", F.lit(1), F.lit(5)).alias("word")).distinct()
+    numbered = assign_ids(words, ["word"], id_col="priority")
+    entries = numbered.select("priority", F.lit(0).alias("place"), "word", F.concat(F.lit("<"), "word", F.lit(">")).alias("synonym"))
+    return rewriting.expand_from_table(asked, entries, "text").select("conv_id", "turn", "variant", "variant_text")
+
+
+PAGES = """pages_t as (select page_id as id, nullif(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '') as title,
   regexp_extract(url, '^https?://([^/]+)', 1) as path from pages),
-words_t as (select id, title, path from pages_t where title <> '')"""
+words_t as (select id, title, path from pages_t)"""
 
-TITLES = "select id, title as text from words_t"
+TITLES = "select id, title as text from words_t where title is not null"
 
 
 def pages(spark, sf):
-    """Pages as a collection: title, host as path, vector of the title."""
+    """Pages as a collection: title, host as path, vector of the title; pages without a title have no vector."""
+    title = F.nullif(F.regexp_extract("html", "(?s)<title>(.*?)</title>", 1), F.lit(""))
     rows = table(spark, sf, "pages").select(
-        F.col("page_id").alias("id"),
-        F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("title"),
-        F.regexp_extract("url", "^https?://([^/]+)", 1).alias("path"),
+        F.col("page_id").alias("id"), title.alias("title"), F.regexp_extract("url", "^https?://([^/]+)", 1).alias("path")
     )
-    return materialize(embedding.embed(rows.where("title <> ''"), "title", ENCODER))
+    return materialize(embedding.embed(rows, "title", ENCODER))
 
 
 def title_queries(corpus):
@@ -211,7 +267,7 @@ by_word as (select * from (select qid, t.id, row_number() over (partition by qid
   from first join words_t t on contains(t.title, word)) where n <= 20),
 by_title as (select * from (select q.id as qid, t.id, row_number() over (partition by q.id order by t.id) as n
   from words_t q join words_t t on t.title = q.title) where n <= 5),
-paths as (select qid, id, 'vector' as source, 1 as path, similarity as score from dense
+paths as (select qid, id, 'vector' as source, 1 as path, raw as score from dense
   union all select qid, id, 'keyword', 2, 0.5::double from by_word
   union all select qid, id, 'title', 3, 0.9::double from by_title)"""
 
@@ -230,23 +286,23 @@ def title_equals(spark, sf):
     return recall.title_equals(corpus, title_queries(corpus))
 
 
-@REGISTRY.add("multi_path_recall", f"with {PATHS} select qid, id, source, path, score from paths")
+@REGISTRY.add("multi_path_recall", f"with {PATHS} select qid, id, source, path, round(score, 9) as score from paths")
 def multi_path_recall(spark, sf):
     corpus = pages(spark, sf)
     return recall.multi_path(corpus, title_queries(corpus))
 
 
 MERGED = f"""{PATHS},
-merged as (select * from (select *, row_number() over (partition by qid, id order by score desc, path) as n from paths) where n = 1),
-fused as (select qid, rank, id, source, score as similarity from (
+known as (select * replace ({settled_sql('score')} as score) from paths),
+merged as (select * from (select *, row_number() over (partition by qid, id order by score desc, path) as n from known) where n = 1),
+fused as (select qid, rank, id, source, round(score, 9) as similarity from (
   select *, row_number() over (partition by qid order by score desc, id) as rank from merged) where rank <= 10)"""
 
 
 @REGISTRY.add("merge_paths", f"with {MERGED} select qid, rank, id, source, similarity from fused")
 def merge_paths(spark, sf):
     corpus = pages(spark, sf)
-    fused = recall.merge_paths(recall.multi_path(corpus, title_queries(corpus)))
-    return fused
+    return recall.merge_paths(recall.multi_path(corpus, title_queries(corpus), decimals=None))
 
 
 @REGISTRY.add(
@@ -257,9 +313,9 @@ raw as (select id as qid, title as variant_text, 1.0::double as weight, 30 as si
   union all select id, unnest({rules_sql('title')}), 0.6::double, 15 from words_t),
 variants as (select *, md5(variant_text) as key from raw),
 {encode_sql('q', 'select distinct key as id, variant_text as text from variants')}, {dense_sql('hits', 'q', 'e', 30)},
-merged as (select v.qid, h.id, max(weight * similarity) as score
+merged as (select v.qid, h.id, max({settled_sql('(weight * raw)')}) as score
   from variants v join hits h on h.qid = v.key and h.rank <= v.size group by v.qid, h.id)
-select qid, rank, id, score as similarity from (
+select qid, rank, id, round(score, 9) as similarity from (
   select *, row_number() over (partition by qid order by score desc nulls last, id) as rank from merged) where rank <= 10""",
 )
 def expansion_recall(spark, sf):

@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from vectide.functions import text as words
-from vectide.operators import bm25, recall
+from vectide.operators import bm25, recall, trigrams
 from vectide.plans.registry import REGISTRY, table
 from vectide.plans.vector_queries import OUT, out
 from vectide.session import work_dir
@@ -136,3 +136,34 @@ def bm25_stored_index(spark, sf):
     name = f"texts_{uuid.uuid4().hex}"
     bm25.store_index(documents(spark, sf), name, buckets=8, path=work_dir(spark))
     return out(bm25.bm25_search(bm25.load_index(spark, name), questions(spark, sf)))
+
+
+def gram_index(spark, texts):
+    path = f"{work_dir(spark)}/grams-{uuid.uuid4().hex}"
+    trigrams.store(texts, path)
+    return trigrams.load(spark, path)
+
+
+@REGISTRY.add(
+    "keyword_search_indexed",
+    f"""with asked as (select distinct item_id as qid, unnest({TOKENS}) as word from benchmark),
+hits as (select distinct qid, d.doc_id as id from asked, documents d where contains(lower(d.text), word))
+select qid, rank, id, 0.0::double as score, 0.0::double as similarity
+from (select *, row_number() over (partition by qid order by id) as rank from hits) where rank <= 10""",
+)
+def keyword_search_indexed(spark, sf):
+    """All questions over texts with a trigram index: only candidates are read."""
+    docs = documents(spark, sf)
+    held = gram_index(spark, docs.select("id", F.lower("text").alias("text")))
+    return recall.keyword_search(docs, questions(spark, sf), grams=held)
+
+
+@REGISTRY.add(
+    "like_indexed",
+    """with asked as (select distinct text[1:7] as word from conversations where length(text) >= 7)
+select word, doc_id as id from asked join documents on contains(text, word)""",
+)
+def like_indexed(spark, sf):
+    """The first characters of every turn as ``like '%...%'`` over all documents."""
+    words = table(spark, sf, "conversations").where("char_length(text) >= 7").select(F.substr("text", F.lit(1), F.lit(7)).alias("word"))
+    return trigrams.contains(gram_index(spark, documents(spark, sf)), words.distinct())
