@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from vectide.operators import rows as R
 from vectide.session import work_dir
 from vectide.sources import collections as coll
+from vectide.sources import ordered, sketches, zorder
 
 SPEC = coll.CollectionSpec("things", 2, enable_bm25=True, fields=(("n", T.IntegerType()),), max_length={"text": 5})
 
@@ -230,3 +231,115 @@ def test_insert_into_a_partition(spark):
     for name, key in (("old", 1), ("new", 2)):
         coll.insert(spark.createDataFrame([(key, [1.0])], "id long, vector array<float>"), spec, path, name)
     assert ids(coll.in_partitions(spark.read.parquet(path), "new")) == [2]
+
+
+def test_a_page_is_a_seek(spark):
+    path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
+    rows = [(k % 7 if k % 3 else None, k, f"n{k % 5}") for k in range(2000)] + [(3, 5000, None)] * 4
+    df = spark.createDataFrame(rows, "id long, n long, name string").repartition(5)
+    ordered.store(df, path, ["id", "n"], slice_rows=100)
+    held = ordered.load(spark, path)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for offset, limit in ((0, 5), (95, 10), (1990, 50), (3000, 5), (150, 400), (2003, 1)):
+        got = [(r.id, r.n, r.name) for r in ordered.page(held, limit, offset).collect()]
+        assert got == want[offset : offset + limit], offset
+    chosen = [r for r in want if r[2] == "n2"]
+    counts = ordered.matching(held, "name == 'n2'")
+    for offset in (0, 90, 395, 500):
+        got = [(r.id, r.n) for r in ordered.page(held, 20, offset, "name == 'n2'", "n", counts).collect()]
+        assert got == [r[:2] for r in chosen[offset : offset + 20]]
+        assert got == [(r.id, r.n) for r in ordered.page(held, 20, offset, "name == 'n2'", "n").collect()]
+    # A deep page reads the files of one or two slices.
+    plan = ordered.page(held, 10, 1900)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "_slice" in plan and "Exchange" not in plan
+    read = ordered.page(held, 10, 1900).inputFiles()
+    assert len(read) == len(held.rows.inputFiles()) > 10
+    touched = {r.f for r in held.rows.where(F.col("_slice").isin([19])).select(F.input_file_name().alias("f")).distinct().collect()}
+    assert len(touched) == 1
+    places = {(r.id, r.n): r.place for r in ordered.place_of(held, spark.createDataFrame([(6, 1000), (None, 3), (9, 9)], "id long, n long")).collect()}
+    assert places == {(6, 1000): want.index((6, 1000, "n0"))}
+    with pytest.raises(ValueError):
+        ordered.page(held, 0)
+
+
+def test_pages_of_an_empty_collection(spark):
+    path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
+    ordered.store(spark.createDataFrame([], "id long, n long"), path, "id")
+    held = ordered.load(spark, path)
+    assert ordered.page(held, 10).count() == 0 and ordered.page(held, 10, 5, "n > 1").count() == 0
+    with pytest.raises(ValueError):
+        ordered.store(spark.createDataFrame([], "id long, _slice long"), path, "id")
+
+
+def test_sketches_of_batches_merge_into_that_of_all(spark):
+    path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
+    df = spark.range(30_000).select(
+        (F.col("id") * 7919 % 20_011).alias("k"),
+        F.when(F.col("id") % 10 != 0, F.col("id").cast("double")).alias("x"),
+        F.concat(F.lit("s"), F.col("id") % 50).alias("s"),
+        F.lit(None).cast("int").alias("nothing"),
+        F.when(F.col("id") == 3, F.lit(float("nan"))).otherwise(F.col("id") % 2).alias("odd"),
+    )
+    for b in range(4):
+        sketches.keep(df.where(F.col("k") % 4 == b), path, f"b{b}")
+    sketches.keep(df.where(F.col("k") % 4 == 1), path, "b1")
+    got = {r.field: r for r in sketches.profile(spark, path).collect()}
+    whole = {r.field: r for r in sketches.report(sketches.sketch(df)).collect()}
+    exact = {"k": df.select("k").distinct().count(), "s": 50}
+    for f, n in exact.items():
+        for r in (got[f], whole[f]):
+            assert abs(r.distinct_values - n) <= 4 * sketches.DISTINCT_ERROR * n + 1
+    assert all(got[f].rows == 30_000 and got[f].nulls == whole[f].nulls for f in got)
+    assert got["x"].nulls == 3000 and got["nothing"].distinct_values == 0 and got["nothing"].quantiles is None and got["s"].quantiles is None
+    values = sorted(r.x for r in df.where("x is not null").select("x").collect())
+    for q, value in zip((0.0, 0.25, 0.5, 0.75, 1.0), got["x"].quantiles):
+        assert abs(sum(v <= value for v in values) / len(values) - q) <= 2 * sketches.RANK_ERROR
+    assert got["odd"].quantiles[-1] == 1.0
+    assert got.keys() == whole.keys() and sketches.profile(spark, path).count() == 5
+
+
+def test_z_order_skips_row_groups_for_each_field(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    df = spark.range(40_000).select(
+        F.col("id"),
+        (F.col("id") * 7919 % 40_009).cast("double").alias("x"),
+        F.expr("date_add(date'2020-01-01', cast(id * 104729 % 3001 as int))").alias("d"),
+        F.when(F.col("id") % 9 == 0, None).otherwise(F.col("id") * 31 % 997).cast("int").alias("n"),
+        F.concat(F.lit("name"), F.col("id") * 17 % 4001).alias("name"),
+    )
+    zorder.write(df, f"{tmp_path}/z", ["x", "d"], ["name"], n_files=64)
+    df.repartitionByRange(64, "x").write.parquet(f"{tmp_path}/plain")
+    back = spark.read.parquet(f"{tmp_path}/z")
+    assert back.columns == df.columns and back.count() == 40_000 and back.exceptAll(df).count() == 0
+
+    def share(path, field, low, high):
+        groups = hit = 0
+        for f in glob.glob(f"{path}/*.parquet"):
+            meta = pq.ParquetFile(f).metadata
+            for g in range(meta.num_row_groups):
+                stats = next(meta.row_group(g).column(c).statistics for c in range(meta.num_columns) if meta.row_group(g).column(c).path_in_schema == field)
+                groups += 1
+                hit += stats.min <= high and stats.max >= low
+        return hit / groups
+
+    import datetime
+
+    start = datetime.date(2020, 6, 1)
+    days = (start, start + datetime.timedelta(days=100))
+    # A tenth of a field's range takes a fraction of the files, whichever field it is.
+    assert share(f"{tmp_path}/z", "x", 4000, 8000) < 0.35 and share(f"{tmp_path}/z", "d", *days) < 0.35
+    assert share(f"{tmp_path}/plain", "d", *days) > 0.9
+    meta = pq.ParquetFile(glob.glob(f"{tmp_path}/z/*.parquet")[0]).metadata
+    assert meta.num_rows > 0
+    assert back.where("name = 'name17' and x between 0 and 40009").count() == df.where("name = 'name17'").count()
+    zorder.write(df, f"{tmp_path}/n", ["n"])
+    assert spark.read.parquet(f"{tmp_path}/n").where("n is null").count() == df.where("n is null").count()
+    with pytest.raises(ValueError):
+        zorder.write(df, f"{tmp_path}/no", ["name"])
+    with pytest.raises(ValueError):
+        zorder.write(df, f"{tmp_path}/no", [])
+    zorder.write(df.limit(0), f"{tmp_path}/empty", ["x", "d"])
+    assert spark.read.schema(df.schema).parquet(f"{tmp_path}/empty").count() == 0

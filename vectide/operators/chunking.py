@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 from vectide.functions.text import strip
 from vectide.sources.collections import assign_ids
-from vectide.sizing import deal_out
+from vectide.session import materialize
+from vectide.sizing import broadcast_if_small, deal_out, spread_join
 
 # Default sizes in characters, sentence ends and the paragraph delimiter.
 MAX_CHUNK, OVERLAP, MIN_CHUNK = 600, 100, 100
@@ -231,10 +232,16 @@ def normalized(text: Column) -> Column:
 def clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHUNK) -> DataFrame:
     """Drop short texts and all but the lowest id of equal texts (case and white space aside).
 
-    Only hashes and ids are grouped, combined before the shuffle, so a text copied
-    a billion times is one row per task.
+    Only hashes and ids move, combined before the shuffle, so a text copied a billion
+    times is one row per task. The texts stay where they are: the ids that go are sent to
+    them, unless they exceed the broadcast bound. A row without an id is dropped. An id that
+    repeats stays if it is the lowest of any of its texts.
     """
-    good = deal_out(df.select(id_col, text_col)).where(F.char_length(strip(F.col(text_col))) >= min_chars)
-    keys = good.select(F.col(id_col), F.sha2(normalized(F.col(text_col)), 256).alias("_h"))
-    first = keys.groupBy("_h").agg(F.min(id_col).alias(id_col)).select(id_col)
-    return df.join(first, id_col, "left_semi")
+    long = F.char_length(strip(F.col(text_col))) >= min_chars
+    good = deal_out(df.select(id_col, text_col)).where(long & F.col(id_col).isNotNull())
+    keys = materialize(good.select(F.col(id_col), F.sha2(normalized(F.col(text_col)), 256).alias("_h")))
+    copied = keys.groupBy("_h").agg(F.min(id_col).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    marked = spread_join(keys, copied.select("_h", "_first"), ["_h"], id_col, how="left")
+    copy = F.coalesce(F.col(id_col) != F.col("_first"), F.lit(False))
+    gone = materialize(marked.groupBy(id_col).agg(F.min(copy).alias("_copy")).where("_copy").select(id_col))
+    return df.where(long & F.col(id_col).isNotNull()).join(broadcast_if_small(gone), id_col, "left_anti").select(*df.columns)

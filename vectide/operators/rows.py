@@ -26,11 +26,15 @@ def latest(batch: DataFrame, key: str, sequence: str | None = None) -> DataFrame
     A row without a sequence comes before all that have one. Rows of one sequence are
     ordered by a hash of their values, so a run on the same rows always keeps the same.
     """
+    return batch.groupBy(key).agg(newest(batch, key, sequence).alias("_row")).select(key, "_row.*").select(*batch.columns)
+
+
+def newest(batch: DataFrame, key: str, sequence: str | None = None) -> Column:
+    """The other fields of the last row of a key, as an aggregate."""
     rest = [c for c in batch.columns if c != key]
     tie = F.xxhash64(*[_comparable(batch, c) for c in rest]).alias("tie")
     order = [F.col(sequence).isNotNull().alias("known"), F.col(sequence).alias("sequence")] if sequence else []
-    newest = F.max_by(F.struct(*rest), F.struct(*order, tie)).alias("_row")
-    return batch.groupBy(key).agg(newest).select(key, "_row.*").select(*batch.columns)
+    return F.max_by(F.struct(*rest), F.struct(*order, tie))
 
 
 def upsert(base: DataFrame, batch: DataFrame, key: str = "id", sequence: str | None = None) -> DataFrame:

@@ -10,6 +10,7 @@ from vectide.operators import rows
 from vectide.plans.registry import REGISTRY, table
 from vectide.session import work_dir
 from vectide.sources import collections as coll
+from vectide.sources import ordered, sketches, zorder
 
 EMBEDDINGS = coll.CollectionSpec("embeddings", 64, fields=(("label", T.IntegerType()),), auto_id=False)
 
@@ -227,6 +228,41 @@ def page_after(spark, sf):
     return rows.page_after(table(spark, sf, "orders"), 4711, 50, output_fields="o_totalprice", key="o_orderkey")
 
 
+def ordered_orders(spark, sf, *order, slice_rows=500):
+    path = f"{work_dir(spark)}/ordered-{uuid.uuid4().hex}"
+    ordered.store(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), path, order, slice_rows)
+    return ordered.load(spark, path)
+
+
+@REGISTRY.add(
+    "page_seek",
+    "select o_custkey, o_orderkey, o_totalprice from orders order by o_custkey, o_orderkey limit 700 offset 10100",
+)
+def page_seek(spark, sf):
+    """A page far behind, over more than one slice, from the order kept with the collection."""
+    return ordered.page(ordered_orders(spark, sf, "o_custkey", "o_orderkey"), limit=700, offset=10100)
+
+
+@REGISTRY.add(
+    "page_seek_filtered",
+    "select o_orderkey, o_totalprice from orders where o_totalprice > 50000 order by o_orderkey limit 50 offset 7000",
+)
+def page_seek_filtered(spark, sf):
+    held = ordered_orders(spark, sf, "o_orderkey")
+    return ordered.page(held, 50, 7000, "o_totalprice > 50000", "o_totalprice")
+
+
+@REGISTRY.add(
+    "place_of_keys",
+    """select o_orderkey, place from (select *, row_number() over (order by o_custkey, o_orderkey) - 1 as place from orders)
+where o_orderkey in (select l_orderkey from lineitem where l_quantity >= 49)""",
+)
+def place_of_keys(spark, sf):
+    """Where some rows stand in the collection's order."""
+    asked = table(spark, sf, "lineitem").where("l_quantity >= 49").select(F.col("l_orderkey").alias("o_orderkey"))
+    return ordered.place_of(ordered_orders(spark, sf, "o_custkey", "o_orderkey"), asked)
+
+
 @REGISTRY.add(
     "describe_collection",
     """select (row_number() over () - 1)::integer as position, column_name as field,
@@ -281,3 +317,45 @@ WIDTHS = "(select count(*) from (describe {0}))"
 )
 def collection_inventory(spark, sf):
     return coll.inventory({n: table(spark, sf, n) for n in NAMES})
+
+
+@REGISTRY.add(
+    "profile_by_sketches",
+    """select 'o_custkey' as field, count(*) as row_count, 0::bigint as null_count, true as distinct_close, true as median_close from orders
+union all select 'balance', count(*), count(*) filter (c_mktsegment = 'BUILDING'), true, true from customer""",
+)
+def profile_by_sketches(spark, sf):
+    """Profiles merged from the sketches of four batches, held against exact ones."""
+    orders = table(spark, sf, "orders").select("o_custkey")
+    parts = []
+    for df, field in ((orders, "o_custkey"), (balances(spark, sf).select("c_custkey", "balance"), "balance")):
+        path = f"{work_dir(spark)}/sketches-{uuid.uuid4().hex}"
+        for b in range(4):
+            sketches.keep(df.where(F.pmod(F.xxhash64(df.columns[0]), F.lit(4)) == b), path, str(b), [field])
+        told = sketches.profile(spark, path, [0.5])
+        exact = df.agg(F.countDistinct(field).alias("d"), F.count(field).alias("n"))
+        both = told.join(exact, F.lit(True))
+        median = F.get("quantiles", F.lit(0))
+        below = df.select(F.col(field).cast("double").alias("v")).join(F.broadcast(both.select(median.alias("m"))), F.col("v") <= F.col("m"))
+        at_most = below.agg(F.count(F.lit(1)).alias("at_most"))
+        strictly = below.where("v < m").agg(F.count(F.lit(1)).alias("strictly"))
+        close = F.abs(F.col("distinct_values") - F.col("d")) <= 5 * sketches.DISTINCT_ERROR * F.col("d") + 1
+        # Equal values share a range of ranks: half of all must lie in it, give or take the error.
+        slack = 2 * sketches.RANK_ERROR * F.col("n") + 1
+        middle = (F.col("strictly") <= F.col("n") / 2 + slack) & (F.col("at_most") >= F.col("n") / 2 - slack)
+        both = both.join(at_most, F.lit(True)).join(strictly, F.lit(True))
+        parts.append(both.select("field", F.col("rows").alias("row_count"), F.col("nulls").alias("null_count"), close.alias("distinct_close"), middle.alias("median_close")))
+    return parts[0].unionByName(parts[1])
+
+
+@REGISTRY.add(
+    "zorder_range",
+    """select l_orderkey, l_linenumber, l_quantity, l_extendedprice from lineitem
+where l_quantity between 10 and 15 and l_extendedprice between 20000 and 30000""",
+)
+def zorder_range(spark, sf):
+    """A range in two fields over files along a Z curve."""
+    path = f"{work_dir(spark)}/zorder-{uuid.uuid4().hex}"
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
+    zorder.write(rows, path, ["l_quantity", "l_extendedprice"], ["l_orderkey"])
+    return spark.read.parquet(path).where("l_quantity between 10 and 15 and l_extendedprice between 20000 and 30000")
