@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vectide.llm.common import WORD, col, words, written
+from vectide.sizing import broadcast_if_small, spread_join
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -203,6 +204,15 @@ def _bin(d: str) -> Column:
     return F.floor(F.log(F.col(d) + 1e-6) * BINS).cast("int")
 
 
+def _with_estimates(rows: DataFrame, estimates: DataFrame, on: list[str]) -> DataFrame:
+    """Rows with the estimate of their group, few narrow rows a group that are written.
+
+    They are sent to the rows while they are small; beyond that the rows of a group, which
+    may be a third of all, are spread over many tasks.
+    """
+    return spread_join(rows, estimates, on, "x0")
+
+
 def _starts(vectors: DataFrame) -> DataFrame:
     """Starting points by group: medians with robust scales, and the covariance of spatial signs around them.
 
@@ -222,11 +232,12 @@ def _starts(vectors: DataFrame) -> DataFrame:
             for i in range(DIM)
         ],
     )
+    scaled = written(scaled)
     plain = scaled.select(
         "level", "g", *[f"m{i}" for i in range(DIM)],
         *[(F.col(f"v{i}") if i == j else F.lit(0.0)).alias(f"c{i}{j}") for i, j in CELLS],
     )
-    away = vectors.join(scaled, ["level", "g"])
+    away = _with_estimates(vectors, scaled, ["level", "g"])
     for i in range(DIM):
         away = away.withColumn(f"u{i}", (F.col(f"x{i}") - F.col(f"m{i}")) / F.sqrt(f"v{i}"))
     length = F.sqrt(reduce(add, [F.col(f"u{i}") * F.col(f"u{i}") for i in range(DIM)]) + 1e-9)
@@ -278,9 +289,10 @@ def fit(vectors: DataFrame, share: float = SHARE, n_steps: int = STEPS) -> DataF
     scale = share / chi2_cdf(inside, DIM + 2)
     now = written(_starts(vectors))
     for _ in range(n_steps):
-        scored = _distance(vectors.join(now, ["level", "g"])).withColumn("bin", _bin("d"))
+        scored = _distance(_with_estimates(vectors, now, ["level", "g"])).withColumn("bin", _bin("d"))
         scored = scored.select("start", "level", "g", "bin", *[f"x{i}" for i in range(DIM)])
-        near = scored.join(_nearest(scored, share), ["start", "level", "g"]).where(F.col("bin") <= F.col("cut"))
+        cuts = written(_nearest(scored, share))
+        near = _with_estimates(scored, cuts, ["start", "level", "g"]).where(F.col("bin") <= F.col("cut"))
         now = written(_estimate(near.groupBy("start", "level", "g").agg(*_moments()), scale))
     cells = [f"m{i}" for i in range(DIM)] + [f"l{i}{j}" for i, j in CELLS]
     best = F.min_by(F.struct(*cells, "logdet"), F.struct("logdet", "start"))
@@ -337,10 +349,11 @@ def judge(
     each = passed.select(
         F.explode(F.array(*[F.struct(F.lit(v).alias("level"), k.alias("g")) for v, k in keys])).alias("c"), *xs
     ).select("c.level", "c.g", *xs)
-    model = fit(each.join(used, ["level", "g"], "left_semi"), share, n_steps)
-    estimate = choice.join(model, ["level", "g"]).drop("level", "g").withColumnRenamed("group", "k")
+    model = fit(each.join(broadcast_if_small(used), ["level", "g"], "left_semi"), share, n_steps)
+    # One narrow row for each language and source.
+    estimate = written(choice.join(model, ["level", "g"]).drop("level", "g").withColumnRenamed("group", "k"))
     same = F.col("group.lang").eqNullSafe(F.col("k.lang")) & F.col("group.source").eqNullSafe(F.col("k.source"))
-    scored = _distance(table.join(estimate, same, "left"))
+    scored = _distance(table.join(broadcast_if_small(estimate), same, "left"))
     distance = F.when(~F.col("base_failed"), F.col("d"))
     outlier = F.coalesce(distance > chi2_cut(reject_rate, DIM), F.lit(False))
     return scored.select(
