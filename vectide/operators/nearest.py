@@ -48,8 +48,12 @@ def hit_schema(corpus: DataFrame, queries: DataFrame) -> T.StructType:
 
 def usual_length(rows: DataFrame, vector_col: str) -> int:
     """The most frequent length of the vectors, the higher of equally frequent ones; 0 without vectors."""
+    size = F.size(vector_col)
+    ends = rows.where(F.col(vector_col).isNotNull()).agg(F.min(size).alias("low"), F.max(size).alias("high")).first()
+    if ends["low"] == ends["high"]:
+        return int(ends["low"] or 0)
     most = lengths_of(rows, vector_col).orderBy(F.desc("n"), F.desc("length")).first()
-    return most["length"] if most else 0
+    return int(most["length"])
 
 
 def lengths_of(rows: DataFrame, vector_col: str) -> DataFrame:
@@ -78,9 +82,12 @@ def query_size(queries: DataFrame) -> tuple[int, int, int]:
     """Number of query vectors of the usual length, that length, and the bytes of their ids."""
     kind = queries.schema["qid"].dataType
     width = F.octet_length("qid") if isinstance(kind, (T.StringType, T.BinaryType)) else F.lit(8)
-    by_length = queries.groupBy(F.size("qv").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b"))
-    most = by_length.orderBy(F.desc("n"), F.desc("d")).first()
-    return (int(most["n"]), int(most["d"]), int(most["b"] or 0)) if most else (0, 0, 0)
+    size = F.size("qv")
+    sums = [F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")]
+    row = queries.agg(*sums, F.min(size).alias("d"), F.max(size).alias("high")).first()
+    if row["d"] != row["high"]:
+        row = queries.groupBy(size.alias("d")).agg(*sums).orderBy(F.desc("n"), F.desc("d")).first()
+    return int(row["n"]), int(row["d"] or 0), int(row["b"] or 0)
 
 
 def collect_queries(queries: DataFrame) -> tuple[pa.Array, pa.Array]:
