@@ -163,7 +163,9 @@ def test_get_and_query(table):
             R.query(table, limit=limit, offset=offset)
 
 
-def test_pages_of_repeated_and_missing_keys(spark):
+@pytest.mark.parametrize("top", [R.TOP_ROWS, 0])
+def test_pages_of_repeated_and_missing_keys(spark, monkeypatch, top):
+    monkeypatch.setattr(R, "TOP_ROWS", top)
     rows = sorted(((None if i % 9 == 0 else i % 7, str(i)) for i in range(500)), key=lambda r: (r[0] is not None, r))
     df = spark.createDataFrame(rows, "id long, name string").repartition(6)
     for offset in (0, 1, 50, 55, 300, 490, 600):

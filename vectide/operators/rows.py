@@ -14,6 +14,10 @@ from vectide.sizing import broadcast_if_small
 from vectide.sources.collections import assign_ids, in_partitions, names_list
 
 
+# Rows that one task may hold to order a page.
+TOP_ROWS = 100_000
+
+
 def _comparable(df: DataFrame, name: str) -> Column:
     """The column in a form that can be hashed: entries of a map in the order of their keys."""
     value = F.col(f"`{name}`")
@@ -101,8 +105,9 @@ def query(
 ) -> DataFrame:
     """Filter, projection and limit, in the order of the key and then of the other fields asked for.
 
-    The first page is a top-k of every task. A later one would make one task hold all
-    rows before it, so rows are numbered slice by slice and the page is cut by number.
+    A page among the first ``TOP_ROWS`` rows is a top-k of every task. A later one would make
+    one task hold all rows before it, so rows are numbered slice by slice and the page is
+    cut by number. A collection stored in order (``sources/ordered.py``) seeks any page.
     """
     if limit < 1 or offset < 0:
         raise ValueError("limit must be positive and offset must not be negative")
@@ -110,8 +115,8 @@ def query(
     rows = rows if filter is None or filter == "" else rows.where(predicate(filter))
     wanted = rows.select(*_columns(df, output_fields, key))
     order = [key, *[f.name for f in wanted.schema if f.name != key and not isinstance(f.dataType, T.MapType)]]
-    if not offset:
-        return wanted.orderBy(*order).limit(limit)
+    if not offset or offset + limit <= TOP_ROWS:
+        return wanted.orderBy(*order).offset(offset).limit(limit)
     place = F.col("_place")
     page = assign_ids(wanted, order, id_col="_place").where((place > offset) & (place <= offset + limit))
     return page.select(*wanted.columns).orderBy(*order)
