@@ -345,3 +345,37 @@ def test_z_order_skips_row_groups_for_each_field(spark, tmp_path):
         zorder.write(df, f"{tmp_path}/no", [])
     zorder.write(df.limit(0), f"{tmp_path}/empty", ["x", "d"])
     assert spark.read.schema(df.schema).parquet(f"{tmp_path}/empty").count() == 0
+
+
+def test_inserted_and_saved_collections_are_loaded_alike(spark):
+    spec = coll.CollectionSpec("grows", 2, fields=(("n", T.IntegerType()),), auto_id=False)
+    path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
+
+    def batch(*ids_):
+        return spark.createDataFrame([(i, [1.0, 2.0], i) for i in ids_], "id long, vector array<float>, n int")
+
+    with pytest.raises(ValueError):
+        coll.load(spark, path)
+    coll.insert(batch(1, 2), spec, path)
+    coll.insert(batch(3), spec, path)
+    assert ids(coll.load(spark, path)) == [1, 2, 3]
+    assert coll.save(R.delete_where(coll.load(spark, path), "id = 2"), path) == 1
+    assert ids(coll.load(spark, path)) == [1, 3]
+    coll.insert(batch(4), spec, path)
+    assert ids(coll.load(spark, path)) == [1, 3, 4]
+    assert coll.save(R.delete_where(coll.load(spark, path), "id = 1"), path) == 2
+    assert ids(coll.load(spark, path)) == [3, 4] and ids(coll.load(spark, path, 1)) == [1, 3, 4]
+    with pytest.raises(ValueError):
+        coll.load(spark, path, 7)
+
+
+def test_storage(spark):
+    import glob
+    import os
+
+    path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
+    spark.range(1000).repartition(3).write.parquet(path)
+    found = coll.storage(spark.read.parquet(path)).first()
+    files = glob.glob(f"{path}/*.parquet")
+    assert (found.files, found.bytes, found.row_count) == (3, sum(map(os.path.getsize, files)), 1000)
+    assert coll.storage(spark.read.parquet(path).where("id < 0")).first().files == 0

@@ -273,6 +273,17 @@ def describe_collection(spark, sf):
     return coll.describe(table(spark, sf, "documents"))
 
 
+@REGISTRY.add(
+    "storage_statistics",
+    "select 4::bigint as files, true as has_bytes, count(*) as row_count from documents",
+)
+def storage_statistics(spark, sf):
+    """Files and rows of a stored collection, and whether its files have a size."""
+    path = f"{work_dir(spark)}/stored-{uuid.uuid4().hex}"
+    table(spark, sf, "documents").repartition(4).write.parquet(path)
+    return coll.storage(spark.read.parquet(path)).select("files", (F.col("bytes") > 0).alias("has_bytes"), "row_count")
+
+
 @REGISTRY.add(
     "profile_vectors",
     """with n as (select *, sqrt(list_sum(list_transform(embedding::double[], lambda x: x * x))) as norm from embeddings)

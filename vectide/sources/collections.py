@@ -209,10 +209,13 @@ def insert(
 ) -> tuple[int, DataFrame]:
     """Conform a batch and append the accepted rows; returns their number and a frame of their keys.
 
+    Rows are appended to the collection as ``load`` reads it: to its last saved state, if there is one.
+
     With ``auto_id`` the rows need no key: they are numbered in the order of
     ``order_by`` (a unique field), behind the highest key that the collection holds.
     """
     spark = rows.sparkSession
+    path = current_path(spark, path)
     if spec.auto_id and spec.key not in rows.columns:
         if not order_by:
             raise ValueError("numbering rows needs order_by, a unique field of the batch")
@@ -283,11 +286,31 @@ def save(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> int:
     return version
 
 
-def load(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+def current_path(spark: SparkSession, root: str) -> str:
+    """Where a collection's rows are: its last saved state, or the folder itself if it only grew by inserts."""
     versions = _versions(spark, root)
-    if not versions or (version is not None and version not in versions):
+    return f"{root}/version={versions[-1]}" if versions else root
+
+
+def load(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The rows of a collection, whether they were inserted, saved, or both; an earlier saved state by its number."""
+    if version is not None and version not in _versions(spark, root):
+        raise ValueError(f"no version {version} at {root}")
+    path = current_path(spark, root) if version is None else f"{root}/version={version}"
+    if not _exists(spark, path):
         raise ValueError(f"no collection at {root}")
-    return spark.read.parquet(f"{root}/version={version or versions[-1]}")
+    return spark.read.parquet(path)
+
+
+def storage(df: DataFrame) -> DataFrame:
+    """``files, bytes, row_count`` of a collection that is read from files; only their names and sizes are read."""
+    held = df.select("_metadata.file_path", "_metadata.file_size")
+    each = held.groupBy("file_path").agg(F.max("file_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    return each.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
+    )
 
 
 def describe(df: DataFrame) -> DataFrame:
