@@ -245,12 +245,11 @@ def test_exact_fusion_equals_the_sum_over_all_rows(spark, queries, metric):
     asked = embedding.embed(queries("w0 w1", "w5", "nothing here", "w11 w3 w3", ""), "query_text", ENCODER, vector_col="qv")
     index = bm25.build_index(docs)
     vectors = {r.id: r.vector for r in corpus.collect()}
-    cases = {"COSINE": ((4, (0.7, 0.3)), (40, (0.1, 0.9))), "L2": ((8, (1.0, 0.0)),), "IP": ((8, (0.7, 0.3)),)}
-    for start, weights in cases[metric]:
-        found = recall.hybrid_exact(corpus, index, asked, 5, *weights, start=start, metric=metric)
-        got = sorted((r.qid, r["rank"], r.id, round(r.score, 6)) for r in found.collect())
-        want = every_row(list(texts), vectors, asked, index, weights, metric)
-        assert [g for g in got if g[3] > 0] == [w for w in want if w[3] > 0], (start, weights)
+    start, weights = {"COSINE": (20, (0.7, 0.3)), "L2": (60, (1.0, 0.0)), "IP": (160, (0.2, 0.8))}[metric]
+    found = recall.hybrid_exact(corpus, index, asked, 5, *weights, start=start, metric=metric)
+    got = sorted((r.qid, r["rank"], r.id, round(r.score, 6)) for r in found.collect())
+    want = every_row(list(texts), vectors, asked, index, weights, metric)
+    assert [g for g in got if g[3] > 0] == [w for w in want if w[3] > 0]
     with pytest.raises(ValueError):
         recall.hybrid_exact(corpus, index, asked, vector_weight=-1)
 
@@ -286,11 +285,11 @@ def test_dictionaries_and_rules_as_tables(spark, queries, bound):
     texts = ["狗洗澡", "nothing", "猫生病 护理", "", None, "如何洗澡", "什么是猫", "为什么", "怎么 如何 什么 为什么"]
     asked = queries(*texts)
     key = lambda df: sorted(((r.qid, r.variant, r.variant_text) for r in df.collect()))
-    for limit in (1, 2, 3, 9):
+    for limit in (1, 3):
         plain = query_text.expand_synonyms(asked, limit=limit)
         table = rewriting.expand_from_table(asked, rewriting.synonym_table(spark, query_text.SYNONYMS), limit=limit, broadcast_bytes=bound)
         assert key(table) == key(plain) and table.columns == plain.columns
-    for limit in (1, 2, 6):
+    for limit in (1, 6):
         plain = query_text.rewrite_intent(asked, limit=limit)
         table = rewriting.rewrite_from_table(asked, rewriting.rule_table(spark, query_text.RULES), limit=limit, broadcast_bytes=bound)
         assert key(table) == key(plain)

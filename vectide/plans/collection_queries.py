@@ -343,19 +343,17 @@ def profile_by_sketches(spark, sf):
         path = f"{work_dir(spark)}/sketches-{uuid.uuid4().hex}"
         for b in range(4):
             sketches.keep(df.where(F.pmod(F.xxhash64(df.columns[0]), F.lit(4)) == b), path, str(b), [field])
-        told = sketches.profile(spark, path, [0.5])
-        exact = df.agg(F.countDistinct(field).alias("d"), F.count(field).alias("n"))
-        both = told.join(exact, F.lit(True))
-        median = F.get("quantiles", F.lit(0))
-        below = df.select(F.col(field).cast("double").alias("v")).join(F.broadcast(both.select(median.alias("m"))), F.col("v") <= F.col("m"))
-        at_most = below.agg(F.count(F.lit(1)).alias("at_most"))
-        strictly = below.where("v < m").agg(F.count(F.lit(1)).alias("strictly"))
-        close = F.abs(F.col("distinct_values") - F.col("d")) <= 5 * sketches.DISTINCT_ERROR * F.col("d") + 1
+        told = sketches.profile(spark, path, [0.5]).first()
         # Equal values share a range of ranks: half of all must lie in it, give or take the error.
-        slack = 2 * sketches.RANK_ERROR * F.col("n") + 1
-        middle = (F.col("strictly") <= F.col("n") / 2 + slack) & (F.col("at_most") >= F.col("n") / 2 - slack)
-        both = both.join(at_most, F.lit(True)).join(strictly, F.lit(True))
-        parts.append(both.select("field", F.col("rows").alias("row_count"), F.col("nulls").alias("null_count"), close.alias("distinct_close"), middle.alias("median_close")))
+        value, median = F.col(field).cast("double"), F.lit(told["quantiles"][0])
+        exact = df.agg(
+            F.countDistinct(field).alias("d"), F.count(field).alias("n"), F.count_if(value < median).alias("below"), F.count_if(value <= median).alias("upto")
+        )
+        close = F.abs(F.lit(told["distinct_values"]) - F.col("d")) <= 5 * sketches.DISTINCT_ERROR * F.col("d") + 1
+        half, slack = F.col("n") / 2, 2 * sketches.RANK_ERROR * F.col("n") + 1
+        middle = (F.col("below") <= half + slack) & (F.col("upto") >= half - slack)
+        counts = [F.lit(told[c]).cast("long").alias(name) for c, name in (("rows", "row_count"), ("nulls", "null_count"))]
+        parts.append(exact.select(F.lit(field).alias("field"), *counts, close.alias("distinct_close"), middle.alias("median_close")))
     return parts[0].unionByName(parts[1])
 
 
