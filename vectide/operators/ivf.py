@@ -504,8 +504,8 @@ def measure_levels(index: CellIndex, hits: int = SAMPLE_HITS, queries: int = SAM
 
     levels, low = {}, (1, 1)
     for level, recall in LEVEL_RECALL.items():
-        # One standard error above, for the sample is one of many.
-        aim = min(1.0, recall + math.sqrt(recall * (1 - recall) / len(query)))
+        # Two standard errors above, for the sample is one of many; the hits of a query stand or fall together.
+        aim = min(1.0, recall + 2 * math.sqrt(recall * (1 - recall) / len(sample)))
         beam = every[0] if recall >= 1 else least(branch_rank, (1 + aim) / 2)
         outside = np.iinfo(np.int64).max
         count = every[1] if recall >= 1 else least(np.where(branch_rank < beam, cell_rank, outside), aim)
