@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from vectide.functions.text import strip
 from vectide.sources.collections import assign_ids
 from vectide.session import materialize
-from vectide.sizing import broadcast_if_small, deal_out, spread_join
+from vectide.sizing import broadcast_if_small, deal_out, fits, spread_join
 
 # Default sizes in characters, sentence ends and the paragraph delimiter.
 MAX_CHUNK, OVERLAP, MIN_CHUNK = 600, 100, 100
@@ -241,7 +241,10 @@ def clean(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_cha
     good = deal_out(df.select(id_col, text_col)).where(long & F.col(id_col).isNotNull())
     keys = materialize(good.select(F.col(id_col), F.sha2(normalized(F.col(text_col)), 256).alias("_h")))
     copied = keys.groupBy("_h").agg(F.min(id_col).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    marked = spread_join(keys, copied.select("_h", "_first"), ["_h"], id_col, how="left")
+    # What goes is a part of the keys: if those are few, nothing more needs counting.
+    few = fits(keys) or None
+    marked = spread_join(keys, copied.select("_h", "_first"), ["_h"], id_col, small=few, how="left")
     copy = F.coalesce(F.col(id_col) != F.col("_first"), F.lit(False))
-    gone = materialize(marked.groupBy(id_col).agg(F.min(copy).alias("_copy")).where("_copy").select(id_col))
-    return df.where(long & F.col(id_col).isNotNull()).join(broadcast_if_small(gone), id_col, "left_anti").select(*df.columns)
+    gone = marked.groupBy(id_col).agg(F.min(copy).alias("_copy")).where("_copy").select(id_col)
+    gone = F.broadcast(gone) if few else broadcast_if_small(materialize(gone))
+    return df.where(long & F.col(id_col).isNotNull()).join(gone, id_col, "left_anti").select(*df.columns)

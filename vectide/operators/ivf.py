@@ -611,6 +611,9 @@ def _probe(index: CellIndex, asked: DataFrame, choose, radii: DataFrame | None,
                     continue
                 points, bars = space(batch)
                 chosen = []
+                if isinstance(choose, _Nearest) and choose.beam >= len(tree.branches):
+                    near = _nearest_cells(points, tree.centers, min(choose.count, len(tree.centers)))
+                    chosen, points = list(np.sort(tree.cells[near], axis=1)), points[:0]
                 for p, bar, own in zip(points, bars, choose.branches(points, bars, tree.branches, branch_far)):
                     at = np.concatenate([np.arange(tree.first[b], tree.first[b + 1]) for b in own] or [np.zeros(0, np.int64)])
                     near = choose.cells(p, bar, tree.centers[at], None if cell_far is None else cell_far[at]) if len(at) else at
