@@ -78,6 +78,10 @@ class Tree:
     centers: np.ndarray | None = None
     first: np.ndarray | None = None
 
+    def arrays(self) -> tuple:
+        """What is sent to tasks: broadcasts are read where this package need not be installed."""
+        return self.branches, self.cells, self.centers, self.first
+
 
 @dataclass(frozen=True)
 class CellIndex:
@@ -333,18 +337,18 @@ def _placed(points: np.ndarray, cells: np.ndarray, centers: np.ndarray) -> tuple
 def _place(rows: DataFrame, table: DataFrame, tree: Tree, dim: int, metric: str, longest: float, block_bytes: int) -> DataFrame:
     """Rows ``id, vector`` with their branch and cell and the distances to both centroids."""
     schema = T.StructType([rows.schema["id"], rows.schema["vector"], *_PLACED])
-    shared = rows.sparkSession.sparkContext.broadcast(tree)
+    shared = rows.sparkSession.sparkContext.broadcast(tree.arrays())
 
     def batch_of(ids, vectors, points, branch, cell, far) -> pa.RecordBatch:
         with np.errstate(invalid="ignore", over="ignore"):
-            away = _distances(points, shared.value.branches[branch])
+            away = _distances(points, shared.value[0][branch])
         columns = [ids, vectors, pa.array(branch.astype(np.int32)), pa.array(cell), pa.array(far), pa.array(away)]
         return pa.RecordBatch.from_arrays(columns, schema.names)
 
     if tree.centers is not None:
 
         def run(batches):
-            tree = shared.value
+            tree = Tree(*shared.value)
             for batch in batches:
                 if not batch.num_rows:
                     continue
@@ -587,7 +591,7 @@ def _probe(index: CellIndex, asked: DataFrame, choose, radii: DataFrame | None,
     metric, longest, tree = index.metric, index.longest, index.tree
     dim = tree.branches.shape[1] - (metric == "IP")
     spark = asked.sparkSession
-    shared_tree = spark.sparkContext.broadcast(tree)
+    shared_tree = spark.sparkContext.broadcast(tree.arrays())
     branch_far, cell_far = _radius_arrays(index, radii)
     shared_radii = spark.sparkContext.broadcast((branch_far, cell_far))
     kept = [asked.schema[c] for c in ("no", "qid", "qv")]
@@ -605,7 +609,7 @@ def _probe(index: CellIndex, asked: DataFrame, choose, radii: DataFrame | None,
     if tree.centers is not None:
 
         def run(batches):
-            tree, (branch_far, cell_far) = shared_tree.value, shared_radii.value
+            tree, (branch_far, cell_far) = Tree(*shared_tree.value), shared_radii.value
             for batch in batches:
                 if not batch.num_rows:
                     continue
@@ -627,7 +631,7 @@ def _probe(index: CellIndex, asked: DataFrame, choose, radii: DataFrame | None,
         for batch in batches:
             if batch.num_rows:
                 points, bars = space(batch)
-                own = choose.branches(points, bars, shared_tree.value.branches, shared_radii.value[0])
+                own = choose.branches(points, bars, shared_tree.value[0], shared_radii.value[0])
                 yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("no", "qv", "bar")), lists(own)], ["no", "qv", "bar", "own"])
 
     fields = [asked.schema[c] for c in ("no", "qv", "bar")]
