@@ -18,16 +18,27 @@ CACHE_ENTRIES = 300_000
 
 #: Unicode white space, as the library's patterns understand it.
 _S = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Letters between which and a full stop or comma both tokenizers always cut.
+#: Letters of words that are one pre-token, and the marks between which and a letter both
+#: tokenizers always cut. Marks that special tokens or contractions hold are not among them.
 _L = "A-Za-zÀ-ÖØ-öø-ÿ"
+_MARKS = "!\"#$%&*+,-./:;=?@^_`~"
+_LETTERS = frozenset(c for c in map(chr, range(256)) if re.match(f"[{_L}]", c))
 #: A run of other characters with one space or line feed before it, or a run of white
 #: space but for its last character where others follow.
 _ATTACHED = re.compile(f"[ \\n]?[^{_S}]+|[{_S}]+(?=[{_S}][^{_S}])|[{_S}]+")
+#: White space.
+_SPACES = re.compile(f"[{_S}]")
 #: Runs of other characters only.
 _SEPARATE = re.compile(f"[^{_S}]+")
-#: A chunk whose full stop or comma is cut off, and a word that is one pre-token as it stands.
-_STOPPED = re.compile(f"[ \\n]?[^{_S}]*[{_L}][.,]")
+#: Words that are one pre-token as they stand; many of them, alone on their lines.
 _PLAIN = re.compile(f"[{_L}]+")
+_PLAIN_LINES = re.compile(f"^[{_L}]+$", re.M)
+#: What keeps a text from being cut at single spaces and line feeds.
+_ODD = ("  ", " \n", "\n ", "\n\n", *map(chr, (9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+#: Characters that ``str.split`` takes for white space beside those of Unicode.
+_NOT_SPACE = tuple(map(chr, range(0x1C, 0x20)))
+#: Stands before a chunk without a space in front; no chunk of its own begins so.
+_BARE = "\r"
 #: Chunks that the library encodes in one call.
 CALL = 10_000
 
@@ -63,9 +74,9 @@ class Encoder:
         self.old: dict[str, bytes] = {}
         self.special: list[str] = []
         self.pattern = self._pattern()
-        # Words of letters need no normalizer or splitting of their own, only lower case and
-        # the byte-level alphabet: the tokenizer's model then gives the same ids alone.
-        self.model = type(self.library)(self.library.model) if self.pattern is _SEPARATE else None
+        # Words of letters need no normalizer or splitting of their own, only lower case where
+        # the tokenizer has it and the byte-level alphabet: its model then gives the same ids.
+        self.model = self.library.model
         self.alphabet = str.maketrans(_byte_alphabet())
 
     def _pattern(self):
@@ -98,38 +109,84 @@ class Encoder:
         return out
 
     def _word_ids(self, words: list[str]) -> list[bytes]:
-        """Ids of words of Latin letters."""
-        out = []
-        for i in range(0, len(words), CALL):
-            mapped = "\n".join(words[i : i + CALL]).lower().encode().decode("latin-1").translate(self.alphabet).split("\n")
-            found = self.model.encode_batch_fast(mapped, add_special_tokens=False)
-            out += [_little(array("I", e.ids)).tobytes() for e in found]
-        return out
+        """Ids of words of Latin letters, from the tokenizer's model."""
+        if not words:
+            return []
+        joined = "\n".join(words)
+        if self.pattern is _SEPARATE:
+            joined = joined.lower()
+        mapped = joined.encode().decode("latin-1").translate(self.alphabet).split("\n")
+        tokenize = self.model.tokenize
+        return [_little(array("I", [t.id for t in tokenize(w)])).tobytes() for w in mapped]
+
+    def _cut(self, text: str) -> list[str]:
+        """The chunks of a text under the names that the memory has for them.
+
+        With the byte-level pattern a chunk goes by what follows its space; chunks
+        without one have ``_BARE`` or their line feed in front.
+        """
+        if self.pattern is _SEPARATE:
+            return text.split() if not any(c in text for c in _NOT_SPACE) else _SEPARATE.findall(text)
+        if not text:
+            return []
+        if not (text[0].isspace() or text[-1].isspace() or any(c in text for c in _ODD)):
+            found = text.replace("\n", " \n").split(" ")
+            found[0] = _BARE + found[0]
+            return found
+        found = _ATTACHED.findall(text)
+        return [c[1:] if c[0] == " " and len(c) > 1 and not _SPACES.match(c, 1) else c if _SPACES.match(c) else _BARE + c for c in found]
+
+    def _text(self, name: str) -> str:
+        """What stands in the text for a chunk's name."""
+        if self.pattern is _SEPARATE or name[0] == "\n":
+            return name
+        if name[0] == _BARE and len(name) > 1 and not _SPACES.match(name, 1):
+            return name[1:]
+        return name if _SPACES.match(name) else " " + name
 
     def _learn(self, chunks: list[str]) -> None:
         """Add chunks that are not known to this generation."""
         young, old = self.young, self.old
-        young.update((c, old[c]) for c in chunks if c in old)
-        new = [c for c in chunks if c not in young]
-        stopped = [c for c in new if c[-1] in ".," and _STOPPED.fullmatch(c)]
-        if stopped:
-            # A letter and a full stop or comma never share a pre-token.
-            wanted = {part for c in stopped for part in (c[:-1], c[-1])}
-            self._learn([c for c in wanted if c not in young])
-            young.update((c, young[c[:-1]] + young[c[-1]]) for c in stopped)
-            new = [c for c in new if c not in young]
-        if self.model is not None:
-            plain = [c for c in new if _PLAIN.fullmatch(c)]
-            young.update(zip(plain, self._word_ids(plain)))
-            new = [c for c in new if c not in young]
-        young.update(zip(new, self._ids(new)))
+        bare = "" if self.pattern is _SEPARATE else _BARE
+        # Chunks of several pre-tokens are the ids of their parts in a row.
+        cut: list[tuple[str, str | None, str, str | None]] = []
+        new: set[str] = set()
+        for c in chunks:
+            if c in old:
+                young[c] = old[c]
+                continue
+            lead, head, tail = None, c.rstrip(_MARKS), None
+            if len(head) < len(c) and head and head[-1] in _LETTERS:
+                tail = bare + c[len(head) :]
+            else:
+                head = c
+            if len(head) > 1 and head[0] == "\n" and not head[1].isspace():
+                lead, head = "\n", bare + head[1:]
+            if head is c:
+                new.add(c)
+            else:
+                cut.append((c, lead, head, tail))
+                new.update(p for p in (lead, head, tail) if p is not None and p not in young)
+        for c in [c for c in new if c in old]:
+            young[c] = old[c]
+            new.discard(c)
+        # Words with a space in front, or none where there are no spaces; then those without.
+        plain = [c for c in _PLAIN_LINES.findall("\n".join(new)) if c in new]
+        young.update(zip(plain, self._word_ids([" " + c for c in plain] if bare else plain)))
+        if bare:
+            single = [c for c in new if c[0] == bare and _PLAIN.fullmatch(c, 1)]
+            young.update(zip(single, self._word_ids([c[1:] for c in single])))
+        rest = [c for c in new if c not in young]
+        young.update(zip(rest, self._ids([self._text(c) for c in rest])))
+        for c, lead, head, tail in cut:
+            young[c] = (young[lead] if lead else b"") + young[head] + (young[tail] if tail else b"")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
         if self.pattern is None:
             return self._ids(texts)
         whole = [k for k, t in enumerate(texts) if any(s in t for s in self.special)]
-        cut = [self.pattern.findall(t) for t in texts]
+        cut = [self._cut(t) for t in texts]
         for k in whole:
             cut[k] = []
         chunks: set[str] = set()
