@@ -39,7 +39,7 @@ STEPS = 4
 #: Groups with fewer texts take the estimate of their language, and that failing of all texts.
 MIN_GROUP = 200
 #: Probability that a normal vector exceeds the cut.
-REJECT_RATE = 1e-8
+REJECT_RATE = 1e-6
 
 #: The vector, and the smallest standard deviation that each part is given: the
 #: exact fit of a part that is constant in most texts must not make any change an outlier.
