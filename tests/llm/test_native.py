@@ -112,6 +112,63 @@ def test_quality_query_statistics(spark):
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_statistics(texts[r.doc_id])
 
 
+def plain_verdicts(rows):
+    """``kept`` and the distance of every ``(id, text, lang, source)``, from numpy on whole arrays."""
+    stats = {i: plain_statistics(t) for i, t, _, _ in rows}
+    failed = {i: s[0] < 50 or 100 * s[4] > 50 * s[0] for i, s in stats.items()}
+    x = {}
+    for i, (n, chars, *rates) in stats.items():
+        n = max(n, 1)
+        x[i] = np.array([np.log1p(n), chars / n, *(np.log1p(100 * r / n) for r in rates)])
+    groups = {}
+    for i, _, lang, source in rows:
+        for key in ((lang, source), (lang,), ()):
+            groups.setdefault(key, []).extend([] if failed[i] else [x[i]])
+    fits = {k: plain_fit(np.array(v), quality.SHARE, quality.STEPS) for k, v in groups.items() if len(v) >= quality.MIN_GROUP}
+    out = {}
+    for i, _, lang, source in rows:
+        key = next((k for k in ((lang, source), (lang,), ()) if k in fits), None)
+        distance = None
+        if not failed[i] and key is not None:
+            m, c = fits[key]
+            distance = (x[i] - m) @ np.linalg.inv(c) @ (x[i] - m)
+        out[i] = (not failed[i] and (distance is None or distance <= quality.chi2_cut(quality.REJECT_RATE, quality.DIM)), distance)
+    return out
+
+
+def test_quality_query_verdicts(spark):
+    from vectide.llm.queries import REGISTRY
+
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    want = plain_verdicts(rows)
+    found = {r.doc_id: r for r in REGISTRY.plans["op5_quality_rules"](spark, sf).collect()}
+    assert found.keys() == want.keys()
+    for i, (kept, distance) in want.items():
+        assert found[i].kept == kept, (i, found[i], distance)
+        assert (found[i].distance is None) == (distance is None)
+        assert distance is None or found[i].distance == pytest.approx(distance, rel=1e-4, abs=1e-4)
+    assert sum(not k for k, _ in want.values()) > sum(f.base_failed for f in found.values())
+
+
+def test_repeated_lines_and_symbols_alone_are_outliers(spark):
+    rng = random.Random(5)
+
+    def line():
+        return " ".join("".join(rng.choices("abcdefghij", k=rng.randrange(2, 9))) for _ in range(5))
+
+    rows = [(k, "\n".join(line() for _ in range(rng.randrange(14, 40))), "en", "s") for k in range(600)]
+    same = line().split()[0]
+    repeated = [same] * 20 + [f"{line()} {line()}" for _ in range(8)]
+    words = " ".join(line() for _ in range(24)).split()
+    symbols = [w + "#" * (k % 5 == 0) for k, w in enumerate(words)]
+    rows += [(600, "\n".join(repeated), "en", "s"), (601, " ".join(symbols), "en", "s")]
+    found = {r.id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [i for i in found if not found[i].kept and i < 600] == []
+    assert not found[601].kept and not found[601].base_failed, found[601]
+    assert not found[600].kept and not found[600].base_failed, found[600]
+
+
 def plain_chunks(lines, hashes, window=2, spacing=2):
     """Chunks in order as (start, number of lines)."""
 
