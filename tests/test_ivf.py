@@ -218,3 +218,18 @@ def test_odd_vectors(spark):
         assert rows(ivf.search(index, queries, level=5)) == rows(nearest.search(corpus, queries, metric=metric))
         exact = ivf.exact_search(index, queries.where("qid = 1")).collect()
         assert sorted((r["rank"], r.id) for r in exact) == sorted((r["rank"], r.id) for r in nearest.search(corpus, queries.where("qid = 1"), metric=metric).collect())
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "L2", "IP"])
+def test_queries_in_groups_find_the_same_in_cells(vectors, asked, monkeypatch, metric):
+    rng = np.random.default_rng(5)
+    corpus = vectors([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(400, 4)))])
+    queries = asked([(q, [float(x) for x in v]) for q, v in enumerate(rng.normal(size=(40, 4)))])
+    index = ivf.build(corpus, 9, metric)
+    key = lambda df: sorted(map(tuple, df.collect()))
+    runs = [lambda: ivf.search(index, queries, 5, 2), lambda: ivf.exact_search(index, queries, 5), lambda: ivf.range_search(index, queries, 0.3)]
+    plain = [key(run()) for run in runs]
+    monkeypatch.setattr(nearest, "GROUP_BYTES", 3000)
+    assert [key(run()) for run in runs] == plain
+    plan = ivf.search(index, queries, 5, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "cogroup" not in plan.lower()

@@ -339,3 +339,26 @@ def test_short_vectors_are_cut_by_unrounded_scores(vectors, asked):
     assert {r.id for r in near.collect()} == {0, 2, 3}
     itself = nearest.range_search(vectors([(i, [0.1 * i, 0.3, 0.7]) for i in range(30)]), asked([(9, [0.9, 0.3, 0.7])]), 1.0)
     assert {r.id for r in itself.collect()} == {9}
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "L2", "IP"])
+def test_queries_in_groups_find_the_same(vectors, asked, monkeypatch, metric):
+    rng = np.random.default_rng(3)
+    rows = vectors([(i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(300, 4)))])
+    # Some ids ask several times, with different vectors.
+    questions = asked([(q % 50, [float(x) for x in v]) for q, v in enumerate(rng.normal(size=(60, 4)))])
+    plain = nearest.search(rows, questions, 5, metric).collect()
+    ranged = nearest.range_search(rows, questions, 0.2, None, metric).collect()
+    assert nearest.group_count(60 * 32, 60, 5, nearest.BROADCAST_BYTES, nearest.BLOCK_BYTES) == 1
+    monkeypatch.setattr(nearest, "GROUP_BYTES", 2000)
+    assert nearest.group_count(60 * 32, 60, 5, nearest.BROADCAST_BYTES, nearest.BLOCK_BYTES) == 6
+    key = lambda found: sorted(map(tuple, found))
+    assert key(nearest.search(rows, questions, 5, metric).collect()) == key(plain)
+    assert key(nearest.range_search(rows, questions, 0.2, None, metric).collect()) == key(ranged)
+
+
+def test_small_blocks_share_a_scan():
+    """Scans grow with the bytes of the queries, not with how finely they are cut."""
+    size = 100_000 * 64 * 8
+    finely, coarsely = (nearest.group_count(size, 100_000, 7, 0, block) for block in (64 * 1024, 1 << 30))
+    assert coarsely <= finely <= max(nearest.FEW_BLOCKS, coarsely)
