@@ -96,3 +96,24 @@ def test_keyword_match(docs):
 def test_strip(spark):
     row = spark.createDataFrame([(" \t a b\n ",)], "s string").select(W.strip(F.col("s")).alias("s")).first()
     assert row.s == "a b"
+
+
+def test_words_that_all_queries_ask_are_scored_in_bounded_steps(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    n_queries, n_words, n_rows = 50, 40, 30
+    asked = [(q, f"w{w}", 1.0 + w) for q in range(n_queries) for w in range(n_words)]
+    weights = bm25.Weights(pa.table([list(c) for c in zip(*asked)], names=["qid", "term", "w"]))
+    terms = [[{"term": f"w{w}", "tf": 1 + (r + w) % 3} for w in range(n_words)] if r % 4 else [] for r in range(n_rows)]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(n_rows)), "dl": [40] * n_rows, "terms": terms})
+    whole = np.zeros((n_rows, n_queries))
+    for places, scores in weights.scores(batch, 1.2, 0.75, 40.0):
+        whole[places] = scores
+    sizes, count = [], np.bincount
+    monkeypatch.setattr(bm25, "PAIRS_PER_STEP", 5000)
+    monkeypatch.setattr(np, "bincount", lambda x, *a, **k: (sizes.append(len(x)), count(x, *a, **k))[1])
+    again = np.zeros((n_rows, n_queries))
+    for places, scores in weights.scores(batch, 1.2, 0.75, 40.0):
+        again[places] = scores
+    assert (again == whole).all() and whole[1].min() > 0 and max(sizes) <= 5000
