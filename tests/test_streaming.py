@@ -84,3 +84,16 @@ def test_state_keeps_the_last_version_through_late_and_repeated_rows(spark, plac
     assert [(r.id, r.reject_reason) for r in S.rejects(spark, SPEC, f"{place}/out").collect()] == [(4, "wrong dimension")]
     with pytest.raises(ValueError):
         S.ingest_state(None, SPEC, place, place, "nope")
+
+
+@pytest.mark.parametrize("files", ["folder", "file"])
+def test_a_table_may_be_a_folder_or_a_file(spark, place, files):
+    import glob
+    import shutil
+
+    put(spark, place, (1, [1.0, 0.0], 1), (2, [2.0, 0.0], 1))
+    path = f"{place}/{files}.parquet"
+    shutil.copytree(f"{place}/in", path) if files == "folder" else shutil.copy(glob.glob(f"{place}/in/part-*.parquet")[0], path)
+    stream = S.file_stream(spark, SCHEMA, S.table_path(path))
+    S.ingest(stream, SPEC, f"{place}/out", f"{place}/cp", "version").awaitTermination()
+    assert sorted(r.id for r in S.current(spark, SPEC, f"{place}/out", "version").collect()) == [1, 2]

@@ -22,7 +22,7 @@ from embeddings group by label""",
 def stream_ingest(spark, sf):
     base = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = table(spark, sf, "embeddings").schema
-    files = ingest.file_stream(spark, schema, sf, pathGlobFilter="embeddings.parquet")
+    files = ingest.file_stream(spark, schema, ingest.table_path(f"{sf}/embeddings.parquet"))
     rows = files.select(F.col("label").alias("id"), F.col("embedding").alias("vector"), "vec_id")
     ingest.ingest(rows, BY_LABEL, f"{base}/table", f"{base}/checkpoint", "vec_id").awaitTermination()
     state = ingest.current(spark, BY_LABEL, f"{base}/table", "vec_id")

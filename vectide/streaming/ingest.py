@@ -134,3 +134,11 @@ def file_stream(spark: SparkSession, spec_schema, path: str, kind: str = "parque
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.load(path)
+
+
+def table_path(path: str) -> str:
+    """The path of a table for ``file_stream``, whether it is one file or a folder of files.
+
+    A stream takes a plain path for a folder; a pattern that only this path fits may be either.
+    """
+    return f"{path[:-1]}[{path[-1]}]"
