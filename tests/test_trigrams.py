@@ -56,3 +56,27 @@ def test_no_words_and_no_texts(spark, held):
     trigrams.store(spark.createDataFrame([("k", "abcd"), ("l", None)], "id string, text string"), path)
     few = trigrams.load(spark, path)
     assert [tuple(r) for r in trigrams.contains(few, spark.createDataFrame([("bcd",), ("zzz",)], "word string")).collect()] == [("bcd", "k")]
+
+
+@pytest.mark.parametrize("bound", [1 << 20, 100])
+def test_lowest_ids_of_each_word(spark, held, bound):
+    rows, index = held
+    found = trigrams.contains(index, spark.createDataFrame([(w,) for w in WORDS], "word string"), 3, bound)
+    got = {}
+    for word, id_ in found.collect():
+        got.setdefault(word, []).append(id_)
+    lowest = lambda ids: sorted(ids, key=lambda i: (i is not None, i or 0))[:3]
+    full = {}
+    for word, id_ in want(rows, WORDS):
+        full.setdefault(word, []).append(id_)
+    assert {w: lowest(ids) for w, ids in got.items()} == {w: lowest(ids) for w, ids in full.items()}
+    assert len(got["abc"]) < len(full["abc"])
+
+
+def test_long_texts_are_cut_in_one_pass(spark):
+    """Trigrams of texts of a megabyte: the work grows with the text, not with its square."""
+    path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
+    texts = [(k, "".join(chr(97 + (i * i + k) % 26) for i in range(1_000_000)) + f"end{k}") for k in range(4)]
+    trigrams.store(spark.createDataFrame(texts, "id long, text string"), path)
+    got = trigrams.contains(trigrams.load(spark, path), spark.createDataFrame([("end2",), ("zend",)], "word string")).collect()
+    assert sorted(map(tuple, got)) == [("end2", 2), *[("zend", k) for k, t in texts if "zend" in t]]
