@@ -273,6 +273,20 @@ def test_pages_of_an_empty_collection(spark):
         ordered.store(spark.createDataFrame([], "id long, _slice long"), path, "id")
 
 
+def test_small_slices_share_folders(spark):
+    """Folders grow with the rows, not with the number of slices."""
+    path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("id"), F.lit("x").alias("name"))
+    ordered.store(df, path, "id", slice_rows=50)
+    held = ordered.load(spark, path)
+    assert held.slices.count() >= 400 and len(held.rows.inputFiles()) <= ordered.FEW_PARTS
+    for offset in (0, 4_990, 19_995):
+        assert [r.id for r in ordered.page(held, 120, offset).collect()] == list(range(offset, min(20_000, offset + 120)))
+    assert [r.id for r in ordered.page(held, 60, 500, "id >= 700").collect()] == list(range(1200, 1260))
+    places = ordered.place_of(held, df.where("id % 997 = 0").select("id"))
+    assert {(r.id, r.place) for r in places.collect()} == {(k, k) for k in range(0, 20_000, 997)}
+
+
 def test_sketches_of_batches_merge_into_that_of_all(spark):
     path = f"{work_dir(spark)}/{uuid.uuid4().hex}"
     df = spark.range(30_000).select(

@@ -1,9 +1,10 @@
 """A collection kept in order, with counts: a page is a seek.
 
-The rows lie in slices, folders of ``SLICE_ROWS`` rows or so that follow each other in the
+The rows lie in slices of ``SLICE_ROWS`` rows or so that follow each other in the
 order of the key (and of further fields, so that rows of one key have an order too). Each
 row knows its place in its slice, and a small table says how many rows stand before each
-slice. A page reads the one or two slices that hold it, and nothing is written. With a
+slice. Slices lie in folders, small ones many together, so folders grow with the rows and not
+with how finely they are sliced. A page reads the one or two slices that hold it, and nothing is written. With a
 filter one pass counts the matching rows of each slice, reading only the fields that the
 filter names; these counts serve every further page of the same filter.
 """
@@ -23,20 +24,31 @@ from pyspark.sql import types as T
 from vectide.functions.predicates import fields_list, predicate
 
 SLICE_ROWS = 100_000
-_SLICE, _PLACE = "_slice", "_place"
+# Folders of a collection that has as many slices, and rows of a folder of a larger one.
+FEW_PARTS, PART_ROWS = 64, 100_000
+_SLICE, _PLACE, _PART = "_slice", "_place", "_part"
 
 
 @dataclass(frozen=True)
 class Ordered:
-    """``rows`` with their slice and place, ``slices(_slice, n, before)`` and the fields that order them."""
+    """``rows`` with their slice and place, ``slices(_slice, n, before)`` and the fields that order them.
+
+    Slices ``p * stride`` to ``(p + 1) * stride - 1`` lie in folder ``p``.
+    """
 
     rows: DataFrame
     slices: DataFrame
     order: list[str]
+    stride: int = 1
 
     @property
     def fields(self) -> list[str]:
-        return [c for c in self.rows.columns if c not in (_SLICE, _PLACE)]
+        return [c for c in self.rows.columns if c not in (_SLICE, _PLACE, _PART)]
+
+    def of_slices(self, numbers: Sequence[int]) -> DataFrame:
+        """The rows of some slices; only their folders are looked into."""
+        parts = sorted({n // self.stride for n in numbers})
+        return self.rows.where(F.col(_PART).isin(parts) & F.col(_SLICE).isin(list(numbers)))
 
 
 def store(df: DataFrame, path: str, order_by: str | Sequence[str], slice_rows: int = SLICE_ROWS) -> None:
@@ -46,20 +58,30 @@ def store(df: DataFrame, path: str, order_by: str | Sequence[str], slice_rows: i
     slices as far as the further fields tell its rows apart.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    clash = {_SLICE, _PLACE} & set(df.columns)
+    clash = {_SLICE, _PLACE, _PART} & set(df.columns)
     if clash:
         raise ValueError(f"reserved field names: {', '.join(sorted(clash))}")
-    n_slices = max(1, math.ceil(df.count() / slice_rows))
+    n_rows = df.count()
+    n_slices = max(1, math.ceil(n_rows / slice_rows))
+    n_parts = min(n_slices, max(FEW_PARTS, math.ceil(n_rows / PART_ROWS)))
+    # Folders are cut by a sample of the keys: room for twice the slices, and the last one takes what is over.
+    stride = 1 if n_parts == n_slices else 2 * math.ceil(n_slices / n_parts)
     keys = [F.col(f"`{c}`") for c in order]
     at = F.monotonically_increasing_id()
-    # The upper bits number the slice, the lower 33 the row in it.
-    placed = df.repartitionByRange(n_slices, *keys).sortWithinPartitions(*keys).withColumn("_at", at)
-    placed = placed.withColumn(_SLICE, F.shiftrightunsigned("_at", 33)).withColumn(_PLACE, F.col("_at").bitwiseAND((1 << 33) - 1))
-    placed.drop("_at").write.partitionBy(_SLICE).parquet(f"{path}/rows")
+    # The upper bits number the folder, the lower 33 the row in it.
+    placed = df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys).withColumn("_at", at)
+    row = F.col("_at").bitwiseAND((1 << 33) - 1)
+    inner = F.least(F.floor(row / slice_rows), F.lit(stride - 1)).cast("long")
+    placed = placed.withColumns({
+        _PART: F.shiftrightunsigned("_at", 33).cast("long"),
+        _SLICE: F.shiftrightunsigned("_at", 33) * stride + inner,
+        _PLACE: row - inner * slice_rows,
+    })
+    placed.drop("_at").write.partitionBy(_PART).parquet(f"{path}/rows")
     spark, schema = df.sparkSession, placed.drop("_at").schema
     counts = spark.read.schema(schema).parquet(f"{path}/rows").groupBy(_SLICE).agg(F.count(F.lit(1)).alias("n"))
     _cumulated(counts).coalesce(1).write.parquet(f"{path}/slices")
-    spark.createDataFrame([(order, schema.json())], "order array<string>, schema string").coalesce(1).write.parquet(f"{path}/about")
+    spark.createDataFrame([(order, schema.json(), stride)], "order array<string>, schema string, stride int").coalesce(1).write.parquet(f"{path}/about")
 
 
 def _cumulated(counts: DataFrame) -> DataFrame:
@@ -71,7 +93,7 @@ def _cumulated(counts: DataFrame) -> DataFrame:
 def load(spark: SparkSession, path: str) -> Ordered:
     about = spark.read.parquet(f"{path}/about").first()
     rows = spark.read.schema(T.StructType.fromJson(json.loads(about["schema"]))).parquet(f"{path}/rows")
-    return Ordered(rows, spark.read.parquet(f"{path}/slices"), list(about["order"]))
+    return Ordered(rows, spark.read.parquet(f"{path}/slices"), list(about["order"]), about["stride"])
 
 
 def matching(collection: Ordered, filter: str | Column) -> DataFrame:
@@ -104,7 +126,7 @@ def page(
     wanted = [F.col(f"`{c}`") for c in names]
     if not near:
         return collection.rows.where(F.lit(False)).select(*wanted)
-    rows = collection.rows.where(F.col(_SLICE).isin([r[_SLICE] for r in near]))
+    rows = collection.of_slices([r[_SLICE] for r in near])
     order = [F.col(_SLICE), F.col(_PLACE)]
     if chosen:
         start = offset - near[0]["before"]
