@@ -269,3 +269,28 @@ def test_packing_query(spark):
         assert (r.doc_tokens, r.ids_crc32) == (len(ids), zlib.crc32(part))
     assert sum(r.length for r in found) == sum(r.doc_tokens for r in found if r.start == 0)
     assert {r.doc_id for r in found} == set(texts)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_distinct_chunks_are_looked_up_once_a_step(name, monkeypatch):
+    own = encoding.Encoder(public_tokenizers.path(name))
+    asked = []
+    known = own._known
+    monkeypatch.setattr(own, "_known", lambda chunks: asked.extend(chunks) or known(chunks))
+    texts = ["alpha beta, alpha\nbeta gamma."] * 50 + ["alpha  beta"] * 50
+    want = [np.array(own.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert own.encode(texts) == want
+    assert len(asked) < 20
+
+
+def test_codes_of_narrow_tokens_and_uneven_blocks():
+    rng = np.random.default_rng(4)
+    tokens, lengths = np.arange(3000), token_files.code_lengths(np.arange(1, 3001) ** 3)
+    code = token_files.Code(tokens, lengths)
+    parts = [rng.integers(0, 3000, n).astype(np.uint16) for n in (1, 700, 0, 128, 5000, 129)]
+    coded = [code.encode(p) for p in parts]
+    for p, (bits, _) in zip(parts, coded):
+        plain = "".join(format(int(code.code[t]) >> 5, f"0{int(code.code[t]) & 31}b") for t in p)
+        assert "".join(format(b, "08b") for b in bits)[: len(plain)] == plain and len(bits) == -(-len(plain) // 8)
+    found = code.decode([b for b, _ in coded], [c for _, c in coded], list(map(len, parts)))
+    assert all((f == p).all() for f, p in zip(found, parts))

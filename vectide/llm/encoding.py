@@ -2,7 +2,7 @@
 
 Texts are cut at white space where the tokenizer's own rules never join what stands
 on both sides, and the library encodes each distinct chunk once. The ids of a text
-are those of its chunks in a row.
+are those of its chunks in a row, gathered for all texts of a step at once.
 """
 
 from __future__ import annotations
@@ -10,6 +10,11 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from operator import attrgetter
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from vectide.llm.common import per_worker, tokenizer
 
@@ -30,17 +35,18 @@ _ATTACHED = re.compile(f"[ \\n]?[^{_S}]+|[{_S}]+(?=[{_S}][^{_S}])|[{_S}]+")
 _SPACES = re.compile(f"[{_S}]")
 #: Runs of other characters only.
 _SEPARATE = re.compile(f"[^{_S}]+")
-#: Words that are one pre-token as they stand; many of them, alone on their lines.
+#: Words that are one pre-token as they stand.
 _PLAIN = re.compile(f"[{_L}]+")
-_PLAIN_LINES = re.compile(f"^[{_L}]+$", re.M)
 #: What keeps a text from being cut at single spaces and line feeds.
 _ODD = ("  ", " \n", "\n ", "\n\n", *map(chr, (9, 11, 12, 13, *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-#: Characters that ``str.split`` takes for white space beside those of Unicode.
-_NOT_SPACE = tuple(map(chr, range(0x1C, 0x20)))
+#: White space other than spaces and line feeds.
+_NOT_SINGLE = tuple(c for c in map(chr, range(0x3001)) if c not in " \n" and _SPACES.match(c))
 #: Stands before a chunk without a space in front; no chunk of its own begins so.
 _BARE = "\r"
 #: Chunks that the library encodes in one call.
 CALL = 10_000
+#: Bytes of text that one step encodes: the more, the fewer chunks are looked up again.
+STEP_BYTES = 4 << 20
 
 
 def _little(values: array) -> array:
@@ -49,6 +55,9 @@ def _little(values: array) -> array:
     return values
 
 
+_ID = attrgetter("id")
+
+
 def _byte_alphabet() -> dict[str, str]:
     """The byte-level alphabet: printable bytes stand for themselves, others follow from 256 on."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -117,7 +126,16 @@ class Encoder:
             joined = joined.lower()
         mapped = joined.encode().decode("latin-1").translate(self.alphabet).split("\n")
         tokenize = self.model.tokenize
-        return [_little(array("I", [t.id for t in tokenize(w)])).tobytes() for w in mapped]
+        return [_little(array("I", map(_ID, tokenize(w)))).tobytes() for w in mapped]
+
+    def _single(self, text: str) -> str | None:
+        """The text with its chunks between single spaces, under their names; None where they do not stand so."""
+        if self.pattern is _SEPARATE:
+            # The empty chunk between two spaces has no ids.
+            return None if any(c in text for c in _NOT_SINGLE) else text.replace("\n", " ")
+        if not text or text[0].isspace() or text[-1].isspace() or any(c in text for c in _ODD):
+            return None
+        return _BARE + text.replace("\n", " \n " + _BARE)
 
     def _cut(self, text: str) -> list[str]:
         """The chunks of a text under the names that the memory has for them.
@@ -126,13 +144,7 @@ class Encoder:
         without one have ``_BARE`` or their line feed in front.
         """
         if self.pattern is _SEPARATE:
-            return text.split() if not any(c in text for c in _NOT_SPACE) else _SEPARATE.findall(text)
-        if not text:
-            return []
-        if not (text[0].isspace() or text[-1].isspace() or any(c in text for c in _ODD)):
-            found = text.replace("\n", " \n").split(" ")
-            found[0] = _BARE + found[0]
-            return found
+            return _SEPARATE.findall(text)
         found = _ATTACHED.findall(text)
         return [c[1:] if c[0] == " " and len(c) > 1 and not _SPACES.match(c, 1) else c if _SPACES.match(c) else _BARE + c for c in found]
 
@@ -147,56 +159,79 @@ class Encoder:
     def _learn(self, chunks: list[str]) -> None:
         """Add chunks that are not known to this generation."""
         young, old = self.young, self.old
-        bare = "" if self.pattern is _SEPARATE else _BARE
-        # Chunks of several pre-tokens are the ids of their parts in a row.
-        cut: list[tuple[str, str | None, str, str | None]] = []
-        new: set[str] = set()
+        new = []
         for c in chunks:
-            if c in old:
-                young[c] = old[c]
-                continue
-            lead, head, tail = None, c.rstrip(_MARKS), None
-            if len(head) < len(c) and head and head[-1] in _LETTERS:
-                tail = bare + c[len(head) :]
+            ids = old.get(c)
+            if ids is None:
+                new.append(c)
             else:
-                head = c
-            if len(head) > 1 and head[0] == "\n" and not head[1].isspace():
-                lead, head = "\n", bare + head[1:]
-            if head is c:
-                new.add(c)
-            else:
-                cut.append((c, lead, head, tail))
-                new.update(p for p in (lead, head, tail) if p is not None and p not in young)
-        for c in [c for c in new if c in old]:
-            young[c] = old[c]
-            new.discard(c)
+                young[c] = ids
         # Words with a space in front, or none where there are no spaces; then those without.
-        plain = [c for c in _PLAIN_LINES.findall("\n".join(new)) if c in new]
+        bare = self.pattern is not _SEPARATE
+        plain = [c for c in new if _PLAIN.fullmatch(c)]
         young.update(zip(plain, self._word_ids([" " + c for c in plain] if bare else plain)))
         if bare:
-            single = [c for c in new if c[0] == bare and _PLAIN.fullmatch(c, 1)]
+            single = [c for c in new if c[0] == _BARE and _PLAIN.fullmatch(c, 1)]
             young.update(zip(single, self._word_ids([c[1:] for c in single])))
         rest = [c for c in new if c not in young]
         young.update(zip(rest, self._ids([self._text(c) for c in rest])))
-        for c, lead, head, tail in cut:
-            young[c] = (young[lead] if lead else b"") + young[head] + (young[tail] if tail else b"")
+
+    def _known(self, chunks: list[str]) -> list[bytes]:
+        """Ids of distinct chunks; marks behind a word are a chunk of their own."""
+        bare = "" if self.pattern is _SEPARATE else _BARE
+        heads = [c.rstrip(_MARKS) for c in chunks]
+        tails: dict[int, str] = {}
+        for k, (c, head) in enumerate(zip(chunks, heads)):
+            if head is not c and len(head) < len(c):
+                if head and head[-1] in _LETTERS:
+                    tails[k] = bare + c[len(head) :]
+                else:
+                    heads[k] = c
+        if len(self.young) > CACHE_ENTRIES:
+            self.young, self.old = {}, self.young
+        young = self.young
+        young[""] = b""
+        found = list(map(young.get, heads))
+        unknown = [k for k, ids in enumerate(found) if ids is None]
+        new = dict.fromkeys(heads[k] for k in unknown)
+        new.update(dict.fromkeys(c for c in tails.values() if c not in young))
+        self._learn(list(new))
+        for k in unknown:
+            found[k] = young[heads[k]]
+        for k, tail in tails.items():
+            found[k] += young[tail]
+        return found
+
+    def _rows(self, cut: pa.ListArray) -> list[bytes]:
+        """Ids of texts from their chunks, which are looked up once each."""
+        flat = cut.flatten().dictionary_encode()
+        if not len(flat):
+            return [b""] * len(cut)
+        known = pa.array(self._known(flat.dictionary.to_pylist()), pa.large_binary())
+        _, offsets, ids = known.take(flat.indices).buffers()
+        # Texts are whole runs of chunks, so their ids are whole runs of these bytes.
+        edges = np.frombuffer(offsets, np.int64)[cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+        raw = memoryview(ids if ids is not None else b"")
+        return [raw[a:b].tobytes() for a, b in zip(edges, edges[1:])]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
         if self.pattern is None:
             return self._ids(texts)
-        whole = [k for k, t in enumerate(texts) if any(s in t for s in self.special)]
-        cut = [self._cut(t) for t in texts]
-        for k in whole:
-            cut[k] = []
-        chunks: set[str] = set()
-        chunks.update(*cut)
-        if len(self.young) + len(chunks) > CACHE_ENTRIES:
-            self.young, self.old = {}, self.young
-        self._learn([c for c in chunks if c not in self.young])
-        get = self.young.__getitem__
-        out = [b"".join(map(get, c)) for c in cut]
-        for k, ids in zip(whole, self._ids([texts[k] for k in whole])):
+        whole, odd, single, spaced = [], [], [], []
+        for k, t in enumerate(texts):
+            if any(s in t for s in self.special):
+                whole.append(k)
+            elif (found := self._single(t)) is None:
+                odd.append(k)
+            else:
+                single.append(k)
+                spaced.append(found)
+        out = [b""] * len(texts)
+        rows = self._rows(pc.split_pattern(pa.array(spaced, pa.string()), " "))
+        rows += self._rows(pa.array([self._cut(texts[k]) for k in odd], pa.list_(pa.string())))
+        rows += self._ids([texts[k] for k in whole])
+        for k, ids in zip(single + odd + whole, rows):
             out[k] = ids
         return out
 

@@ -27,10 +27,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vectide.llm.common import col, steps, tokenizer, written
-from vectide.llm.encoding import encoder
+from vectide.llm.encoding import STEP_BYTES, encoder
 from vectide.session import work_dir
 
 MAX_BITS = 18
+#: Bits that hold the length of a code, and a mask of them; tokens have 27 bits at most.
+LENGTH_BITS = np.uint32(5)
+LENGTH_MASK = np.uint32(31)
 #: Tokens between checkpoints, and tokens of a block unless one document has more.
 SPACING = 128
 BLOCK = 1 << 16
@@ -75,52 +78,60 @@ class Code:
         ends = np.cumsum(np.int64(1) << (max_bits - lengths))
         firsts = ends - (np.int64(1) << (max_bits - lengths))
         top = int(tokens.max()) + 1 if len(tokens) else 0
-        self.code, self.length = np.zeros(top, np.uint64), np.zeros(top, np.int64)
-        self.code[tokens] = (firsts >> (max_bits - lengths)).astype(np.uint64)
-        self.length[tokens] = lengths
-        self.token_at = np.zeros(1 << max_bits, np.uint32)
-        self.length_at = np.ones(1 << max_bits, np.int64)
+        # Codes and tokens share a word with the length of the code, which takes the lowest bits.
+        self.code = np.zeros(top, np.uint32)
+        self.code[tokens] = (firsts >> (max_bits - lengths)) << LENGTH_BITS | lengths
+        self.token_at = np.ones(1 << max_bits, np.uint32)
         if len(tokens):
-            self.token_at[: ends[-1]] = np.repeat(tokens, ends - firsts)
-            self.length_at[: ends[-1]] = np.repeat(lengths, ends - firsts)
+            self.token_at[: ends[-1]] = np.repeat(tokens << LENGTH_BITS | lengths, ends - firsts)
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The bits of some tokens, most significant first, and the offset of every ``SPACING``-th."""
         if not len(ids):
             return b"", np.zeros(0, np.int64)
-        lengths = self.length[ids]
+        codes = self.code[ids]
+        lengths = (codes & LENGTH_MASK).astype(np.int64)
         ends = np.cumsum(lengths)
         offsets = ends - lengths
         word = offsets >> 5
         shift = (64 - (offsets & 31) - lengths).astype(np.uint64)
-        spread = self.code[ids] << shift  # over this word of 32 bits and the next
+        spread = (codes >> LENGTH_BITS).astype(np.uint64) << shift  # over this word of 32 bits and the next
         starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        # Codes share no bits, so those of a word add up to it.
+        both = np.add.reduceat(spread, starts)
         sums = np.zeros(int(ends[-1] >> 5) + 3, np.uint64)
-        sums[word[starts]] = np.bitwise_or.reduceat(spread >> np.uint64(32), starts)
-        sums[word[starts] + 1] |= np.bitwise_or.reduceat(spread & np.uint64(0xFFFFFFFF), starts)
+        at = word[starts]
+        sums[at] = both >> np.uint64(32)
+        sums[at + 1] |= both & np.uint64(0xFFFFFFFF)
         bits = sums.astype(">u4").tobytes()[: (int(ends[-1]) + 7) // 8]
         return bits, offsets[::SPACING]
 
     def decode(self, bits: list[bytes], checkpoints: list[np.ndarray], n: list[int]) -> list[np.ndarray]:
-        """The tokens of some blocks; all stretches of all of them advance together."""
+        """The tokens of some blocks; all stretches of all of them advance together, the longest in front."""
         padded = b"".join(b + b"\0" * 4 for b in bits)
         raw = np.frombuffer(padded + b"\0" * 4, np.uint8).astype(np.uint32)
         window = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
         base = np.cumsum([0] + [8 * (len(b) + 4) for b in bits])
         at = np.concatenate([c + o for c, o in zip(checkpoints, base)] or [np.zeros(0, np.int64)]).astype(np.int64)
         left = np.concatenate([np.minimum(SPACING, k - SPACING * np.arange(len(c))) for c, k in zip(checkpoints, n)] or [np.zeros(0, np.int64)])
-        out = np.zeros((len(at), SPACING), np.uint32)
+        order = np.argsort(-left, kind="stable")
+        at = at[order]
+        live = len(left) - np.searchsorted(left[order][::-1], np.arange(SPACING), side="right")
+        # A row for each step, so that tokens are written where they are contiguous.
+        out = np.zeros((SPACING, len(at)), np.uint32)
         top = np.uint32(32 - self.max_bits)
         low = np.uint32((1 << self.max_bits) - 1)
-        for k in range(SPACING):
-            live = slice(None) if (left > k).all() else np.flatnonzero(left > k)
-            here = at[live]
-            if not len(here):
+        for k, m in enumerate(live.tolist()):
+            if not m:
                 break
+            here = at[:m]
             peek = (window[here >> 3] >> (top - (here & 7).astype(np.uint32))) & low
-            out[live, k] = self.token_at[peek]
-            at[live] = here + self.length_at[peek]
-        flat = out[np.arange(SPACING)[None, :] < left[:, None]]
+            found = self.token_at[peek]
+            out[k, :m] = found >> LENGTH_BITS
+            here += found & LENGTH_MASK
+        stretches = np.empty((len(at), SPACING), np.uint32)
+        stretches[order] = out.T
+        flat = stretches[np.arange(SPACING)[None, :] < left[:, None]]
         edges = np.cumsum([0, *n])
         return [flat[a:b] for a, b in zip(edges, edges[1:])]
 
@@ -139,7 +150,7 @@ def _encoded(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, e
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path).encode
-        for batch in steps(batches, "text"):
+        for batch in steps(batches, "text", STEP_BYTES):
             found = [b + end for b in encode(batch.column("text").to_pylist())]
             if narrow:
                 found = [np.frombuffer(b, "<u4").astype("<u2").tobytes() for b in found]
@@ -205,7 +216,7 @@ def write(
             places = batch.column("at").to_numpy()
             tokens_of = batch.column("tokens")
             for i in range(batch.num_rows):
-                found = np.frombuffer(tokens_of[i].as_py(), width).astype(np.int64)
+                found = np.frombuffer(tokens_of[i].as_py(), width)
                 # A block ends where it is full, and where the next document is of another part.
                 if at and (size + len(found) > BLOCK or places[i] != at[-1] + 1):
                     yield block(at, ids, parts)
