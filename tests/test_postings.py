@@ -113,3 +113,22 @@ def test_empty_index(spark):
     bm25.store_index(docs, name, 2, path=work_dir(spark))
     ask = spark.createDataFrame([(0, "fox")], "qid long, query_text string")
     assert bm25.bm25_search(bm25.load_index(spark, name), ask).count() == 0
+
+
+def test_slices_of_any_size_give_the_same_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame(texts_of(random.Random(5), 200) + [(500, None, "x")], "id long, text string, kind string")
+    placed = postings.place_texts(bm25.index_rows(docs), 16)
+    columns = ["term", "slice", "places", "tfs", "n", "top", "max_tf", "min_dl", "parts", "part"]
+    calls = []
+    collected = postings._collected
+    monkeypatch.setattr(postings, "_collected", lambda *a: calls.append(1) or collected(*a))
+    small, large = (sorted(map(tuple, postings.blocks_of(placed, 3, 7.5, n).select(columns).collect())) for n in (10**6, 1))
+    assert small == large and small and len(calls) == 1
+
+
+def test_postings_are_neither_shuffled_nor_counted_again(spark, held):
+    _, stored = held
+    placed = postings.place_texts(stored.rows, 16)
+    assert "Generate" not in postings._inverted(placed, 8.0)._jdf.queryExecution().executedPlan().toString()
+    counted = {r.term: r.df for r in bm25._index(stored.rows).terms.collect()}
+    assert {r.term: r.df for r in stored.terms.collect()} == counted

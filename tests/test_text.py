@@ -117,3 +117,15 @@ def test_words_that_all_queries_ask_are_scored_in_bounded_steps(monkeypatch):
     for places, scores in weights.scores(batch, 1.2, 0.75, 40.0):
         again[places] = scores
     assert (again == whole).all() and whole[1].min() > 0 and max(sizes) <= 5000
+
+
+def test_terms_are_counted_once_for_a_batch(spark):
+    rows = [(1, "b a É b"), (None, None), (3, ""), (4, "..."), (4, "Z z _9 中 É a"), (5, "\U0001F600 \U00020000 \uFF5A")]
+    docs = spark.createDataFrame(rows, "id int, text string").coalesce(1)
+    found = W.term_counts(docs, "id", "text")
+    assert found.schema["id"].dataType.simpleString() == "int"
+    assert [(r.id, r.dl, [tuple(t) for t in r.terms]) for r in found.collect()] == [
+        (1, 4, [("a", 1), ("b", 2), ("é", 1)]), (None, 0, []), (3, 0, []), (4, 0, []),
+        (4, 6, [("_9", 1), ("a", 1), ("z", 2), ("é", 1), ("中", 1)]), (5, 2, [("\uFF5A", 1), ("\U00020000", 1)]),
+    ]
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
