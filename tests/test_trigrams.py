@@ -80,3 +80,25 @@ def test_long_texts_are_cut_in_one_pass(spark):
     trigrams.store(spark.createDataFrame(texts, "id long, text string"), path)
     got = trigrams.contains(trigrams.load(spark, path), spark.createDataFrame([("end2",), ("zend",)], "word string")).collect()
     assert sorted(map(tuple, got)) == [("end2", 2), *[("zend", k) for k, t in texts if "zend" in t]]
+
+
+@pytest.mark.parametrize("letters", [3_000_000, 12])
+def test_texts_meet_all_words_at_once(spark, held, monkeypatch, letters):
+    """What is kept between the postings and the texts are places, however many words may stand at them."""
+    rows, index = held
+    words = [a + b + c + d for a in "abc " for b in "abc " for c in "abc " for d in "abc "]
+    written = []
+    keep = trigrams.materialize
+    monkeypatch.setattr(trigrams, "materialize", lambda df: written.append(df.columns) or keep(df))
+    monkeypatch.setattr(trigrams, "LETTERS", letters * 16, raising=False)
+    found = trigrams.contains(index, spark.createDataFrame([(w,) for w in words], "word string"))
+    assert sorted(map(tuple, found.collect()), key=repr) == want(rows, words)
+    assert [c for c in written if "_block" not in c] == [["slice", "place"]] * (1 if letters > 12 else 6)
+
+
+def test_trigrams_of_pieces(monkeypatch):
+    monkeypatch.setattr(trigrams, "PIECE", 5)
+    for text in [t for t in TEXTS if t is not None] + ["abcabcabcab", "abcde", "abcdef", "abcdefg"]:
+        own = {text[k : k + 3] for k in range(len(text) - 2)}
+        keys = trigrams._gram_keys(text)
+        assert [sum(ord(c) << s for c, s in zip(g, (42, 21, 0))) for g in sorted(own, key=lambda g: [*map(ord, g)])] == keys.tolist()
