@@ -149,6 +149,23 @@ def test_range_on_cells(spark, stretched, metric):
         assert key(ivf.range_search(index, asked, low, high, broadcast_bytes=0, block_bytes=8192)) == key(want)
 
 
+def test_a_range_is_not_written(stretched, monkeypatch):
+    """Hits of a range may be far more than the input: only the queries and their cells are kept."""
+    corpus, queries = stretched
+    index = ivf.build(corpus, 32, calibrate=False)
+    asked = queries.where("qid < 50")
+    written = []
+    for name in ("materialize", "grouped", "materialize_parts"):
+        for module in (ivf, nearest):
+            if hasattr(module, name):
+                keep = getattr(module, name)
+                monkeypatch.setattr(module, name, lambda df, *a, _keep=keep, **b: written.append(getattr(df, "columns", ["parts"])) or _keep(df, *a, **b))
+    key = lambda hits: sorted((r.qid, r.id, r.score) for r in hits.collect())
+    got = key(ivf.range_search(index, asked, 0.2, 0.9, broadcast_bytes=0, block_bytes=2048))
+    assert not [c for c in written if "score" in c or "parts" in c] and ["qid", "qv", "cells"] in [c[:3] for c in written]
+    assert got == key(nearest.range_search(corpus, asked, 0.2, 0.9)) and len(got) > 1000
+
+
 @pytest.mark.parametrize("metric", METRICS)
 def test_tree_of_centroids(spark, stretched, metric, monkeypatch):
     corpus, queries = stretched
