@@ -362,3 +362,75 @@ def test_small_blocks_share_a_scan():
     size = 100_000 * 64 * 8
     finely, coarsely = (nearest.group_count(size, 100_000, 7, 0, block) for block in (64 * 1024, 1 << 30))
     assert coarsely <= finely <= max(nearest.FEW_BLOCKS, coarsely)
+
+
+def test_groups_of_queries_are_ranked_once(spark, vectors, asked):
+    """Queries with ids of their own are ranked when their group is written; those that share an id again."""
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.integers(0, 3, 4).astype(float).tolist()) for i in range(300)]
+    corpus = vectors(rows).repartition(20)
+    bounds = {"broadcast_bytes": 0, "block_bytes": 800}
+    own = asked([(i, v) for i, v in rows[:90]])
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    key = lambda hits: sorted((r.qid, r["rank"], r.id, r.score) for r in hits.collect())
+    grouped = nearest.search(corpus, own, 7, **bounds)
+    assert "Window" not in text(grouped) and "Exchange" not in text(grouped)
+    assert key(grouped) == key(nearest.search(corpus, own, 7))
+    shared = asked([(i % 30, v) for i, v in rows[:90]])
+    again = nearest.search(corpus, shared, 7, **bounds)
+    assert "Window" in text(again) and key(again) == key(nearest.search(corpus, shared, 7))
+
+
+def test_scans_for_groups_take_no_more_tasks_than_cores(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 1000, 1, 5 * cores)
+    assert nearest.few_tasks(rows).rdd.getNumPartitions() == cores
+    assert nearest.few_tasks(spark.range(0, 1000, 1, 2)).rdd.getNumPartitions() == 2
+    # Large ones keep tasks of a bounded size.
+    monkeypatch.setattr(nearest, "SCAN_BYTES", 1000 * 8 // (3 * cores))
+    assert nearest.few_tasks(rows).rdd.getNumPartitions() == 3 * cores
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "L2", "IP"])
+@pytest.mark.parametrize("text", [False, True])
+def test_crowds_of_equal_rows_are_not_merged(metric, text):
+    """Rows that tie with the k-th best and have higher ids are dropped before the best are merged."""
+    rng = np.random.default_rng(3)
+    rows = rng.integers(-1, 2, (4000, 6)).astype(np.float32)
+    rows[rng.random(4000) < 0.5] = rows[0]
+    ids = rng.permutation(4000)
+    ids = np.char.zfill(ids.astype(str), 1 + 3 * text) if text else ids
+    best = kernels.TopK(kernels.Queries(metric, pa.array(range(20)), rows[:20]), 3)
+    for start in range(0, 4000, 500):
+        best.add(ids[start : start + 500], rows[start : start + 500])
+        best._merge()
+    # Rows like the crowd, behind all others by their ids.
+    best.add(np.array(["~" if text else 9999] * 500), np.repeat(rows[:1], 500, axis=0))
+    assert best.n_new == 0
+    got = best.table(pa.string() if text else pa.int64()).to_pydict()
+    for q in range(20):
+        score = kernels.exact(metric, np.repeat(rows[q : q + 1], 4000, axis=0), rows)
+        gain = np.where(np.isnan(score), -np.inf, -score if metric == "L2" else score)
+        want = np.lexsort((ids, -gain))[:3]
+        at = [k for k, x in enumerate(got["qid"]) if x == q]
+        assert [got["id"][k] for k in at] == [ids[k] for k in want]
+
+
+@pytest.mark.parametrize("metric", ["COSINE", "L2", "IP"])
+def test_many_rows_against_brute_force(metric):
+    """A block wide enough that its bar comes from groups of rows; vectors of very different length."""
+    rng = np.random.default_rng(8)
+    rows = (rng.normal(size=(5000, 5)) * rng.choice([0.0, 0.1, 1.0, 30.0], (5000, 1))).astype(np.float32)
+    asked, ids = rows[:40], rng.permutation(5000)
+    best = kernels.TopK(kernels.Queries(metric, pa.array(range(40)), asked), 4)
+    for start in range(0, 5000, 2500):
+        best.add(ids[start : start + 2500], rows[start : start + 2500])
+    got = best.table(pa.int64()).to_pydict()
+    found = {}
+    for q, i, s in zip(got["qid"], got["id"], got["score"]):
+        found.setdefault(q, []).append((i, s))
+    for q in range(40):
+        score = kernels.exact(metric, np.repeat(asked[q : q + 1], 5000, axis=0), rows)
+        gain = np.where(np.isnan(score), -np.inf, -score if metric == "L2" else score)
+        order = np.lexsort((ids, -gain))[:4]
+        assert found[q] == [(ids[k], None if np.isnan(score[k]) else score[k]) for k in order]
